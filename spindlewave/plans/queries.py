@@ -198,10 +198,7 @@ def union_sources(spark, sf_dir):
 
 def csv_sensor_roundtrip(spark, sf_dir):
     rows = readings(spark, sf_dir).select("id", "axis", "data", "event_time", "state")
-    base = work_dir(spark, "sensor-csv")
-    paths = {axis: f"{base}/{axis}" for axis in AXES}
-    for axis, path in paths.items():
-        reading_sources.write_csv(rows.where(F.col("axis") == axis), path)
+    paths = reading_sources.write_csv(rows, work_dir(spark, "sensor-csv"))
     return shown(reading_sources.read_axes(spark, paths))
 
 
@@ -219,14 +216,14 @@ def stream_hop_features(spark, sf_dir):
     replay = Replay(
         reading_stream(spark, sf_dir), signal_rows, work_dir(spark, "stream-hop"), delay=DELAY
     )
-    return shown(replay.advance().finish().table())
+    return shown(replay.finish().table())
 
 
 def stream_axis_pivot(spark, sf_dir):
     replay = Replay(
         reading_stream(spark, sf_dir), fused_rows, work_dir(spark, "stream-pivot"), delay=DELAY
     )
-    return shown(replay.advance().finish().table())
+    return shown(replay.finish().table())
 
 
 def stream_axis_pivot_cascade(spark, sf_dir):
@@ -244,16 +241,16 @@ def stream_over_range(spark, sf_dir):
     stream = reading_stream(spark, sf_dir, True)
     work = work_dir(spark, "stream-over")
     sink = OverRangeSink(stream.schema, work)
-    Replay(stream, settled, work, sink=sink.writer).advance().finish()
+    Replay(stream, settled, work, sink=sink.writer).finish()
     return shown(sink.table(spark).select(*OVER_COLUMNS, "avg_data", "count_"))
 
 
 def late_data_drop(spark, sf_dir):
     """Three slices in event time order; the last also brings the first one again, too late."""
     rows = readings(spark, sf_dir)
-    first, last = rows.agg(F.min("event_time"), F.max("event_time")).first()
-    cuts = [F.lit(first + (last - first) * part / 3) for part in (1, 2)]
-    time = F.col("event_time")
+    time = F.unix_micros("event_time")
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    cuts = [first + (last - first) * part // 3 for part in (1, 2)]
     slices = [
         rows.where(time < cuts[0]),
         rows.where((time >= cuts[0]) & (time < cuts[1])),
@@ -396,7 +393,7 @@ def wear_detection(spark, sf_dir):
         work,
         delay=DELAY,
         sink=lambda features: features.writeStream.foreachBatch(sink),
-    ).advance().finish()
+    ).finish()
     return shown(sink.read(spark))
 
 

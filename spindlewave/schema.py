@@ -36,14 +36,6 @@ READING_SCHEMA = T.StructType(
     ]
 )
 
-# The text form of a reading: no header, event time in epoch milliseconds.
-READING_TEXT_SCHEMA = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in ("id", "axis", "data", "event_millis", "state")
-    ]
-)
-
 FEATURE_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),

@@ -64,11 +64,13 @@ class JdbcAppend:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = table_rows(batch).persist()
         try:
-            first, last = rows.agg(F.min("wstart"), F.max("wstart")).first()
-            if first is None:
+            start = F.unix_micros("wstart")
+            bounds = rows.agg(F.min(start), F.max(start)).first()
+            if bounds[0] is None:
                 return
+            first, last = [F.timestamp_micros(F.lit(bound)) for bound in bounds]
             written = self.existing(batch.sparkSession).where(
-                F.col("wstart").between(F.lit(first), F.lit(last))
+                F.col("wstart").between(first, last)
             )
             same = reduce(and_, [rows[key].eqNullSafe(written[key]) for key in self.keys])
             self.append(rows.join(written, same, "left_anti"))

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.schema import READING_SCHEMA, READING_TEXT_SCHEMA
+from spindlewave.schema import AXES, READING_SCHEMA
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Readings from header-less CSV text: id, axis, data, epoch milliseconds, state."""
-    return parse(spark.read.schema(READING_TEXT_SCHEMA).option("mode", "FAILFAST").csv(path))
+    """Readings from lines of id, axis, data, epoch milliseconds and state, split at commas."""
+    return parse(spark.read.text(path))
 
 
 def stream_csv(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -22,41 +22,52 @@ def stream_csv(spark: SparkSession, path: str, max_files_per_trigger: int | None
     With ``max_files_per_trigger`` the files must have been written in event
     time order, since the watermark follows what has been read.
     """
-    reader = spark.readStream.schema(READING_TEXT_SCHEMA).option("mode", "FAILFAST")
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return parse(reader.csv(path))
+    return parse(reader.text(path))
 
 
 def parse(lines: DataFrame) -> DataFrame:
-    """Text fields to a reading; a malformed number or time fails the job.
+    """Lines of text to readings; a missing field or malformed number fails the job.
 
-    Only the time is trimmed; the other fields are taken as they are.
+    There is no quoting, fields after the fifth are ignored, and texts are taken
+    as they are.
     """
+    parts = F.split("value", ",", -1)
     return lines.select(
-        "id",
-        "axis",
-        _strict("data", "double"),
-        F.timestamp_millis(_strict("event_millis", "bigint")).alias("event_time"),
-        "state",
+        _field(parts, 0, "string").alias("id"),
+        _field(parts, 1, "string").alias("axis"),
+        _field(parts, 2, "double").alias("data"),
+        F.timestamp_millis(_field(parts, 3, "bigint")).alias("event_time"),
+        _field(parts, 4, "string").alias("state"),
     )
 
 
-def _strict(name: str, kind: str):
-    value = F.trim(name).try_cast(kind)
-    broken = F.raise_error(F.concat(F.lit(f"bad {name}: "), F.coalesce(name, F.lit("missing"))))
-    return F.when(value.isNull(), broken.cast(kind)).otherwise(value).alias(name)
+def _field(parts: Column, position: int, kind: str) -> Column:
+    text = F.get(parts, F.lit(position))
+    value = text if kind == "string" else F.trim(text).try_cast(kind)
+    broken = F.raise_error(F.concat(F.lit(f"bad field {position}: "), F.col("value")))
+    return F.when(value.isNull(), broken.cast(kind)).otherwise(value)
 
 
-def write_csv(readings: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Readings as header-less CSV text, event time in whole milliseconds."""
-    readings.select(
-        "id",
-        "axis",
-        "data",
-        F.unix_millis("event_time").alias("event_millis"),
-        "state",
-    ).write.mode(mode).csv(path)
+def write_csv(readings: DataFrame, path: str, axes: Sequence[str] = AXES) -> dict[str, str]:
+    """Readings as lines of text in one folder per axis, event time in whole milliseconds.
+
+    All folders are written in one pass. Returns them by axis.
+    """
+    fields = [
+        F.col("id"),
+        F.col("axis"),
+        F.col("data").cast("string"),
+        F.unix_millis("event_time").cast("string"),
+        F.col("state"),
+    ]
+    line = F.concat_ws(",", *[F.coalesce(field, F.lit("")) for field in fields])
+    readings.select(line.alias("value"), F.col("axis").alias("source")).write.partitionBy(
+        "source"
+    ).text(path)
+    return {axis: f"{path}/source={axis}" for axis in axes}
 
 
 def union_all(sources: Iterable[DataFrame]) -> DataFrame:

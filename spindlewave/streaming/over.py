@@ -21,6 +21,8 @@ from spindlewave.functions import durations
 from spindlewave.operators.over import over_range
 from spindlewave.schema import KEYS
 
+CHUNK = 100_000
+
 
 def settled(readings: DataFrame) -> DataFrame:
     """Each reading once the watermark has passed it, with its number of ``_copies``.
@@ -30,6 +32,30 @@ def settled(readings: DataFrame) -> DataFrame:
     return readings.groupBy(*readings.columns).agg(F.count(F.lit(1)).alias("_copies"))
 
 
+def expand_copies(rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``_copies`` says.
+
+    A row with very many copies is first cut into chunks that go to different
+    tasks. The other rows stay where they are.
+    """
+    copies = F.col("_copies")
+
+    def repeat(part: DataFrame) -> DataFrame:
+        return part.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop(
+            "_copy", "_copies"
+        )
+
+    starts = F.sequence(F.lit(0).cast("long"), copies - 1, F.lit(CHUNK).cast("long"))
+    chunks = (
+        rows.where(copies > CHUNK)
+        .withColumn("_start", F.explode(starts))
+        .withColumn("_copies", F.least(copies - F.col("_start"), F.lit(CHUNK).cast("long")))
+        .repartition(F.xxhash64("_start", *rows.columns))
+        .drop("_start")
+    )
+    return repeat(rows.where(copies <= CHUNK)).unionByName(repeat(chunks))
+
+
 class OverRangeSink:
     """Writes the frames of settled readings to ``work/out``, one folder per batch.
 
@@ -60,23 +86,19 @@ class OverRangeSink:
         # The batch is computed once, into the shared folder.
         folder = self._folder("settled", batch_id)
         batch.write.mode("overwrite").parquet(folder)
-        fresh = (
-            spark.read.schema(batch.schema)
-            .parquet(folder)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*columns, F.lit(True).alias("_fresh"))
+        fresh = expand_copies(spark.read.schema(batch.schema).parquet(folder)).withColumn(
+            "_fresh", F.lit(True)
         )
         rows = fresh
         if batch_id > 0:
             earlier = spark.read.schema(self.schema).parquet(self._folder("tail", batch_id - 1))
             rows = rows.unionByName(earlier.withColumn("_fresh", F.lit(False)))
 
-        newest = rows.agg(F.max(time)).first()[0]
+        newest = rows.agg(F.max(F.unix_micros(time))).first()[0]
+        tail = rows
         if newest is not None:
-            begin = durations.shift_back(F.lit(newest), self.preceding)
+            begin = F.timestamp_micros(F.lit(newest - durations.micros(self.preceding)))
             tail = rows.where(F.col(time) >= begin)
-        else:
-            tail = rows
         tail.select(*columns).write.mode("overwrite").parquet(self._folder("tail", batch_id))
 
         over_range(rows, self.preceding, **self.options).where("_fresh").drop("_fresh").write.mode(

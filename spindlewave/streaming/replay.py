@@ -18,6 +18,8 @@ HEARTBEAT_TIME = "9999-01-01 00:00:00"
 
 DELAY = timedelta(seconds=2)
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def watermarked(
     readings: DataFrame, time: str = "event_time", delay: timedelta = DELAY
@@ -39,10 +41,11 @@ class Replay:
     """A bounded stream of readings through ``build``, into a parquet table.
 
     ``advance`` processes what the source holds at the moment and stops; the
-    next call goes on from the checkpoint. ``finish`` closes the windows that
-    the watermark has not passed, by adding one heartbeat reading far in the
-    future. It comes from a source of its own that is empty until then, so that
-    it can never make a reading late.
+    next call goes on from the checkpoint. ``finish`` processes the rest and
+    closes the windows that the watermark has not passed, by adding one
+    heartbeat reading far in the future. The heartbeat has a source of its own,
+    empty until then, and makes no reading of its own micro-batch late. A source
+    limited to some files per trigger must be read with ``advance`` before.
 
     ``sink`` configures the writer in place of the table, for instance with
     ``foreachBatch``.
@@ -107,22 +110,19 @@ def start_available(
 ) -> StreamingQuery:
     """Start a query that takes all available data and stops.
 
-    State is kept in RocksDB, outside the heap. The number of state partitions
-    is fixed for the life of a checkpoint, so it follows the cluster's cores
-    rather than a default meant for adaptive execution.
+    On a cluster the state is kept in RocksDB, outside the heap. The number of
+    state partitions is fixed for the life of a checkpoint, so it follows the
+    cluster's cores rather than a default meant for adaptive execution.
     """
     cores = spark.sparkContext.defaultParallelism
     partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
-    with settings(
-        spark,
-        {
-            "spark.sql.shuffle.partitions": str(partitions),
-            "spark.sql.streaming.numRecentProgressUpdates": "10000",
-            "spark.sql.streaming.stateStore.providerClass": (
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-            ),
-        },
-    ):
+    options = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.streaming.numRecentProgressUpdates": "10000",
+    }
+    if not spark.conf.get("spark.master").startswith("local"):
+        options["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    with settings(spark, options):
         return (
             writer.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
         )
