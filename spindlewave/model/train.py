@@ -90,7 +90,8 @@ def round_losses(
     for split, rows in splits.items():
         assembled = vectors.transform(with_label(rows, label)).select("features", "label")
         for code, ensemble in enumerate(ensembles.models):
-            binary = assembled.withColumn("label", (F.col("label") == code).cast("double"))
+            own = (F.col("label") == code).cast("double").alias(ensemble.getLabelCol())
+            binary = assembled.select("features", own)
             for step, loss in enumerate(ensemble.evaluateEachIteration(binary)):
                 losses.append((split, code, step, float(loss)))
     return spark.createDataFrame(losses, "split string, class int, step int, loss double")
