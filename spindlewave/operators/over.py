@@ -39,17 +39,18 @@ def over_range(
        whole panes before, and the end of the pane in which the frame begins.
        The first and last are running sums from either end of a pane, so the
        work per instant does not grow with the readings in a frame.
-    3. The results are joined back to the readings by key and instant; adaptive
-       execution splits instants that hold many readings.
+    3. The results are joined back to the readings by key and instant. They grow
+       with the table, so they are never broadcast; adaptive execution splits
+       instants that hold many readings.
 
     More ``panes`` make smaller groups where one range holds very many instants.
     """
     frames = instant_frames(df, preceding, keys, time, value, panes)
-    on = _same([*keys, "_t"])
+    on = _same(["_t", *keys])
     return (
         df.withColumn("_t", F.unix_micros(time))
         .alias("l")
-        .join(frames.alias("r"), on)
+        .join(frames.hint("merge").alias("r"), on)
         .select(
             *[F.col(f"l.{name}") for name in df.columns],
             ratio(F.col("r._sum"), F.col("r._values")).alias("avg_data"),
@@ -100,7 +101,8 @@ def instant_frames(
         rows = rows.unionByName(_whole_panes(instants, keys, panes))
 
     # Whole panes sort before every instant of the pane, with offset -1.
-    group = Window.partitionBy(*keys, "pane")
+    # The pane comes first, as sorting by it alone nearly sorts the rows.
+    group = Window.partitionBy("pane", *keys)
     running = group.orderBy("_offset").rangeBetween(Window.unboundedPreceding, 0)
     closing = group.orderBy(F.desc("_offset")).rangeBetween(Window.unboundedPreceding, 0)
 
@@ -168,7 +170,7 @@ def over_range_with(
         F.col("_offset") >= length - width, F.array(own, context)
     ).otherwise(F.array(own))
     frame = (
-        Window.partitionBy(*keys, "stretch").orderBy("_t").rangeBetween(-width, Window.currentRow)
+        Window.partitionBy("stretch", *keys).orderBy("_t").rangeBetween(-width, Window.currentRow)
     )
     merged = (
         instants.withColumn("_copy", F.explode(copies))
@@ -179,7 +181,7 @@ def over_range_with(
     return (
         df.withColumn("_t", F.unix_micros(time))
         .alias("l")
-        .join(merged.alias("r"), _same([*keys, "_t"]))
+        .join(merged.hint("merge").alias("r"), _same(["_t", *keys]))
         .select(
             *[F.col(f"l.{column}") for column in df.columns], F.col("r._merged").alias(name)
         )

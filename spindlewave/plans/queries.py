@@ -139,14 +139,14 @@ def sql_tumble_features(spark, sf_dir):
 
 def sql_hop_signal_features(spark, sf_dir):
     _view(spark, sf_dir)
-    return shown(sql_views.hop_signal_features(spark, "4 hours", "2 hours"))
+    return shown(sql_views.hop_signal_features(spark, "4 hours", "2 hours", STATES))
 
 
 def sql_axis_pivot(spark, sf_dir):
     _view(spark, sf_dir)
-    features = sql_views.hop_signal_features(spark, "4 hours", "2 hours")
+    features = sql_views.hop_signal_features(spark, "4 hours", "2 hours", STATES)
     features.createOrReplaceTempView("wear_data_feature")
-    return shown(sql_views.axis_pivot(spark, "2 hours"))
+    return shown(sql_views.axis_pivot(spark, "2 hours", STATES))
 
 
 # Trailing ranges

@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
-from spindlewave.schema import AXES
 from spindlewave.operators.pivot import MEASURE_COLUMNS
+from spindlewave.schema import AXES
+
+
+def state_max(states: Sequence[str] | None) -> str:
+    """The greatest state in text order; by rank, which keeps a hash aggregate, if all are known."""
+    if states is None:
+        return "max(state)"
+    known = sorted(set(states))
+    ranks = " ".join(f"WHEN state = '{state}' THEN {rank}" for rank, state in enumerate(known))
+    unknown = "raise_error('state outside its domain: ' || state)"
+    names = ", ".join(f"'{state}'" for state in known)
+    return f"get(array({names}), max(CASE {ranks} WHEN state IS NOT NULL THEN {unknown} END))"
 
 
 def tumble_features(spark: SparkSession, size: str) -> DataFrame:
@@ -23,7 +36,9 @@ def tumble_features(spark: SparkSession, size: str) -> DataFrame:
     )
 
 
-def hop_signal_features(spark: SparkSession, size: str, slide: str) -> DataFrame:
+def hop_signal_features(
+    spark: SparkSession, size: str, slide: str, states: Sequence[str] | None = None
+) -> DataFrame:
     return spark.sql(
         f"""
         WITH sums AS (
@@ -31,7 +46,7 @@ def hop_signal_features(spark: SparkSession, size: str, slide: str) -> DataFrame
                  var_pop(data) AS var, (max(data) - min(data)) / 2 AS rms,
                  sqrt(sum(data * data)) / nullif(count(data), 0) AS peak,
                  sum(power(data, 4)) AS sum4, sum(abs(data)) AS sumabs,
-                 sum(sqrt(abs(data))) AS sumroot, max(state) AS state
+                 sum(sqrt(abs(data))) AS sumroot, {state_max(states)} AS state
           FROM wear_data
           GROUP BY window(event_time, '{size}', '{slide}'), id, axis
         )
@@ -54,7 +69,9 @@ def hop_signal_features(spark: SparkSession, size: str, slide: str) -> DataFrame
     )
 
 
-def axis_pivot(spark: SparkSession, size: str) -> DataFrame:
+def axis_pivot(
+    spark: SparkSession, size: str, states: Sequence[str] | None = None
+) -> DataFrame:
     sums = ",\n".join(
         f"sum(CASE WHEN axis = '{axis}' THEN {column} ELSE 0 END) AS {axis.lower()}_{measure}"
         for measure, column in MEASURE_COLUMNS.items()
@@ -62,7 +79,7 @@ def axis_pivot(spark: SparkSession, size: str) -> DataFrame:
     )
     return spark.sql(
         f"""
-        SELECT id, window.start AS rstart, {sums}, max(state) AS state
+        SELECT id, window.start AS rstart, {sums}, {state_max(states)} AS state
         FROM wear_data_feature
         GROUP BY window(wstart, '{size}'), id
         """
