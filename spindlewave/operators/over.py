@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindlewave.functions import durations
 from spindlewave.functions.signal import ratio
@@ -20,6 +21,10 @@ from spindlewave.schema import KEYS
 
 OWN, EARLIER, WHOLE = 0, 1, 2
 
+# An instant is joined in parts beyond this share of all rows, and not below this number.
+SHARES = 10_000
+LEAST_SHARE = 10_000
+
 
 def over_range(
     df: DataFrame,
@@ -39,24 +44,20 @@ def over_range(
        whole panes before, and the end of the pane in which the frame begins.
        The first and last are running sums from either end of a pane, so the
        work per instant does not grow with the readings in a frame.
-    3. The results are joined back to the readings by key and instant. They grow
-       with the table, so they are never broadcast; adaptive execution splits
-       instants that hold many readings.
+    3. The results are joined back to the readings by key and instant, an instant
+       with very many readings in parts.
 
     More ``panes`` make smaller groups where one range holds very many instants.
     """
-    frames = instant_frames(df, preceding, keys, time, value, panes)
-    on = _same(["_t", *keys])
-    return (
-        df.withColumn("_t", F.unix_micros(time))
-        .alias("l")
-        .join(frames.hint("merge").alias("r"), on)
-        .select(
-            *[F.col(f"l.{name}") for name in df.columns],
-            ratio(F.col("r._sum"), F.col("r._values")).alias("avg_data"),
-            F.col("r._rows").alias("count_"),
-        )
+    instants = instant_totals(df, keys, time, value)
+    frames = instant_frames(instants, preceding, keys, panes).select(
+        *keys,
+        "_t",
+        "_here",
+        ratio(F.col("_sum"), F.col("_values")).alias("avg_data"),
+        F.col("_rows").alias("count_"),
     )
+    return _attach(df, instants, frames, keys, time)
 
 
 def instant_totals(
@@ -70,24 +71,17 @@ def instant_totals(
 
 
 def instant_frames(
-    df: DataFrame,
-    preceding: timedelta,
-    keys: Sequence[str] = KEYS,
-    time: str = "event_time",
-    value: str = "data",
-    panes: int = 1,
+    instants: DataFrame, preceding: timedelta, keys: Sequence[str] = KEYS, panes: int = 1
 ) -> DataFrame:
-    """Sum, values and rows of the frame that ends at each instant ``_t``."""
+    """Sum, values and rows of the frame that ends at each instant, and its own rows ``_here``."""
     width = durations.micros(preceding)
     if panes < 1 or width % panes:
         raise ValueError("panes must divide the range")
     step = width // panes
 
     offset = F.pmod(F.col("_t"), F.lit(step))
-    instants = (
-        instant_totals(df, keys, time, value)
-        .withColumn("_offset", offset)
-        .withColumn("_pane", F.expr(f"(_t - _offset) div {step}"))
+    instants = instants.withColumn("_offset", offset).withColumn(
+        "_pane", F.expr(f"(_t - _offset) div {step}")
     )
     # Each instant is a row of its own pane and, as the earlier part of a frame,
     # of the pane that lies the whole range later.
@@ -113,7 +107,13 @@ def instant_frames(
         return (F.coalesce(upto, zero) + F.coalesce(since, zero)).alias(name)
 
     return (
-        rows.select(*keys, "_t", "role", *[frame_total(n) for n in ("_sum", "_values", "_rows")])
+        rows.select(
+            *keys,
+            "_t",
+            "role",
+            F.col("_rows").alias("_here"),
+            *[frame_total(name) for name in ("_sum", "_values", "_rows")],
+        )
         .where(F.col("role") == OWN)
         .drop("role")
     )
@@ -158,11 +158,11 @@ def over_range_with(
     """
     width = durations.micros(preceding)
     length = width * stretch
-    instants = (
-        df.groupBy(*keys, F.unix_micros(time).alias("_t"))
-        .agg(F.count(F.lit(1)).alias("_partial"))
-        .withColumn("_offset", F.pmod(F.col("_t"), F.lit(length)))
-        .withColumn("_stretch", F.expr(f"(_t - _offset) div {length}"))
+    instants = df.groupBy(*keys, F.unix_micros(time).alias("_t")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    placed = instants.withColumn("_offset", F.pmod(F.col("_t"), F.lit(length))).withColumn(
+        "_stretch", F.expr(f"(_t - _offset) div {length}")
     )
     own = F.struct(F.col("_stretch").alias("stretch"), F.lit(True).alias("own"))
     context = F.struct((F.col("_stretch") + 1).alias("stretch"), F.lit(False).alias("own"))
@@ -173,18 +173,48 @@ def over_range_with(
         Window.partitionBy("stretch", *keys).orderBy("_t").rangeBetween(-width, Window.currentRow)
     )
     merged = (
-        instants.withColumn("_copy", F.explode(copies))
-        .select(*keys, "_t", "_partial", "_copy.stretch", "_copy.own")
-        .withColumn("_merged", merge(F.col("_partial")).over(frame))
+        placed.withColumn("_copy", F.explode(copies))
+        .select(*keys, "_t", "_rows", "_copy.stretch", "_copy.own")
+        .withColumn(name, merge(F.col("_rows")).over(frame))
         .where("own")
+        .select(*keys, "_t", F.col("_rows").alias("_here"), name)
     )
-    return (
+    return _attach(df, instants, merged, keys, time)
+
+
+def _attach(
+    df: DataFrame, instants: DataFrame, results: DataFrame, keys: Sequence[str], time: str
+) -> DataFrame:
+    """``df`` with the columns of ``results`` for the key and instant of each row.
+
+    The results grow with the table and are never broadcast. An instant with more
+    than a ``1 / SHARES`` part of all rows is joined in as many parts as it holds
+    such shares: its result is copied, and its rows are dealt out by their content
+    and by the input partition they come from, so that copies of one row part too.
+    There are fewer than ``SHARES`` such instants, and that bounds the broadcast.
+    """
+    total = df.agg(F.count(F.lit(1))).scalar()
+    share = F.greatest(total / F.lit(SHARES), F.lit(float(LEAST_SHARE)))
+    hot = instants.where(F.col("_rows") > share).select(
+        *keys, "_t", F.ceil(F.col("_rows") / share).alias("_parts")
+    )
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    part = F.pmod(F.xxhash64(F.spark_partition_id(), *[f"l.{n}" for n in plain]), F.col("_parts"))
+    readings = (
         df.withColumn("_t", F.unix_micros(time))
         .alias("l")
-        .join(merged.hint("merge").alias("r"), _same(["_t", *keys]))
-        .select(
-            *[F.col(f"l.{column}") for column in df.columns], F.col("r._merged").alias(name)
-        )
+        .join(F.broadcast(hot).alias("r"), _same(["_t", *keys]), "left")
+        .select("l.*", F.coalesce(part, F.lit(0).cast("long")).alias("_part"))
+    )
+    parts = F.ceil(F.col("_here") / share)
+    first = F.lit(0).cast("long")
+    copies = F.when(parts > 1, F.sequence(first, parts - 1)).otherwise(F.array(first))
+    copied = results.withColumn("_part", F.explode(copies))
+    added = [name for name in results.columns if name not in (*keys, "_t", "_here")]
+    return (
+        readings.alias("l")
+        .join(copied.hint("merge").alias("r"), _same(["_t", "_part", *keys]))
+        .select(*[f"l.{name}" for name in df.columns], *[f"r.{name}" for name in added])
     )
 
 

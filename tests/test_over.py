@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spindlewave.functions import udaf
+from spindlewave.operators import over
 from spindlewave.operators.over import instant_totals, over_range, over_range_with
 from tests.conftest import BASE_MILLIS, offset, reading_frame
 
@@ -134,3 +135,23 @@ def test_grouped_count_in_two_steps(spark):
     counted = udaf.grouped_count(df, ("id", "axis"))
     native = df.groupBy("id", "axis").agg(F.count(F.lit(1)).alias("count_"))
     assert counted.exceptAll(native).isEmpty() and native.exceptAll(counted).isEmpty()
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_hot_instants_are_joined_in_parts(spark, monkeypatch, distinct):
+    monkeypatch.setattr(over, "SHARES", 20)
+    monkeypatch.setattr(over, "LEAST_SHARE", 5)
+    rows = random_rows(12, n=200)
+    rows += [("1", "X", float(i) if distinct else 1.0, 3.0, "0") for i in range(100)]
+    rows += [(None, "Y", 2.0, None, "0")] * 50
+    df = reading_frame(spark, rows).repartition(6)
+    assert collected(over_range(df)) == brute_force(rows)
+    merged = over_range_with(df, udaf.merge_counts)
+    native = over_range(df).drop("avg_data")
+    assert merged.exceptAll(native).isEmpty() and native.exceptAll(merged).isEmpty()
+
+
+def test_results_are_not_broadcast(golden):
+    plan = over_range(golden)._jdf.queryExecution().executedPlan().toString()
+    # Only the list of hot instants is, which SHARES bounds.
+    assert plan.count("BroadcastExchange") == 1 and "SortMergeJoin" in plan
