@@ -248,18 +248,10 @@ def stream_over_range(spark, sf_dir):
 def late_data_drop(spark, sf_dir):
     """Three slices in event time order; the last also brings the first one again, too late."""
     rows = readings(spark, sf_dir)
-    time = F.unix_micros("event_time")
-    first, last = rows.agg(F.min(time), F.max(time)).first()
-    cuts = [first + (last - first) * part // 3 for part in (1, 2)]
-    slices = [
-        rows.where(time < cuts[0]),
-        rows.where((time >= cuts[0]) & (time < cuts[1])),
-        rows.where(time >= cuts[1]).unionByName(
-            rows.where(time < cuts[0]).withColumn("data", F.lit(999.0))
-        ),
-    ]
+    slices = reading_sources.time_slices(rows, 3)
+    slices[2] = slices[2].unionByName(slices[0].withColumn("data", F.lit(999.0)))
     work = work_dir(spark, "late")
-    slices[0].limit(0).write.parquet(f"{work}/readings")
+    rows.limit(0).write.parquet(f"{work}/readings")
     stream = reading_sources.stream_parquet(spark, f"{work}/readings", rows.schema)
     replay = Replay(stream, signal_rows, work, delay=DELAY)
     for piece in slices:
@@ -355,6 +347,13 @@ def ask_by_rule(text: str) -> str:
     return json.dumps([float(min(int(row[spread] // 20), 4)) for row in request["data"]])
 
 
+def model_round_losses(spark, sf_dir):
+    rows = stored(fused_rows(readings(spark, sf_dir)), "boosted-rows")
+    training, test = model_features.split_by_key(rows, _split_key())
+    model = train.fit(training, train.boosted_trees(max_depth=5))
+    return shown(train.round_losses(spark, model, {"train": training, "eval": test}), 6)
+
+
 def remote_rows(spark, sf_dir):
     return score.score_remote(pivot_rows(readings(spark, sf_dir)), ask_by_rule)
 
@@ -431,6 +430,7 @@ QUERIES: dict[str, Run] = {
         scoring_payload,
         scoring_reply,
         model_fit_predict,
+        model_round_losses,
         remote_scoring,
         prediction_agreement,
         metrics_log,

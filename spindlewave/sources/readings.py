@@ -96,6 +96,17 @@ def stream_parquet(spark: SparkSession, path: str, schema, **options) -> DataFra
     return spark.readStream.schema(schema).options(**options).parquet(f"{folder}/{{{name}}}")
 
 
+def time_slices(readings: DataFrame, count: int, time: str = "event_time") -> list[DataFrame]:
+    """The readings cut into slices of equal time, in event time order, to be replayed one by one."""
+    at = F.unix_micros(time)
+    first, last = readings.agg(F.min(at), F.max(at)).first()
+    if first is None:
+        return [readings]
+    step = -(-(last - first + 1) // count)
+    number = F.coalesce(F.floor((at - first) / step), F.lit(0))
+    return [readings.where(number == i) for i in range(count)]
+
+
 def register_view(readings: DataFrame, name: str = "wear_data") -> DataFrame:
     """Make the readings available to SQL under ``name``."""
     readings.createOrReplaceTempView(name)

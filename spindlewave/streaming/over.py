@@ -60,7 +60,8 @@ class OverRangeSink:
     """Writes the frames of settled readings to ``work/out``, one folder per batch.
 
     Every write replaces the folder of its batch, so a batch that is repeated
-    after a failure leaves the same result.
+    after a failure leaves the same result. The settled readings and the tail
+    for the next batch alternate between two folders.
     """
 
     def __init__(
@@ -84,40 +85,42 @@ class OverRangeSink:
         columns = self.schema.names
 
         # The batch is computed once, into the shared folder.
-        folder = self._folder("settled", batch_id)
+        folder = self._folder("settled", batch_id % 2)
         batch.write.mode("overwrite").parquet(folder)
         fresh = expand_copies(spark.read.schema(batch.schema).parquet(folder)).withColumn(
             "_fresh", F.lit(True)
         )
         rows = fresh
         if batch_id > 0:
-            earlier = spark.read.schema(self.schema).parquet(self._folder("tail", batch_id - 1))
+            earlier = spark.read.schema(self.schema).parquet(self._folder("tail", (batch_id - 1) % 2))
             rows = rows.unionByName(earlier.withColumn("_fresh", F.lit(False)))
 
-        newest = rows.agg(F.max(F.unix_micros(time))).first()[0]
-        tail = rows
-        if newest is not None:
+        newest = fresh.agg(F.max(F.unix_micros(time))).first()[0]
+        if newest is None:
+            tail, frames = rows, self._empty(spark)
+        else:
             begin = F.timestamp_micros(F.lit(newest - durations.micros(self.preceding)))
             tail = rows.where(F.col(time) >= begin)
-        tail.select(*columns).write.mode("overwrite").parquet(self._folder("tail", batch_id))
+            frames = over_range(rows, self.preceding, **self.options).where("_fresh")
+        self._replace(tail.select(*columns), "tail", batch_id % 2)
+        self._replace(frames.select(*columns, "avg_data", "count_"), "out", batch_id)
 
-        over_range(rows, self.preceding, **self.options).where("_fresh").drop("_fresh").write.mode(
-            "overwrite"
-        ).parquet(self._folder("out", batch_id))
+    def _empty(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([], self._result_schema())
 
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.work}/{kind}/batch_id={batch_id}"
+    def _replace(self, rows: DataFrame, kind: str, number: int) -> None:
+        rows.write.mode("overwrite").parquet(self._folder(kind, number))
+
+    def _folder(self, kind: str, number: int) -> str:
+        return f"{self.work}/{kind}/batch_id={number}"
 
     def writer(self, rows: DataFrame) -> DataStreamWriter:
         return rows.writeStream.foreachBatch(self)
 
+    def _result_schema(self) -> T.StructType:
+        added = [T.StructField("avg_data", T.DoubleType()), T.StructField("count_", T.LongType())]
+        return T.StructType([*self.schema.fields, *added])
+
     def table(self, spark: SparkSession) -> DataFrame:
-        schema = T.StructType(
-            [
-                *self.schema.fields,
-                T.StructField("avg_data", T.DoubleType()),
-                T.StructField("count_", T.LongType()),
-                T.StructField("batch_id", T.LongType()),
-            ]
-        )
+        schema = self._result_schema().add("batch_id", T.LongType())
         return spark.read.schema(schema).parquet(f"{self.work}/out").drop("batch_id")

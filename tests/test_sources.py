@@ -65,6 +65,13 @@ def test_stream_reads_what_batch_reads(spark, tmp_path, golden):
     assert same_rows(sources.read_table(spark, str(tmp_path / "out")), golden)
 
 
+def test_time_slices(spark, golden):
+    slices = sources.time_slices(golden, 3)
+    assert [part.count() for part in slices] == [4, 3, 1]
+    assert same_rows(sources.union_all(slices), golden)
+    assert sources.time_slices(golden.limit(0), 3)[0].count() == 0
+
+
 def test_view(spark, golden):
     sources.register_view(golden)
     assert spark.table("wear_data").count() == golden.count()
