@@ -50,30 +50,30 @@ def windows(size: int, slide: int, unit: str) -> str:
   WHERE event_time < wstart + INTERVAL '{size} {unit}')"""
 
 
-FEATURES = """features AS (
-  SELECT id, axis, wstart,
+FEATURES = """sums AS (
+  SELECT id, axis, wstart, count(data) AS n, max(state) AS state,
          avg(data) AS avg_data, stddev_pop(data) AS stddev_pop_data,
          stddev_samp(data) AS stddev_samp_data, var_pop(data) AS var_pop_data,
          var_samp(data) AS var_samp_data,
-         (max(data) - min(data)) / 2 AS rms,
-         sqrt(sum(power(data, 2))) / count(data) AS peak,
-         ((max(data) - min(data)) / 2)
-           / nullif(sqrt(sum(power(data, 2))) / count(data), 0) AS cf,
-         sum(power(data, 4))
-           / nullif(power(sqrt(sum(power(data, 2))) / count(data), 4) * count(data), 0) AS kv,
-         sqrt(sum(power(data, 2))) / nullif(sum(abs(data)), 0) AS s,
-         (max(data) - min(data)) / 2 * count(data) / nullif(sum(abs(data)), 0) AS if_,
-         (max(data) - min(data)) / 2
-           / nullif(power(sum(sqrt(abs(data))) / count(data), 2), 0) AS clf,
-         max(state) AS state,
-         sqrt(avg(power(data, 2))) AS true_rms,
-         max(abs(data)) AS true_peak,
-         max(abs(data)) / nullif(sqrt(avg(power(data, 2))), 0) AS crest_factor,
-         avg(power(data, 4)) / nullif(power(avg(power(data, 2)), 2), 0) AS kurtosis_factor,
-         sqrt(avg(power(data, 2))) / nullif(avg(abs(data)), 0) AS form_factor,
-         max(abs(data)) / nullif(avg(abs(data)), 0) AS pulse_factor,
-         max(abs(data)) / nullif(power(avg(sqrt(abs(data))), 2), 0) AS margin_factor
-  FROM hops GROUP BY id, axis, wstart)"""
+         (max(data) - min(data)) / 2 AS half, max(abs(data)) AS top,
+         sqrt(sum(data * data)) AS norm, sum(power(data, 4)) AS fourth,
+         avg(abs(data)) AS size, avg(sqrt(abs(data))) AS root
+  FROM hops GROUP BY id, axis, wstart),
+features AS (
+  SELECT sums.*, half AS rms, norm / n AS peak,
+         half / nullif(norm / n, 0) AS cf,
+         fourth / nullif(power(norm / n, 4) * n, 0) AS kv,
+         norm / nullif(size * n, 0) AS s,
+         half / nullif(size, 0) AS if_,
+         half / nullif(root * root, 0) AS clf,
+         norm / sqrt(n) AS true_rms,
+         top AS true_peak,
+         top / nullif(norm / sqrt(n), 0) AS crest_factor,
+         fourth / n / nullif(power(norm / sqrt(n), 4), 0) AS kurtosis_factor,
+         norm / sqrt(n) / nullif(size, 0) AS form_factor,
+         top / nullif(size, 0) AS pulse_factor,
+         top / nullif(root * root, 0) AS margin_factor
+  FROM sums)"""
 
 
 def _pivot(size: int, unit: str) -> str:

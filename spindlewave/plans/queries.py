@@ -455,12 +455,12 @@ def _oracles() -> dict[str, str]:
 
     errors = f"""{scored}, pairs AS (
   SELECT CAST(state AS DOUBLE) AS y, CAST(code AS DOUBLE) AS p FROM scored),
-sums AS (
+errors AS (
   SELECT count(*) AS n, avg(CASE WHEN y <> p THEN 1 ELSE 0 END) AS error_rate,
          sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
          1 - sum((y - p) * (y - p)) / sum((y - m) * (y - m)) AS r2
   FROM pairs, (SELECT avg(y) AS m FROM pairs) means),
-shown AS (SELECT n, {oracle.rounded(("error_rate", "rmse", "mae", "r2"))} FROM sums)"""
+shown AS (SELECT n, {oracle.rounded(("error_rate", "rmse", "mae", "r2"))} FROM errors)"""
 
     reply = f"""{pivoted}, replied AS (
   SELECT id, rstart, CASE WHEN x_avg < 0 THEN -1 WHEN x_avg > 10 THEN NULL
