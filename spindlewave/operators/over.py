@@ -57,7 +57,7 @@ def over_range(
         ratio(F.col("_sum"), F.col("_values")).alias("avg_data"),
         F.col("_rows").alias("count_"),
     )
-    return _attach(df, instants, frames, keys, time)
+    return _attach(df, frames, preceding, keys, time)
 
 
 def instant_totals(
@@ -158,11 +158,11 @@ def over_range_with(
     """
     width = durations.micros(preceding)
     length = width * stretch
-    instants = df.groupBy(*keys, F.unix_micros(time).alias("_t")).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    placed = instants.withColumn("_offset", F.pmod(F.col("_t"), F.lit(length))).withColumn(
-        "_stretch", F.expr(f"(_t - _offset) div {length}")
+    instants = (
+        df.groupBy(*keys, F.unix_micros(time).alias("_t"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_offset", F.pmod(F.col("_t"), F.lit(length)))
+        .withColumn("_stretch", F.expr(f"(_t - _offset) div {length}"))
     )
     own = F.struct(F.col("_stretch").alias("stretch"), F.lit(True).alias("own"))
     context = F.struct((F.col("_stretch") + 1).alias("stretch"), F.lit(False).alias("own"))
@@ -173,17 +173,17 @@ def over_range_with(
         Window.partitionBy("stretch", *keys).orderBy("_t").rangeBetween(-width, Window.currentRow)
     )
     merged = (
-        placed.withColumn("_copy", F.explode(copies))
+        instants.withColumn("_copy", F.explode(copies))
         .select(*keys, "_t", "_rows", "_copy.stretch", "_copy.own")
         .withColumn(name, merge(F.col("_rows")).over(frame))
         .where("own")
         .select(*keys, "_t", F.col("_rows").alias("_here"), name)
     )
-    return _attach(df, instants, merged, keys, time)
+    return _attach(df, merged, preceding, keys, time)
 
 
 def _attach(
-    df: DataFrame, instants: DataFrame, results: DataFrame, keys: Sequence[str], time: str
+    df: DataFrame, results: DataFrame, preceding: timedelta, keys: Sequence[str], time: str
 ) -> DataFrame:
     """``df`` with the columns of ``results`` for the key and instant of each row.
 
@@ -191,13 +191,12 @@ def _attach(
     than a ``1 / SHARES`` part of all rows is joined in as many parts as it holds
     such shares: its result is copied, and its rows are dealt out by their content
     and by the input partition they come from, so that copies of one row part too.
-    There are fewer than ``SHARES`` such instants, and that bounds the broadcast.
+    There are fewer than ``SHARES`` such instants, or stretches of time with as
+    many rows, and that bounds the broadcasts.
     """
     total = df.agg(F.count(F.lit(1))).scalar()
     share = F.greatest(total / F.lit(SHARES), F.lit(float(LEAST_SHARE)))
-    hot = instants.where(F.col("_rows") > share).select(
-        *keys, "_t", F.ceil(F.col("_rows") / share).alias("_parts")
-    )
+    hot = _hot_instants(df, share, preceding, keys, time)
     plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
     part = F.pmod(F.xxhash64(F.spark_partition_id(), *[f"l.{n}" for n in plain]), F.col("_parts"))
     readings = (
@@ -218,6 +217,28 @@ def _attach(
     )
 
 
+def _hot_instants(
+    df: DataFrame, share: Column, width: timedelta, keys: Sequence[str], time: str
+) -> DataFrame:
+    """Instants with more than ``share`` rows, and the number of ``_parts`` to join them in.
+
+    Rows are counted per stretch of time first, and per instant only within the
+    stretches that hold as many rows, so that hardly anything is shuffled.
+    """
+    at = df.select(*keys, F.unix_micros(time).alias("_t")).withColumn(
+        "_stretch", F.floor(F.col("_t") / durations.micros(width))
+    )
+    busy = at.groupBy(*keys, "_stretch").count().where(F.col("count") > share)
+    return (
+        at.alias("l")
+        .join(F.broadcast(busy).alias("r"), _same(["_stretch", *keys]), "left_semi")
+        .groupBy(*keys, "_t")
+        .count()
+        .where(F.col("count") > share)
+        .select(*keys, "_t", F.ceil(F.col("count") / share).alias("_parts"))
+    )
+
+
 def _same(names: Sequence[str]) -> Column:
     return reduce(
         lambda left, right: left & right,
