@@ -1,13 +1,15 @@
 """``countUdaf``: a user-defined count of rows, null or not, for SQL and DataFrames.
 
-As a pandas UDF it takes a whole group in one task. Over ranges or large groups
-use it on partial counts (``operators.over.over_range_with``, ``grouped_count``).
+As a pandas UDF it takes a whole group in one task. Over large groups use it on
+partial counts (``countUdafMerge``, ``grouped_count``), over ranges with
+``operators.over.over_range_with`` and ``count_frames``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,12 @@ def merge_counts(totals: pd.Series) -> int:
     return int(totals.sum())
 
 
+def count_frames(partials: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rows per frame: what has been counted up to its end less what has left it."""
+    counted = np.concatenate(([0], np.cumsum(partials)))
+    return counted[end] - counted[begin]
+
+
 def register(spark: SparkSession) -> None:
     """Make the count and its merge step callable from SQL."""
     spark.udf.register("countUdaf", count_rows)

@@ -7,10 +7,12 @@ no more than a stretch of one key's time line, whatever the length of the table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,26 +143,27 @@ def _whole_panes(instants: DataFrame, keys: Sequence[str], panes: int) -> DataFr
 
 def over_range_with(
     df: DataFrame,
-    merge,
+    frames: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
     preceding: timedelta = timedelta(seconds=2),
     keys: Sequence[str] = KEYS,
     time: str = "event_time",
-    stretch: int = 8,
+    stretch: int = 32,
     name: str = "count_",
 ) -> DataFrame:
-    """``df`` with a user-defined aggregate over the range.
-
-    Partial counts per instant are merged by ``merge``, a grouped aggregate
-    (such as a pandas UDF) that takes them and gives the total. Groups are
-    stretches of ``stretch`` ranges; instants in the last range of a stretch
-    are copied into the next one, so that every frame is whole in its group. A
-    group never holds more rows than there are instants in its stretch.
+    """``df`` with a user-defined count over the range.
+
+    ``frames`` gets the rows per instant, in time order, and for each instant the
+    begin and end of its frame among them, and gives a number per instant. It
+    runs on stretches of ``stretch`` ranges of one key's time line; instants in
+    the last range of a stretch are copied into the next one, so that every
+    frame is whole in its group. A group never holds more rows than there are
+    instants in its stretch.
     """
     width = durations.micros(preceding)
     length = width * stretch
     instants = (
         df.groupBy(*keys, F.unix_micros(time).alias("_t"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_here"))
         .withColumn("_offset", F.pmod(F.col("_t"), F.lit(length)))
         .withColumn("_stretch", F.expr(f"(_t - _offset) div {length}"))
     )
@@ -169,17 +172,22 @@ def over_range_with(
     copies = F.when(
         F.col("_offset") >= length - width, F.array(own, context)
     ).otherwise(F.array(own))
-    frame = (
-        Window.partitionBy("stretch", *keys).orderBy("_t").rangeBetween(-width, Window.currentRow)
-    )
-    merged = (
-        instants.withColumn("_copy", F.explode(copies))
-        .select(*keys, "_t", "_rows", "_copy.stretch", "_copy.own")
-        .withColumn(name, merge(F.col("_rows")).over(frame))
-        .where("own")
-        .select(*keys, "_t", F.col("_rows").alias("_here"), name)
+    rows = instants.withColumn("_copy", F.explode(copies)).select(
+        *keys, "_t", "_here", "_copy.stretch", "_copy.own"
     )
-    return _attach(df, merged, preceding, keys, time)
+    columns = [*keys, "_t", "_here"]
+    schema = T.StructType([rows.schema[c] for c in columns] + [T.StructField(name, T.LongType())])
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("_t", ignore_index=True)
+        at = group["_t"].to_numpy()
+        begin = np.searchsorted(at, at - width, side="left")
+        end = np.arange(1, len(at) + 1)
+        group[name] = frames(group["_here"].to_numpy(), begin, end)
+        return group.loc[group["own"], [*columns, name]]
+
+    results = rows.groupBy("stretch", *keys).applyInPandas(run, schema)
+    return _attach(df, results, preceding, keys, time)
 
 
 def _attach(

@@ -170,14 +170,17 @@ def over_count(spark, sf_dir):
 
 
 def over_count_udaf(spark, sf_dir):
-    udaf.register(spark)
-    rows = over_range_with(
-        readings(spark, sf_dir, True),
-        lambda partial: F.call_function("countUdafMerge", partial),
-    )
+    rows = over_range_with(readings(spark, sf_dir, True), udaf.count_frames)
     return shown(rows.select(*OVER_COLUMNS, "count_"))
 
 
+def sql_count_udaf(spark, sf_dir):
+    """The registered function in SQL: counts of a day, merged from those of its windows."""
+    _view(spark, sf_dir)
+    udaf.register(spark)
+    return shown(sql_views.daily_counts(spark, "2 hours"))
+
+
 def grouped_count_udaf(spark, sf_dir):
     return udaf.grouped_count(readings(spark, sf_dir), ("id", "axis"))
 
@@ -414,6 +417,7 @@ QUERIES: dict[str, Run] = {
         over_range_hours,
         over_count,
         over_count_udaf,
+        sql_count_udaf,
         grouped_count_udaf,
         union_sources,
         csv_sensor_roundtrip,
@@ -484,6 +488,8 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "over_range_hours": oracle.over(oracle.OVER_BOTH, "'2' HOURS", False),
         "over_count": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "over_count_udaf": oracle.over(oracle.OVER_COUNT, "'2' SECONDS"),
+        "sql_count_udaf": f"WITH {oracle.wear_data()} SELECT id, axis, "
+        "CAST(date_trunc('day', event_time) AS TIMESTAMP) AS day, count(*) AS count_ FROM wear_data GROUP BY 1, 2, 3",
         "grouped_count_udaf": f"WITH {oracle.wear_data()} "
         "SELECT id, axis, count(*) AS count_ FROM wear_data GROUP BY id, axis",
         "union_sources": f"WITH {oracle.wear_data()} SELECT axis, count(*) AS n, "

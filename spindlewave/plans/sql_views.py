@@ -84,3 +84,15 @@ def axis_pivot(
         GROUP BY window(wstart, '{size}'), id
         """
     )
+
+
+def daily_counts(spark: SparkSession, size: str) -> DataFrame:
+    return spark.sql(
+        f"""
+        SELECT id, axis, day, countUdafMerge(n) AS count_
+        FROM (SELECT id, axis, date_trunc('DAY', window.start) AS day, count(*) AS n
+              FROM wear_data
+              GROUP BY window(event_time, '{size}'), id, axis)
+        GROUP BY id, axis, day
+        """
+    )

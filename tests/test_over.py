@@ -105,7 +105,7 @@ def test_other_columns_and_duplicates_are_kept(spark):
 def test_user_defined_count_equals_native(spark):
     rows = random_rows(7)
     df = reading_frame(spark, rows)
-    counted = over_range_with(df, udaf.merge_counts, stretch=3)
+    counted = over_range_with(df, udaf.count_frames, stretch=3)
     native = over_range(df).drop("avg_data")
     assert counted.exceptAll(native).isEmpty() and native.exceptAll(counted).isEmpty()
 
@@ -146,7 +146,7 @@ def test_hot_instants_are_joined_in_parts(spark, monkeypatch, distinct):
     rows += [(None, "Y", 2.0, None, "0")] * 50
     df = reading_frame(spark, rows).repartition(6)
     assert collected(over_range(df)) == brute_force(rows)
-    merged = over_range_with(df, udaf.merge_counts)
+    merged = over_range_with(df, udaf.count_frames)
     native = over_range(df).drop("avg_data")
     assert merged.exceptAll(native).isEmpty() and native.exceptAll(merged).isEmpty()
 

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from spindlewave.operators.over import over_range
 from spindlewave.operators.pivot import pivot_axes, pivot_axes_fused
 from spindlewave.operators.windows import hopping_features
-from spindlewave.schema import READING_SCHEMA, SIGNAL_FEATURES, PIVOT_FEATURES, STATE_DOMAIN
+from spindlewave.schema import PIVOT_FEATURES, READING_SCHEMA, SIGNAL_FEATURES, STATE_DOMAIN
 from spindlewave.sinks.tables import BatchTable
 from spindlewave.sources.readings import stream_parquet
 from spindlewave.streaming.over import CHUNK, OverRangeSink, expand_copies, settled
-from spindlewave.streaming.replay import Replay
+from spindlewave.session import settings
+from spindlewave.streaming.replay import ROCKSDB, Replay
 from tests.conftest import reading_frame, same_rows
 
 
@@ -75,6 +76,26 @@ def test_hop_stream_equals_batch(spark, tmp_path):
     assert replay.dropped == 0
 
 
+def test_new_run_goes_on_from_the_checkpoint(spark, tmp_path):
+    source = Source(spark, tmp_path)
+    for rows in SLICES:
+        source.add(rows)
+        replay = Replay(source.stream, features, str(tmp_path / "work")).advance()
+    batch = features(reading_frame(spark, ALL))
+    found = replay.finish().table()
+    assert same_rows(rounded(found, SIGNAL_FEATURES), rounded(batch, SIGNAL_FEATURES))
+
+
+def test_state_may_be_kept_in_rocksdb(spark, tmp_path):
+    source = Source(spark, tmp_path)
+    source.add(SLICES[0])
+    key = "spark.sql.streaming.stateStore.providerClass"
+    with settings(spark, {key: ROCKSDB}):
+        replay = Replay(source.stream, pivot_axes_fused, str(tmp_path / "work")).finish()
+    batch = pivot_axes_fused(reading_frame(spark, SLICES[0]))
+    assert same_rows(rounded(replay.table(), PIVOT_FEATURES), rounded(batch, PIVOT_FEATURES))
+
+
 def test_one_step_stream_equals_batch(spark, tmp_path):
     source = Source(spark, tmp_path)
     source.add(ALL)
