@@ -16,23 +16,27 @@ AT_ONCE = 1 << 20  # links that one union-find holds
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Union-find over links: every node that is not the smallest of its tree, and that smallest."""
+    """Union-find over links: every node that is not the smallest of its tree, and that smallest.
+
+    All links are handled at once: roots are hooked to smaller roots, paths are cut
+    short, until no link joins two trees.
+    """
     names, place = np.unique(np.concatenate([u, v]), return_inverse=True)
-    parent = list(range(len(names)))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for a, b in zip(place[: len(u)].tolist(), place[len(u) :].tolist(), strict=True):
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    roots = np.array([root(x) for x in range(len(names))], np.int64)
-    inner = roots != np.arange(len(names))
-    return names[inner], names[roots[inner]]
+    a, b = place[: len(u)], place[len(u) :]
+    parent = np.arange(len(names))
+    while True:
+        x, y = parent[a], parent[b]
+        apart = x != y
+        if not apart.any():
+            inner = np.flatnonzero(parent != np.arange(len(names)))
+            return names[inner], names[parent[inner]]
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            above = parent[parent]
+            if (above == parent).all():
+                break
+            parent = above
 
 
 def contract(links: DataFrame) -> DataFrame:

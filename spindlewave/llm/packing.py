@@ -44,28 +44,27 @@ def token_pieces(
         T.StructField("length", T.LongType()),
         T.StructField("ids_crc32", T.LongType()),
     ] + [T.StructField("ids", T.BinaryType())] * ids
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
     size = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer)
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first, part in tokens.portions(texts):
+            for first, found, places in encoder.encode(batch.column("text")):
                 rows, columns = [], [[], [], [], [], []]
-                for at, found in enumerate(encoder.encode(part), first):
-                    found += end
-                    for piece, place in enumerate(range(0, len(found), size)):
-                        data = found[place : place + size]
+                for at, (a, b) in enumerate(zip(places[:-1].tolist(), places[1:].tolist(), strict=True), first):
+                    data = np.append(found[a:b].astype("<u4"), end).tobytes()
+                    for piece, place in enumerate(range(0, len(data), size)):
+                        part = data[place : place + size]
                         rows.append(at)
-                        row = (piece, place // 4, len(data) // 4, zlib.crc32(data), data)
-                        for column, value in zip(columns, row, strict=True):
+                        row = (piece, place // 4, len(part) // 4, zlib.crc32(part), part)
+                        for column, value in zip(columns, row[: 4 + ids], strict=False):
                             column.append(value)
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-                types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 arrays = [batch.column("doc_id").take(pa.array(rows, pa.int64()))]
-                arrays += [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays[: 5 + ids], names[: 5 + ids])
+                arrays += [pa.array(c, t) for c, t in zip(columns[: 4 + ids], kinds, strict=False)]
+                yield pa.RecordBatch.from_arrays(arrays, names[: 5 + ids])
 
     return docs.select("doc_id", "text").mapInArrow(cut, T.StructType(fields))
 

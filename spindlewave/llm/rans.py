@@ -138,71 +138,70 @@ class Coder:
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """doc_id, n_tokens and the ids with the end mark (two bytes each if they fit, then Zstandard)."""
+    """Per document doc_id and its ids with the end mark; per task a row with symbol counts.
+
+    Ids and counts are packed by ``packed``; a row has one of them, the other is null.
+    """
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("n_tokens", T.LongType()),
             T.StructField("ids", T.BinaryType()),
+            T.StructField("counts", T.BinaryType()),
         ]
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         encoder = tokens.encoder(tokenizer)
-        pack = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        total = np.zeros(max(len(encoder.last), end_id + 1), np.int64)
+        kind = None
         for batch in batches:
-            for first, part in tokens.portions(batch.column("text").to_pylist()):
-                lengths, data = [], []
-                for found in encoder.encode(part):
-                    ids = np.append(np.frombuffer(found, "<u4"), np.uint32(end_id))
-                    lengths.append(len(ids))
-                    data.append(pack.compress(narrow(ids)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(part)), pa.array(lengths, pa.int64()), pa.array(data, pa.binary())],
-                    schema.fieldNames(),
-                )
+            kind = batch.schema.field("doc_id").type
+            for first, found, places in encoder.encode(batch.column("text")):
+                n = len(places) - 1
+                total += np.bincount(found, minlength=len(total))
+                total[end_id] += n
+                ids = [np.append(found[a:b], found.dtype.type(end_id)) for a, b in zip(places[:-1], places[1:], strict=True)]
+                columns = [batch.column("doc_id").slice(first, n), pa.array(map(packed, ids), pa.binary()), pa.nulls(n, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+        if kind is not None:
+            columns = [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([packed(total)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return docs.select("doc_id", "text").mapInArrow(encode, schema)
 
 
-def narrow(ids: np.ndarray) -> bytes:
-    """Low and high bytes apart, if two bytes are enough: both compress better so."""
-    if len(ids) and int(ids.max()) > 0xFFFF:
-        return b"\4" + ids.astype("<u4").tobytes()
-    pairs = ids.astype("<u2").view(np.uint8).reshape(-1, 2)
-    return b"\2" + pairs.T.tobytes()
-
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte (first all low bytes, and so on), then Zstandard."""
+    import zstandard
 
-def widen(data: bytes) -> np.ndarray:
-    if data[:1] == b"\4":
-        return np.frombuffer(data, "<u4", offset=1)
-    return np.frombuffer(data, np.uint8, offset=1).reshape(2, -1).T.copy().view("<u2").reshape(-1).astype(np.uint32)
+    size = numbers.dtype.itemsize
+    data = numbers.view(np.uint8).reshape(-1, size).T.tobytes()
+    return bytes([size]) + zstandard.ZstdCompressor(level=1).compress(data)
 
 
 def unpacked(column: pa.Array) -> Iterator[np.ndarray]:
     import zstandard
 
-    unpack = zstandard.ZstdDecompressor()
-    for data in column:
-        yield widen(unpack.decompress(data.as_buffer()))
+    decompressor = zstandard.ZstdDecompressor()
+    for value in column:
+        data = value.as_buffer().to_pybytes()
+        size = data[0]
+        rows = np.frombuffer(decompressor.decompress(data[1:]), np.uint8).reshape(size, -1)
+        yield rows.T.copy().view(f"<u{size}").reshape(-1)
 
 
 def count_symbols(ids: DataFrame) -> np.ndarray:
-    """How often each id occurs in all documents; the vocabulary bounds the result."""
+    """How often each id occurs in all documents; the vocabulary bounds what the driver gets."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for found in unpacked(batch.column("ids")):
-                part = np.bincount(found, minlength=len(total))
-                part[: len(total)] += total
-                total = part
+            for found in unpacked(batch.column("counts")):
+                total = found.astype(np.int64) + (total if len(total) else 0)
         symbols = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(symbols), pa.array(total[symbols])], ["symbol", "n"])
 
-    parts = ids.select("ids").mapInArrow(count, "symbol long, n long")
+    parts = ids.where("counts is not null").select("counts").mapInArrow(add, "symbol long, n long")
     rows = parts.groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(rows["symbol"].max()) + 1 if len(rows) else 1, np.int64)
     counts[rows["symbol"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
@@ -210,9 +209,9 @@ def count_symbols(ids: DataFrame) -> np.ndarray:
 
 
 def write_blocks(
-    ids: DataFrame, path: str, *, block_tokens: int = 1 << 17, lanes: int = 256, every: int = 128
+    ids: DataFrame, path: str, *, block_tokens: int = 1 << 19, lanes: int = 1024, every: int = 128
 ) -> None:
-    """Write the files. ``ids`` is a stored ``token_table``: it is read twice.
+    """Write the files. ``ids`` is a stored ``token_table``: it is read more than once.
 
     Documents are in ascending doc_id order (null first, repeated ids together, then by
     content); a block holds whole documents and is closed at ``block_tokens``.
@@ -261,8 +260,8 @@ def write_blocks(
         if held:
             yield block()
 
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.select("doc_id", "ids").mapInArrow(encode, schema).write.option(
+    ordered = ids.where("ids is not null").select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered.mapInArrow(encode, schema).write.option(
         "compression", "none"
     ).parquet(f"{path}/blocks")
 
