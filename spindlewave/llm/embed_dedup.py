@@ -119,7 +119,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
     Vectors are linked if their cosine is at least ``least`` (above 0). Vectors that are
     null, empty, zero or hold null or non-finite components, and vectors of different
     lengths, are not linked. Rows that share an id are one vector for components and
-    link through each; n_links counts other rows. Rows without an id link with nothing,
+    link through each; n_links counts other rows, for all vectors of the id that come
+    first among their equals. Rows without an id link with nothing,
     have no component and are kept. Other columns are not read.
     """
     spark = vectors.sparkSession
@@ -221,7 +222,6 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
 
     rows = base.withColumn("key", F.when(F.col("vec_id").isNotNull(), F.col("data")))
     rows = rows.join(named, F.col("key") == F.col("of_data"), "left")
-    # Classes are told apart by their data, so a node that stands for two has both counts.
     rows = rows.join(counts, F.col("node") == F.col("counted"), "left")
     rows = rows.withColumn("own", F.coalesce("node", "vec_id"))
     rows = rows.join(roots.toDF("of", "root"), F.col("own") == F.col("of"), "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.llm import minhash, packing, rans
+from spindlewave.llm import embed_dedup, minhash, packing, rans
 from spindlewave.llm.common import table
 from spindlewave.session import work_dir
 
@@ -29,6 +29,10 @@ def op4_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_blocks(spark, path, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_pca_tiled_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op7_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -36,6 +40,7 @@ def op7_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_rans_token_files": op4_rans_token_files,
+    "op6_pca_tiled_dedup": op6_pca_tiled_dedup,
     "op7_superminhash_dedup": op7_superminhash_dedup,
 }
 ORACLES: dict[str, str] = {}
