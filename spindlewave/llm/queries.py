@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.llm import embed_dedup, minhash, packing, rans
+from spindlewave.llm import ann, embed_dedup, minhash, packing, rans
 from spindlewave.llm.common import table
 from spindlewave.session import work_dir
 
@@ -37,10 +37,16 @@ def op7_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op8_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_rans_token_files": op4_rans_token_files,
     "op6_pca_tiled_dedup": op6_pca_tiled_dedup,
     "op7_superminhash_dedup": op7_superminhash_dedup,
+    "op8_kmeans_tree_search": op8_kmeans_tree_search,
 }
 ORACLES: dict[str, str] = {}
