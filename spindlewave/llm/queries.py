@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.llm import ann, embed_dedup, minhash, packing, rans
+from spindlewave.llm import ann, credentials, embed_dedup, minhash, packing, rans
 from spindlewave.llm.common import table
 from spindlewave.session import work_dir
 
@@ -29,6 +29,11 @@ def op4_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_blocks(spark, path, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return credentials.secret_spans(docs, credentials.learn(docs))
+
+
 def op6_pca_tiled_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
 
@@ -45,6 +50,7 @@ def op8_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_rans_token_files": op4_rans_token_files,
+    "op5_grammar_secrets": op5_grammar_secrets,
     "op6_pca_tiled_dedup": op6_pca_tiled_dedup,
     "op7_superminhash_dedup": op7_superminhash_dedup,
     "op8_kmeans_tree_search": op8_kmeans_tree_search,
