@@ -30,6 +30,7 @@ from spindlewave.llm.shingles import GOLDEN, shingle_sets
 RUN = 1 << 20  # bytes of text handled at once in a task
 LEADERS = 8  # orders of leaders among the bands
 CELL = 100_000  # shingles on either side of one block, on average
+ROW = 100  # what a set counts for in a block besides its shingles
 MATCHES = 1 << 22  # shared shingles listed at once in a block
 BITS = 27  # the bitmap of candidates has 2 ** BITS bits (16 MB), whatever their number
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -265,7 +266,7 @@ def near_duplicates(
     order = F.xxhash64("node", F.col("band") % LEADERS)
     heads = rows_.groupBy("bucket").agg(
         F.min("node").alias("one"), F.max("node").alias("other"), F.min_by("node", order).alias("head"),
-        F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight"),
+        F.count(F.lit(1)).alias("size"), F.sum(F.col("n_shingles") + ROW).alias("weight"),
     ).where("one < other")
     heads = heads.select(F.col("bucket").alias("of"), "head", "size", "weight")
     buckets = stored(rows_.join(heads, F.col("bucket") == F.col("of")).drop("of", "band"), "buckets")
