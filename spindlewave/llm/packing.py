@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from spindlewave.llm import tokens
 from spindlewave.llm.common import stored
 
-#: Pieces ranked in one task; a length with more is ranked in parts.
-RANKED = 100_000
+#: Pieces of one length ranked in one task, on average; a length with more is ranked in parts.
+RANKED = 10_000
 
 Bins = list[tuple[int, tuple[tuple[int, int], ...]]]
 
@@ -199,17 +199,17 @@ def pack(pieces: DataFrame, keys: list[str], capacity: int = 4096) -> DataFrame:
     spark = pieces.sparkSession
     pieces = pieces.drop("sequence_id", "offset")
     names = pieces.columns
-    total = pieces.count()
-    parts = total // RANKED + 1
-    salted = pieces.withColumn("__part", F.pmod(F.xxhash64(*keys), F.lit(parts)))
-    sizes = stored(salted.groupBy("length", "__part").agg(F.count(F.lit(1)).alias("__n")), "sizes")
+    lengths = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).orderBy("length")
     counts = np.zeros(capacity + 1, np.int64)
-    for row in sizes.groupBy("length").agg(F.sum("__n").alias("n")).orderBy("length").toLocalIterator():
+    for row in lengths.toLocalIterator():
         if row["length"] is None or not 1 <= row["length"] <= capacity:
             raise ValueError(f"a piece of length {row['length']} for sequences of {capacity}")
         counts[row["length"]] = row["n"]
     shared = spark.sparkContext.broadcast(places(plan(counts, capacity)))
 
+    parts = F.element_at(F.lit((counts // RANKED + 1).tolist()), F.col("length").cast("int") + 1)
+    salted = pieces.withColumn("__part", F.pmod(F.xxhash64(*keys), parts))
+    sizes = salted.groupBy("length", "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(
         F.col("length").alias("__length"), F.col("__part").alias("__of"),
