@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.llm import ann, credentials, embed_dedup, minhash, packing, rans
+from spindlewave.llm import ann, credentials, embed_dedup, minhash, packing, quality, rans
 from spindlewave.llm.common import table
 from spindlewave.session import work_dir
 
@@ -47,6 +47,13 @@ def op8_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+def op10_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trees = quality.learn(docs, table(spark, sf_dir, "labels"))
+    found = quality.scored(docs, trees, threshold=0.3)
+    return found.select("doc_id", (quality.fold() == 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_rans_token_files": op4_rans_token_files,
@@ -54,5 +61,6 @@ QUERIES = {
     "op6_pca_tiled_dedup": op6_pca_tiled_dedup,
     "op7_superminhash_dedup": op7_superminhash_dedup,
     "op8_kmeans_tree_search": op8_kmeans_tree_search,
+    "op10_boosted_quality": op10_boosted_quality,
 }
 ORACLES: dict[str, str] = {}
