@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.llm import ann, credentials, embed_dedup, minhash, packing, quality, rans
+from spindlewave.llm import ann, credentials, embed_dedup, minhash, packing, quality, rans, url_rules
 from spindlewave.llm.common import table
 from spindlewave.session import work_dir
 
@@ -47,6 +47,19 @@ def op8_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+URL_RULES = [
+    url_rules.Rule("org", "/", "allow"),
+    url_rules.Rule("example.org", "/es/", "block"),
+    url_rules.Rule("example.org", "/en/1", "block"),
+    url_rules.Rule("com", "/fr/", "allow"),
+    url_rules.Rule("com", "/de/", "block"),
+]
+
+
+def op9_association_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op10_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = quality.learn(docs, table(spark, sf_dir, "labels"))
@@ -61,6 +74,75 @@ QUERIES = {
     "op6_pca_tiled_dedup": op6_pca_tiled_dedup,
     "op7_superminhash_dedup": op7_superminhash_dedup,
     "op8_kmeans_tree_search": op8_kmeans_tree_search,
+    "op9_association_url_filter": op9_association_url_filter,
     "op10_boosted_quality": op10_boosted_quality,
 }
-ORACLES: dict[str, str] = {}
+#: Token sets of up to three are counted one by one here, where Spark mines them.
+URL_SQL = r"""
+with parted as (
+  select page_id, url,
+    case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+), rows_ as (
+  select page_id, url,
+    translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) as path
+  from (select page_id, url, coalesce(rest, '') as rest from parted)
+), urls as (
+  select distinct url, host, path from rows_ where host <> ''
+), tokens as (
+  select url, host, path, list_distinct(list_filter(list_concat(
+    ['scheme=' || lower(regexp_extract(url, '^([^:/?#]*)://', 1)),
+     case when len(labels) > 1 then 'site=' || array_to_string(labels[-2:], '.') end,
+     'host=' || host,
+     case when regexp_matches(path, '\.([A-Za-z0-9]+)$') then 'ending=' || regexp_extract(path, '\.([A-Za-z0-9]+)$', 1) end,
+     case when strpos(url, '#') > 0 then 'fragment' end],
+    list_transform(labels, lambda x: 'label=' || x),
+    list_transform(list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda x: x <> ''), lambda x: 'folder=' || x),
+    list_transform(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), lambda x: x <> ''), lambda x: 'field=' || string_split(x, '=')[1])
+  ), lambda x: x is not null)) as tokens
+  from (select *, list_filter(string_split(host, '.'), lambda x: x <> '') as labels from urls)
+), known as (
+  select doc_id, max(coalesce(quality = 0, false) or coalesce(toxic = 1, false)) as bad
+  from labels where doc_id is not null and (quality is not null or toxic is not null) group by doc_id
+), baskets as (
+  select row_number() over () as basket, list_sort(t.tokens) as tokens, k.bad
+  from rows_ r join tokens t on t.url = r.url
+  join known k on k.doc_id = try_cast(nullif(regexp_extract(r.path, '/([0-9]{1,18})(\.html)?/?$', 1), '') as bigint)
+), items as (
+  select basket, bad, unnest(tokens) as token from baskets
+), common as (
+  select token from items group by token
+  having count(*) >= greatest(0.002 * (select count(*) from baskets), 20)
+), kept as (
+  select basket, bad, token from items where token in (select token from common)
+), sets as (
+  select bad, [token] as rule from kept
+  union all
+  select a.bad, [a.token, b.token] from kept a join kept b on a.basket = b.basket and a.token < b.token
+  union all
+  select a.bad, [a.token, b.token, c.token] from kept a join kept b on a.basket = b.basket and a.token < b.token
+  join kept c on a.basket = c.basket and b.token < c.token
+), rules as (
+  select rule, sum(bad::int) / count(*) as confidence from sets group by rule
+  having count(*) >= greatest(0.002 * (select count(*) from baskets), 20) and sum(bad::int) >= 0.6 * count(*)
+), hits as (
+  select distinct url from tokens t join rules r on list_has_all(t.tokens, r.rule)
+), fixed as (
+  select r.*, h.url is not null as hit,
+    case
+      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/en/1') then 'example.org/en/1'
+      when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/es/') then 'example.org/es/'
+      when (host = 'com' or host like '%.com') and starts_with(path, '/fr/') then 'com/fr/'
+      when (host = 'com' or host like '%.com') and starts_with(path, '/de/') then 'com/de/'
+      when (host = 'org' or host like '%.org') and starts_with(path, '/') then 'org/'
+    end as rule
+  from rows_ r left join hits h on h.url = r.url
+)
+select page_id, host, path, rule,
+  case when rule in ('example.org/en/1', 'example.org/es/', 'com/de/') then 'block'
+       when rule is not null then 'allow' when hit then 'block' else 'allow' end as verdict
+from fixed
+"""
+
+ORACLES: dict[str, str] = {"op9_association_url_filter": URL_SQL}
