@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.llm import ann, credentials, embed_dedup, minhash, packing, quality, rans, url_rules
+from spindlewave.llm import ann, credentials, embed_dedup, minhash, mixing, packing, quality, rans, url_rules, warc
 from spindlewave.llm.common import table
 from spindlewave.session import work_dir
 
@@ -23,6 +23,25 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer(), CAPACITY, END)
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.responses(table(spark, sf_dir, "pages"))
+    return warc.derivatives(records, key="page_id").drop("header", "block")
+
+
+MARGINS = [
+    mixing.Margin("source", power=0.5),
+    mixing.Margin("lang", shares={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}),
+    mixing.Margin("topic", power=0.9),
+]
+KEEP = 0.7
+
+
+def op3_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(table(spark, sf_dir, "documents"), MARGINS, KEEP)
+    columns = ["doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled"]
+    return found.select(*columns)
+
+
 def op4_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "rans")
     rans.encode_documents(table(spark, sf_dir, "documents"), path, tokenizer(), END)
@@ -69,6 +88,8 @@ def op10_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_warc_derivatives": op2_warc_derivatives,
+    "op3_raked_mixing": op3_raked_mixing,
     "op4_rans_token_files": op4_rans_token_files,
     "op5_grammar_secrets": op5_grammar_secrets,
     "op6_pca_tiled_dedup": op6_pca_tiled_dedup,
@@ -145,4 +166,52 @@ select page_id, host, path, rule,
 from fixed
 """
 
-ORACLES: dict[str, str] = {"op9_association_url_filter": URL_SQL}
+def raking_sql(sweeps: int = 20, rescales: int = 8) -> str:
+    """The mixing of op3 as SQL, with its sweeps written out."""
+    text = r"""
+with rows_ as (
+  select doc_id, source, lang,
+    case when size - length(replace(body, '|', '')) > size / 50.0 then 'table'
+         when size - length(translate(body, '#$%&*', '')) > size / 50.0 then 'symbols'
+         when size - length(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) > size / 2.0 then 'capitals'
+         when size < 500 then 'brief' else 'prose' end as topic,
+    len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) as tokens
+  from (select *, coalesce(text, '') as body, length(coalesce(text, '')) as size from documents)
+), cells as materialized (
+  select source, lang, topic, sum(tokens)::double as t from rows_ group by all
+), goal_source as materialized (
+  select source as v, pow(s, 0.5) / sum(pow(s, 0.5)) over () as target
+  from (select source, sum(t) as s from cells group by source having sum(t) > 0)
+), goal_topic as materialized (
+  select topic as v, pow(s, 0.9) / sum(pow(s, 0.9)) over () as target
+  from (select topic, sum(t) as s from cells group by topic having sum(t) > 0)
+), goal_lang as materialized (
+  select lang as v, case when wanted is null then s / sum(s) over ()
+    else wanted / sum(wanted) over () * sum(case when wanted is not null then s end) over () / sum(s) over () end as target
+  from (select lang, sum(t) as s, case lang when 'en' then 0.55::double when 'de' then 0.15 when 'fr' then 0.15 when 'es' then 0.15 end as wanted
+        from cells group by lang having sum(t) > 0)
+), w0 as materialized (select *, t as w from cells)"""
+    step = 0
+    for _ in range(sweeps):
+        for name in ("source", "lang", "topic"):
+            text += f""", w{step + 1} as materialized (
+  select c.source, c.lang, c.topic, t, w * coalesce(target / nullif(sum(w) over (partition by c.{name}), 0), 1) as w
+  from w{step} c left join goal_{name} g on g.v is not distinct from c.{name}
+)"""
+            step += 1
+    text += f", s0 as (select {KEEP} * sum(t) / sum(w) as s from w{step})"
+    for k in range(rescales):
+        text += f", s{k + 1} as (select s * {KEEP} * sum(t) / sum(least(t, w * s)) as s from w{step}, s{k} group by s)"
+    return text + f"""
+select doc_id, r.source, r.lang, r.topic, tokens, round(p, 6) as probability,
+  coalesce(('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint / 4294967296.0, 0) < p as sampled
+from rows_ r join (
+  select source, lang, topic, case when t > 0 then round(least(1.0, w * s / t), 9) else 1.0 end as p from w{step}, s{rescales}
+) c on c.source is not distinct from r.source and c.lang is not distinct from r.lang and c.topic is not distinct from r.topic
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_raked_mixing": raking_sql(),
+    "op9_association_url_filter": URL_SQL,
+}
