@@ -21,7 +21,7 @@ from spindlewave.llm.shingles import shingle_sets, words
 
 RUN = 1 << 20  # bytes of text handled at once
 SAMPLE = 20_000  # labelled documents that trees are grown on
-TREES, DEPTH, BINS, RATE, RIDGE, LEAST = 80, 4, 64, 0.15, 1.0, 20
+TREES, DEPTH, BINS, RATE, RIDGE, LEAST = 80, 4, 64, 0.15, 1.0, 5
 FOLDS = 5  # labels are learned from the documents whose checksum modulo this is not 0
 
 UPPER, LOWER, DIGIT, BLANK, LINE, MARK, SIGN, FAR, REST = range(9)
