@@ -3,8 +3,9 @@
 The tree is fitted on a bounded sample and every row is put in a leaf. A query takes
 nodes from a priority queue by the distance of their centres, so leaves come in order
 of promise. How many leaves a search visits is calibrated: for sample queries the true
-neighbours are found among all rows, and the number of visits is doubled until the
-leaves visited hold the wanted share of them.
+neighbours are found among all rows, and visits are widened until the leaves visited
+hold the wanted share of them. The leaves below one child of the root lie together, and
+a query meets the rows of the leaves it visits there at once.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from spindlewave.llm.common import stored
 #: Bounds of what is fitted on: rows for the tree, queries for the calibration.
 SAMPLE, CALIBRATION = 20_000, 200
 BRANCHES, LEAF = 16, 64  # children of a node; sample rows below which a node is a leaf
-CELL = 8192  # rows of a leaf that are searched in one piece
+CELL = 32_768  # rows of a branch that are searched in one piece, on average
+WIDER = 1.25  # factor by which visits are widened
 QUERIES = 256  # queries compared with a piece at once
 
 
@@ -37,6 +39,7 @@ class Tree:
     children: list[list[int]] = field(default_factory=list)
     leaf: list[int] = field(default_factory=list)
     leaves: int = 0
+    branch: list[int] = field(default_factory=list)  # of each leaf: the child of the root above it
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each row: the nearest child at each level."""
@@ -90,34 +93,39 @@ def fit_tree(x: np.ndarray, branches: int = BRANCHES, leaf: int = LEAF, seed: in
     """Cluster the sample, and each cluster again, until clusters are small or all alike."""
     random, tree = np.random.default_rng(seed), Tree()
 
-    def grow(rows: np.ndarray) -> int:
+    def grow(rows: np.ndarray, branch: int = -1) -> int:
         node = len(tree.centres)
         tree.centres.append(x[rows].mean(axis=0) if len(rows) else np.zeros(x.shape[1]))
         tree.children.append([])
         tree.leaf.append(-1)
         parts: list[np.ndarray] = []
         if len(rows) > leaf:
-            near = means(x[rows], min(branches, len(rows)), random)
+            near = means(x[rows], min(branches, -(-len(rows) // leaf)), random)
             parts = [rows[near == c] for c in np.unique(near)]
         if len(parts) < 2:
             tree.leaf[node] = tree.leaves
             tree.leaves += 1
+            tree.branch.append(max(branch, 0))
         else:
-            tree.children[node] = [grow(part) for part in parts]
+            tree.children[node] = [grow(part, k if branch < 0 else branch) for k, part in enumerate(parts)]
         return node
 
     grow(np.arange(len(x)))
     return tree
 
 
-def nearest(queries: np.ndarray, names: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int):
+def nearest(queries: np.ndarray, names: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, seen: np.ndarray | None = None):
     """For each query the places of its k nearest rows (other ids) and their exact distances.
 
+    With ``seen`` [queries, rows] only the rows marked there count.
+
     Ties go to the smaller id. Products give an order with an error bound; whatever may
     be among the first k by that is measured exactly.
     """
     far = squares(queries, x)
     far[names[:, None] == ids[None, :]] = np.inf
+    if seen is not None:
+        far[~seen] = np.inf
     kth = np.partition(far, k - 1, axis=1)[:, k - 1] if k <= len(x) else np.full(len(queries), np.inf)
     size = (queries * queries).sum(axis=1) + (x * x).sum(axis=1).max(initial=0.0)
     for at, limit in enumerate(kth + 1e-9 * size):
@@ -170,7 +178,7 @@ def true_neighbours(rows: DataFrame, names: np.ndarray, x: np.ndarray, k: int) -
 
 
 def calibrated(tree: Tree, rows: DataFrame, names: np.ndarray, x: np.ndarray, k: int, recall: float) -> int:
-    """How many leaves to visit: doubled until they hold the wanted share of true neighbours."""
+    """How many leaves to visit: widened until they hold the wanted share of true neighbours."""
     truth = true_neighbours(rows, names, x, k)
     places = {}
     for name, query in zip(names.tolist(), x, strict=True):
@@ -178,7 +186,7 @@ def calibrated(tree: Tree, rows: DataFrame, names: np.ndarray, x: np.ndarray, k:
     ranks = np.array([places[row["query_id"]][row["leaf"]] for row in truth])
     visits = 1
     while visits < tree.leaves and len(ranks) and (ranks < visits).mean() < recall:
-        visits *= 2
+        visits = max(visits + 1, int(visits * WIDER))
     return min(visits, tree.leaves)
 
 
@@ -222,68 +230,95 @@ def search(
     visits = calibrated(tree, rows, names[once], x[:CALIBRATION][once], k, recall)
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.value
         for batch in batches:
-            x = V.matrix(batch.column("data"), dim)
-            for a in range(0, len(x), QUERIES):
-                orders = [shared.value.order(query, visits) for query in x[a : a + QUERIES]]
-                at = np.repeat(np.arange(a, a + len(orders)), [len(o) for o in orders])
-                part = batch.take(pa.array(at))
-                leaves = pa.array(np.concatenate(orders).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("vec_id"), leaves, part.column("data")], ["vec_id", "leaf", "data"])
+            for a in range(0, len(batch), QUERIES):
+                part = batch.slice(a, QUERIES)
+                at, branches, leaves = [], [], []
+                for row, query in enumerate(V.matrix(part.column("data"), dim)):
+                    below: dict[int, list[int]] = {}
+                    for leaf in tree.order(query, visits):
+                        below.setdefault(tree.branch[leaf], []).append(leaf)
+                    at += [row] * len(below)
+                    branches += below
+                    leaves += below.values()
+                part = part.take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("vec_id"), pa.array(branches, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), part.column("data")],
+                    ["vec_id", "branch", "leaves", "data"],
+                )
 
     asked = V.readable(queries, id_column, column).where("data is not null and vec_id is not null")
     asked = asked.where(F.col("dim") == dim).groupBy("vec_id").agg(F.min("data").alias("data"))
-    asked = asked.mapInArrow(traverse, "vec_id long, leaf long, data binary")
+    asked = asked.mapInArrow(traverse, "vec_id long, branch int, leaves array<int>, data binary")
 
-    # A leaf's rows in pieces; its queries meet every piece. The tree bounds the number of leaves.
-    pieces = rows.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("pieces"))
+    # A branch's rows in pieces; its queries meet every piece. There are at most BRANCHES branches.
+    branch = F.element_at(F.lit(tree.branch), F.col("leaf").cast("int") + 1)
+    placed = rows.withColumn("branch", branch)
+    pieces = placed.groupBy("branch").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("pieces"))
     piece = F.pmod(F.xxhash64("vec_id"), F.col("pieces")).cast("int")
-    left = rows.join(F.broadcast(pieces), "leaf").select("leaf", piece.alias("piece"), F.lit(0).alias("side"), "vec_id", "data")
-    right = asked.join(F.broadcast(pieces), "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(1).alias("side"), "vec_id", "data"
+    left = placed.join(F.broadcast(pieces), "branch").select(
+        "branch", piece.alias("piece"), F.lit(0).alias("side"), "vec_id", F.array(F.col("leaf").cast("int")).alias("leaves"), "data"
+    )
+    right = asked.join(F.broadcast(pieces), "branch").select(
+        "branch", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(1).alias("side"), "vec_id", "leaves", "data"
     )
-    cells = left.union(right).repartition("leaf", "piece").sortWithinPartitions("leaf", "piece", "side")
+    cells = left.union(right).repartition("branch", "piece").sortWithinPartitions("branch", "piece", "side", "vec_id")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, x, held = None, [], None, []
+        cell, rows, held = None, [], []
+        ids, x, leaf = np.zeros(0, np.int64), np.zeros((0, dim)), np.zeros(0, np.int64)
+
+        def settle() -> None:
+            """Equal rows of a cell once, as arrays."""
+            nonlocal ids, x, leaf, rows
+            once = list(dict.fromkeys(rows))
+            ids = np.array([name for name, _, _ in once], np.int64)
+            leaf = np.array([at for _, at, _ in once], np.int64)
+            x = np.frombuffer(b"".join(data for _, _, data in once), "<f8").reshape(-1, dim)
+            rows = []
 
         def out() -> pa.RecordBatch:
-            nonlocal ids, x
-            if x is None:
-                first = np.unique(np.array([f"{i:020d}".encode() + d for i, d in ids], object), return_index=True)[1]
-                x = np.frombuffer(b"".join(ids[i][1] for i in first), "<f8").reshape(-1, dim)
-                ids = np.array([ids[i][0] for i in first], np.int64)
             columns: list[list] = [[], [], []]
-            if len(ids):
-                names = np.array([name for name, _ in held], np.int64)
-                queries = np.frombuffer(b"".join(data for _, data in held), "<f8").reshape(-1, dim)
-                for name, (places, scores) in zip(names.tolist(), nearest(queries, names, x, ids, k), strict=True):
+            seen = np.zeros((len(held), max(tree_leaves, 1)), bool)
+            for at, (_, leaves, _) in enumerate(held):
+                seen[at, leaves] = True
+            some = np.flatnonzero(seen.any(axis=0)[leaf]) if len(leaf) else np.zeros(0, int)
+            if len(some):
+                names = np.array([name for name, _, _ in held], np.int64)
+                asking = np.frombuffer(b"".join(data for _, _, data in held), "<f8").reshape(-1, dim)
+                found = nearest(asking, names, x[some], ids[some], k, seen[:, leaf[some]])
+                for name, (places, scores) in zip(names.tolist(), found, strict=True):
                     columns[0] += [name] * len(places)
                     columns[1] += scores.tolist()
-                    columns[2] += ids[places].tolist()
+                    columns[2] += ids[some][places].tolist()
             types = [pa.int64(), pa.float64(), pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["query_id", "score", "vec_id"]
             )
 
         for batch in batches:
-            keys = zip(batch.column("leaf").to_pylist(), batch.column("piece").to_pylist(), strict=True)
-            items = zip(*(batch.column(name).to_pylist() for name in ("side", "vec_id", "data")), strict=True)
-            for key, (side, name, data) in zip(keys, items, strict=True):
+            keys = zip(batch.column("branch").to_pylist(), batch.column("piece").to_pylist(), strict=True)
+            items = zip(*(batch.column(name).to_pylist() for name in ("side", "vec_id", "leaves", "data")), strict=True)
+            for key, (side, name, leaves, data) in zip(keys, items, strict=True):
                 if key != cell:
                     if held:
                         yield out()
-                    cell, ids, x, held = key, [], None, []
+                    cell, rows, held = key, [], []
+                    settle()
                 if side == 0:
-                    ids.append((name, data))
+                    rows.append((name, leaves[0], data))
                 else:
-                    held.append((name, data))
+                    if rows:
+                        settle()
+                    held.append((name, leaves, data))
                     if len(held) == QUERIES:
                         yield out()
                         held = []
         if held:
             yield out()
 
+    tree_leaves = tree.leaves
     found = cells.mapInArrow(scan, "query_id long, score double, vec_id long")
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return top(best, k, ["query_id", "rank", "vec_id", "score"])
