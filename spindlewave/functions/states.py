@@ -33,7 +33,8 @@ class StateMax:
     A text maximum has no fixed-width buffer, so it turns the whole aggregate
     into a sort. With the possible states given as ``domain``, the maximum runs
     on their rank and the aggregate stays a hash aggregate. A state outside the
-    domain fails the job rather than give a wrong maximum.
+    domain then fails the job rather than give a wrong maximum. An empty text is
+    no state.
     """
 
     def __init__(self, state: str, domain: Sequence[str] | None = None):
@@ -41,7 +42,7 @@ class StateMax:
         self.domain = sorted(set(domain)) if domain else None
 
     def aggregate(self) -> Column:
-        state = F.col(self.state)
+        state = F.nullif(F.col(self.state), F.lit(""))
         if self.domain is None:
             return F.max(state)
         # Binary order of UTF-8 text equals code point order, as in sorted().

@@ -1,17 +1,18 @@
 """``countUdaf``: a user-defined count of rows, null or not, for SQL and DataFrames.
 
-As a pandas UDF it takes a whole group in one task. Over large groups use it on
-partial counts (``countUdafMerge``, ``grouped_count``), over ranges with
-``operators.over.over_range_with`` and ``count_frames``.
+As a pandas UDF it takes a whole group in one task, in a window a whole partition.
+Over large groups use it on partial counts (``countUdafMerge``, ``grouped_count``), over
+ranges as an ``Accumulator`` with ``operators.over.over_range_with``, or in SQL over
+stretches of time (``plans.sql_views.over_range``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +27,65 @@ def merge_counts(totals: pd.Series) -> int:
     return int(totals.sum())
 
 
-def count_frames(partials: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Rows per frame: what has been counted up to its end less what has left it."""
-    counted = np.concatenate(([0], np.cumsum(partials)))
-    return counted[end] - counted[begin]
+class Accumulator:
+    """A user-defined aggregate whose states add up.
+
+    ``lift`` makes the states of each value (an array [values, width]), ``finish`` the
+    result of summed states, one result a row. Since states add up, partial states
+    merge by addition and what leaves a frame is retracted by subtraction.
+    """
+
+    def __init__(
+        self,
+        lift: Callable[[np.ndarray], np.ndarray],
+        finish: Callable[[np.ndarray], np.ndarray],
+        width: int = 1,
+        result: T.DataType | None = None,
+    ):
+        self.lift, self.finish, self.width = lift, finish, width
+        self.result = result or T.DoubleType()
+
+    def lifted(self, value: Column) -> Column:
+        """The array of a value's states; a null value comes as NaN."""
+        lift = self.lift
+
+        @F.pandas_udf(T.ArrayType(T.DoubleType()))
+        def run(values: pd.Series) -> pd.Series:
+            return pd.Series(list(np.asarray(lift(values.to_numpy(float)), float)))
+
+        return run(value)
+
+    def finished(self, states: Sequence[Column]) -> Column:
+        finish, kind = self.finish, self.result
+
+        @F.pandas_udf(kind)
+        def run(sums: pd.Series) -> pd.Series:
+            return pd.Series(finish(np.stack(sums.to_numpy()) if len(sums) else np.zeros((0, 1))))
+
+        return run(F.array(*states))
+
+
+def row_count() -> Accumulator:
+    """The count of ``countUdaf``: every row, null or not."""
+    return Accumulator(
+        lambda values: np.ones((len(values), 1)),
+        lambda sums: sums[:, 0].astype(np.int64),
+        result=T.LongType(),
+    )
+
+
+def mean_square() -> Accumulator:
+    """The mean of the squares of the values that are not null."""
+
+    def lift(values: np.ndarray) -> np.ndarray:
+        there = ~np.isnan(values)
+        return np.stack([np.where(there, values * values, 0.0), there], axis=1)
+
+    def finish(sums: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return sums[:, 0] / sums[:, 1]
+
+    return Accumulator(lift, finish, width=2)
 
 
 def register(spark: SparkSession) -> None:

@@ -16,11 +16,25 @@ def assembler(columns: Sequence[str] = PIVOT_FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features")
 
 
-def with_label(df: DataFrame, label: str = "state") -> DataFrame:
-    """``df`` with the numeric class of the column ``label``, rows without one left out."""
-    return df.withColumn("label", state_code(F.col(label)).cast("double")).where(
-        F.col("label").isNotNull()
-    )
+def with_label(df: DataFrame, label: str = "state", unknown: str = "fail") -> DataFrame:
+    """``df`` with the numeric class of the column ``label``.
+
+    A row without a label, or with one that is no wear state, fails the job;
+    ``unknown="drop"`` leaves such rows out (``unlabelled`` counts them).
+    """
+    code = state_code(F.col(label)).cast("double")
+    if unknown == "drop":
+        return df.withColumn("label", code).where(F.col("label").isNotNull())
+    if unknown != "fail":
+        raise ValueError(f"unknown must be fail or drop, not {unknown}")
+    text = F.coalesce(F.col(label).cast("string"), F.lit("NULL"))
+    broken = F.raise_error(F.concat(F.lit("no wear state: "), text)).cast("double")
+    return df.withColumn("label", F.when(code.isNull(), broken).otherwise(code))
+
+
+def unlabelled(df: DataFrame, label: str = "state") -> DataFrame:
+    """Rows per label that is no wear state."""
+    return df.where(state_code(F.col(label)).isNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_share(keys: Sequence[str | Column]) -> Column:

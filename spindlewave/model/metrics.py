@@ -9,13 +9,18 @@ from spindlewave.functions.signal import ratio
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: rows, error rate, root mean squared error, mean absolute error and R2.
+    """One row: pairs, error rate, root mean squared error, mean absolute error and R2.
 
-    R2 of a constant label is 1 for a perfect prediction and 0 otherwise.
+    All of them are over the rows with both a label and a prediction (``n``);
+    ``n_missing`` counts the others. R2 of a constant label is 1 for a perfect
+    prediction and 0 otherwise.
     """
-    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    both = F.col(label).isNotNull() & F.col(prediction).isNotNull()
+    y = F.when(both, F.col(label).cast("double"))
+    p = F.when(both, F.col(prediction).cast("double"))
     sums = df.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(y).alias("n"),
+        F.count_if(~both).alias("n_missing"),
         F.avg((y != p).cast("int")).alias("error_rate"),
         F.avg((y - p) * (y - p)).alias("_mse"),
         F.avg(F.abs(y - p)).alias("mae"),
@@ -23,4 +28,4 @@ def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction"
     )
     constant = F.when(F.col("_mse") == 0, 1.0).otherwise(0.0)
     r2 = F.when(F.col("_var") == 0, constant).otherwise(1 - ratio(F.col("_mse"), F.col("_var")))
-    return sums.select("n", "error_rate", F.sqrt("_mse").alias("rmse"), "mae", r2.alias("r2"))
+    return sums.select("n", "n_missing", "error_rate", F.sqrt("_mse").alias("rmse"), "mae", r2.alias("r2"))

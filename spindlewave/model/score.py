@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 from urllib.request import Request, urlopen
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,16 +33,30 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def request_frame(columns: Sequence[str]) -> tuple[str, str]:
+    """What stands before and behind the rows of a request: ``{"columns": [...], "data": [``, ``]}``."""
+    return f'{{"columns":{json.dumps(list(columns))},"data":[', "]}"
+
+
+def request_row(columns: Sequence[str] = PIVOT_FEATURES) -> Column:
+    """The numbers of a row as JSON; a missing one, or one that JSON cannot hold, is ``null``."""
+
+    def finite(number: Column) -> Column:
+        endless = F.isnan(number) | (F.abs(number) == float("inf"))
+        return F.when(~endless, number)
+
+    return F.to_json(F.array(*[finite(F.col(name).cast("double")) for name in columns]))
+
+
 def request_payload(columns: Sequence[str] = PIVOT_FEATURES) -> Column:
-    """The JSON request for one row: ``{"columns": [...], "data": [[...]]}``."""
-    names = F.array(*[F.lit(name) for name in columns])
-    values = F.array(F.array(*[F.col(name) for name in columns]))
-    return F.to_json(F.struct(names.alias("columns"), values.alias("data")))
+    """The JSON request for one row."""
+    head, tail = request_frame(columns)
+    return F.concat(F.lit(head), request_row(columns), F.lit(tail))
 
 
 def reply_code(reply: Column) -> Column:
-    """The class code in a reply such as ``[2.0]``; -1 without a reply, NULL if unreadable."""
-    number = F.translate(reply, "[]", "").try_cast("float")
+    """The class code in the reply to a row, such as ``[2.0]``; -1 without a reply, NULL if unreadable."""
+    number = F.translate(reply, "[] ", "").try_cast("float")
     return F.when(reply.isNull(), F.lit(NO_REPLY)).otherwise(number.cast("int"))
 
 
@@ -68,46 +82,41 @@ def score_remote(
 ) -> DataFrame:
     """Feature rows with ``remote_code``, ``remote_error`` and ``remote_state``.
 
-    Many rows go into one request. A failed request leaves its rows without a
-    code, with an empty state and the error text.
+    Many rows go into one request. If the transport fails, or a reply has another
+    number of predictions than the request has rows, its rows are left without a
+    code, with an empty state and the error text; so is a row whose prediction is
+    unreadable. Any other error fails the job.
     """
-    names = list(columns)
-    schema = T.StructType(
-        [
-            *rows.schema.fields,
-            T.StructField("remote_code", T.IntegerType()),
-            T.StructField("remote_error", T.StringType()),
-        ]
-    )
+    head, tail = request_frame(columns)
+    sent = rows.withColumn("_request", request_row(columns))
+    texts = ("_reply", "remote_error")
+    schema = T.StructType([*sent.schema.fields, *[T.StructField(name, T.StringType()) for name in texts]])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), rows_per_request):
-                part = batch.iloc[start : start + rows_per_request].copy()
-                codes, error = _ask(transport, part[names])
-                part["remote_code"] = pd.Series(codes, index=part.index, dtype="Int32")
-                part["remote_error"] = pd.Series(error, index=part.index, dtype="object")
-                yield part
-
-    scored = rows.mapInPandas(score, schema)
-    state = F.when(F.col("remote_code").isNull(), F.lit("")).otherwise(
-        state_label(F.col("remote_code"))
+                part = batch.slice(start, rows_per_request)
+                replies, error = [None] * len(part), None
+                try:
+                    reply = transport(head + ",".join(part.column("_request").to_pylist()) + tail)
+                except OSError as failure:  # refused and broken connections, timeouts, HTTP errors
+                    error = f"{type(failure).__name__}: {failure}"
+                else:
+                    found = reply.split(",") if reply else replies
+                    if len(found) == len(part):
+                        replies = found
+                    else:
+                        error = f"{len(found)} predictions for {len(part)} rows"
+                added = [pa.array(replies, pa.string()), pa.array([error] * len(part), pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], schema.fieldNames())
+
+    asked = sent.mapInArrow(ask, schema)
+    code = F.when(F.col("remote_error").isNull(), reply_code(F.col("_reply")))
+    unreadable = F.when(F.col("remote_code").isNull(), F.concat(F.lit("unreadable: "), F.col("_reply")))
+    state = F.when(F.col("remote_code").isNull(), F.lit("")).otherwise(state_label(F.col("remote_code")))
+    return asked.withColumn("remote_code", code).select(
+        *rows.columns, "remote_code", F.coalesce("remote_error", unreadable).alias("remote_error"), state.alias("remote_state")
     )
-    return scored.withColumn("remote_state", state)
-
-
-def _ask(transport: Transport, part: pd.DataFrame) -> tuple[list[int | None], str | None]:
-    try:
-        text = json.dumps({"columns": list(part.columns), "data": part.to_numpy().tolist()})
-        reply = transport(text)
-        if not reply:
-            return [NO_REPLY] * len(part), None
-        codes = [int(float(v)) for v in reply.replace("[", "").replace("]", "").split(",")]
-        if len(codes) != len(part):
-            raise ValueError(f"{len(codes)} predictions for {len(part)} rows")
-        return codes, None
-    except Exception as error:  # a failed request must not fail the job
-        return [None] * len(part), f"{type(error).__name__}: {error}"
 
 
 def agreement(predictions: DataFrame) -> DataFrame:

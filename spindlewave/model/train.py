@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindlewave.model.features import assembler, with_label
+from spindlewave.model.metrics import evaluate
+from spindlewave.model.score import predict
+from spindlewave.sinks.tables import log_metrics, log_run
 
 # Training parameters of the boosted trees.
 ROUNDS = 10
@@ -16,6 +22,7 @@ LEARNING_RATE = 0.007
 SUBSAMPLE = 0.7
 COLUMN_SAMPLE = 0.7
 MIN_CHILD = 3
+SPLIT_PENALTY = 0.1
 SEED = 1000
 
 
@@ -26,6 +33,7 @@ def boosted_trees(
     subsample: float = SUBSAMPLE,
     column_sample: float = COLUMN_SAMPLE,
     min_child: int = MIN_CHILD,
+    split_penalty: float = SPLIT_PENALTY,
     seed: int = SEED,
     parallelism: int = 4,
 ) -> Estimator:
@@ -37,6 +45,7 @@ def boosted_trees(
         subsamplingRate=subsample,
         featureSubsetStrategy=str(column_sample),
         minInstancesPerNode=min_child,
+        minInfoGain=split_penalty,
         seed=seed,
         maxMemoryInMB=512,
     )
@@ -49,6 +58,7 @@ def forest(
     subsample: float = SUBSAMPLE,
     column_sample: float = COLUMN_SAMPLE,
     min_child: int = MIN_CHILD,
+    split_penalty: float = SPLIT_PENALTY,
     seed: int = SEED,
 ) -> Estimator:
     """A random forest, which is multi-class by itself and can score a stream directly."""
@@ -58,19 +68,55 @@ def forest(
         subsamplingRate=subsample,
         featureSubsetStrategy=str(column_sample),
         minInstancesPerNode=min_child,
+        minInfoGain=split_penalty,
         seed=seed,
         maxMemoryInMB=512,
     )
 
 
-def fit(rows: DataFrame, estimator: Estimator | None = None, label: str = "state") -> PipelineModel:
-    """Train on pivoted feature rows.
+def fit(
+    rows: DataFrame, estimator: Estimator | None = None, label: str = "state", unknown: str = "fail"
+) -> PipelineModel:
+    """Train on pivoted feature rows; boosted trees if nothing else is given.
 
     Training reads its input many times, so ``rows`` should come from a table,
-    not from the feature aggregation itself.
+    not from the feature aggregation itself. Rows without a known label fail the
+    job, or are left out with ``unknown="drop"``.
     """
-    stages = [assembler(), estimator or forest()]
-    return Pipeline(stages=stages).fit(with_label(rows, label))
+    stages = [assembler(), estimator or boosted_trees()]
+    return Pipeline(stages=stages).fit(with_label(rows, label, unknown))
+
+
+def parameters(estimator: Estimator) -> dict[str, object]:
+    """The parameters of an estimator; of boosted trees those of a class's ensemble."""
+    inner = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
+    names = ("maxIter", "numTrees", "maxDepth", "stepSize", "subsamplingRate", "featureSubsetStrategy",
+             "minInstancesPerNode", "minInfoGain", "seed")
+    return {name: inner.getOrDefault(name) for name in names if inner.hasParam(name)}
+
+
+def fit_and_log(
+    rows: DataFrame,
+    test: DataFrame,
+    model_path: str,
+    runs_path: str,
+    metrics_path: str,
+    run_id: str,
+    estimator: Estimator | None = None,
+    label: str = "state",
+) -> PipelineModel:
+    """Train, save the model, and write the run's record and the metrics on ``test``."""
+    spark = rows.sparkSession
+    estimator = estimator or boosted_trees()
+    started = datetime.now()
+    model = fit(rows, estimator, label)
+    save(model, model_path)
+    ended = datetime.now()
+    predicted = with_label(predict(model, test), label)
+    found = evaluate(predicted, "label", "predicted_code").first().asDict()
+    log_run(spark, runs_path, run_id, started, ended, model_path, parameters(estimator))
+    log_metrics(spark, metrics_path, run_id, {k: v for k, v in found.items() if v is not None}, ts=ended)
+    return model
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -81,17 +127,41 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def round_losses(
-    spark: SparkSession, model: PipelineModel, splits: dict[str, DataFrame], label: str = "state"
-) -> DataFrame:
-    """Log loss after every boosting round, per class and split."""
+def round_losses(model: PipelineModel, splits: dict[str, DataFrame], label: str = "state") -> DataFrame:
+    """Log loss after every boosting round and split: of each class against the rest, and of all classes.
+
+    ``class`` is null for the loss of all classes, whose probabilities are those of the
+    single ensembles scaled to 1. Every tree scores the rows of a split in one pass.
+    """
     vectors, ensembles = model.stages
-    losses = []
+    rounds = len(ensembles.models[0].trees)
+    found = []
     for split, rows in splits.items():
-        assembled = vectors.transform(with_label(rows, label)).select("features", "label")
+        scored = vectors.transform(with_label(rows, label)).select("features", "label")
+        margins: list[list[Column]] = []
         for code, ensemble in enumerate(ensembles.models):
-            own = (F.col("label") == code).cast("double").alias(ensemble.getLabelCol())
-            binary = assembled.select("features", own)
-            for step, loss in enumerate(ensemble.evaluateEachIteration(binary)):
-                losses.append((split, code, step, float(loss)))
-    return spark.createDataFrame(losses, "split string, class int, step int, loss double")
+            upto = F.lit(0.0)
+            own = []
+            for step, (tree, weight) in enumerate(zip(ensemble.trees, ensemble.treeWeights, strict=True)):
+                name = f"_{code}_{step}"
+                scored = tree.setFeaturesCol("features").setPredictionCol(name).transform(scored)
+                upto = upto + F.col(name) * float(weight)
+                own.append(upto)
+            margins.append(own)
+        losses = []
+        for step in range(rounds):
+            chances = [1 / (1 + F.exp(-2 * own[step])) for own in margins]
+            whole = reduce(lambda x, y: x + y, chances)
+            of_label = F.lit(None).cast("double")
+            for code, own in enumerate(margins):
+                sign = F.when(F.col("label") == code, 1.0).otherwise(-1.0)
+                losses.append((code, step, F.avg(2 * F.log1p(F.exp(-2 * sign * own[step])))))
+                of_label = F.when(F.col("label") == code, chances[code]).otherwise(of_label)
+            losses.append((None, step, F.avg(-F.log(of_label / whole))))
+        row = scored.agg(*[loss.alias(f"l{k}") for k, (_, _, loss) in enumerate(losses)])
+        each = F.array(
+            *[F.struct(F.lit(code).cast("int").alias("class"), F.lit(step).alias("step"), F.col(f"l{k}").alias("loss"))
+              for k, (code, step, _) in enumerate(losses)]
+        )
+        found.append(row.select(F.lit(split).alias("split"), F.inline(each)))
+    return reduce(DataFrame.unionByName, found)

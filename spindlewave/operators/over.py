@@ -1,32 +1,44 @@
 """Aggregates over a trailing time range, ending at each reading (both ends included).
 
 ``Window.partitionBy(id, axis)`` would send all readings of a machine axis to
-one task. The builders here split the time line as well, so that a task holds
-no more than a stretch of one key's time line, whatever the length of the table.
+one task. The builders here cut the time line of a key into panes as long as the
+range. A frame is the part of the reading's own pane up to it and the end of the
+pane before, so it is known in the pane if the pane before is copied in. Both parts
+are running sums, from either end of a pane: the work per reading does not grow with
+the readings in a frame. Readings go once through an exchange by pane and keys, and
+nothing is joined back.
+
+Panes with very many readings (``hot_panes``) take another way: their readings are
+summed per instant before the exchange, since all readings of an instant have the
+same frame, and the frames are joined back, an instant with very many readings in
+parts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindlewave.functions import durations
 from spindlewave.functions.signal import ratio
+from spindlewave.functions.udaf import Accumulator
 from spindlewave.schema import KEYS
 
 OWN, EARLIER, WHOLE = 0, 1, 2
 
-# An instant is joined in parts beyond this share of all rows, and not below this number.
+# A pane is hot, and an instant joined in parts, beyond this share of all rows and
+# this number. So there are fewer than 2 * SHARES panes that are hot by themselves.
 SHARES = 10_000
 LEAST_SHARE = 10_000
 
+# What a frame's average and count are made of: the states of ``over_range``.
+STATES = ("_sum", "_values", "_rows")
+
 
 def over_range(
     df: DataFrame,
@@ -38,95 +50,203 @@ def over_range(
 ) -> DataFrame:
     """``df`` with the average of ``value`` and the row count over the range.
 
-    1. Readings are summed per key and instant. All readings of an instant have
-       the same frame, and an instant with very many readings shrinks to a row
-       before the shuffle.
-    2. The time line of a key is cut into panes of ``preceding / panes``. The
-       frame of an instant is the part of its own pane up to it, the
-       whole panes before, and the end of the pane in which the frame begins.
-       The first and last are running sums from either end of a pane, so the
-       work per instant does not grow with the readings in a frame.
-    3. The results are joined back to the readings by key and instant, an instant
-       with very many readings in parts.
-
-    More ``panes`` make smaller groups where one range holds very many instants.
+    Readings without a time have one frame per key. ``panes`` cuts hot panes into
+    as many, for smaller groups where one range holds very many instants. Finding
+    the hot panes is a job of its own, over keys and times.
     """
-    instants = instant_totals(df, keys, time, value)
-    frames = instant_frames(instants, preceding, keys, panes).select(
-        *keys,
-        "_t",
-        "_here",
-        ratio(F.col("_sum"), F.col("_values")).alias("avg_data"),
-        F.col("_rows").alias("count_"),
+    states = value_states(value)
+    framed = range_sums(df, states, preceding, keys, time, panes)
+    return framed.select(
+        *df.columns, ratio(F.col("_sum"), F.col("_values")).alias("avg_data"), F.col("_rows").alias("count_")
     )
-    return _attach(df, frames, preceding, keys, time)
+
+
+def over_range_with(
+    df: DataFrame,
+    accumulators: Mapping[str, Accumulator],
+    preceding: timedelta = timedelta(seconds=2),
+    keys: Sequence[str] = KEYS,
+    time: str = "event_time",
+    value: str = "data",
+    panes: int = 1,
+) -> DataFrame:
+    """``df`` with user-defined aggregates of ``value`` over the range, by name.
+
+    Python lifts each value to its states and makes the result of the summed states,
+    both in Arrow batches; the sums themselves are Spark's.
+    """
+    states: dict[str, Column] = {}
+    results = []
+    for number, (name, accumulator) in enumerate(accumulators.items()):
+        own = [f"_s{number}_{k}" for k in range(accumulator.width)]
+        lifted = accumulator.lifted(F.col(value).cast("double"))
+        states |= {column: lifted[k] for k, column in enumerate(own)}
+        results.append(accumulator.finished([F.col(column) for column in own]).alias(name))
+    return range_sums(df, states, preceding, keys, time, panes).select(*df.columns, *results)
+
+
+def value_states(value: str = "data") -> dict[str, Column]:
+    data = F.col(value).cast("double")
+    there = F.when(data.isNotNull(), 1).otherwise(0)
+    return dict(zip(STATES, (data, there.cast("long"), F.lit(1).cast("long")), strict=True))
+
+
+def range_sums(
+    df: DataFrame,
+    states: Mapping[str, Column],
+    preceding: timedelta,
+    keys: Sequence[str] = KEYS,
+    time: str = "event_time",
+    panes: int = 1,
+) -> DataFrame:
+    """``df`` with the sum over the range of every state, an expression over its columns."""
+    width = durations.micros(preceding)
+    if panes < 1 or width % panes:
+        raise ValueError("panes must divide the range")
+    share, busy = hot_panes(df, width, keys, time)
+    rows = df.select(*df.columns, F.unix_micros(time).alias("_t"), *[c.alias(n) for n, c in states.items()])
+    rows = rows.withColumn("_offset", F.pmod("_t", F.lit(width)))
+    rows = rows.withColumn("_pane", F.expr(f"(_t - _offset) div {width}"))
+    if busy is None:
+        return _direct(rows, df.columns, list(states), keys, F.lit(False))
+
+    # A pane is also hot if the one before, which is copied in, is busy.
+    rows = rows.alias("l").join(F.broadcast(busy).alias("r"), _same(["_pane", *keys]), "left").select(
+        "l.*", *[F.coalesce(f"r.{name}", F.lit(False)).alias(name) for name in ("_hot", "_next_hot")]
+    )
+    direct = _direct(rows.where("not _hot or not _next_hot"), df.columns, list(states), keys, F.col("_next_hot"))
+    instants = rows.where("_hot or _next_hot").groupBy(*keys, "_t").agg(
+        *[F.sum(name).alias(name) for name in states], F.count(F.lit(1)).alias("_here")
+    )
+    frames = instant_frames(instants, preceding, keys, panes, list(states))
+    hot = _attach(rows.where("_hot").select(*df.columns, "_t"), frames, share, keys)
+    return direct.unionByName(hot.select(*df.columns, *states))
+
+
+def hot_panes(
+    df: DataFrame, width: int, keys: Sequence[str], time: str
+) -> tuple[float, DataFrame | None]:
+    """The number of rows from which a pane is hot, and the hot panes, if there are any.
+
+    These are panes with more than half of that number and the ones behind them:
+    keys, ``_pane``, and whether the pane (``_hot``) and the next one (``_next_hot``)
+    are hot. Rows are counted per pane before the shuffle.
+    """
+    spark = df.sparkSession
+    pane = F.floor(F.unix_micros(time) / F.lit(width)).alias("_pane")
+    counts = df.groupBy(*keys, pane).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    share = max((total or 0) / SHARES, float(LEAST_SHARE))
+    if not total or 2 * most <= share:
+        return share, None
+    busy = counts.where(F.col("_n") > share / 2).select(*keys, "_pane").collect()
+    marks: dict[tuple, list[bool]] = {}
+    for *key, at in busy:
+        marks.setdefault((*key, at), [False, False])[0] = True
+        if at is not None:
+            marks.setdefault((*key, at + 1), [False, False])[0] = True
+    for *key, at in list(marks):
+        if at is not None and marks[(*key, at)][0]:
+            marks.setdefault((*key, at - 1), [False, False])[1] = True
+    fields = [df.schema[key] for key in keys] + [T.StructField("_pane", T.LongType())]
+    fields += [T.StructField(name, T.BooleanType()) for name in ("_hot", "_next_hot")]
+    return share, spark.createDataFrame([(*k, *v) for k, v in marks.items()], T.StructType(fields))
+
+
+def _direct(
+    rows: DataFrame, columns: Sequence[str], states: Sequence[str], keys: Sequence[str], next_hot: Column
+) -> DataFrame:
+    """Sums over the range, straight from the readings with ``_pane`` and ``_offset``.
+
+    A reading is a row of its own pane and, with nothing but its states, of the next
+    one, unless that is hot. Rows of hot panes are only there to be copied.
+    """
+    hot = F.col("_hot") if "_hot" in rows.columns else F.lit(False)
+    own = F.struct(F.col("_pane").alias("pane"), F.lit(OWN).alias("role"))
+    copy = F.struct((F.col("_pane") + 1).alias("pane"), F.lit(EARLIER).alias("role"))
+    copies = F.filter(
+        F.array(F.when(~hot, own), F.when(F.col("_t").isNotNull() & ~next_hot, copy)), lambda c: c.isNotNull()
+    )
+    rows = rows.withColumn("_copy", F.explode(copies))
+    others = [name for name in columns if name not in keys]
+    kept = [F.when(F.col("_copy.role") == OWN, F.col(name)).alias(name) for name in others]
+    rows = rows.select(*keys, *kept, *states, "_offset", "_copy.pane", "_copy.role")
+    group = Window.partitionBy("pane", *keys)
+    running = group.orderBy("_offset").rangeBetween(Window.unboundedPreceding, 0)
+    closing = group.orderBy(F.desc("_offset")).rangeBetween(Window.unboundedPreceding, 0)
+    sums = [
+        _both_ends(name, rows.schema[name].dataType, F.col("role") == OWN, running, closing).alias(f"_of{name}")
+        for name in states
+    ]
+    framed = rows.select(*columns, "role", *sums).where(F.col("role") == OWN)
+    return framed.select(*columns, *[F.col(f"_of{name}").alias(name) for name in states])
+
+
+def _both_ends(name: str, kind: T.DataType, own: Column, running, closing) -> Column:
+    """The sum of a pane's own rows up to a row and of the rows of the pane before since then."""
+    zero = F.lit(0).cast(kind)
+    upto = F.sum(F.when(own, F.col(name))).over(running)
+    since = F.sum(F.when(~own, F.col(name))).over(closing)
+    return F.coalesce(upto, zero) + F.coalesce(since, zero)
 
 
 def instant_totals(
     df: DataFrame, keys: Sequence[str] = KEYS, time: str = "event_time", value: str = "data"
 ) -> DataFrame:
     """Sum, values and rows per key and instant ``_t`` in microseconds."""
-    data = F.col(value).cast("double")
+    states = value_states(value)
     return df.groupBy(*keys, F.unix_micros(time).alias("_t")).agg(
-        F.sum(data).alias("_sum"), F.count(data).alias("_values"), F.count(F.lit(1)).alias("_rows")
+        *[F.sum(column).alias(name) for name, column in states.items()]
     )
 
 
 def instant_frames(
-    instants: DataFrame, preceding: timedelta, keys: Sequence[str] = KEYS, panes: int = 1
+    instants: DataFrame,
+    preceding: timedelta,
+    keys: Sequence[str] = KEYS,
+    panes: int = 1,
+    states: Sequence[str] = STATES,
 ) -> DataFrame:
-    """Sum, values and rows of the frame that ends at each instant, and its own rows ``_here``."""
+    """The sums of the frame that ends at each instant, and the instant's own rows ``_here``.
+
+    With several ``panes`` to a range a frame also has the whole panes between.
+    """
     width = durations.micros(preceding)
-    if panes < 1 or width % panes:
-        raise ValueError("panes must divide the range")
     step = width // panes
-
     offset = F.pmod(F.col("_t"), F.lit(step))
     instants = instants.withColumn("_offset", offset).withColumn(
         "_pane", F.expr(f"(_t - _offset) div {step}")
     )
-    # Each instant is a row of its own pane and, as the earlier part of a frame,
-    # of the pane that lies the whole range later.
     own = F.struct(F.col("_pane").alias("pane"), F.lit(OWN).alias("role"))
     earlier = F.struct((F.col("_pane") + panes).alias("pane"), F.lit(EARLIER).alias("role"))
     copies = F.when(F.col("_t").isNull(), F.array(own)).otherwise(F.array(own, earlier))
     rows = instants.withColumn("_copy", F.explode(copies)).select(
-        *keys, "_copy.pane", "_copy.role", "_t", "_offset", "_sum", "_values", "_rows"
+        *keys, "_copy.pane", "_copy.role", "_t", "_offset", "_here", *states
     )
     if panes > 1:
-        rows = rows.unionByName(_whole_panes(instants, keys, panes))
+        rows = rows.unionByName(_whole_panes(instants, keys, panes, states))
 
     # Whole panes sort before every instant of the pane, with offset -1.
     # The pane comes first, as sorting by it alone nearly sorts the rows.
     group = Window.partitionBy("pane", *keys)
     running = group.orderBy("_offset").rangeBetween(Window.unboundedPreceding, 0)
     closing = group.orderBy(F.desc("_offset")).rangeBetween(Window.unboundedPreceding, 0)
+    sums = [
+        _both_ends(name, rows.schema[name].dataType, F.col("role") != EARLIER, running, closing).alias(f"_of{name}")
+        for name in states
+    ]
+    framed = rows.select(*keys, "_t", "_here", "role", *sums).where(F.col("role") == OWN)
+    return framed.select(*keys, "_t", "_here", *[F.col(f"_of{name}").alias(name) for name in states])
 
-    def frame_total(name: str) -> Column:
-        upto = F.sum(F.when(F.col("role") != EARLIER, F.col(name))).over(running)
-        since = F.sum(F.when(F.col("role") == EARLIER, F.col(name))).over(closing)
-        zero = F.lit(0).cast(rows.schema[name].dataType)
-        return (F.coalesce(upto, zero) + F.coalesce(since, zero)).alias(name)
 
-    return (
-        rows.select(
-            *keys,
-            "_t",
-            "role",
-            F.col("_rows").alias("_here"),
-            *[frame_total(name) for name in ("_sum", "_values", "_rows")],
-        )
-        .where(F.col("role") == OWN)
-        .drop("role")
-    )
-
-
-def _whole_panes(instants: DataFrame, keys: Sequence[str], panes: int) -> DataFrame:
+def _whole_panes(
+    instants: DataFrame, keys: Sequence[str], panes: int, states: Sequence[str]
+) -> DataFrame:
     """Pane totals as rows of the ``panes - 1`` following panes."""
     return (
         instants.where(F.col("_t").isNotNull())
         .groupBy(*keys, "_pane")
-        .agg(*[F.sum(name).alias(name) for name in ("_sum", "_values", "_rows")])
+        .agg(*[F.sum(name).alias(name) for name in states])
         .withColumn("_later", F.explode(F.sequence(F.lit(1), F.lit(panes - 1))))
         .select(
             *keys,
@@ -134,116 +254,36 @@ def _whole_panes(instants: DataFrame, keys: Sequence[str], panes: int) -> DataFr
             F.lit(WHOLE).alias("role"),
             F.lit(None).cast("long").alias("_t"),
             F.lit(-1).cast("long").alias("_offset"),
-            "_sum",
-            "_values",
-            "_rows",
+            F.lit(None).cast("long").alias("_here"),
+            *states,
         )
     )
 
 
-def over_range_with(
-    df: DataFrame,
-    frames: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
-    preceding: timedelta = timedelta(seconds=2),
-    keys: Sequence[str] = KEYS,
-    time: str = "event_time",
-    stretch: int = 32,
-    name: str = "count_",
-) -> DataFrame:
-    """``df`` with a user-defined count over the range.
-
-    ``frames`` gets the rows per instant, in time order, and for each instant the
-    begin and end of its frame among them, and gives a number per instant. It
-    runs on stretches of ``stretch`` ranges of one key's time line; instants in
-    the last range of a stretch are copied into the next one, so that every
-    frame is whole in its group. A group never holds more rows than there are
-    instants in its stretch.
-    """
-    width = durations.micros(preceding)
-    length = width * stretch
-    instants = (
-        df.groupBy(*keys, F.unix_micros(time).alias("_t"))
-        .agg(F.count(F.lit(1)).alias("_here"))
-        .withColumn("_offset", F.pmod(F.col("_t"), F.lit(length)))
-        .withColumn("_stretch", F.expr(f"(_t - _offset) div {length}"))
-    )
-    own = F.struct(F.col("_stretch").alias("stretch"), F.lit(True).alias("own"))
-    context = F.struct((F.col("_stretch") + 1).alias("stretch"), F.lit(False).alias("own"))
-    copies = F.when(
-        F.col("_offset") >= length - width, F.array(own, context)
-    ).otherwise(F.array(own))
-    rows = instants.withColumn("_copy", F.explode(copies)).select(
-        *keys, "_t", "_here", "_copy.stretch", "_copy.own"
-    )
-    columns = [*keys, "_t", "_here"]
-    schema = T.StructType([rows.schema[c] for c in columns] + [T.StructField(name, T.LongType())])
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_t", ignore_index=True)
-        at = group["_t"].to_numpy()
-        begin = np.searchsorted(at, at - width, side="left")
-        end = np.arange(1, len(at) + 1)
-        group[name] = frames(group["_here"].to_numpy(), begin, end)
-        return group.loc[group["own"], [*columns, name]]
-
-    results = rows.groupBy("stretch", *keys).applyInPandas(run, schema)
-    return _attach(df, results, preceding, keys, time)
+def _attach(rows: DataFrame, frames: DataFrame, share: float, keys: Sequence[str]) -> DataFrame:
+    """Rows with ``_t`` and the sums of their key and instant.
 
-
-def _attach(
-    df: DataFrame, results: DataFrame, preceding: timedelta, keys: Sequence[str], time: str
-) -> DataFrame:
-    """``df`` with the columns of ``results`` for the key and instant of each row.
-
-    The results grow with the table and are never broadcast. An instant with more
-    than a ``1 / SHARES`` part of all rows is joined in as many parts as it holds
-    such shares: its result is copied, and its rows are dealt out by their content
-    and by the input partition they come from, so that copies of one row part too.
-    There are fewer than ``SHARES`` such instants, or stretches of time with as
-    many rows, and that bounds the broadcasts.
+    The frames grow with the table and are never broadcast. An instant with more than
+    ``share`` rows is joined in as many parts as it holds such shares: its frame is
+    copied, and its rows are dealt out by their content and by the input partition
+    they come from, so that copies of one row part too. Fewer than ``SHARES``
+    instants are that large, which bounds the broadcast.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    share = F.greatest(total / F.lit(SHARES), F.lit(float(LEAST_SHARE)))
-    hot = _hot_instants(df, share, preceding, keys, time)
-    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    parts = F.ceil(F.col("_here") / share)
+    large = frames.where(parts > 1).select(*keys, "_t", parts.alias("_parts"))
+    plain = [f.name for f in rows.schema if isinstance(f.dataType, T.AtomicType)]
     part = F.pmod(F.xxhash64(F.spark_partition_id(), *[f"l.{n}" for n in plain]), F.col("_parts"))
-    readings = (
-        df.withColumn("_t", F.unix_micros(time))
-        .alias("l")
-        .join(F.broadcast(hot).alias("r"), _same(["_t", *keys]), "left")
-        .select("l.*", F.coalesce(part, F.lit(0).cast("long")).alias("_part"))
+    dealt = rows.alias("l").join(F.broadcast(large).alias("r"), _same(["_t", *keys]), "left").select(
+        "l.*", F.coalesce(part, F.lit(0).cast("long")).alias("_part")
     )
-    parts = F.ceil(F.col("_here") / share)
     first = F.lit(0).cast("long")
     copies = F.when(parts > 1, F.sequence(first, parts - 1)).otherwise(F.array(first))
-    copied = results.withColumn("_part", F.explode(copies))
-    added = [name for name in results.columns if name not in (*keys, "_t", "_here")]
+    copied = frames.withColumn("_part", F.explode(copies))
+    added = [name for name in frames.columns if name not in (*keys, "_t", "_here")]
     return (
-        readings.alias("l")
+        dealt.alias("l")
         .join(copied.hint("merge").alias("r"), _same(["_t", "_part", *keys]))
-        .select(*[f"l.{name}" for name in df.columns], *[f"r.{name}" for name in added])
-    )
-
-
-def _hot_instants(
-    df: DataFrame, share: Column, width: timedelta, keys: Sequence[str], time: str
-) -> DataFrame:
-    """Instants with more than ``share`` rows, and the number of ``_parts`` to join them in.
-
-    Rows are counted per stretch of time first, and per instant only within the
-    stretches that hold as many rows, so that hardly anything is shuffled.
-    """
-    at = df.select(*keys, F.unix_micros(time).alias("_t")).withColumn(
-        "_stretch", F.floor(F.col("_t") / durations.micros(width))
-    )
-    busy = at.groupBy(*keys, "_stretch").count().where(F.col("count") > share)
-    return (
-        at.alias("l")
-        .join(F.broadcast(busy).alias("r"), _same(["_stretch", *keys]), "left_semi")
-        .groupBy(*keys, "_t")
-        .count()
-        .where(F.col("count") > share)
-        .select(*keys, "_t", F.ceil(F.col("count") / share).alias("_parts"))
+        .select(*[f"l.{name}" for name in rows.columns if name != "_t"], *[f"r.{name}" for name in added])
     )
 
 

@@ -51,7 +51,7 @@ def pivot_axes(
     state_max = StateMax("state", state_domain)
     sums = {
         f"{axis.lower()}_{measure}": F.sum(
-            F.when(F.col("axis") == axis, F.col(MEASURE_COLUMNS[measure])).otherwise(F.lit(0.0))
+            F.when(F.col("axis") == axis, F.coalesce(MEASURE_COLUMNS[measure], F.lit(0.0))).otherwise(F.lit(0.0))
         )
         for measure in MEASURES
         for axis in axes
@@ -85,9 +85,8 @@ def pivot_axes_fused(
 
     Equal to ``pivot_axes(hopping_features(df))`` when the tumbling windows of
     the second step are as long as the slide, as each then holds exactly one
-    window start. It saves a shuffle and, on a stream, a stateful operator. The
-    two differ only where an axis has readings but no value at all: this form
-    gives 0, the cascade NULL if no other axis has a row.
+    window start. It saves a shuffle and, on a stream, a stateful operator. An
+    axis without readings, or without any value, is 0 in both.
     """
     state_max = StateMax("state", state_domain)
     aggregates: dict[str, Column] = {"_state": state_max.aggregate()}

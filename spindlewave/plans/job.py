@@ -21,7 +21,7 @@ from spindlewave.schema import STATE_DOMAIN
 from spindlewave.session import build_session
 from spindlewave.sinks.tables import BatchTable
 from spindlewave.sources.readings import read_axes
-from spindlewave.streaming.replay import watermarked
+from spindlewave.streaming.replay import start, watermarked
 
 PREDICTION_COLUMNS = ("rstart", "id", "state", "predicted_code", "predicted_state", "remote_state")
 
@@ -60,7 +60,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--remote", help="address of a model server")
-    parser.add_argument("--states", nargs="*", default=list(STATE_DOMAIN))
+    parser.add_argument(
+        "--states", nargs="*", help="the only states there may be (default: any text); faster if given"
+    )
     parser.add_argument("--once", action="store_true", help="stop when all data has been read")
     options = parser.parse_args(arguments)
 
@@ -74,11 +76,8 @@ def main(arguments: list[str] | None = None) -> None:
         wear_features(readings, state_domain=options.states or None)
         .writeStream.outputMode("append")
         .foreachBatch(sink)
-        .option("checkpointLocation", options.checkpoint)
     )
-    if options.once:
-        writer = writer.trigger(availableNow=True)
-    writer.start().awaitTermination()
+    start(writer, spark, options.checkpoint, once=options.once).awaitTermination()
 
 
 if __name__ == "__main__":

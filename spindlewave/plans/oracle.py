@@ -35,7 +35,7 @@ def wear_data(sampled: bool = False) -> str:
         FROM events) e)"""
 
 
-def rounded(columns, digits: int = 4) -> str:
+def rounded(columns, digits: int = 6) -> str:
     return ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in columns)
 
 
@@ -128,7 +128,7 @@ def over(columns: str, frame: str, sampled: bool = True) -> str:
 SELECT {columns} FROM framed"""
 
 
-OVER_AVG = "event_id, id, axis, event_time, round(data, 4) + 0.0 AS data, " \
-    "round(avg_data, 4) + 0.0 AS avg_data"
+OVER_AVG = "event_id, id, axis, event_time, round(data, 6) + 0.0 AS data, " \
+    "round(avg_data, 6) + 0.0 AS avg_data"
 OVER_BOTH = OVER_AVG + ", count_"
-OVER_COUNT = "event_id, id, axis, event_time, round(data, 4) + 0.0 AS data, count_"
+OVER_COUNT = "event_id, id, axis, event_time, round(data, 6) + 0.0 AS data, count_"

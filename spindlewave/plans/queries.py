@@ -18,19 +18,24 @@ from spindlewave.operators.pivot import pivot_axes, pivot_axes_fused
 from spindlewave.operators.windows import hopping_features, tumbling_features
 from spindlewave.plans import oracle, sql_views
 from spindlewave.plans.job import scorer, wear_features
-from spindlewave.schema import AXES, PIVOT_FEATURES
+from spindlewave.schema import AXES, PIVOT_FEATURES, SIGNAL_FEATURES, WEAR_STATES
 from spindlewave.session import work_dir
 from spindlewave.sinks import tables
 from spindlewave.sources import features as feature_tables
 from spindlewave.sources import readings as reading_sources
-from spindlewave.sources.events import EVENT_SCHEMA, STATES, readings_from_events
+from spindlewave.sources.events import STATES, readings_from_events
 from spindlewave.streaming.over import OverRangeSink, settled
-from spindlewave.streaming.replay import Replay
+from spindlewave.streaming.replay import Replay, as_batch
 
 # The event table has a few readings an hour, so hours take the place of seconds.
 HOUR = timedelta(hours=1)
 DELAY = 2 * HOUR
 
+# Micro-batches of a replay, partitions of its state, and the value of late readings.
+SLICES = 4
+STATE_PARTITIONS = 8
+LATE_DATA = 999.0
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -43,14 +48,34 @@ def readings(spark: SparkSession, sf_dir: str, sampled: bool = False) -> DataFra
     return readings_from_events(events(spark, sf_dir), sampled)
 
 
-def reading_stream(spark: SparkSession, sf_dir: str, sampled: bool = False) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    path = f"{sf_dir}/events.parquet"
-    stream = reading_sources.stream_parquet(spark, path, EVENT_SCHEMA)
-    return readings_from_events(stream, sampled)
+def replayed(
+    rows: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    work: str,
+    late: bool = False,
+    slices: int = SLICES,
+    **options,
+) -> Replay:
+    """The rows as a stream through ``build``, slice by slice in event time order, then closed.
+
+    With ``late`` the last slice also brings the first one again, too late.
+    """
+    spark = rows.sparkSession
+    parts = reading_sources.time_slices(rows, slices, f"{work}/slices")
+    if late:
+        parts[-1] = parts[-1].unionByName(parts[0].withColumn("data", F.lit(LATE_DATA)))
+    rows.limit(0).write.parquet(f"{work}/readings")
+    stream = reading_sources.stream_parquet(spark, f"{work}/readings", rows.schema)
+    # The state here is small, so it takes few partitions whatever the batch setting.
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), STATE_PARTITIONS)
+    replay = Replay(stream, build, work, state_partitions=partitions, **options)
+    for part in parts:
+        part.write.mode("append").parquet(f"{work}/readings")
+        replay.advance()
+    return replay.finish()
 
 
-def shown(df: DataFrame, digits: int = 4) -> DataFrame:
+def shown(df: DataFrame, digits: int = 6) -> DataFrame:
     """Rounded numbers and zone-less timestamps, to compare across engines."""
     columns = []
     for field in df.schema:
@@ -170,10 +195,24 @@ def over_count(spark, sf_dir):
 
 
 def over_count_udaf(spark, sf_dir):
-    rows = over_range_with(readings(spark, sf_dir, True), udaf.count_frames)
+    rows = over_range_with(readings(spark, sf_dir, True), {"count_": udaf.row_count()})
     return shown(rows.select(*OVER_COLUMNS, "count_"))
 
 
+def sql_over_range_avg(spark, sf_dir):
+    reading_sources.register_view(readings(spark, sf_dir, True))
+    rows = sql_views.over_range(spark, "avg(data) OVER w AS avg_data")
+    return shown(rows.select(*OVER_COLUMNS, "avg_data"))
+
+
+def sql_over_count_udaf(spark, sf_dir):
+    """The average and the registered user-defined count over one named window."""
+    reading_sources.register_view(readings(spark, sf_dir, True))
+    udaf.register(spark)
+    rows = sql_views.over_range(spark, "avg(data) OVER w AS avg_data, countUdaf(data) OVER w AS count_")
+    return shown(rows.select(*OVER_COLUMNS, "avg_data", "count_"))
+
+
 def sql_count_udaf(spark, sf_dir):
     """The registered function in SQL: counts of a day, merged from those of its windows."""
     _view(spark, sf_dir)
@@ -189,13 +228,16 @@ def grouped_count_udaf(spark, sf_dir):
 
 
 def union_sources(spark, sf_dir):
+    """One source per axis, each with files of its own, united."""
     rows = readings(spark, sf_dir)
-    united = reading_sources.union_all(rows.where(F.col("axis") == axis) for axis in AXES)
+    path = work_dir(spark, "axis-sources")
+    rows.withColumn("source", F.col("axis")).write.partitionBy("source").parquet(path)
+    sources = [spark.read.schema(rows.schema).parquet(f"{path}/source={axis}") for axis in AXES]
+    united = reading_sources.union_all(sources)
     return shown(
         united.groupBy("axis").agg(
             F.count(F.lit(1)).alias("n"), F.sum("data").alias("total"), F.max("data").alias("top")
-        ),
-        digits=2,
+        )
     )
 
 
@@ -216,17 +258,13 @@ def feature_table_scan(spark, sf_dir):
 
 
 def stream_hop_features(spark, sf_dir):
-    replay = Replay(
-        reading_stream(spark, sf_dir), signal_rows, work_dir(spark, "stream-hop"), delay=DELAY
-    )
-    return shown(replay.finish().table())
+    work = work_dir(spark, "stream-hop")
+    return shown(replayed(readings(spark, sf_dir), signal_rows, work, delay=DELAY).table())
 
 
 def stream_axis_pivot(spark, sf_dir):
-    replay = Replay(
-        reading_stream(spark, sf_dir), fused_rows, work_dir(spark, "stream-pivot"), delay=DELAY
-    )
-    return shown(replay.finish().table())
+    work = work_dir(spark, "stream-pivot")
+    return shown(replayed(readings(spark, sf_dir), fused_rows, work, delay=DELAY).table())
 
 
 def stream_axis_pivot_cascade(spark, sf_dir):
@@ -234,46 +272,33 @@ def stream_axis_pivot_cascade(spark, sf_dir):
         features = signal_rows(df, keep_window=True)
         return pivot_axes(features, 2 * HOUR, 2 * HOUR, 4 * HOUR, state_domain=STATES)
 
-    replay = Replay(
-        reading_stream(spark, sf_dir), cascade, work_dir(spark, "stream-cascade"), delay=DELAY
-    )
-    return shown(replay.advance().finish().table())
+    work = work_dir(spark, "stream-cascade")
+    return shown(replayed(readings(spark, sf_dir), cascade, work, delay=DELAY).table())
 
 
 def stream_over_range(spark, sf_dir):
-    stream = reading_stream(spark, sf_dir, True)
+    rows = readings(spark, sf_dir, True)
     work = work_dir(spark, "stream-over")
-    sink = OverRangeSink(stream.schema, work)
-    Replay(stream, settled, work, sink=sink.writer).finish()
+    sink = OverRangeSink(rows.schema, work)
+    replayed(rows, settled, work, sink=sink.writer)
     return shown(sink.table(spark).select(*OVER_COLUMNS, "avg_data", "count_"))
 
 
 def late_data_drop(spark, sf_dir):
-    """Three slices in event time order; the last also brings the first one again, too late."""
-    rows = readings(spark, sf_dir)
-    slices = reading_sources.time_slices(rows, 3)
-    slices[2] = slices[2].unionByName(slices[0].withColumn("data", F.lit(999.0)))
+    """Features without the readings that came too late, and how many window rows were refused."""
     work = work_dir(spark, "late")
-    rows.limit(0).write.parquet(f"{work}/readings")
-    stream = reading_sources.stream_parquet(spark, f"{work}/readings", rows.schema)
-    replay = Replay(stream, signal_rows, work, delay=DELAY)
-    for piece in slices:
-        piece.write.mode("append").parquet(f"{work}/readings")
-        replay.advance()
-    return shown(replay.finish().table())
+    replay = replayed(readings(spark, sf_dir), signal_rows, work, late=True, delay=DELAY)
+    return shown(replay.table().withColumn("late_rows", F.lit(replay.dropped).cast("long")))
 
 
 def feature_sink(spark, sf_dir):
     """Window features of a stream through a per-batch sink."""
     work = work_dir(spark, "feature-sink")
     sink = tables.BatchTable(f"{work}/features")
-    Replay(
-        reading_stream(spark, sf_dir),
-        signal_rows,
-        work,
-        delay=DELAY,
-        sink=lambda rows: rows.writeStream.foreachBatch(sink),
-    ).advance().finish()
+    replayed(
+        readings(spark, sf_dir), signal_rows, work, delay=DELAY,
+        sink=lambda rows: rows.writeStream.foreachBatch(as_batch(sink, spark)),
+    )
     return shown(sink.read(spark))
 
 
@@ -285,7 +310,7 @@ def _split_key():
 
 
 def train_test_split(spark, sf_dir):
-    rows = pivot_rows(readings(spark, sf_dir)).select("id", "rstart", "state")
+    rows = fused_rows(readings(spark, sf_dir)).select("id", "rstart", "state")
     share = model_features.split_share(_split_key())
     return shown(rows.withColumn("part", F.when(share < 0.75, "train").otherwise("test")))
 
@@ -296,14 +321,15 @@ def rule_code() -> F.Column:
 
 
 def model_metrics(spark, sf_dir):
-    rows = pivot_rows(readings(spark, sf_dir)).select(
-        state_code(F.col("state")).alias("label"), rule_code().alias("prediction")
-    )
-    return shown(metrics.evaluate(rows))
+    """Metrics of the rule, where every fifth window start has a state that is none."""
+    rows = fused_rows(readings(spark, sf_dir))
+    odd = F.floor(F.unix_micros("rstart") / (2 * 3_600_000_000)) % 5 == 0
+    state = F.when(odd, F.lit("broken")).otherwise(F.col("state"))
+    return shown(metrics.evaluate(rows.select(state_code(state).alias("label"), rule_code().alias("prediction"))))
 
 
 def state_labels(spark, sf_dir):
-    rows = pivot_rows(readings(spark, sf_dir)).withColumn("code", rule_code())
+    rows = fused_rows(readings(spark, sf_dir)).withColumn("code", rule_code())
     return shown(rows.select("id", "rstart", "code", state_label(F.col("code")).alias("label")))
 
 
@@ -332,13 +358,22 @@ def scoring_reply(spark, sf_dir):
     return shown(rows.select("id", "rstart", code.alias("code"), state_label(code).alias("label")))
 
 
+def split_rows(spark, sf_dir, name):
+    """Feature rows from a table, split by a hash of machine and window."""
+    return model_features.split_by_key(stored(fused_rows(readings(spark, sf_dir)), name), _split_key())
+
+
 def model_fit_predict(spark, sf_dir):
-    rows = stored(fused_rows(readings(spark, sf_dir)), "model-rows")
-    training, test = model_features.split_by_key(rows, _split_key())
+    """Boosted trees fitted, saved and read back: test rows by state, and rows where the two differ."""
+    training, test = split_rows(spark, sf_dir, "model-rows")
     path = work_dir(spark, "model")
-    train.save(train.fit(training, train.forest(max_depth=6)), path)
-    predicted = score.predict(train.load(path), test)
-    return shown(predicted.select("id", "rstart", "state", "predicted_code", "predicted_state"))
+    model = train.fit(training)
+    train.save(model, path)
+    again = score.predict(train.load(path), test).select("id", "rstart", F.col("predicted_code").alias("again"))
+    both = score.predict(model, test).join(again, ["id", "rstart"])
+    differ = F.count_if(~F.col("predicted_code").eqNullSafe(F.col("again")))
+    known = F.count_if(F.col("predicted_state").isin(*WEAR_STATES))
+    return both.groupBy("state").agg(F.count(F.lit(1)).alias("n"), known.alias("predicted"), differ.alias("differ"))
 
 
 def ask_by_rule(text: str) -> str:
@@ -351,14 +386,31 @@ def ask_by_rule(text: str) -> str:
 
 
 def model_round_losses(spark, sf_dir):
-    rows = stored(fused_rows(readings(spark, sf_dir)), "boosted-rows")
-    training, test = model_features.split_by_key(rows, _split_key())
-    model = train.fit(training, train.boosted_trees(max_depth=5))
-    return shown(train.round_losses(spark, model, {"train": training, "eval": test}), 6)
+    """Losses of the boosted trees by round: whether they are finite, and no higher than at first in training."""
+    training, test = split_rows(spark, sf_dir, "boosted-rows")
+    losses = stored(train.round_losses(train.fit(training), {"train": training, "eval": test}), "losses")
+    first = losses.where("step = 0").select(F.col("split").alias("s"), F.col("class").alias("c"), F.col("loss").alias("first"))
+    same = (F.col("split") == F.col("s")) & F.col("class").eqNullSafe(F.col("c"))
+    finite = F.coalesce(F.abs("loss") < float("inf"), F.lit(False))
+    # Rounding apart, training losses do not rise.
+    kept = (F.col("split") != "train") | (F.col("loss") <= F.col("first") + 1e-9)
+    return losses.join(first, same).select("split", "class", "step", finite.alias("finite"), kept.alias("not_above_first"))
+
+
+def training_run(spark, sf_dir):
+    """The record of a training run: its parameters, and the rows its metrics are over."""
+    training, test = split_rows(spark, sf_dir, "run-rows")
+    work = work_dir(spark, "run")
+    train.fit_and_log(training, test, f"{work}/model", f"{work}/runs", f"{work}/metrics", "run", train.forest())
+    runs = spark.read.schema(tables.RUN_SCHEMA).parquet(f"{work}/runs").where("ended >= started")
+    names = runs.select("run_id", F.explode("params").alias("name", "value"))
+    found = tables.read_metrics(spark, f"{work}/metrics").where("metric in ('n', 'n_missing')")
+    rows = found.select("run_id", F.col("metric").alias("name"), F.col("value").cast("long").cast("string").alias("value"))
+    return names.unionByName(rows)
 
 
 def remote_rows(spark, sf_dir):
-    return score.score_remote(pivot_rows(readings(spark, sf_dir)), ask_by_rule)
+    return score.score_remote(fused_rows(readings(spark, sf_dir)), ask_by_rule)
 
 
 def remote_scoring(spark, sf_dir):
@@ -368,8 +420,15 @@ def remote_scoring(spark, sf_dir):
 
 
 def prediction_agreement(spark, sf_dir):
-    local = state_label(F.least(F.floor(F.col("y_stddev") / 20), F.lit(4)).cast("int"))
-    return score.agreement(remote_rows(spark, sf_dir).withColumn("predicted_state", local))
+    """The trained model beside the remote side, by original state."""
+    training, _ = split_rows(spark, sf_dir, "agreement-rows")
+    model = train.fit(training, train.forest())
+    pairs = score.agreement(score.predict(model, remote_rows(spark, sf_dir)))
+    alike = F.sum(F.when(F.col("predicted_state") == F.col("remote_state"), F.col("n")).otherwise(0))
+    known = F.sum(F.when(F.col("predicted_state").isin(*WEAR_STATES), F.col("n")).otherwise(0))
+    return pairs.groupBy("state").agg(
+        F.sum("n").alias("n"), known.alias("predicted"), (alike <= F.sum("n")).alias("alike_is_a_part")
+    )
 
 
 def metrics_log(spark, sf_dir):
@@ -382,21 +441,21 @@ def metrics_log(spark, sf_dir):
 
 
 def wear_detection(spark, sf_dir):
-    """The whole job: model from a stored table, stream scored batch by batch."""
+    """The whole job: model from a stored table, stream scored batch by batch, compared with a batch."""
     work = work_dir(spark, "wear-detection")
-    rows = stored(fused_rows(readings(spark, sf_dir)), "wear-rows")
-    train.save(train.fit(rows, train.forest(max_depth=6)), f"{work}/model")
-    sink = tables.BatchTable(
-        f"{work}/predictions", scorer(train.load(f"{work}/model"), ask_by_rule)
-    )
-    Replay(
-        reading_stream(spark, sf_dir),
-        lambda df: wear_features(df, 4 * HOUR, 2 * HOUR, STATES),
-        work,
-        delay=DELAY,
-        sink=lambda features: features.writeStream.foreachBatch(sink),
-    ).finish()
-    return shown(sink.read(spark))
+    training, _ = split_rows(spark, sf_dir, "wear-rows")
+    model = train.fit(training, train.forest())
+    train.save(model, f"{work}/model")
+    sink = tables.BatchTable(f"{work}/predictions", scorer(train.load(f"{work}/model"), ask_by_rule))
+    replayed(
+        readings(spark, sf_dir), lambda df: wear_features(df, 4 * HOUR, 2 * HOUR, STATES), work, delay=DELAY,
+        sink=lambda features: features.writeStream.foreachBatch(as_batch(sink, spark)),
+    )
+    batch = score.predict(model, fused_rows(readings(spark, sf_dir)))
+    batch = batch.select("id", "rstart", F.col("predicted_code").alias("in_batch"))
+    found = sink.read(spark).join(batch, ["id", "rstart"], "full")
+    same = F.col("predicted_code").eqNullSafe(F.col("in_batch"))
+    return shown(found.select("id", "rstart", "state", "remote_state", same.alias("as_in_batch")))
 
 
 QUERIES: dict[str, Run] = {
@@ -417,6 +476,8 @@ QUERIES: dict[str, Run] = {
         over_range_hours,
         over_count,
         over_count_udaf,
+        sql_over_range_avg,
+        sql_over_count_udaf,
         sql_count_udaf,
         grouped_count_udaf,
         union_sources,
@@ -435,6 +496,7 @@ QUERIES: dict[str, Run] = {
         scoring_reply,
         model_fit_predict,
         model_round_losses,
+        training_run,
         remote_scoring,
         prediction_agreement,
         metrics_log,
@@ -457,14 +519,44 @@ def _oracles() -> dict[str, str]:
             "WHEN 3 THEN 'accelerated' ELSE 'predict failed' END"
         )
 
+    odd = "epoch_us(rstart) // 7200000000 % 5 = 0"
     errors = f"""{scored}, pairs AS (
-  SELECT CAST(state AS DOUBLE) AS y, CAST(code AS DOUBLE) AS p FROM scored),
+  SELECT CAST(state AS DOUBLE) AS y, CAST(code AS DOUBLE) AS p FROM scored
+  WHERE NOT ({odd}) AND state IS NOT NULL AND code IS NOT NULL),
 errors AS (
-  SELECT count(*) AS n, avg(CASE WHEN y <> p THEN 1 ELSE 0 END) AS error_rate,
+  SELECT count(*) AS n, (SELECT count(*) FROM scored) - count(*) AS n_missing, avg(CASE WHEN y <> p THEN 1 ELSE 0 END) AS error_rate,
          sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
          1 - sum((y - p) * (y - p)) / sum((y - m) * (y - m)) AS r2
   FROM pairs, (SELECT avg(y) AS m FROM pairs) means),
-shown AS (SELECT n, {oracle.rounded(("error_rate", "rmse", "mae", "r2"))} FROM errors)"""
+shown AS (SELECT n, n_missing, {oracle.rounded(("error_rate", "rmse", "mae", "r2"))} FROM errors)"""
+
+    parts = f"""{pivoted}, shares AS (
+  SELECT id, rstart, state,
+         CAST('0x' || substr(md5(id || '|' || epoch_us(rstart)), 1, 8) AS BIGINT)
+           / 4294967296.0 AS share
+  FROM pivoted)"""
+    rounds = f"{pivoted}, size AS (SELECT count(*) AS n FROM pivoted) " \
+        "SELECT s.split, c.class, r.step, true AS finite, true AS not_above_first FROM size, " \
+        "(VALUES ('train'), ('eval')) s(split), (VALUES (0), (1), (2), (3), (NULL)) c(class), " \
+        "range(10) r(step) WHERE n > 0"
+    # The parameters of the forest in its record.
+    settings = {
+        "numTrees": "10", "maxDepth": "12", "subsamplingRate": "0.7", "featureSubsetStrategy": "0.7",
+        "minInstancesPerNode": "3", "minInfoGain": "0.1", "seed": "1000",
+    }
+    values = ", ".join(f"('{name}', '{value}')" for name, value in settings.items())
+    run = f"""{parts}, tested AS (SELECT * FROM shares WHERE share >= 0.75)
+SELECT 'run' AS run_id, name, value FROM (VALUES {values}) v(name, value)
+UNION ALL SELECT 'run', 'n', CAST(count(*) AS VARCHAR) FROM tested
+UNION ALL SELECT 'run', 'n_missing', '0'"""
+    # Every micro-batch refuses a late window once per key: those of the first slice.
+    late = f"""{signal.partition("SELECT id, axis, wstart, round")[0]}, ends AS (
+  SELECT min(epoch_us(event_time)) AS a, max(epoch_us(event_time)) AS b FROM wear_data),
+first_slice AS (
+  SELECT DISTINCT id, axis, wstart FROM hops, ends
+  WHERE (epoch_us(event_time) - a) // ((b - a + {SLICES}) // {SLICES}) = 0)
+SELECT id, axis, wstart, {oracle.rounded(SIGNAL_FEATURES)}, state,
+       (SELECT count(*) FROM first_slice) AS late_rows FROM features"""
 
     reply = f"""{pivoted}, replied AS (
   SELECT id, rstart, CASE WHEN x_avg < 0 THEN -1 WHEN x_avg > 10 THEN NULL
@@ -488,15 +580,17 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "over_range_hours": oracle.over(oracle.OVER_BOTH, "'2' HOURS", False),
         "over_count": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "over_count_udaf": oracle.over(oracle.OVER_COUNT, "'2' SECONDS"),
+        "sql_over_range_avg": oracle.over(oracle.OVER_AVG, "'2' SECONDS"),
+        "sql_over_count_udaf": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "sql_count_udaf": f"WITH {oracle.wear_data()} SELECT id, axis, "
         "CAST(date_trunc('day', event_time) AS TIMESTAMP) AS day, count(*) AS count_ FROM wear_data GROUP BY 1, 2, 3",
         "grouped_count_udaf": f"WITH {oracle.wear_data()} "
         "SELECT id, axis, count(*) AS count_ FROM wear_data GROUP BY id, axis",
         "union_sources": f"WITH {oracle.wear_data()} SELECT axis, count(*) AS n, "
-        "round(sum(data), 2) + 0.0 AS total, round(max(data), 2) + 0.0 AS top "
+        "round(sum(data), 6) + 0.0 AS total, round(max(data), 6) + 0.0 AS top "
         "FROM wear_data GROUP BY axis",
         "csv_sensor_roundtrip": f"WITH {oracle.wear_data()} "
-        "SELECT id, axis, round(data, 4) + 0.0 AS data, "
+        "SELECT id, axis, round(data, 6) + 0.0 AS data, "
         "date_trunc('millisecond', event_time) AS event_time, state FROM wear_data",
         "feature_table_scan": f"{pivoted} SELECT id, {oracle.rounded(PIVOT_FEATURES)}, state "
         "FROM pivoted",
@@ -504,13 +598,15 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "stream_axis_pivot": pivot,
         "stream_axis_pivot_cascade": pivot,
         "stream_over_range": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
-        "late_data_drop": signal,
+        "late_data_drop": late,
         "feature_sink": signal,
-        "train_test_split": f"""{pivoted}, shares AS (
-  SELECT id, rstart, state,
-         CAST('0x' || substr(md5(id || '|' || epoch_us(rstart)), 1, 8) AS BIGINT)
-           / 4294967296.0 AS share
-  FROM pivoted)
+        "model_fit_predict": f"{parts} SELECT state, count(*) AS n, count(*) AS predicted, 0 AS differ "
+        "FROM shares WHERE share >= 0.75 GROUP BY state",
+        "model_round_losses": rounds,
+        "training_run": run,
+        "wear_detection": f"{scored} SELECT id, rstart, state, {label('code')} AS remote_state, "
+        "true AS as_in_batch FROM scored",
+        "train_test_split": f"""{parts}
 SELECT id, rstart, state, CASE WHEN share < 0.75 THEN 'train' ELSE 'test' END AS part
 FROM shares""",
         "model_metrics": f"{errors} SELECT * FROM shown",
@@ -520,8 +616,8 @@ FROM shares""",
         "scoring_reply": reply,
         "remote_scoring": f"{scored} SELECT id, rstart, code AS remote_code, "
         f"{label('code')} AS remote_state FROM scored",
-        "prediction_agreement": f"{scored} SELECT state, {label('other')} AS predicted_state, "
-        f"{label('code')} AS remote_state, count(*) AS n FROM scored GROUP BY 1, 2, 3",
+        "prediction_agreement": f"{pivoted} SELECT state, count(*) AS n, count(*) AS predicted, "
+        "true AS alike_is_a_part FROM pivoted GROUP BY state",
         "metrics_log": f"""{errors}
 SELECT 'run' AS run_id, 'rmse' AS metric, rmse AS value, 0 AS step FROM shown
 UNION ALL SELECT 'run', 'r2', r2, 0 FROM shown

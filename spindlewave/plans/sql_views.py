@@ -96,3 +96,33 @@ def daily_counts(spark: SparkSession, size: str) -> DataFrame:
         GROUP BY id, axis, day
         """
     )
+
+
+def over_range(spark: SparkSession, aggregates: str, seconds: int = 2, stretch: int = 32) -> DataFrame:
+    """Readings with ``aggregates``, SQL text over the window ``w``: the last ``seconds``.
+
+    The time line of a key is cut into stretches of ``stretch`` ranges, so that a
+    window partition does not grow with the table; readings of a stretch's last range
+    are copied into the next, so that every frame is whole.
+    """
+    width = seconds * 1_000_000
+    length = width * stretch
+    return spark.sql(
+        f"""
+        WITH placed AS (
+          SELECT *, pmod(unix_micros(event_time), {length}) AS place FROM wear_data
+        ),
+        copied AS (
+          SELECT *, floor(unix_micros(event_time) / {length}) + later AS stretch
+          FROM placed LATERAL VIEW explode(
+            CASE WHEN place >= {length - width} THEN array(0, 1) ELSE array(0) END) AS later
+        ),
+        framed AS (
+          SELECT *, {aggregates}
+          FROM copied
+          WINDOW w AS (PARTITION BY id, axis, stretch ORDER BY event_time
+                       RANGE BETWEEN INTERVAL '{seconds}' SECOND PRECEDING AND CURRENT ROW)
+        )
+        SELECT * EXCEPT (place, later, stretch) FROM framed WHERE later = 0
+        """
+    )

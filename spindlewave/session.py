@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +35,14 @@ def build_session(app_name: str = "spindlewave", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    """A folder for this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="spindlewave-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that all executors share.
 
@@ -40,9 +51,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spindlewave-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -14,12 +14,13 @@ def read_feature_table(
     """The sixteen features and the label.
 
     CSV files carry a header, which must name the columns in order; ``others``
-    lists further leading columns (DDL text, such as ``"id string"``).
+    lists further leading columns (DDL text, such as ``"id string"``). A malformed
+    number or a line with too few fields fails the job.
     """
     features = [T.StructField(name, T.DoubleType()) for name in PIVOT_FEATURES]
     lead = T.StructType.fromDDL(others).fields if others else []
     schema = T.StructType([*lead, *features, T.StructField(label, T.StringType())])
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+        reader = reader.options(header=True, enforceSchema=False, mode="FAILFAST")
     return reader.format(fmt).load(path)

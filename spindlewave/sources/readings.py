@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindlewave.schema import AXES, READING_SCHEMA
 
@@ -32,7 +33,7 @@ def parse(lines: DataFrame) -> DataFrame:
     """Lines of text to readings; a missing field or malformed number fails the job.
 
     There is no quoting, fields after the fifth are ignored, and texts are taken
-    as they are.
+    as they are, but that an empty state is no state.
     """
     parts = F.split("value", ",", -1)
     return lines.select(
@@ -40,7 +41,7 @@ def parse(lines: DataFrame) -> DataFrame:
         _field(parts, 1, "string").alias("axis"),
         _field(parts, 2, "double").alias("data"),
         F.timestamp_millis(_field(parts, 3, "bigint")).alias("event_time"),
-        _field(parts, 4, "string").alias("state"),
+        F.nullif(_field(parts, 4, "string"), F.lit("")).alias("state"),
     )
 
 
@@ -54,17 +55,20 @@ def _field(parts: Column, position: int, kind: str) -> Column:
 def write_csv(readings: DataFrame, path: str, axes: Sequence[str] = AXES) -> dict[str, str]:
     """Readings as lines of text in one folder per axis, event time in whole milliseconds.
 
-    All folders are written in one pass. Returns them by axis.
+    All folders are written in one pass. Returns them by axis. What could not be
+    read back fails the job: an axis other than those of ``axes``, a missing id,
+    value or time, and a comma or line end in a text.
     """
-    fields = [
-        F.col("id"),
-        F.col("axis"),
-        F.col("data").cast("string"),
-        F.unix_millis("event_time").cast("string"),
-        F.col("state"),
-    ]
-    line = F.concat_ws(",", *[F.coalesce(field, F.lit("")) for field in fields])
-    readings.select(line.alias("value"), F.col("axis").alias("source")).write.partitionBy(
+    state = F.coalesce("state", F.lit(""))
+    line = F.concat_ws(
+        ",", "id", "axis", F.col("data").cast("string"), F.unix_millis("event_time").cast("string"), state
+    )
+    known = F.col("axis").isin(*axes) & F.col("id").isNotNull()
+    whole = known & F.col("data").isNotNull() & F.col("event_time").isNotNull()
+    plain = ~F.concat("id", state).rlike("[,\r\n]")
+    broken = F.raise_error(F.concat(F.lit("cannot be written: "), F.to_json(F.struct("*"))))
+    value = F.when(whole & plain, line).otherwise(broken.cast("string"))
+    readings.select(value.alias("value"), F.col("axis").alias("source")).write.partitionBy(
         "source"
     ).text(path)
     return {axis: f"{path}/source={axis}" for axis in axes}
@@ -96,15 +100,20 @@ def stream_parquet(spark: SparkSession, path: str, schema, **options) -> DataFra
     return spark.readStream.schema(schema).options(**options).parquet(f"{folder}/{{{name}}}")
 
 
-def time_slices(readings: DataFrame, count: int, time: str = "event_time") -> list[DataFrame]:
-    """The readings cut into slices of equal time, in event time order, to be replayed one by one."""
+def time_slices(readings: DataFrame, count: int, path: str, time: str = "event_time") -> list[DataFrame]:
+    """The readings cut into slices of equal time, in event time order, to be replayed one by one.
+
+    They are written once, to ``path``, by number of the slice; a slice reads its own
+    files only. Readings without a time are in the first.
+    """
     at = F.unix_micros(time)
     first, last = readings.agg(F.min(at), F.max(at)).first()
-    if first is None:
-        return [readings]
-    step = -(-(last - first + 1) // count)
-    number = F.coalesce(F.floor((at - first) / step), F.lit(0))
-    return [readings.where(number == i) for i in range(count)]
+    step = 1 if first is None else -(-(last - first + 1) // count)
+    number = F.coalesce(F.floor((at - F.lit(first)) / step), F.lit(0)).cast("int")
+    readings.withColumn("_slice", number).write.partitionBy("_slice").parquet(path)
+    schema = T.StructType([*readings.schema.fields, T.StructField("_slice", T.IntegerType())])
+    slices = readings.sparkSession.read.schema(schema).parquet(path)
+    return [slices.where(F.col("_slice") == i).drop("_slice") for i in range(count)]
 
 
 def register_view(readings: DataFrame, name: str = "wear_data") -> DataFrame:

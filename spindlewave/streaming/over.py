@@ -20,16 +20,21 @@ from pyspark.sql.streaming import DataStreamWriter
 from spindlewave.functions import durations
 from spindlewave.operators.over import over_range
 from spindlewave.schema import KEYS
+from spindlewave.streaming.replay import as_batch
 
 CHUNK = 100_000
 
 
-def settled(readings: DataFrame) -> DataFrame:
+def settled(readings: DataFrame, time: str = "event_time") -> DataFrame:
     """Each reading once the watermark has passed it, with its number of ``_copies``.
 
-    Grouping by all columns spreads even a single machine axis over all tasks.
+    Grouping by all columns spreads even a single machine axis over all tasks. No
+    watermark passes a reading without a time; it comes out at once.
     """
-    return readings.groupBy(*readings.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    timed = readings.where(F.col(time).isNotNull())
+    untimed = readings.where(F.col(time).isNull()).withColumn("_copies", F.lit(1).cast("long"))
+    copies = timed.groupBy(*readings.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    return copies.unionByName(untimed)
 
 
 def expand_copies(rows: DataFrame) -> DataFrame:
@@ -61,7 +66,9 @@ class OverRangeSink:
 
     Every write replaces the folder of its batch, so a batch that is repeated
     after a failure leaves the same result. The settled readings and the tail
-    for the next batch alternate between two folders.
+    for the next batch alternate between two folders. Readings without a time
+    have one frame per key, which is complete when the stream has ended; they
+    are kept apart and get it in ``table``.
     """
 
     def __init__(
@@ -87,9 +94,10 @@ class OverRangeSink:
         # The batch is computed once, into the shared folder.
         folder = self._folder("settled", batch_id % 2)
         batch.write.mode("overwrite").parquet(folder)
-        fresh = expand_copies(spark.read.schema(batch.schema).parquet(folder)).withColumn(
-            "_fresh", F.lit(True)
-        )
+        all_rows = expand_copies(spark.read.schema(batch.schema).parquet(folder))
+        untimed = all_rows.where(F.col(time).isNull())
+        self._replace(untimed.select(*columns), "untimed", batch_id)
+        fresh = all_rows.where(F.col(time).isNotNull()).withColumn("_fresh", F.lit(True))
         rows = fresh
         if batch_id > 0:
             earlier = spark.read.schema(self.schema).parquet(self._folder("tail", (batch_id - 1) % 2))
@@ -115,7 +123,7 @@ class OverRangeSink:
         return f"{self.work}/{kind}/batch_id={number}"
 
     def writer(self, rows: DataFrame) -> DataStreamWriter:
-        return rows.writeStream.foreachBatch(self)
+        return rows.writeStream.foreachBatch(as_batch(self, rows.sparkSession))
 
     def _result_schema(self) -> T.StructType:
         added = [T.StructField("avg_data", T.DoubleType()), T.StructField("count_", T.LongType())]
@@ -123,4 +131,7 @@ class OverRangeSink:
 
     def table(self, spark: SparkSession) -> DataFrame:
         schema = self._result_schema().add("batch_id", T.LongType())
-        return spark.read.schema(schema).parquet(f"{self.work}/out").drop("batch_id")
+        timed = spark.read.schema(schema).parquet(f"{self.work}/out").drop("batch_id")
+        kept = spark.read.schema(T.StructType([*self.schema.fields, schema["batch_id"]]))
+        untimed = kept.parquet(f"{self.work}/untimed").drop("batch_id")
+        return timed.unionByName(over_range(untimed, self.preceding, **self.options))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import timedelta
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from spindlewave.functions import durations
 from spindlewave.session import settings
@@ -28,13 +29,42 @@ def watermarked(
     return readings.withWatermark(time, durations.text(delay))
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows that stateful operators refused as late, after partial aggregation."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Sums the rows that the stateful operators of one query refuse as late.
+
+    It hears of every micro-batch, however many there are. Spark refuses rows after
+    partial aggregation, so a late reading counts once per window that is
+    closed, and readings of one key and window that come in one batch count once.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.ended: dict[str, Event] = {}
+
+    def started(self, run_id: str) -> None:
+        self.ended.setdefault(run_id, Event())
+
+    def onQueryStarted(self, event) -> None:
+        self.started(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        run_id = str(event.progress.runId)
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[run_id] = self.dropped.get(run_id, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.started(str(event.runId))
+        self.ended[str(event.runId)].set()
+
+    def of(self, run_id: str, wait: float = 60.0) -> int:
+        """The sum of an ended run; events arrive in order, its end last."""
+        self.started(run_id)
+        if not self.ended[run_id].wait(wait):
+            raise TimeoutError(f"no end of the run {run_id} was heard of")
+        return self.dropped.pop(run_id, 0)
 
 
 class Replay:
@@ -45,7 +75,9 @@ class Replay:
     closes the windows that the watermark has not passed, by adding one
     heartbeat reading far in the future. The heartbeat has a source of its own,
     empty until then, and makes no reading of its own micro-batch late. A source
-    limited to some files per trigger must be read with ``advance`` before.
+    limited to some files per trigger must be read with ``advance`` before. No
+    sink sees the heartbeat, provided the result keeps the column ``id``.
+    ``dropped`` sums what ``LateRows`` counts.
 
     ``sink`` configures the writer in place of the table, for instance with
     ``foreachBatch``.
@@ -60,6 +92,7 @@ class Replay:
         delay: timedelta = DELAY,
         sink: Callable[[DataFrame], DataStreamWriter] | None = None,
         output_mode: str = "append",
+        state_partitions: int | None = None,
     ):
         self.spark: SparkSession = readings.sparkSession
         self.schema = readings.schema
@@ -71,7 +104,14 @@ class Replay:
         self.dropped = 0
         self._write_heartbeats(0)
         heartbeat = self.spark.readStream.schema(self.schema).parquet(self.heartbeats)
-        self.result_rows = build(watermarked(readings.unionByName(heartbeat), time, delay))
+        self.state_partitions = state_partitions
+        rows = build(watermarked(readings.unionByName(heartbeat), time, delay))
+        if "id" in rows.columns:
+            # As long as the condition is not deterministic, it stays above the watermark,
+            # which the heartbeat must reach.
+            reading = F.when(F.spark_partition_id() >= 0, ~F.col("id").eqNullSafe(HEARTBEAT))
+            rows = rows.where(reading)
+        self.result_rows = rows
         self.sink = sink or self._table
 
     def _table(self, rows: DataFrame) -> DataStreamWriter:
@@ -87,11 +127,15 @@ class Replay:
         ).write.mode("append").parquet(self.heartbeats)
 
     def advance(self) -> Replay:
-        query = start_available(
-            self.sink(self.result_rows).outputMode(self.output_mode), self.spark, self.checkpoint
-        )
-        query.awaitTermination()
-        self.dropped += dropped_late(query)
+        late = LateRows()
+        self.spark.streams.addListener(late)
+        try:
+            writer = self.sink(self.result_rows).outputMode(self.output_mode)
+            query = start(writer, self.spark, self.checkpoint, True, self.state_partitions)
+            query.awaitTermination()
+            self.dropped += late.of(query.runId)
+        finally:
+            self.spark.streams.removeListener(late)
         return self
 
     def finish(self) -> Replay:
@@ -99,30 +143,37 @@ class Replay:
         return self.advance()
 
     def table(self) -> DataFrame:
-        rows = self.spark.read.schema(self.result_rows.schema).parquet(self.out)
-        if "id" in rows.columns:
-            rows = rows.where(~F.col("id").eqNullSafe(HEARTBEAT))
-        return rows
+        return self.spark.read.schema(self.result_rows.schema).parquet(self.out)
 
 
-def start_available(
-    writer: DataStreamWriter, spark: SparkSession, checkpoint: str
+def start(
+    writer: DataStreamWriter,
+    spark: SparkSession,
+    checkpoint: str,
+    once: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start a query that takes all available data and stops.
+    """Start a query, with its state in RocksDB, outside the heap.
 
-    On a cluster the state is kept in RocksDB, outside the heap. The number of
-    state partitions is fixed for the life of a checkpoint, so it follows the
-    cluster's cores rather than a default meant for adaptive execution.
+    ``once`` takes all available data and stops. The number of state partitions is
+    fixed for the life of a checkpoint: it is ``spark.sql.shuffle.partitions``, or
+    ``state_partitions`` if given.
     """
-    cores = spark.sparkContext.defaultParallelism
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
-    options = {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.streaming.numRecentProgressUpdates": "10000",
-    }
-    if not spark.conf.get("spark.master").startswith("local"):
-        options["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    options = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if state_partitions:
+        options["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if once:
+        writer = writer.trigger(availableNow=True)
     with settings(spark, options):
-        return (
-            writer.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
-        )
+        return writer.option("checkpointLocation", checkpoint).start()
+
+
+def as_batch(sink: Callable[[DataFrame, int], None], spark: SparkSession) -> Callable[[DataFrame, int], None]:
+    """``sink`` for ``foreachBatch``, with the shuffle partitions of ``spark`` in place of the state's."""
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with settings(batch.sparkSession, {"spark.sql.shuffle.partitions": partitions}):
+            sink(batch, batch_id)
+
+    return run

@@ -95,8 +95,8 @@ def test_fit_save_load_predict(spark, tmp_path, rows, build, options):
 def test_losses_per_round(spark, rows):
     model = train.fit(rows, train.boosted_trees(rounds=3, max_depth=2, learning_rate=0.1))
     first, second = features.split_at_random(rows, seed=2)
-    losses = train.round_losses(spark, model, {"train": first, "test": second})
-    assert losses.count() == 2 * 4 * 3
+    losses = train.round_losses(model, {"train": first, "test": second})
+    assert losses.count() == 2 * 5 * 3
     by_step = losses.where("split = 'train'").groupBy("step").agg(F.avg("loss").alias("loss"))
     ordered = [r.loss for r in by_step.orderBy("step").collect()]
     assert ordered[0] > ordered[-1]

@@ -92,7 +92,19 @@ def test_frames_are_split_by_time(golden):
     plan = over_range(golden)._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert windows and all("pane" in line for line in windows)
-    assert "partial_sum" in plan
+
+
+def one_run(plan):
+    return plan.count("Exchange "), plan.count("Scan "), plan.count("Join")
+
+
+def test_ordinary_rows_go_through_one_exchange(spark, golden, tmp_path):
+    golden.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    plan = over_range(rows)._jdf.queryExecution().executedPlan().toString()
+    assert one_run(plan) == (1, 1, 0)
+    plan = over_range_with(rows, {"count_": udaf.row_count()})
+    assert one_run(plan._jdf.queryExecution().executedPlan().toString()) == (1, 1, 0)
 
 
 def test_other_columns_and_duplicates_are_kept(spark):
@@ -105,7 +117,7 @@ def test_other_columns_and_duplicates_are_kept(spark):
 def test_user_defined_count_equals_native(spark):
     rows = random_rows(7)
     df = reading_frame(spark, rows)
-    counted = over_range_with(df, udaf.count_frames, stretch=3)
+    counted = over_range_with(df, {"count_": udaf.row_count()})
     native = over_range(df).drop("avg_data")
     assert counted.exceptAll(native).isEmpty() and native.exceptAll(counted).isEmpty()
 
@@ -146,12 +158,33 @@ def test_hot_instants_are_joined_in_parts(spark, monkeypatch, distinct):
     rows += [(None, "Y", 2.0, None, "0")] * 50
     df = reading_frame(spark, rows).repartition(6)
     assert collected(over_range(df)) == brute_force(rows)
-    merged = over_range_with(df, udaf.count_frames)
+    merged = over_range_with(df, {"count_": udaf.row_count()})
     native = over_range(df).drop("avg_data")
     assert merged.exceptAll(native).isEmpty() and native.exceptAll(merged).isEmpty()
 
 
-def test_results_are_not_broadcast(golden):
+def test_results_are_not_broadcast(golden, monkeypatch):
+    monkeypatch.setattr(over, "LEAST_SHARE", 3)
     plan = over_range(golden)._jdf.queryExecution().executedPlan().toString()
-    # Only the lists of hot stretches and instants are, which SHARES bounds.
-    assert plan.count("BroadcastExchange") == 2 and plan.count("SortMergeJoin") == 1
+    # Only the lists of hot panes and instants are, which SHARES bounds.
+    assert plan.count("SortMergeJoin") == 1
+    assert plan.count("BroadcastHashJoin") == plan.count("BroadcastExchange") == 5
+
+
+def test_user_defined_mean_square(spark):
+    rows = random_rows(13, nulls=True)
+    df = reading_frame(spark, rows)
+    found = over_range_with(df, {"square": udaf.mean_square(), "count_": udaf.row_count()})
+    squares = reading_frame(spark, [(i, a, None if d is None else d * d, t, s) for i, a, d, t, s in rows])
+    native = over_range(squares)
+    left = found.select("id", "axis", "event_time", F.round(F.nanvl("square", F.lit(None)), 6).alias("s"), "count_")
+    right = native.select("id", "axis", "event_time", F.round("avg_data", 6).alias("s"), "count_")
+    assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+@pytest.mark.parametrize("least", [2, 7, 30])
+def test_hot_and_ordinary_panes_side_by_side(spark, monkeypatch, least):
+    monkeypatch.setattr(over, "SHARES", 1000)
+    monkeypatch.setattr(over, "LEAST_SHARE", least)
+    rows = random_rows(14, n=300, span=20)
+    assert collected(over_range(reading_frame(spark, rows), panes=2)) == brute_force(rows)

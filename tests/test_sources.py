@@ -24,7 +24,7 @@ def test_parse(spark, tmp_path):
     assert rows.schema.simpleString() == READING_SCHEMA.simpleString()
     found = {(r.id, r.axis, r.data, r.state, r.t) for r in rows.withColumn(
         "t", F.unix_millis("event_time")).collect()}
-    assert found == {("1", "X", -2.5, "new", BASE_MILLIS + 7), (" 2", "Y", 100.0, "", BASE_MILLIS)}
+    assert found == {("1", "X", -2.5, "new", BASE_MILLIS + 7), (" 2", "Y", 100.0, None, BASE_MILLIS)}
 
 
 @pytest.mark.parametrize("line", ["1,X,abc,0,s", "1,X,1.0,zero,s", "1,X,1.0,0", "", "1,X,,0,s"])
@@ -65,11 +65,11 @@ def test_stream_reads_what_batch_reads(spark, tmp_path, golden):
     assert same_rows(sources.read_table(spark, str(tmp_path / "out")), golden)
 
 
-def test_time_slices(spark, golden):
-    slices = sources.time_slices(golden, 3)
+def test_time_slices(spark, golden, tmp_path):
+    slices = sources.time_slices(golden, 3, str(tmp_path / "slices"))
     assert [part.count() for part in slices] == [4, 3, 1]
     assert same_rows(sources.union_all(slices), golden)
-    assert sources.time_slices(golden.limit(0), 3)[0].count() == 0
+    assert sources.time_slices(golden.limit(0), 3, str(tmp_path / "none"))[0].count() == 0
 
 
 def test_view(spark, golden):
