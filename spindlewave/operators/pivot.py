@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spindlewave.functions import durations
 from spindlewave.functions.states import StateMax
+from spindlewave.operators.windows import windowed
 from spindlewave.schema import AXES, MEASURES
 
 # Measure of the pivoted row -> column of the window features.
@@ -80,13 +81,15 @@ def pivot_axes_fused(
     time: str = "event_time",
     value: str = "data",
     state_domain: Sequence[str] | None = None,
+    by_slide: bool = False,
 ) -> DataFrame:
     """The whole cascade straight from the readings in one aggregate.
 
     Equal to ``pivot_axes(hopping_features(df))`` when the tumbling windows of
     the second step are as long as the slide, as each then holds exactly one
     window start. It saves a shuffle and, on a stream, a stateful operator. An
-    axis without readings, or without any value, is 0 in both.
+    axis without readings, or without any value, is 0 in both. ``by_slide`` as in
+    ``windowed``.
     """
     state_max = StateMax("state", state_domain)
     aggregates: dict[str, Column] = {"_state": state_max.aggregate()}
@@ -94,6 +97,7 @@ def pivot_axes_fused(
     for axis in axes:
         name = axis.lower()
         reading = F.when(F.col("axis") == axis, F.col(value).cast("double"))
+        aggregates[f"_{name}_n"] = F.count(reading)
         aggregates[f"_{name}_avg"] = F.avg(reading)
         aggregates[f"_{name}_var"] = F.var_pop(reading)
         aggregates[f"_{name}_min"] = F.min(reading)
@@ -103,18 +107,13 @@ def pivot_axes_fused(
         outputs["var"][name] = F.col(f"_{name}_var")
         outputs["rms"][name] = (F.col(f"_{name}_max") - F.col(f"_{name}_min")) / 2
 
-    window = F.window(time, durations.text(size), durations.text(slide))
-    return (
-        df.groupBy(window.alias("window"), "id")
-        .agg(*[column.alias(name) for name, column in aggregates.items()])
-        .select(
-            "id",
-            F.col("window.start").alias("rstart"),
-            *[
-                F.coalesce(column, F.lit(0.0)).alias(f"{name}_{measure}")
-                for measure, columns in outputs.items()
-                for name, column in columns.items()
-            ],
-            state_max.decode(F.col("_state")).alias("state"),
-        )
+    return windowed(df, aggregates, size, slide, ["id"], time, by_slide).select(
+        "id",
+        F.col("window.start").alias("rstart"),
+        *[
+            F.coalesce(column, F.lit(0.0)).alias(f"{name}_{measure}")
+            for measure, columns in outputs.items()
+            for name, column in columns.items()
+        ],
+        state_max.decode(F.col("_state")).alias("state"),
     )

@@ -6,8 +6,10 @@ to the epoch and half-open.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,65 @@ FEATURE_SETS = {
 }
 
 
+def windowed(
+    df: DataFrame,
+    aggregates: Mapping[str, Column],
+    size: timedelta,
+    slide: timedelta,
+    keys: Sequence[str],
+    time: str,
+    by_slide: bool = False,
+) -> DataFrame:
+    """``aggregates`` per window (column ``window``) and keys.
+
+    With ``by_slide`` every reading is summed once, for the slide it falls into, and the
+    slides of a window are put together after a second, small exchange. That pays
+    where a slide holds many readings of a key; else each reading is summed once per
+    window. Names tell how aggregates go together: ``*_n``, ``*_avg`` and ``*_var`` are
+    count, mean and population variance of one value, ``*_min``, ``*_max`` and
+    ``*_state`` extremes, all others sums.
+    """
+    if not by_slide:
+        window = F.window(time, durations.text(size), durations.text(slide))
+        named = [column.alias(name) for name, column in aggregates.items()]
+        return df.groupBy(window.alias("window"), *keys).agg(*named)
+    if df.isStreaming or size % slide:
+        raise ValueError("by_slide needs a batch and a slide that divides the size")
+    count = size // slide
+    slides = windowed(df, aggregates, slide, slide, keys, time)
+    slots = slides.withColumn("_slot", F.explode(F.array(*[F.lit(k) for k in range(count)])))
+    step = F.make_dt_interval(secs=F.lit(slide.total_seconds()))
+    begin = F.col("window.start") - step * F.col("_slot")
+    whole = F.make_dt_interval(secs=F.lit(size.total_seconds()))
+    merged: dict[str, Column] = {}
+    results: dict[str, Column] = {}
+    for name in aggregates:
+        stem, _, kind = name.rpartition("_")
+        results[name] = F.col(name)
+        if kind in ("min", "max", "state"):
+            merged[name] = (F.min if kind == "min" else F.max)(name)
+        elif kind in ("avg", "var"):
+            n = [F.col(f"{stem}_n{k}") for k in range(count)]
+            mean = [F.col(f"{stem}_mean{k}") for k in range(count)]
+            total = F.nullif(reduce(add, n), F.lit(0))
+            average = reduce(add, [x * y for x, y in zip(n, mean, strict=True)]) / total
+            if kind == "avg":
+                results[name] = average
+                for k in range(count):
+                    own = F.col("_slot") == k
+                    merged[f"{stem}_n{k}"] = F.sum(F.when(own, F.col(f"{stem}_n")).otherwise(0))
+                    merged[f"{stem}_mean{k}"] = F.sum(F.when(own, F.coalesce(f"{stem}_avg", F.lit(0.0))).otherwise(0.0))
+            else:
+                merged[f"{stem}_within"] = F.sum(F.col(f"{stem}_n") * F.col(name))
+                apart = [x * (y - average) * (y - average) for x, y in zip(n, mean, strict=True)]
+                results[name] = (F.col(f"{stem}_within") + reduce(add, apart)) / total
+        else:
+            merged[name] = F.sum(name)
+    grouped = slots.groupBy(begin.alias("_begin"), *keys).agg(*[c.alias(n) for n, c in merged.items()])
+    window = F.struct(F.col("_begin").alias("start"), (F.col("_begin") + whole).alias("end"))
+    return grouped.select(window.alias("window"), *keys, *[c.alias(n) for n, c in results.items()])
+
+
 def tumbling_features(
     df: DataFrame, size: timedelta = timedelta(seconds=2), features: str = "basic", **options
 ) -> DataFrame:
@@ -41,12 +102,14 @@ def hopping_features(
     state: str | None = None,
     state_domain: Sequence[str] | None = None,
     keep_window: bool = False,
+    by_slide: bool = False,
 ) -> DataFrame:
     """Features per key and hopping window, one row each, starting at ``wstart``.
 
     ``features`` names a set of ``FEATURE_SETS``. With ``state`` the greatest
     state of the window is carried along. ``keep_window`` keeps the window
-    column, which a further streaming aggregate needs for its watermark.
+    column, which a further streaming aggregate needs for its watermark. ``by_slide``
+    is explained in ``windowed``.
     """
     basis, outputs = FEATURE_SETS[features]
     aggregates = basis(F.col(value).cast("double"))
@@ -56,10 +119,7 @@ def hopping_features(
         aggregates["_state"] = state_max.aggregate()
         carried["state"] = state_max.decode(F.col("_state"))
 
-    window = F.window(time, durations.text(size), durations.text(slide))
-    reduced = df.groupBy(window.alias("window"), *keys).agg(
-        *[column.alias(name) for name, column in aggregates.items()]
-    )
+    reduced = windowed(df, aggregates, size, slide, keys, time, by_slide)
     return reduced.select(
         *keys,
         *(["window"] if keep_window else []),

@@ -118,7 +118,9 @@ def hop_signal_features(spark, sf_dir):
 
 
 def hop_signal_features_100hz(spark, sf_dir):
-    rows = hopping_features(readings(spark, sf_dir, True), state="state", state_domain=STATES)
+    rows = hopping_features(
+        readings(spark, sf_dir, True), state="state", state_domain=STATES, by_slide=True
+    )
     return shown(rows)
 
 
@@ -147,7 +149,7 @@ def axis_pivot_fused(spark, sf_dir):
 
 
 def axis_pivot_100hz(spark, sf_dir):
-    return shown(pivot_axes_fused(readings(spark, sf_dir, True), state_domain=STATES))
+    return shown(pivot_axes_fused(readings(spark, sf_dir, True), state_domain=STATES, by_slide=True))
 
 
 # SQL text over views

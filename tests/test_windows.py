@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import math
+import random
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from spindlewave.operators.pivot import pivot_axes_fused
 from spindlewave.operators.windows import hopping_features, tumbling_features
 from spindlewave.schema import FEATURE_SCHEMA, SIGNAL_FEATURES, STATE_DOMAIN
 from tests.conftest import keyed, offset, reading_frame, same_rows
@@ -141,3 +143,41 @@ def test_variance_relations(golden):
         assert row.stddev_pop_data**2 == pytest.approx(row.var_pop_data)
         if row.var_samp_data is not None:
             assert row.var_pop_data <= row.var_samp_data
+
+
+@pytest.mark.parametrize("size, slide", [(4, 2), (6, 2), (2, 2)])
+def test_by_slide_equals_by_window(spark, size, slide):
+    rng = random.Random(size)
+    rows = [
+        (str(rng.randint(1, 2)), rng.choice("XY"), rng.choice([None, 1e6 + rng.uniform(-1, 1), -3.0]),
+         rng.uniform(-20, 20), rng.choice(["0", "2"]))
+        for _ in range(400)
+    ]
+    df = reading_frame(spark, rows)
+    options = {"size": timedelta(seconds=size), "slide": timedelta(seconds=slide), "state": "state"}
+    plain, slides = (
+        keyed(hopping_features(df, by_slide=b, **options), "id", "axis", "wstart") for b in (False, True)
+    )
+    assert plain.keys() == slides.keys()
+    for key, row in plain.items():
+        for name in (*SIGNAL_FEATURES, "state"):
+            if isinstance(row[name], float):
+                assert slides[key][name] == pytest.approx(row[name], rel=1e-9, abs=1e-6), name
+            else:
+                assert slides[key][name] == row[name]
+    fused, by_slide = (
+        keyed(pivot_axes_fused(df, options["size"], options["slide"], by_slide=b), "id", "rstart")
+        for b in (False, True)
+    )
+    assert fused.keys() == by_slide.keys()
+    for key, row in fused.items():
+        assert by_slide[key].x_avg == pytest.approx(row.x_avg, rel=1e-9)
+        assert by_slide[key].y_var == pytest.approx(row.y_var, rel=1e-9, abs=1e-6)
+
+
+def test_by_slide_sums_each_reading_once(golden):
+    plan = hopping_features(golden, by_slide=True)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("partial_") :]
+    assert "Expand" not in below and "Generate" not in below
+    with pytest.raises(ValueError, match="slide"):
+        hopping_features(golden, timedelta(seconds=3), timedelta(seconds=2), by_slide=True)
