@@ -9,6 +9,10 @@ from spindlewave.llm import credentials, minhash, mixing, packing, quality, quer
 from spindlewave.llm.common import stored, table
 
 
+#: Names that the mixing gives to columns of its own; documents may have them too.
+MIXED = ("topic", "tokens", "probability", "sampled")
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier does not reject."""
     trees = quality.learn(docs, table(spark, sf_dir, "labels"))
@@ -43,8 +47,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents sampled to the target shares of source, language and topic."""
-    found = mixing.mixed(docs, queries.MARGINS, queries.KEEP)
-    return found.where("sampled").select(*docs.columns)
+    own = [name for name in docs.columns if name not in MIXED]
+    rows = docs.select(*own, F.struct(*docs.columns).alias("__row"))
+    found = mixing.mixed(mixing.described(rows), queries.MARGINS, queries.KEEP)
+    return found.where("sampled").select("__row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,18 +133,23 @@ def probabilities(cells: DataFrame, keep: float) -> DataFrame:
     return cells.withColumn("__p", F.round(chance, 9))
 
 
-def mixed(
-    docs: DataFrame, margins: list[Margin], keep: float = 0.7, weight: Column | None = None, topics: Column | None = None
-) -> DataFrame:
-    """The rows of ``docs`` with topic, tokens, probability and sampled (columns of these names are replaced).
-
-    Margins name columns of ``docs`` or ``topic``. Whether a row is sampled depends on
-    its doc_id alone, so repeated rows share their fate; rows without an id are always
-    sampled. Null and empty texts weigh nothing; in a cell of such rows only, the
-    probability is 1. An empty table stays empty.
+def described(docs: DataFrame, weight: Column | None = None, topics: Column | None = None) -> DataFrame:
+    """The rows with topic and tokens, from their text unless given (columns of these names are replaced)."""
+    return docs.withColumns(
+        {"topic": topic() if topics is None else topics, "tokens": word_count() if weight is None else weight}
+    )
+
+
+def mixed(rows: DataFrame, margins: list[Margin], keep: float = 0.7) -> DataFrame:
+    """Rows that have ``tokens``, with probability and sampled (columns of these names are replaced).
+
+    Margins name columns of ``rows``. They are read twice, so rows that are costly to
+    describe should be stored first. Whether a row is sampled depends on its doc_id
+    alone, so repeated rows share their fate; rows without an id are always
+    sampled. Rows without tokens (null and empty texts) weigh nothing; in a cell of
+    such rows only, the probability is 1. An empty table stays empty.
     """
-    rows = docs.drop("topic", "tokens", "probability", "sampled")
-    rows = rows.withColumns({"topic": topic() if topics is None else topics, "tokens": word_count() if weight is None else weight})
+    rows = rows.drop("probability", "sampled")
     names = [margin.column for margin in margins]
     cells = rows.groupBy(*names).agg(F.sum("tokens").alias("__t"))
     cells = probabilities(rake(cells, margins), keep)

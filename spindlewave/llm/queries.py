@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindlewave.llm import ann, credentials, embed_dedup, minhash, mixing, packing, quality, rans, url_rules, warc
-from spindlewave.llm.common import table
+from spindlewave.llm.common import stored, table
 from spindlewave.session import work_dir
 
 CAPACITY, END = 4096, 1
@@ -37,7 +37,10 @@ KEEP = 0.7
 
 
 def op3_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.mixed(table(spark, sf_dir, "documents"), MARGINS, KEEP)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    # Texts are read once; what is known of them is small.
+    rows = stored(mixing.described(docs).drop("text"), "described")
+    found = mixing.mixed(rows, MARGINS, KEEP)
     columns = ["doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled"]
     return found.select(*columns)
 

@@ -56,7 +56,7 @@ def test_stages_by_brute_force(spark):
         assert r["spans"] or marks[r["doc_id"]] == before[r["doc_id"]]["text"]
 
     mixed = stored(corpus_pipeline.mix_sources(spark, clean, DATA), "mixed")
-    flags = mixing.mixed(clean, queries.MARGINS, queries.KEEP).where("sampled")
+    flags = mixing.mixed(mixing.described(clean), queries.MARGINS, queries.KEEP).where("sampled")
     assert sorted(r[0] for r in mixed.select("doc_id").collect()) == sorted(r[0] for r in flags.select("doc_id").collect())
 
     packed = corpus_pipeline.pack_sequences(spark, mixed, DATA).collect()

@@ -187,7 +187,7 @@ def test_held_out_accuracy(spark):
 
 def test_mixing(spark, odd_docs, no_docs):
     margins = [mixing.Margin("source", power=0.5), mixing.Margin("lang", shares={"en": 2, "de": 1}), mixing.Margin("topic")]
-    found = mixing.mixed(odd_docs, margins, keep=0.5).collect()
+    found = mixing.mixed(mixing.described(odd_docs), margins, keep=0.5).collect()
     assert len(found) == len(odd_rows())
     assert all(0 <= r["probability"] <= 1 for r in found)
     assert all(r["sampled"] for r in found if r["doc_id"] is None)
@@ -195,7 +195,7 @@ def test_mixing(spark, odd_docs, no_docs):
     for r in found:
         fates.setdefault((r["doc_id"], r["probability"]), set()).add(r["sampled"])
     assert all(len(fate) == 1 for fate in fates.values())
-    assert mixing.mixed(no_docs, margins).count() == 0
+    assert mixing.mixed(mixing.described(no_docs), margins).count() == 0
 
 
 def test_margins_are_met(spark):
@@ -203,7 +203,7 @@ def test_margins_are_met(spark):
     rows = [(k, "w " * int(random.integers(1, 50)), "abc"[min(2, int(random.integers(4)))], ["x", "y", None][k % 3]) for k in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     margins = [mixing.Margin("source", shares={"a": 1, "b": 1}), mixing.Margin("lang", power=0.0)]
-    found = mixing.mixed(docs, margins, keep=0.4).toPandas()
+    found = mixing.mixed(mixing.described(docs), margins, keep=0.4).toPandas()
     weight = found["tokens"] * found["probability"]
     total = found["tokens"].sum()
     assert weight.sum() / total == pytest.approx(0.4, abs=1e-6)
