@@ -8,7 +8,7 @@ stretches of time (``plans.sql_views.over_range``).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -94,20 +94,29 @@ def register(spark: SparkSession) -> None:
     spark.udf.register("countUdafMerge", merge_counts)
 
 
-def grouped_count(df: DataFrame, keys: Sequence[str], name: str = "count_") -> DataFrame:
-    """The user-defined count per group in two steps: per Arrow batch, then merged.
+def grouped(
+    df: DataFrame, keys: Sequence[str], value: str | Column, accumulators: Mapping[str, Accumulator]
+) -> DataFrame:
+    """User-defined aggregates of ``value`` per group, by name.
 
-    No task ever holds a group: a batch is counted where it is read, and the
-    partial counts are summed with Spark's own partial aggregation.
+    No task ever holds a group: values are lifted in Arrow batches, where they are read,
+    the states are summed with Spark's own partial aggregation, and Python finishes one
+    row per group.
     """
-    columns = list(keys)
-    schema = T.StructType([df.schema[key] for key in columns] + [T.StructField(name, T.LongType())])
+    data = (F.col(value) if isinstance(value, str) else value).cast("double")
+    rows = df.select(*keys, *[a.lifted(data).alias(f"_s{k}") for k, a in enumerate(accumulators.values())])
+    sums = [
+        F.sum(F.col(f"_s{k}")[i]).alias(f"_s{k}_{i}")
+        for k, a in enumerate(accumulators.values())
+        for i in range(a.width)
+    ]
+    results = [
+        a.finished([F.col(f"_s{k}_{i}") for i in range(a.width)]).alias(name)
+        for k, (name, a) in enumerate(accumulators.items())
+    ]
+    return rows.groupBy(*keys).agg(*sums).select(*keys, *results)
 
-    def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.groupby(columns, dropna=False).size().reset_index(name=name)
 
-    return (
-        df.select(*columns).mapInPandas(accumulate, schema).groupBy(*columns)
-        .agg(F.sum(name).alias(name))
-    )
+def grouped_count(df: DataFrame, keys: Sequence[str], name: str = "count_") -> DataFrame:
+    """The user-defined count per group."""
+    return grouped(df, keys, F.lit(0.0), {name: row_count()})

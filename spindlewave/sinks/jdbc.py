@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 from functools import reduce
+from itertools import pairwise
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindlewave.schema import SIGNAL_FEATURES
+from spindlewave.session import remove_folder, work_dir
 
 FEATURE_TABLE = "weardata_feature"
 # The features that the table holds in double precision.
@@ -35,7 +38,8 @@ class JdbcAppend:
 
     A repeated batch may have been written in part. Rows whose key is already in
     the table are therefore left out; only the time range of the batch is read
-    back. Rows go out in JDBC batches from at most ``connections`` tasks.
+    back, in as many parts as there are ``connections``. Rows go out in JDBC batches
+    from as many tasks; the batch is computed once, into the shared folder.
     """
 
     def __init__(
@@ -53,26 +57,33 @@ class JdbcAppend:
         self.keys = list(keys)
         self.connections = connections
 
-    def existing(self, spark: SparkSession) -> DataFrame:
-        return spark.read.jdbc(self.url, self.target, properties=self.properties)
+    def ranges(self, first: datetime, last: datetime) -> list[str]:
+        """Conditions that part the rows from first to last by time."""
+        step = (last - first) / self.connections
+        borders = [first + step * k for k in range(self.connections)]
+        parts = [f"wstart >= TIMESTAMP '{a}' AND wstart < TIMESTAMP '{b}'" for a, b in pairwise(borders)]
+        return [*parts, f"wstart >= TIMESTAMP '{borders[-1]}' AND wstart <= TIMESTAMP '{last}'"]
+
+    def existing(self, spark: SparkSession, ranges: Sequence[str]) -> DataFrame:
+        return spark.read.jdbc(self.url, self.target, predicates=list(ranges), properties=self.properties)
 
     def append(self, rows: DataFrame) -> None:
-        rows.coalesce(self.connections).write.jdbc(
+        # Not coalesce, which would also cut the tasks of the join before.
+        rows.repartition(self.connections).write.jdbc(
             self.url, self.target, mode="append", properties=self.properties
         )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = table_rows(batch).persist()
+        spark = batch.sparkSession
+        folder = work_dir(spark, "jdbc-batch")
+        table_rows(batch).write.parquet(folder)
         try:
-            start = F.unix_micros("wstart")
-            bounds = rows.agg(F.min(start), F.max(start)).first()
+            rows = spark.read.schema(table_rows(batch).schema).parquet(folder)
+            bounds = rows.agg(F.min("wstart"), F.max("wstart")).first()
             if bounds[0] is None:
                 return
-            first, last = [F.timestamp_micros(F.lit(bound)) for bound in bounds]
-            written = self.existing(batch.sparkSession).where(
-                F.col("wstart").between(first, last)
-            )
+            written = self.existing(spark, self.ranges(*bounds)).where(F.col("wstart").between(*map(F.lit, bounds)))
             same = reduce(and_, [rows[key].eqNullSafe(written[key]) for key in self.keys])
             self.append(rows.join(written, same, "left_anti"))
         finally:
-            rows.unpersist()
+            remove_folder(spark, folder)

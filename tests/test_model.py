@@ -66,6 +66,33 @@ def test_metrics(spark):
     )
 
 
+def test_metrics_are_over_complete_pairs(spark):
+    pairs = [(0.0, 0.0), (1.0, 2.0), (None, 1.0), (2.0, None), (None, None)]
+    row = metrics.evaluate(spark.createDataFrame(pairs, "label double, prediction double")).first()
+    assert (row.n, row.n_missing, row.error_rate, row.mae) == (2, 3, 0.5, 0.5)
+    assert row.r2 == pytest.approx(1 - 0.5 / 0.25)
+
+
+def test_unknown_labels_fail_or_are_left_out_by_choice(spark, rows):
+    odd = rows.limit(1).withColumn("state", F.lit("broken")).unionByName(rows.limit(1).withColumn("state", F.lit(None)))
+    mixed = rows.unionByName(odd)
+    with pytest.raises(Exception, match="no wear state"):
+        features.with_label(mixed).collect()
+    assert features.with_label(mixed, unknown="drop").count() == rows.count()
+    assert {tuple(r) for r in features.unlabelled(mixed).collect()} == {("broken", 1), (None, 1)}
+
+
+def test_training_writes_its_record(spark, tmp_path, rows):
+    first, second = features.split_at_random(rows, seed=3)
+    places = [str(tmp_path / name) for name in ("model", "runs", "metrics")]
+    model = train.fit_and_log(first, second, *places, "r", train.forest(trees=2, max_depth=3))
+    record = spark.read.schema(tables.RUN_SCHEMA).parquet(places[1]).first()
+    assert record.model_path == places[0] and record.params["maxDepth"] == "3" and record.params["minInfoGain"] == "0.1"
+    logged = {r.metric: r.value for r in tables.read_metrics(spark, places[2]).collect()}
+    assert logged["n"] == second.count() and 0 <= logged["error_rate"] <= 1
+    assert score.predict(train.load(places[0]), second).exceptAll(score.predict(model, second)).isEmpty()
+
+
 def test_r2_of_a_constant_label(spark):
     for prediction, expected in ((1.0, 1.0), (2.0, 0.0)):
         df = spark.createDataFrame([(1.0, prediction)] * 2, "label double, prediction double")
@@ -145,6 +172,28 @@ def test_reply(spark):
     assert found == [2, 0, 3, 0, -1, None]
 
 
+def test_requests_hold_null_for_what_is_no_number(spark, rows):
+    odd = rows.limit(1).withColumn("x_avg", F.lit(None).cast("double")).withColumn("y_avg", F.lit(float("nan")))
+    odd = odd.withColumn("z_avg", F.lit(float("-inf")))
+    request = json.loads(odd.withColumn("r", score.request_payload()).first().r, parse_constant=pytest.fail)
+    assert request["data"][0][:3] == [None, None, None] and request["data"][0][3] is not None
+    seen = score.score_remote(odd, lambda text: str([float(json.loads(text)["data"][0][0] is None)])).first()
+    assert (seen.remote_code, seen.remote_error) == (1, None)
+
+
+def test_other_errors_fail_the_job(rows):
+    def broken(text):
+        raise KeyError("a fault of the program")
+
+    with pytest.raises(Exception, match="a fault of the program"):
+        score.score_remote(rows, broken).collect()
+
+
+def test_unreadable_predictions(rows):
+    found = score.score_remote(rows.limit(2).coalesce(1), lambda text: "[1.0,oops]").collect()
+    assert [(r.remote_code, r.remote_error) for r in found] == [(1, None), (None, "unreadable: oops]")]
+
+
 def by_first_feature(text):
     request = json.loads(text)
     return str([float(int(row[0] // 2)) for row in request["data"]])

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from spindlewave.operators.windows import hopping_features
@@ -12,7 +14,8 @@ from tests.conftest import same_rows
 class FolderAppend(JdbcAppend):
     """The sink with a folder in place of the database."""
 
-    def existing(self, spark):
+    def existing(self, spark, ranges):
+        assert len(ranges) == self.connections
         return spark.read.schema(self.schema).parquet(self.target)
 
     def append(self, rows):
@@ -52,6 +55,14 @@ def test_jdbc_options():
     assert sink.target == "weardata_feature"
 
 
+def test_ranges_part_the_time_of_a_batch():
+    sink = JdbcAppend("jdbc:x", connections=2)
+    assert sink.ranges(datetime(2024, 1, 1), datetime(2024, 1, 3)) == [
+        "wstart >= TIMESTAMP '2024-01-01 00:00:00' AND wstart < TIMESTAMP '2024-01-02 00:00:00'",
+        "wstart >= TIMESTAMP '2024-01-02 00:00:00' AND wstart <= TIMESTAMP '2024-01-03 00:00:00'",
+    ]
+
+
 def test_batch_table_replaces_a_repeated_batch(spark, golden, tmp_path):
     sink = BatchTable(str(tmp_path / "t"), lambda rows: rows.select("axis"))
     for number in (0, 1, 1):

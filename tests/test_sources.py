@@ -46,6 +46,22 @@ def test_round_trip_in_one_folder_per_axis(spark, tmp_path):
     assert {r.axis for r in only_x.collect()} == {"X"} and only_x.count() == 5
 
 
+@pytest.mark.parametrize(
+    "row", [("1", "W", 1.0, 0.0, "0"), ("1", None, 1.0, 0.0, "0"), ("1,2", "X", 1.0, 0.0, "0"), (None, "X", 1.0, 0.0, "0"),
+            ("1", "X", None, 0.0, "0"), ("1", "X", 1.0, None, "0"), ("1", "X", 1.0, 0.0, "a,b"), ("1", "X", 1.0, 0.0, "a\nb")]
+)
+def test_what_cannot_be_read_back_is_not_written(spark, tmp_path, row):
+    rows = reading_frame(spark, [("1", "X", 1.0, 0.0, "0"), row])
+    with pytest.raises(Exception, match="cannot be written"):
+        sources.write_csv(rows, str(tmp_path / "csv"))
+
+
+def test_no_state_is_read_back_as_none(spark, tmp_path):
+    rows = reading_frame(spark, [("1", "X", 1.0, 0.0, None), ("1", "X", 2.0, 1.0, "0")])
+    paths = sources.write_csv(rows, str(tmp_path / "csv"), ("X",))
+    assert same_rows(sources.read_axes(spark, paths), rows)
+
+
 def test_union_keeps_duplicates(golden):
     assert sources.union_all([golden, golden, golden]).count() == 3 * golden.count()
 
@@ -89,6 +105,13 @@ def test_feature_table(spark, tmp_path):
         assert same_rows(table, values)
 
 
+def test_malformed_feature_numbers_fail(spark, tmp_path):
+    values = spark.range(1).select(*[F.lit("abc").alias(n) for n in PIVOT_FEATURES], F.lit("0").alias("state"))
+    values.write.option("header", True).csv(str(tmp_path / "csv"))
+    with pytest.raises(Exception, match="(?i)malformed|cannot"):
+        read_feature_table(spark, str(tmp_path / "csv")).collect()
+
+
 def test_feature_table_refuses_other_columns(spark, tmp_path):
     columns = list(PIVOT_FEATURES)
     columns[0], columns[1] = columns[1], columns[0]

@@ -13,7 +13,7 @@ from spindlewave.sinks.tables import BatchTable
 from spindlewave.sources.readings import stream_parquet
 from spindlewave.streaming.over import CHUNK, OverRangeSink, expand_copies, settled
 from spindlewave.session import settings
-from spindlewave.streaming.replay import ROCKSDB, Replay
+from spindlewave.streaming.replay import ROCKSDB, Replay, as_batch
 from tests.conftest import reading_frame, same_rows
 
 
@@ -141,7 +141,8 @@ def test_update_mode_goes_through_a_batch_sink(spark, tmp_path):
         sink=lambda rows: rows.writeStream.foreachBatch(sink), output_mode="update",
     )
     batch = features(reading_frame(spark, SLICES[0])).select("id", "axis", "wstart")
-    updates = sink.read(spark).where("id <> '__heartbeat__'")
+    updates = sink.read(spark)
+    assert updates.where("id = '__heartbeat__'").isEmpty()
     assert batch.exceptAll(updates.select("id", "axis", "wstart").distinct()).isEmpty()
 
 
@@ -175,6 +176,36 @@ def test_repeated_over_batch_leaves_the_same_result(spark, tmp_path):
     assert same_rows(rounded(sink.table(spark), ["avg_data"]), rounded(batch, ["avg_data"]))
 
 
+def test_readings_without_a_time_are_as_in_a_batch(spark, tmp_path):
+    untimed = [("1", "X", float(k), None, "0") for k in range(3)] + [("2", "Y", None, None, "1")]
+    slices = [[*SLICES[0], *untimed[:2]], [*SLICES[1], *untimed[2:]], SLICES[2]]
+    sink = over_stream(spark, tmp_path, slices)
+    batch = over_range(reading_frame(spark, [*ALL, *untimed]))
+    assert same_rows(rounded(sink.table(spark), ["avg_data"]), rounded(batch, ["avg_data"]))
+
+
+def test_late_rows_are_counted_over_more_runs_than_are_remembered(spark, tmp_path):
+    late = [("1", "X", 999.0, 1.0, "0")]
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}):
+        replay = replayed(spark, tmp_path, features, [*SLICES, late, late])
+    assert replay.dropped == 4
+
+
+def test_sinks_keep_the_partitions_of_the_session(spark, tmp_path):
+    seen = []
+
+    def sink(batch, batch_id):
+        batch.write.format("noop").mode("overwrite").save()
+        seen.append(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    replayed(
+        spark, tmp_path, features, SLICES[:1], state_partitions=2,
+        sink=lambda rows: rows.writeStream.foreachBatch(as_batch(sink, spark)),
+    )
+    assert set(seen) == {partitions}
+
+
 def test_expand_copies(spark):
     n = CHUNK * 2 + 5
     rows = spark.createDataFrame([("a", 1), ("b", 3), ("c", n)], "k string, _copies bigint")
