@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindlewave.llm import vectors as V
-from spindlewave.llm.common import stored
+from spindlewave.llm.common import hashed_sample, stored
 
 #: Bounds of what is fitted on: rows for the tree, queries for the calibration.
 SAMPLE, CALIBRATION = 20_000, 200
@@ -205,7 +205,7 @@ def search(
     """
     spark = vectors.sparkSession
     base = stored(V.readable(vectors, id_column, column).where("data is not null and vec_id is not null"), "vectors")
-    sample = base.orderBy(F.xxhash64("vec_id"), "data").limit(SAMPLE).select("vec_id", "dim", "data").toArrow()
+    sample = hashed_sample(base, ["vec_id", "data"], SAMPLE).select("vec_id", "dim", "data").toArrow()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sample.num_rows:
         return spark.createDataFrame([], schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindlewave.llm.common import runs, stored, utf8
+from spindlewave.llm.common import hashed_sample, runs, stored, utf8
 
 KINDS = ("assign", "access", "hex", "format")  # in the order of spans that start together
 ASSIGN = re.compile(
@@ -304,7 +304,6 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     first by hash), each weighted by how often it occurs; the chain from all candidate runs. Without
     credentials of a kind there is no automaton for it.
     """
-    spark = docs.sparkSession
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((N + 1, N + 1), np.int64)
@@ -331,11 +330,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
         counts[a, b] += row["n"]
     automata = {}
     for kind in KINDS[:3]:
-        part = rows.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample)
+        part = hashed_sample(rows.where(F.col("kind") == kind), ["value"], sample)
         values = [(row["value"].encode(), row["n"]) for row in part.collect()]
         if values:
             automata[kind] = infer(sorted(values))
-    del spark
     return Model(automata, np.log(counts / counts.sum(axis=1, keepdims=True)))
 
 

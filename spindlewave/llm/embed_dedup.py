@@ -213,7 +213,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
 
     counts = found.where("n is not null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
     counts = counts.withColumnRenamed("node", "counted")
-    several = valid.groupBy("vec_id").agg(F.min("data").alias("p"), F.max("data").alias("q")).where("p <> q")
+    mark = F.xxhash64("data")
+    several = valid.groupBy("vec_id").agg(F.min(mark).alias("p"), F.max(mark).alias("q")).where("p <> q")
     named = classes.select(F.col("data").alias("of_data"), "node", "copies")
     own = valid.join(several.select(F.col("vec_id").alias("of")), F.col("vec_id") == F.col("of"))
     own = own.join(named, F.col("data") == F.col("of_data")).select(F.col("vec_id").alias("u"), F.col("node").alias("v"))

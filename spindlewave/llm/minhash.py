@@ -302,7 +302,8 @@ def near_duplicates(
     more = stored(confirm_blocks(cells, percent), "blocks")
 
     # Rows with one id and several sets are one document.
-    several = linked.groupBy("doc_id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b")
+    mark = F.xxhash64("set_key")
+    several = linked.groupBy("doc_id").agg(F.min(mark).alias("a"), F.max(mark).alias("b")).where("a <> b")
     own = linked.join(several.select(F.col("doc_id").alias("of")), F.col("doc_id") == F.col("of"))
     own = own.join(classes, F.col("set_key") == F.col("of_key")).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     roots = components(roots.toDF("u", "v").union(more).union(own))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindlewave.llm.common import runs, stored, utf8
+from spindlewave.llm.common import hashed_sample, runs, stored, utf8
 from spindlewave.llm.shingles import shingle_sets, words
 
 RUN = 1 << 20  # bytes of text handled at once
@@ -210,7 +210,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     """
     chosen = labels.select(F.col("doc_id").alias("of"), F.col("quality").cast("int").alias("label"))
     chosen = chosen.where(F.col("label").isin(0, 1) & F.col("of").isNotNull() & (fold("of") != 0))
-    chosen = chosen.orderBy(F.xxhash64("of"), "of", "label").limit(sample)
+    chosen = hashed_sample(chosen, ["of", "label"], sample)
     # The sample is bounded, so it can go to every executor.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("text", "label")
     schema = "label int, x array<double>"
@@ -222,7 +222,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
             yield pa.RecordBatch.from_arrays([batch.column("label"), lists], ["label", "x"])
 
     examples = stored(rows.mapInArrow(measure, schema), "examples")
-    found = examples.orderBy(F.xxhash64("x"), "label").limit(2 * sample).toArrow()
+    found = hashed_sample(examples, ["x", "label"], 2 * sample).toArrow()
     y = np.asarray(found.column("label")).astype(float)
     x = np.asarray(found.column("x").combine_chunks().values) if found.num_rows else np.zeros(0)
     return grow(x.reshape(-1, len(STATISTICS)), y)
