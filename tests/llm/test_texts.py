@@ -223,7 +223,7 @@ def test_urls(spark):
     ]
     bad = [(1000 + k, f"http://casino{k % 7}.spam.net/win/{k}") for k in range(60)]
     good = [(2000 + k, f"http://site{k % 9}.good.net/{'win' if k % 2 else 'en'}/{500 + k}.html") for k in range(120)]
-    new = [(3000, "http://casino99.spam.net/win/77777"), (3001, "http://site1.good.net/win/88888"), (3002, "http://casino1.spam.net/en/1/")]
+    new = [(3000, "http://casino99.spam.net/win/77777"), (3001, "http://site1.good.net/win/88888.html"), (3002, "http://casino1.spam.net/en/1/")]
     pages = spark.createDataFrame([(*r, "p", "h", "v") for r in odd + bad + good + new], "page_id long, url string, path string, host string, rule string")
     labels = [(k, 0, None) for k in range(58)] + [(k, 1, 1) for k in (58, 59)] + [(500 + k, 1, 0) for k in range(120)] + [(None, 0, 1), (7, None, None)]
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
