@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindlewave.llm.common import hashed_sample, runs, stored, utf8
-from spindlewave.llm.shingles import shingle_sets, words
+from spindlewave.llm.shingles import sets_of, sorted_within, words
 
-RUN = 1 << 20  # bytes of text handled at once
+RUN = 1 << 18  # bytes of text handled at once
 SAMPLE = 20_000  # labelled documents that trees are grown on
 TREES, DEPTH, BINS, RATE, RIDGE, LEAST = 80, 4, 64, 0.15, 1.0, 5
 FOLDS = 5  # labels are learned from the documents whose checksum modulo this is not 0
@@ -54,9 +54,13 @@ def statistics(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     size = np.diff(starts).astype(float)
     kind = CLASS[data]
 
+    filled = np.flatnonzero(size > 0)
+
     def per_text(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags)])
-        return (total[starts[1:]] - total[starts[:-1]]).astype(float)
+        found = np.zeros(n)
+        if len(filled):
+            found[filled] = np.add.reduceat(flags, starts[filled], dtype=np.int32)
+        return found
 
     def share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.where(b > 0, a / np.maximum(b, 1), 0.0)
@@ -80,18 +84,12 @@ def statistics(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if len(hashes) > 1:
         same_next[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
 
-    singles, single_cut = shingle_sets(data, starts, 1)
-    pairs, pair_cut = shingle_sets(data, starts, 2)
-    del singles, pairs
+    _, pair_cut = sets_of(hashes, owner, n, 2)
     # How often a text's commonest word occurs: runs of equal hashes within each text.
-    order = np.lexsort((hashes, owner))
-    h, o = hashes[order], owner[order]
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-    begin = np.flatnonzero(fresh)
-    repeats = np.diff(np.append(begin, len(h)))
+    begin = np.flatnonzero(sorted_within(hashes, owner, n))
+    distinct = np.bincount(owner[begin], minlength=n)
     commonest = np.zeros(n)
-    np.maximum.at(commonest, o[begin], repeats)
+    np.maximum.at(commonest, owner[begin], np.diff(np.append(begin, len(hashes))))
     begins, ends = np.flatnonzero(first), np.flatnonzero(last)
     longest = np.zeros(n)
     if len(begins):
@@ -106,7 +104,7 @@ def statistics(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         share(kinds[UPPER], inside), share(kinds[DIGIT], inside), share(kinds[BLANK], size), share(kinds[MARK], inside),
         share(kinds[SIGN], inside), share(kinds[FAR], inside), share(kinds[REST], inside),
         share(per_text(last & (kind == SIGN)), count), share(per_text(first & (kind == UPPER)), count),
-        share(np.diff(single_cut), count), share(np.diff(pair_cut), count),
+        share(distinct, count), share(np.diff(pair_cut), count),
         share(np.bincount(owner, weights=same_next, minlength=n), count), share(commonest, count),
         share(per_text(data == ord("|")), inside), share(per_text(data == ord(".")), count), kinds_of_sign,
     ]

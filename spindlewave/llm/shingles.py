@@ -65,8 +65,11 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The members of all sets, sorted within each text, and the n + 1 places where sets start."""
-    n = len(starts) - 1
-    hashes, text = words(data, starts)
+    return sets_of(*words(data, starts), len(starts) - 1, width)
+
+
+def sets_of(hashes: np.ndarray, text: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the words of n texts."""
     count = np.bincount(text, minlength=n)
     begins = np.cumsum(count) - count
     # The hash of a whole short sequence is the shingle of fewer words.
@@ -81,12 +84,17 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.n
         found[more] = mix(found[more] + hashes[at[more] + step] + GOLDEN) * GOLDEN
     found = mix(found + steps.astype(np.uint64))
     owner = text[at]
-    number = np.bincount(owner, minlength=n)
-    cut = np.concatenate([[0], np.cumsum(number)])
-    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        if b - a > 1:
-            found[a:b].sort()
-    fresh = np.ones(len(found), bool)
-    fresh[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+    fresh = sorted_within(found, owner, n)
     sizes = np.bincount(owner[fresh], minlength=n)
     return found[fresh], np.concatenate([[0], np.cumsum(sizes)])
+
+
+def sorted_within(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Sort the values of each of n owners in place; returns where a value differs from the one before."""
+    cut = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        if b - a > 1:
+            values[a:b].sort()
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return fresh
