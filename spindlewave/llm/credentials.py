@@ -33,7 +33,7 @@ HEX = re.compile(rb"[0-9a-f]+")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 VALUE, ACCESS_SIZE, HEX_SIZE = 8, 16, 32  # least sizes
 
-RUN = 1 << 20  # bytes of text handled at once
+RUN = 1 << 19  # bytes of text handled at once
 CANDIDATE = 16  # least size of a run that is scored
 SAMPLE = 1000  # labelled credentials of a kind that an automaton is learned from
 LONGEST = 256  # longer ones are not learned from (all are scored)

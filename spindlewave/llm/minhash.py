@@ -27,7 +27,7 @@ from spindlewave.llm.common import dropped, mix, runs, stored, utf8
 from spindlewave.llm.components import EDGE, components, forest
 from spindlewave.llm.shingles import GOLDEN, shingle_sets
 
-RUN = 1 << 20  # bytes of text handled at once in a task
+RUN = 1 << 19  # bytes of text handled at once in a task
 LEADERS = 8  # orders of leaders among the bands
 CELL = 100_000  # shingles on either side of one block, on average
 ROW = 100  # what a set counts for in a block besides its shingles
@@ -69,7 +69,7 @@ def superminhash(members: np.ndarray, cut: np.ndarray, size: int) -> np.ndarray:
         going = open_sets[owner]
         if order is None:
             members, owner, pick = members[going], owner[going], pick[going]
-            order = np.tile(np.arange(size, dtype=np.uint16), (len(members), 1))
+            order = np.tile(np.arange(size, dtype=np.uint8 if size <= 256 else np.uint16), (len(members), 1))
             order[np.arange(len(members)), pick] = 0
         elif going.mean() < 0.8:
             members, owner, order = members[going], owner[going], order[going]
