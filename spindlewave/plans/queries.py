@@ -33,7 +33,7 @@ DELAY = 2 * HOUR
 
 # Micro-batches of a replay, partitions of its state, and the value of late readings.
 SLICES = 4
-STATE_PARTITIONS = 8
+STATE_PARTITIONS = 4
 LATE_DATA = 999.0
 
 Run = Callable[[SparkSession, str], DataFrame]
