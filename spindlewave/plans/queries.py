@@ -243,6 +243,12 @@ def union_sources(spark, sf_dir):
     )
 
 
+def positional_rename(spark, sf_dir):
+    """Columns named by their position."""
+    rows = readings(spark, sf_dir).select("id", "axis", "data", "event_time", "state")
+    return shown(rows.toDF("machine", "sensor", "measured", "moment", "wear"))
+
+
 def csv_sensor_roundtrip(spark, sf_dir):
     rows = readings(spark, sf_dir).select("id", "axis", "data", "event_time", "state")
     paths = reading_sources.write_csv(rows, work_dir(spark, "sensor-csv"))
@@ -379,7 +385,7 @@ def model_fit_predict(spark, sf_dir):
 
 
 def ask_by_rule(text: str) -> str:
-    """Stands in for a model server: the class from the mean of ``x_avg``'s sign and spread."""
+    """Stands in for a model server: the class from the spread of the X axis, as ``rule_code``."""
     import json
 
     request = json.loads(text)
@@ -483,6 +489,7 @@ QUERIES: dict[str, Run] = {
         sql_count_udaf,
         grouped_count_udaf,
         union_sources,
+        positional_rename,
         csv_sensor_roundtrip,
         feature_table_scan,
         stream_hop_features,
@@ -591,6 +598,9 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "union_sources": f"WITH {oracle.wear_data()} SELECT axis, count(*) AS n, "
         "round(sum(data), 6) + 0.0 AS total, round(max(data), 6) + 0.0 AS top "
         "FROM wear_data GROUP BY axis",
+        "positional_rename": f"WITH {oracle.wear_data()} "
+        "SELECT id AS machine, axis AS sensor, round(data, 6) + 0.0 AS measured, event_time AS moment, "
+        "state AS wear FROM wear_data",
         "csv_sensor_roundtrip": f"WITH {oracle.wear_data()} "
         "SELECT id, axis, round(data, 6) + 0.0 AS data, "
         "date_trunc('millisecond', event_time) AS event_time, state FROM wear_data",
