@@ -10,8 +10,10 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from spindlewave.llm import credentials, mixing, quality, queries, url_rules, warc
+from spindlewave.llm.common import hashed_sample
 from spindlewave.session import work_dir
 from tests.llm.conftest import odd_rows, row, rows_of
 
@@ -92,6 +94,15 @@ def test_redaction_of_odd_rows(odd_docs, no_docs):
     assert credentials.replaced("abcdef", [(0, 0, 2), (2, 0, 4)], "*") == "**ef"
 
 
+def test_samples_are_bounded_and_repeat(spark):
+    rows = spark.range(5000).withColumn("x", F.col("id") % 700)
+    sample = [r["id"] for r in hashed_sample(rows, ["id"], 300).collect()]
+    assert len(sample) == len(set(sample)) == 300
+    assert sample == [r["id"] for r in hashed_sample(rows.repartition(9), ["id"], 300).collect()]
+    assert hashed_sample(rows, ["id"], 9000).count() == 5000
+    assert hashed_sample(rows.limit(0), ["id"], 9).count() == 0
+
+
 def test_automaton_merges_states():
     random = np.random.default_rng(1)
     values = [("".join(random.choice(list("0123456789abcdef"), 40)).encode(), 1) for _ in range(300)]
