@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindlewave.llm import credentials, minhash, mixing, packing, quality, queries
-from spindlewave.llm.common import stored, table
+from spindlewave.llm.common import small_batches, stored, table
 
 
 #: Names that the mixing gives to columns of its own; documents may have them too.
@@ -15,6 +15,7 @@ MIXED = ("topic", "tokens", "probability", "sampled")
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier does not reject."""
+    small_batches(spark)
     trees = quality.learn(docs, table(spark, sf_dir, "labels"))
     found = quality.scored(docs, trees, threshold=0.3, keep=[*docs.columns])
     return found.where("predicted = 1").select(*docs.columns)
@@ -26,6 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows with the same doc_id the one with the smallest text stays; rows without an
     id stay.
     """
+    small_batches(spark)
     found = stored(minhash.near_duplicates(docs, width=5, percent=80).select("doc_id", "kept"), "near-duplicates")
     gone = found.where("not kept").select(F.col("doc_id").alias("__gone"))
     rows = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
@@ -42,6 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with every secret replaced by a mark."""
+    small_batches(spark)
     return credentials.redacted(docs, credentials.learn(docs))
 
 
@@ -55,6 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every token piece in sequences of 4096."""
+    small_batches(spark)
     return packing.pack_documents(docs, queries.tokenizer(), queries.CAPACITY, queries.END)
 
 

@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 from spindlewave.session import work_dir
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let texts travel to Python in batches of 8 MB.
+
+    Executors hold a batch several times, outside the heap and in the workers; Spark's
+    64 MB are more than small executors can spare.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -386,20 +386,22 @@ def redacted(docs: DataFrame, model: Model, mark: str = "[SECRET]") -> DataFrame
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            changed: dict[int, str] = {}
-            for a, _, scan in scans(texts):
-                for text, spans in scan.characters([*scan.base, *scan.formats(shared.value)]).items():
-                    changed[a + text] = replaced(texts[a + text].as_py(), spans, mark)
-            if changed:
-                columns = {name: batch.column(name) for name in names}
-                columns["text"] = pa.array([changed.get(i, None) if i in changed else v for i, v in enumerate(texts.to_pylist())], texts.type)
-                if "n_chars" in columns:
-                    sizes = columns["n_chars"]
-                    values = [len(changed[i]) if i in changed else v for i, v in enumerate(sizes.to_pylist())]
-                    columns["n_chars"] = pa.array(values, sizes.type)
-                batch = pa.RecordBatch.from_arrays(list(columns.values()), names)
-            yield batch
+            for a, b, scan in scans(batch.column("text")):
+                part = batch.slice(a, b - a)
+                found = scan.characters([*scan.base, *scan.formats(shared.value)])
+                if found:
+                    columns = {name: part.column(name) for name in names}
+                    texts = columns["text"].to_pylist()
+                    for text, spans in found.items():
+                        texts[text] = replaced(texts[text], spans, mark)
+                    columns["text"] = pa.array(texts, columns["text"].type)
+                    if "n_chars" in columns:
+                        sizes = columns["n_chars"].to_pylist()
+                        for text in found:
+                            sizes[text] = len(texts[text])
+                        columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+                    part = pa.RecordBatch.from_arrays(list(columns.values()), names)
+                yield part
 
     return docs.mapInArrow(clean, schema)
 

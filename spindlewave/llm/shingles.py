@@ -34,7 +34,7 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse, kept by the worker for the longest run so far."""
     kept = vars(sys.modules.setdefault("_kept_powers", types.ModuleType("_kept_powers")))
     if len(kept.get("up", ())) < size:
-        size = max(size, 1 << 20)
+        size = max(size, 1 << 19)
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1

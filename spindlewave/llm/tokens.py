@@ -25,7 +25,7 @@ from spindlewave.llm.common import mix, runs, utf8
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 RUN = 1 << 18  # bytes of text handled at once
-KEPT = 1_500_000  # segments in a worker's memory; it begins anew when there are more
+KEPT = 1_000_000  # segments in a worker's memory; it begins anew when there are more
 TOGETHER = 500  # new segments encoded in one call
 
 SPACE, LETTER, DIGIT, PUNCTUATION, OTHER = range(5)
@@ -163,7 +163,7 @@ class Memory:
         self.size = new
         if 2 * new > self.slots:
             while 2 * new > self.slots:
-                self.slots *= 4
+                self.slots *= 2
             old = np.flatnonzero(self.first)
             names, entry = self.first[old], self.entry[old]
             self.first = np.zeros(self.slots, np.uint64)
