@@ -175,7 +175,7 @@ def packed(numbers: np.ndarray) -> bytes:
     import zstandard
 
     size = numbers.dtype.itemsize
-    data = numbers.view(np.uint8).reshape(-1, size).T.tobytes()
+    data = b"".join((numbers >> (8 * k)).astype(np.uint8).tobytes() for k in range(size))
     return bytes([size]) + zstandard.ZstdCompressor(level=1).compress(data)
 
 
@@ -184,10 +184,13 @@ def unpacked(column: pa.Array) -> Iterator[np.ndarray]:
 
     decompressor = zstandard.ZstdDecompressor()
     for value in column:
-        data = value.as_buffer().to_pybytes()
+        data = memoryview(value.as_buffer())
         size = data[0]
         rows = np.frombuffer(decompressor.decompress(data[1:]), np.uint8).reshape(size, -1)
-        yield rows.T.copy().view(f"<u{size}").reshape(-1)
+        found = rows[0].astype(f"<u{size}")
+        for k in range(1, size):
+            found |= rows[k].astype(found.dtype) << (8 * k)
+        yield found
 
 
 def count_symbols(ids: DataFrame) -> np.ndarray:
