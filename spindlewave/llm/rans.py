@@ -212,7 +212,7 @@ def count_symbols(ids: DataFrame) -> np.ndarray:
 
 
 def write_blocks(
-    ids: DataFrame, path: str, *, block_tokens: int = 1 << 19, lanes: int = 1024, every: int = 128
+    ids: DataFrame, path: str, *, block_tokens: int = 1 << 19, lanes: int = 1024, every: int = 256
 ) -> None:
     """Write the files. ``ids`` is a stored ``token_table``: it is read more than once.
 
