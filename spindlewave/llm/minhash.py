@@ -260,16 +260,20 @@ def near_duplicates(
     classes = linked.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     classes = stored(classes.withColumnRenamed("set_key", "of_key"), "classes")
 
-    # One row per class and band, in buckets with at least two classes.
+    # One row per class and band. Most buckets hold one class, so only their keys are counted
+    # before rows are left out; all that follows is small.
     stands = linked.join(classes, (F.col("set_key") == F.col("of_key")) & (F.col("doc_id") == F.col("node")))
-    rows_ = stands.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    placed = stands.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    several = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = placed.join(several.select(F.col("bucket").alias("of")), F.col("bucket") == F.col("of"), "left_semi")
+    met = stored(met, "met")
     order = F.xxhash64("node", F.col("band") % LEADERS)
-    heads = rows_.groupBy("bucket").agg(
+    heads = met.groupBy("bucket").agg(
         F.min("node").alias("one"), F.max("node").alias("other"), F.min_by("node", order).alias("head"),
         F.count(F.lit(1)).alias("size"), F.sum(F.col("n_shingles") + ROW).alias("weight"),
     ).where("one < other")
     heads = heads.select(F.col("bucket").alias("of"), "head", "size", "weight")
-    buckets = stored(rows_.join(heads, F.col("bucket") == F.col("of")).drop("of", "band"), "buckets")
+    buckets = stored(met.join(heads, F.col("bucket") == F.col("of")).drop("of", "band"), "buckets")
 
     ids = buckets.select("node").distinct()
     sets = stored(full_sets(docs, ids, width), "sets")
@@ -307,7 +311,7 @@ def near_duplicates(
     own = linked.join(several.select(F.col("doc_id").alias("of")), F.col("doc_id") == F.col("of"))
     own = own.join(classes, F.col("set_key") == F.col("of_key")).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     roots = components(roots.toDF("u", "v").union(more).union(own))
-    dropped(buckets, sets, links, more)
+    dropped(met, buckets, sets, links, more)
 
     found = base.select("doc_id", "n_shingles", "set_key")
     found = found.join(classes, F.col("set_key") == F.col("of_key"), "left")
