@@ -28,6 +28,8 @@ AXES = 3  # of the grid; a unit vector has at most (2 / reach + 2) ** 3 cells
 TILE = 4096
 ROWS = 512  # of a tile, against all of another, at once
 SPARSE = 0.02  # share of pairs below which they are listed one by one
+FIRST = 0.1  # what the axes must leave the bound below the threshold, on average, to be worth a stop
+ROUGH = 1e-4  # more than single precision can err
 CLOSE = 1e-9  # nearer to the threshold than this, the cosine of the given vectors decides
 LISTED = 50_000  # pairs whose vectors are laid side by side at once
 
@@ -79,36 +81,59 @@ def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:
 def linked(
     a: np.ndarray, b: np.ndarray, turned_a: np.ndarray, turned_b: np.ndarray, least: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) of unit vectors a[i], b[j] whose cosine is at least ``least``, in runs."""
+    """Places (i, j) of unit vectors a[i], b[j] whose cosine is at least ``least``, in runs.
+
+    The bound after some axes is itself a product: of the leading components and, as one
+    more, the length of the rest. It is taken in single precision with a margin for
+    that; what survives goes on in double precision.
+    """
     dim = a.shape[1]
     ends = stops(dim)
     rest_a = np.stack([np.sqrt((turned_a[:, e:] ** 2).sum(axis=1)) for e in ends])
     rest_b = np.stack([np.sqrt((turned_b[:, e:] ** 2).sum(axis=1)) for e in ends])
+    # Axes that leave nearly everything open drop no pairs: begin behind them.
+    left = rest_a.mean(axis=1) * rest_b.mean(axis=1)
+    first = int(np.argmax(left <= least - FIRST))
+    bounds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def bound(k: int) -> tuple[np.ndarray, np.ndarray]:
+        if k not in bounds:
+            sides = ((turned_a, rest_a[k]), (turned_b, rest_b[k]))
+            bounds[k] = tuple(np.column_stack([x[:, : ends[k]], r]).astype(np.float32) for x, r in sides)
+        return bounds[k]
+
+    def products(i: np.ndarray, j: np.ndarray, begin: int, end: int) -> np.ndarray:
+        found = np.empty(len(i))
+        for x in range(0, len(i), LISTED):
+            y = slice(x, x + LISTED)
+            found[y] = np.einsum("nd,nd->n", turned_a[i[y], begin:end], turned_b[j[y], begin:end])
+        return found
+
     for row in range(0, len(a), ROWS):
-        top, product, i, j, begin = slice(row, row + ROWS), None, None, None, 0
-        for k, end in enumerate(ends):
-            if i is None:
-                part = turned_a[top, begin:end] @ turned_b[:, begin:end].T
-                product = part if product is None else product + part
-                alive = product + rest_a[k, top, None] * rest_b[k] >= least - CLOSE
-                if np.count_nonzero(alive) <= SPARSE * alive.size or end == dim:
-                    i, j = np.nonzero(alive)
-                    product, i = product[i, j], i + row
-            else:
-                for x in range(0, len(i), LISTED):
-                    y = slice(x, x + LISTED)
-                    product[y] += np.einsum("nd,nd->n", turned_a[i[y], begin:end], turned_b[j[y], begin:end])
-                alive = product + rest_a[k, i] * rest_b[k, j] >= least - CLOSE
-                product, i, j = product[alive], i[alive], j[alive]
-            begin = end
-            if i is not None and not len(i):
+        top, k = slice(row, row + ROWS), first
+        while ends[k] < dim:
+            own, other = bound(k)
+            may = own[top] @ other.T >= np.float32(least - ROUGH)
+            if np.count_nonzero(may) <= SPARSE * may.size:
                 break
-        unsure = np.flatnonzero(np.abs(product - least) <= CLOSE) if len(i) else np.zeros(0, int)
-        if len(unsure):
-            for x in range(0, len(unsure), LISTED):
-                y = unsure[x : x + LISTED]
-                product[y] = np.einsum("nd,nd->n", a[i[y]], b[j[y]])
-        sure = product >= least if len(i) else np.zeros(0, bool)
+            k += 1
+        if ends[k] < dim:
+            i, j = np.nonzero(may)
+            i += row
+            product = products(i, j, 0, ends[k])
+        else:
+            whole = turned_a[top] @ turned_b.T
+            i, j = np.nonzero(whole >= least - CLOSE)
+            product, i = whole[i, j], i + row
+        for begin, end, at in zip(ends[k:], ends[k + 1 :], range(k + 1, len(ends)), strict=False):
+            product = product + products(i, j, begin, end)
+            alive = product + rest_a[at, i] * rest_b[at, j] >= least - CLOSE
+            product, i, j = product[alive], i[alive], j[alive]
+        unsure = np.flatnonzero(np.abs(product - least) <= CLOSE)
+        for x in range(0, len(unsure), LISTED):
+            y = unsure[x : x + LISTED]
+            product[y] = np.einsum("nd,nd->n", a[i[y]], b[j[y]])
+        sure = product >= least
         if sure.any():
             yield i[sure], j[sure]
 
