@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindlewave.llm.common import dropped, stored, unit
 
 SWEEPS, CLOSE = 20, 1e-12  # over all margins; change of a weight at which fitting ends
 RESCALES = 8  # to make up for cells that have too few tokens
-BROADCAST = 100_000  # cells up to which they are sent to every executor
+FEW = 100_000  # cells up to which one task rakes them, and they are sent to every executor
 
 
 @dataclass(frozen=True)
@@ -92,19 +92,23 @@ def rake(cells: DataFrame, margins: list[Margin]) -> DataFrame:
     ``cells`` has the margins' columns and tokens ``__t``. Values and cells without
     tokens keep the weight 0.
     """
+    for k, margin in enumerate(margins):
+        goal = targets(cells, margin).toDF("__v", f"__g{k}")
+        cells = cells.join(goal, cells[margin.column].eqNullSafe(goal["__v"]), "left").drop("__v")
     cells = stored(cells.withColumn("__w", F.col("__t").cast("double")), "cells")
-    goals = [stored(targets(cells, margin), "targets") for margin in margins]
-    names = [*cells.columns]
+    names = cells.columns[:-1]
+    few = cells.count() <= FEW
     for _ in range(SWEEPS):
-        now = cells.withColumn("__f", F.lit(0.0))
-        for margin, goal in zip(margins, goals, strict=True):
-            sums = now.groupBy(F.col(margin.column).alias("__value")).agg(F.sum("__w").alias("__s"))
-            sums = sums.join(goal, sums["__value"].eqNullSafe(goal["__v"]))
-            sums = sums.select("__value", (F.col("__target") / F.col("__s")).alias("__x"))
-            now = now.join(sums, now[margin.column].eqNullSafe(sums["__value"]), "left")
-            factor = F.coalesce("__x", F.lit(1.0))
+        now = (cells.coalesce(1) if few else cells).withColumn("__f", F.lit(0.0))
+        for k, margin in enumerate(margins):
+            if few:  # in one task, without an exchange
+                now = now.withColumn("__s", F.sum("__w").over(Window.partitionBy(margin.column)))
+            else:
+                sums = now.groupBy(F.col(margin.column).alias("__value")).agg(F.sum("__w").alias("__s"))
+                now = now.join(sums, now[margin.column].eqNullSafe(sums["__value"]))
+            factor = F.coalesce(F.col(f"__g{k}") / F.nullif(F.col("__s"), F.lit(0.0)), F.lit(1.0))
             now = now.select(
-                *names[:-1], (F.col("__w") * factor).alias("__w"), F.greatest("__f", F.abs(factor - 1)).alias("__f")
+                *names, (F.col("__w") * factor).alias("__w"), F.greatest("__f", F.abs(factor - 1)).alias("__f")
             )
         now = stored(now, "raked")
         change = now.agg(F.max("__f")).first()[0]
@@ -112,7 +116,7 @@ def rake(cells: DataFrame, margins: list[Margin]) -> DataFrame:
         cells = now.drop("__f")
         if change is None or change < CLOSE:
             break
-    return cells
+    return cells.drop(*[f"__g{k}" for k in range(len(margins))])
 
 
 def probabilities(cells: DataFrame, keep: float) -> DataFrame:
@@ -154,7 +158,7 @@ def mixed(rows: DataFrame, margins: list[Margin], keep: float = 0.7) -> DataFram
     cells = rows.groupBy(*names).agg(F.sum("tokens").alias("__t"))
     cells = probabilities(rake(cells, margins), keep)
     cells = cells.select(*(F.col(name).alias(f"__{name}") for name in names), "__p")
-    if cells.count() <= BROADCAST:
+    if cells.count() <= FEW:
         cells = F.broadcast(cells)
     found = rows.join(cells, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in names], "left")
     found = found.withColumn("probability", F.col("__p")).drop("__p", *(f"__{name}" for name in names))

@@ -209,7 +209,9 @@ def test_mixing(spark, odd_docs, no_docs):
     assert mixing.mixed(mixing.described(no_docs), margins).count() == 0
 
 
-def test_margins_are_met(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_margins_are_met(spark, monkeypatch, few):
+    monkeypatch.setattr(mixing, "FEW", few)
     random = np.random.default_rng(0)
     rows = [(k, "w " * int(random.integers(1, 50)), "abc"[min(2, int(random.integers(4)))], ["x", "y", None][k % 3]) for k in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
