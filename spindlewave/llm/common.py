@@ -30,9 +30,13 @@ def stored(df: DataFrame, name: str, *, compression: str = "zstd") -> DataFrame:
     Used where rows are read more than once: lost executors cost no recomputation,
     and the lineage ends here.
     """
-    path = work_dir(df.sparkSession, name)
+    spark = df.sparkSession
+    path = work_dir(spark, name)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Spark removes the shuffle files of a finished job when its plan is collected as
+    # garbage; without a word they stay on the executors' disks for up to half an hour.
+    spark._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(*frames: DataFrame) -> None:

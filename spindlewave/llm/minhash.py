@@ -270,28 +270,34 @@ def near_duplicates(
     order = F.xxhash64("node", F.col("band") % LEADERS)
     heads = met.groupBy("bucket").agg(
         F.min("node").alias("one"), F.max("node").alias("other"), F.min_by("node", order).alias("head"),
-        F.count(F.lit(1)).alias("size"), F.sum(F.col("n_shingles") + ROW).alias("weight"),
+        F.min_by("n_shingles", order).alias("head_n"), F.count(F.lit(1)).alias("size"),
+        F.sum(F.col("n_shingles") + ROW).alias("weight"),
     ).where("one < other")
-    heads = heads.select(F.col("bucket").alias("of"), "head", "size", "weight")
+    heads = heads.select(F.col("bucket").alias("of"), "head", "head_n", "size", "weight")
     buckets = stored(met.join(heads, F.col("bucket") == F.col("of")).drop("of", "band"), "buckets")
 
     ids = buckets.select("node").distinct()
     sets = stored(full_sets(docs, ids, width), "sets")
-    pairs = buckets.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
+    near = F.least("n_shingles", "head_n") * 100 >= F.greatest("n_shingles", "head_n") * percent
+    pairs = buckets.where(near & (F.col("node") != F.col("head")))
+    pairs = pairs.select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
     pairs = pairs.join(sets.toDF("__u", "a"), F.col("u") == F.col("__u"))
     pairs = pairs.join(sets.toDF("__v", "b"), F.col("v") == F.col("__v"))
-    near = F.least(F.length("a"), F.length("b")) * 100 >= F.greatest(F.length("a"), F.length("b")) * percent
-    links = stored(confirm(pairs.where(near), percent), "star")
+    links = stored(confirm(pairs, percent), "star")
     roots = components(links)
 
-    # Buckets that still hold several components.
-    grouped = buckets.where("size > 2").join(roots.toDF("of", "root"), F.col("node") == F.col("of"), "left")
-    grouped = grouped.select("bucket", "node", "size", "weight", F.coalesce("root", "node").alias("root"))
+    # Buckets that still hold several components, without their leaders, which have met all.
+    grouped = buckets.where("size > 2 and node <> head").join(roots.toDF("of", "root"), F.col("node") == F.col("of"), "left")
+    grouped = grouped.select("bucket", "node", "n_shingles", "size", "weight", F.coalesce("root", "node").alias("root"))
     per_root = grouped.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_root.groupBy("bucket").agg(
         F.max_by("root", F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.max("n").alias("most")
     ).where("all > most").select(F.col("bucket").alias("of"), "top", (F.col("all") - F.col("most")).alias("few"))
-    open_rows = grouped.join(mixed, F.col("bucket") == F.col("of")).drop("of")
+    open_rows = stored(grouped.join(mixed, F.col("bucket") == F.col("of")).drop("of"), "open")
+    few = open_rows.where("root <> top").groupBy(F.col("bucket").alias("of"))
+    few = few.agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    near = (F.col("n_shingles") * 100 >= F.col("least") * percent) & (F.col("n_shingles") * percent <= F.col("most") * 100)
+    others = open_rows.join(few, F.col("bucket") == F.col("of")).where(near)
     chunks = F.ceil(F.col("weight") / CELL).cast("int")
     parts = F.ceil(F.col("weight") * F.col("few") / F.col("size") / CELL).cast("int")
     chunk, part = F.pmod(F.xxhash64("node"), chunks), F.pmod(F.xxhash64("node"), parts)
@@ -299,7 +305,7 @@ def near_duplicates(
     def every(n):
         return F.explode(F.sequence(F.lit(0), n - 1))
 
-    right = open_rows.select("bucket", chunk.cast("int").alias("chunk"), every(parts).alias("part"), F.lit(1).alias("side"), "node")
+    right = others.select("bucket", chunk.cast("int").alias("chunk"), every(parts).alias("part"), F.lit(1).alias("side"), "node")
     left = open_rows.where("root <> top").select("bucket", every(chunks).alias("chunk"), part.cast("int").alias("part"), F.lit(0).alias("side"), "node")
     cells = left.union(right).join(sets.toDF("of", "members"), F.col("node") == F.col("of")).drop("of")
     cells = cells.repartition("bucket", "chunk", "part").sortWithinPartitions("bucket", "chunk", "part", "side")
@@ -311,7 +317,7 @@ def near_duplicates(
     own = linked.join(several.select(F.col("doc_id").alias("of")), F.col("doc_id") == F.col("of"))
     own = own.join(classes, F.col("set_key") == F.col("of_key")).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     roots = components(roots.toDF("u", "v").union(more).union(own))
-    dropped(met, buckets, sets, links, more)
+    dropped(met, buckets, open_rows, sets, links, more)
 
     found = base.select("doc_id", "n_shingles", "set_key")
     found = found.join(classes, F.col("set_key") == F.col("of_key"), "left")
