@@ -228,6 +228,37 @@ def test_margins_are_met(spark, monkeypatch, few):
     assert found["tokens"][found["sampled"]].sum() / total == pytest.approx(0.4, abs=0.04)
 
 
+def test_margins_are_met_by_cells_with_few_tokens(spark):
+    random = np.random.default_rng(1)
+    # Of source a, lang z is rare; raked without bounds it would have to give more than it has.
+    rows = [(k, "w " * int(random.integers(1, 50)), "aab"[k % 3], "z" if random.random() < (0.1 if k % 3 < 2 else 0.6) else "y") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    described = mixing.described(docs)
+    margins = [mixing.Margin("source", shares={"a": 0.75, "b": 0.25}), mixing.Margin("lang", shares={"y": 0.72, "z": 0.28})]
+    found = mixing.mixed(described, margins, keep=0.7)
+    shares = mixing.reached(found, margins).toPandas()
+    assert shares["reached"].tolist() == pytest.approx(shares["target"].tolist(), abs=1e-6)
+    held = found.toPandas()
+    assert (held["probability"] == 1).any() and held["probability"].max() == 1
+    assert (held["tokens"] * held["probability"]).sum() / held["tokens"].sum() == pytest.approx(0.7, abs=1e-6)
+    picked = held[held["sampled"]]
+    for margin in margins:
+        sampled = picked["tokens"].groupby(picked[margin.column]).sum() / picked["tokens"].sum()
+        goal = shares[shares["margin"] == margin.column].set_index("value")["target"]
+        assert sampled.to_dict() == pytest.approx(goal.to_dict(), abs=0.03)
+    loose = mixing.reached(mixing.mixed(described, margins, 0.7, bounded=False), margins).toPandas()
+    assert abs(loose["reached"] - loose["target"]).max() > 1e-3
+
+
+def test_impossible_targets_are_met_as_far_as_tokens_go(spark):
+    rows = [(k, "w " * 10, "s", "z" if k % 10 == 0 else "xy"[k % 2]) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    margins = [mixing.Margin("lang", shares={"x": 2, "y": 1, "z": 1})]
+    shares = mixing.reached(mixing.mixed(mixing.described(docs), margins, keep=0.7), margins).toPandas()
+    found = shares.set_index("value")["reached"]  # z has a tenth of the tokens; x and y share the rest two to one
+    assert found.to_dict() == pytest.approx({"x": 0.4 / 0.7, "y": 0.2 / 0.7, "z": 0.1 / 0.7}, abs=1e-6)
+
+
 def test_urls(spark):
     odd = [
         (1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, "HTTP://WWW.Example.ORG/en/1x?y#z"), (6, "http://org"),
