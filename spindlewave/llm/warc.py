@@ -24,16 +24,19 @@ VERSION = "WARC/1.1"
 END = "\r\n\r\n"  # behind every record
 DATE = "2024-01-01T00:00:00Z"  # of responses whose capture time is not known
 
-#: Elements whose content is no text, and elements that begin a new line.
-HIDDEN = "script|style|template|noscript|textarea|svg|head"
+#: Elements whose content is no text, and elements that begin a new line. A head hides
+#: nothing of its own: its end may be left out, and only its title is text.
+HIDDEN = "script|style|template|noscript|textarea|svg|title"
+TO_END = {"!", "script", "style", "template", "textarea", "title"}  # without an end (! is a comment) the page ends in them
 BLOCKS = (
     "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|"
     "nav|ol|p|pre|section|table|td|th|tr|ul"
 )
 TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|$)", re.I | re.S)
 LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-COMMENT = re.compile(r"<!--.*?(?:-->|$)", re.S)
-UNSEEN = re.compile(rf"<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|$)", re.I | re.S)
+UNSEEN = re.compile(rf"<!--|<({HIDDEN})(?=[\s/>])[^>]*>", re.I)
+CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in HIDDEN.split("|")}
+CLOSING["!"] = re.compile(r"-->|(?<!<!)--!>")
 BREAK = re.compile(rf"</?(?:{BLOCKS})\b[^>]*>", re.I)
 TAG = re.compile(r"</?[A-Za-z!?][^>]*(?:>|$)")
 BLANKS = re.compile(r"[^\S\n]+")
@@ -49,9 +52,25 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def shown(page: str) -> str:
+    """The page with a blank for each comment and hidden element, whichever begins first."""
+    parts, at, place, open_ = [], 0, 0, set()
+    while found := UNSEEN.search(page, place):
+        name, place = (found[1] or "!").lower(), found.end()
+        if name in open_ or (name == "svg" and found[0].endswith("/>")):
+            continue
+        end = CLOSING[name].search(page, place if found[1] else place - 2)  # <!--> is a whole comment
+        if end is None and name not in TO_END:
+            open_.add(name)  # ends before what follows; only its tag goes
+            continue
+        parts.append(page[at : found.start()])
+        at = place = len(page) if end is None else end.end()
+    return " ".join([*parts, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """The visible text, a line for each block: hidden elements go, entities are resolved."""
-    page = UNSEEN.sub(" ", COMMENT.sub(" ", page))
+    page = shown(page)
     page = html.unescape(TAG.sub("", BREAK.sub("\n", page.replace("\r", " ").replace("\n", " "))))
     lines = (BLANKS.sub(" ", line).strip() for line in page.split("\n"))
     return "\n".join(line for line in lines if line)

@@ -321,6 +321,31 @@ def test_plain_text(spark):
     assert warc.plain_text("<p>a<br>b &lt;c&gt; &amp;amp; 1 < 2 <!-- x --><script>y</script>z<style>") == "a\nb <c> &amp; 1 < 2 z"
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<html><head><title>x</title><body><p>All the text</p></body></html>", "All the text"),
+        ("<head><title>x</title><meta charset=utf-8><script>s</script><p>one<p>two", "one\ntwo"),
+        ("<title>x</title><p>no head", "no head"),
+        ("<p>a<script>var s = '<!-- no comment';</script><p>b", "a\nb"),
+        ("<style>/* <!-- */</style>b<!-- <script> -->c", "b c"),
+        ("a<!-->b<!--->c<!-- x --!>d", "a b c d"),
+        ("<p>a<noscript>b<p>c", "ab\nc"),
+        ("<p>a<svg width=1><path d=x><p>c", "a\nc"),
+        ("a<svg/>b<svg><title>t</title>c</svg>d", "ab d"),
+        ("<title-bar>a</title-bar><script>x</script >b</SCRIPT y>", "a b"),
+        ("a<script>b<p>c", "a"),
+        ("a<!-- b<p>c", "a"),
+    ],
+)
+def test_plain_text_of_omitted_ends(page, text):
+    assert warc.plain_text(page) == text
+
+
+def test_many_open_elements():
+    assert warc.plain_text("<noscript>x<svg>" * 50_000).count("x") == 50_000
+
+
 def test_warc_records(spark, tmp_path):
     rows = [(1, "http://a/ b", "<html lang=fr><head><title>T &amp; x</title></head><body>é<p>x</body>"), (2, None, None), (None, "http://c", ""),
             (3, "http://d\r\nX: y", "a\r\n\r\nb"), (1, "http://a/ b", "again"), (4, "u", "<p>" + "long " * 50_000)]
