@@ -4,8 +4,9 @@ The values found by the known patterns are labelled credentials. Per kind, their
 tree over character classes is merged into a probabilistic automaton (ALERGIA: states
 whose outgoing frequencies agree by the Hoeffding bound become one). All long runs of
 credential characters are scored by these automata against a chain of classes counted
-over all other runs of the corpus; a run that fits a learned format is a span of kind
-``format``. Spans of the known patterns always stay.
+over all such runs of the corpus, without the known values; a run that fits a learned format is a span of kind
+``format``. So are the parts of a run that begin behind one of ``=/.`` and end with it or before the
+next of them, and the pieces of a run beside known credentials. Spans of the known patterns always stay.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 VALUE, ACCESS_SIZE, HEX_SIZE = 8, 16, 32  # least sizes
 
 RUN = 1 << 19  # bytes of text handled at once
-CANDIDATE = 16  # least size of a run that is scored
 SAMPLE = 1000  # labelled credentials of a kind that an automaton is learned from
 LONGEST = 256  # longer ones are not learned from (all are scored)
 ALPHA = 0.05  # of the Hoeffding bound
@@ -43,6 +43,7 @@ MARGIN = 8.0  # nats by which a format must beat the chain
 
 SYMBOLS = b"+/_.=-"
 N = 5 + len(SYMBOLS)  # classes
+PARTING = np.isin(np.arange(N + 1), [5 + SYMBOLS.index(c) for c in b"=/."])  # a value may begin behind these
 
 
 def _classes() -> np.ndarray:
@@ -196,12 +197,38 @@ def chain_counts(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray) ->
 
 
 def chain_scores(chain: np.ndarray, symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    starts = np.cumsum(sizes) - sizes
-    source = np.arange(int(sizes.sum())) + np.repeat(begins - starts, sizes)
-    run = symbols[source].astype(np.int64)
-    before = np.append(N, run[:-1])[: len(run)]
-    before[starts] = N
-    return np.add.reduceat(chain[before, run], starts) + chain[run[starts + sizes - 1], N]
+    """Log likelihood of each run by the chain; runs may overlap."""
+    ends = begins + sizes
+    upto = np.concatenate([[0.0], np.cumsum(chain[symbols[:-1], symbols[1:]])])
+    return chain[N, symbols[begins]] + upto[ends - 1] - upto[begins] + chain[symbols[ends - 1], N]
+
+
+def tails(
+    automaton: Automaton, symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray, marks: np.ndarray, owners: np.ndarray
+) -> np.ndarray:
+    """Log likelihood from each mark to the end of the run that owns it, all marks of a run at once.
+
+    Runs are read backwards with the likelihood of the rest from every state.
+    """
+    found = np.empty(len(marks))
+    order = np.argsort(-sizes, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    ends = (begins + sizes)[order]
+    far = ends[place[owners]] - marks
+    near = np.argsort(far, kind="stable")
+    cuts = np.searchsorted(far[near], np.arange(int(sizes.max(initial=0)) + 2))
+    after, log = np.where(automaton.step >= 0, automaton.step, 0).T.copy(), automaton.log.T.copy()
+    rest = np.tile(automaton.end, (len(order), 1))
+    alive = len(order)
+    for back in range(1, int(far.max(initial=0)) + 1):
+        while sizes[order[alive - 1]] < back:
+            alive -= 1
+        symbol = symbols[ends[:alive] - back]
+        rest[:alive] = log[symbol] + np.take_along_axis(rest[:alive], after[symbol], 1)
+        here = near[cuts[back] : cuts[back + 1]]
+        found[here] = rest[place[owners[here]], 0]
+    return found
 
 
 class Scan:
@@ -215,14 +242,16 @@ class Scan:
         joined[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(starts))] = data
         self.data, self.raw = joined, joined.tobytes()
         self.symbols = CLASS[joined]
-        self.begins, self.sizes = self._candidates()
+        self.begins, self.sizes = self._long(self.symbols, ACCESS_SIZE)
         self.base = sorted(self._base())  # (text, start, kind number, end), places in the run
 
-    def _candidates(self) -> tuple[np.ndarray, np.ndarray]:
-        other = np.flatnonzero(self.symbols == N)
+    @staticmethod
+    def _long(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Begins and sizes of the runs of at least so many credential characters."""
+        other = np.flatnonzero(symbols == N)
         borders = np.concatenate([[-1], other])
         sizes = np.diff(borders) - 1  # every text is followed by a line feed
-        long = np.flatnonzero(sizes >= CANDIDATE)
+        long = np.flatnonzero(sizes >= least)
         return borders[long] + 1, sizes[long]
 
     def text_of(self, place: int) -> int:
@@ -237,7 +266,7 @@ class Scan:
                 for match in ASSIGN.finditer(self.raw, a, b):
                     if match.end(2) - match.start(2) >= VALUE:
                         yield text, match.start(), 0, match.end()
-        # Matches of the other kinds lie within candidates.
+        # Matches of the other kinds lie within long runs.
         for a, size in zip(self.begins.tolist(), self.sizes.tolist(), strict=True):
             part = self.raw[a : a + size]
             if b"AKIA" in part:
@@ -255,28 +284,65 @@ class Scan:
             value = self.raw[start:end]
             yield KINDS[kind], ASSIGN.match(value).group(2) if kind == 0 else value
 
-    def unlabelled(self) -> np.ndarray:
-        """Numbers of the candidates that no known credential overlaps."""
-        if not self.base or not len(self.begins):
-            return np.arange(len(self.begins))
-        spans = np.array(sorted((start, end) for _, start, _, end in self.base))
-        reach = np.maximum.accumulate(spans[:, 1])
-        at = np.searchsorted(spans[:, 0], self.begins + self.sizes, "left") - 1
-        return np.flatnonzero((at < 0) | (reach[np.maximum(at, 0)] <= self.begins))
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        """Begins and sizes of the runs that the known credentials leave, from the least size of a value."""
+        free = self.symbols
+        if self.base:
+            free = free.copy()
+            for _, start, _, end in self.base:
+                free[start:end] = N
+        return self._long(free, VALUE)
 
     def formats(self, model: Model) -> Iterator[tuple[int, int, int, int]]:
-        """The other candidates that fit a learned format."""
-        rows = self.unlabelled()
-        if not len(rows) or not model.automata:
+        """The pieces that fit a learned format, and of the others the parts that do (the longest)."""
+        begins, sizes = self.pieces()
+        if not len(begins) or not model.automata:
             return
-        begins, sizes = self.begins[rows], self.sizes[rows]
-        chain = chain_scores(model.chain, self.symbols, begins, sizes)
-        fits = np.zeros(len(rows), bool)
-        for automaton in model.automata.values():
-            score = likelihood(automaton, self.symbols, begins, sizes)
-            fits |= (score / (sizes + 1) >= automaton.least) & (score - chain >= MARGIN)
-        for a, size in zip(begins[fits].tolist(), sizes[fits].tolist(), strict=True):
-            yield self.text_of(a), a, 3, a + size
+
+        def fitting(begins: np.ndarray, sizes: np.ndarray, scored) -> np.ndarray:
+            chain = chain_scores(model.chain, self.symbols, begins, sizes)
+            fits = np.zeros(len(begins), bool)
+            for automaton in model.automata.values():
+                score = scored(automaton, begins, sizes)
+                fits |= (score / (sizes + 1) >= automaton.least) & (score - chain >= MARGIN)
+            return fits
+
+        def whole(automaton: Automaton, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+            return likelihood(automaton, self.symbols, begins, sizes)
+
+        fits = fitting(begins, sizes, whole)
+        found = list(zip(begins[fits].tolist(), (begins + sizes)[fits].tolist(), strict=True))
+
+        ends = begins + sizes
+        cuts = np.flatnonzero(PARTING[self.symbols])
+        owners = np.searchsorted(begins, cuts, "right") - 1
+        inside = (owners >= 0) & (cuts < ends[owners]) & ~fits[owners]
+        cuts, owners = cuts[inside], owners[inside]
+        if len(cuts):
+            # From behind a cut to the end of the piece.
+            long = ends[owners] - cuts - 1 >= VALUE
+            marks, of = cuts[long] + 1, owners[long]
+            rows, of = np.unique(of, return_inverse=True)
+            good = fitting(
+                marks, ends[rows][of] - marks,
+                lambda automaton, marks, _: tails(automaton, self.symbols, begins[rows], sizes[rows], marks, of),
+            )
+            found += zip(marks[good].tolist(), ends[rows][of][good].tolist(), strict=True)
+            # From one cut, or the begin of the piece, to the next.
+            rows = np.unique(owners)
+            borders = np.sort(np.concatenate([begins[rows] - 1, cuts, ends[rows]]))
+            # A piece may end where the next begins, so its border stands there twice.
+            starts, stops = borders[:-1] + 1, borders[1:]
+            at = np.searchsorted(begins, starts, "right") - 1
+            real = (stops - starts >= VALUE) & (at >= 0) & (stops <= ends[at])
+            starts, stops = starts[real], stops[real]
+            good = fitting(starts, stops - starts, whole)
+            found += zip(starts[good].tolist(), stops[good].tolist(), strict=True)
+        reach = 0
+        for start, end in sorted(found, key=lambda span: (span[0], -span[1])):
+            if start >= reach:  # not within a longer one
+                yield self.text_of(start), start, 3, end
+                reach = end
 
     def characters(self, spans: list[tuple[int, int, int, int]]) -> dict[int, list[tuple[int, int, int]]]:
         """By text the spans (start, kind number, end) in code points of the text."""
@@ -301,7 +367,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn the formats from the credentials that the known patterns find in all texts.
 
     An automaton is learned from at most ``sample`` different credentials of a kind (the
-    first by hash), each weighted by how often it occurs; the chain from all candidate runs. Without
+    first by hash), each weighted by how often it occurs; the chain from all pieces. Without
     credentials of a kind there is no automaton for it.
     """
 
@@ -309,8 +375,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
         total = np.zeros((N + 1, N + 1), np.int64)
         for batch in batches:
             for _, _, scan in scans(batch.column("text")):
-                rows = scan.unlabelled()
-                total += chain_counts(scan.symbols, scan.begins[rows], scan.sizes[rows])
+                total += chain_counts(scan.symbols, *scan.pieces())
                 found = [(kind, value) for kind, value in scan.labelled() if len(value) <= LONGEST]
                 if found:
                     kinds, values = zip(*found, strict=True)

@@ -80,6 +80,44 @@ def test_formats_are_learned_and_redacted(spark):
     assert clean[3]["text"].startswith("some prose and [SECRET] more")
 
 
+def test_formats_within_runs_are_found(spark):
+    random = np.random.default_rng(2)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+
+    def key(groups=4):
+        part = lambda of: "".join(random.choice(of, 4))
+        return "-".join(part(letters if k % 2 else list("0123456789")) for k in range(groups))
+
+    known = [(k, f"some prose and secret = {key(3 if k % 2 else 4)} more {k}") for k in range(400)]
+    prose = [(1000 + k, "extraordinarily long words at www.example.com/path/of/pages/index.html?a=b 2024-01-01T00:00:00Z " * 3) for k in range(100)]
+    hexes, value = "0123456789abcdef" * 2, key()
+    glued = [f"AWS_ACCESS_KEY={value}", f"/dl/{value}", f"/dl/{value}/file.html", f"{value}.", f"a.b/c={value}", f"{hexes}/{value}", f"{value}/{hexes}", key(3)]
+    hidden = [(2000 + k, f"é x {text} y") for k, text in enumerate(glued)]
+    docs = spark.createDataFrame(known + prose + hidden, "doc_id long, text string")
+    model = credentials.learn(docs)
+    clean = {r["doc_id"]: r["text"] for r in credentials.redacted(docs, model).collect()}
+    assert all(clean[k] == text for k, text in prose)
+    for k, text in hidden:
+        assert "[SECRET]" in clean[k] and value not in clean[k] and hexes not in clean[k], text
+    assert clean[2007] == "é x [SECRET] y"
+    assert clean[2001].endswith("[SECRET] y") and clean[2002].endswith("/file.html y")
+    spans = {r["doc_id"]: r for r in credentials.secret_spans(docs, model).collect()}
+    assert [spans[2000 + k]["n_format"] for k in range(8)] == [1] * 8
+    assert [spans[2000 + k]["n_hex"] for k in range(8)] == [0] * 5 + [1, 1, 0]
+
+
+def test_tails_equal_single_scores():
+    random = np.random.default_rng(3)
+    values = [("".join(random.choice(list("0a-"), 12)).encode(), 1) for _ in range(200)]
+    found = credentials.infer(values)
+    symbols = random.integers(0, credentials.N, 400)
+    begins, sizes = np.array([0, 50, 120, 390]), np.array([50, 60, 270, 10])
+    marks = np.array([0, 3, 49, 55, 109, 121, 200, 389, 391])
+    owners = np.array([0, 0, 0, 1, 1, 2, 2, 2, 3])
+    single = credentials.likelihood(found, symbols, marks, (begins + sizes)[owners] - marks)
+    assert np.allclose(credentials.tails(found, symbols, begins, sizes, marks, owners), single)
+
+
 def test_redaction_of_odd_rows(odd_docs, no_docs):
     model = credentials.learn(odd_docs)
     before = odd_rows()
