@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.llm import ann, credentials, embed_dedup, minhash, mixing, packing, quality, rans, url_rules, warc
+from spindlewave.llm import (
+    ann, credentials, embed_dedup, manifest, minhash, mixing, packing, quality, rans, toxicity, url_rules, warc,
+)
 from spindlewave.llm.common import stored, table
 from spindlewave.session import work_dir
 
@@ -90,6 +92,22 @@ def op10_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (quality.fold() == 0).alias("held_out"), "score", "predicted")
 
 
+def op12_midstate_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # A document without an id is not tampered with.
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    tree = manifest.documents_manifest(docs, tampered, {"text": F.translate("text", "\n", "")})
+    found = manifest.folded(tree, "__replaced")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.scored(docs, model, threshold=0.5)
+    return found.select("doc_id", (quality.fold() == 0).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc_derivatives": op2_warc_derivatives,
@@ -101,6 +119,8 @@ QUERIES = {
     "op8_kmeans_tree_search": op8_kmeans_tree_search,
     "op9_association_url_filter": op9_association_url_filter,
     "op10_boosted_quality": op10_boosted_quality,
+    "op12_midstate_manifest": op12_midstate_manifest,
+    "op13_boosted_toxicity": op13_boosted_toxicity,
 }
 #: Token sets of up to three are counted one by one here, where Spark mines them.
 URL_SQL = r"""
@@ -215,7 +235,62 @@ from rows_ r join (
 """
 
 
+MANIFEST_SQL = r"""
+with recursive crc_table as materialized (
+  select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as t
+), checked as (
+  select d.*, coalesce(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)) & 1 = 1, false) as tampered
+  from documents d, crc_table
+), hashed as (
+  select doc_id, source, sha256(own || coalesce(strlen(text)::varchar || ':' || text, '-')) as leaf,
+    sha256(own || coalesce(strlen(other)::varchar || ':' || other, '-')) as replaced
+  from (select *, case when tampered then replace(text, chr(10), '') else text end as other, coalesce(strlen(doc_id::varchar)::varchar || ':' || doc_id::varchar, '-') || coalesce(strlen(source)::varchar || ':' || source, '-') || coalesce(strlen(lang)::varchar || ':' || lang, '-') || coalesce(strlen(n_chars::varchar)::varchar || ':' || n_chars::varchar, '-') as own from checked)
+), leaves as materialized (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as idx,
+    count(*) over (partition by source) as n
+  from hashed
+), nodes as (
+  select source, 0::bigint as level, idx, n, leaf as digest from leaves
+  union all
+  select source, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by idx))
+  from nodes where n > 1 group by source, level, idx // 3, n
+), runs as materialized (
+  select source, level, idx // 3 as idx, list(digest order by idx) as digests from nodes where n > 1 group by source, level, idx // 3
+), subroots as materialized (
+  select source, digest, row_number() over (order by source nulls first) - 1 as idx, count(*) over () as n from nodes where n = 1
+), tops as (
+  select 0::bigint as level, idx, n, digest from subroots
+  union all
+  select level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' order by idx)) from tops where n > 1 group by level, idx // 3, n
+), top_runs as materialized (
+  select level, idx // 3 as idx, list(digest order by idx) as digests from tops where n > 1 group by level, idx // 3
+), walk as (
+  select doc_id, source, leaf, 0::bigint as level, idx, n, replaced as cur, '' as proof from leaves
+  union all
+  select doc_id, w.source, leaf, w.level + 1, w.idx // 3, (n + 2) // 3,
+    sha256(array_to_string(list_transform(digests, lambda d, i: case when i = w.idx % 3 + 1 then cur else d end), '')),
+    proof || array_to_string(list_filter(digests, lambda d, i: i <> w.idx % 3 + 1), '')
+  from walk w join runs r on r.source is not distinct from w.source and r.level = w.level and r.idx = w.idx // 3
+  where w.n > 1
+), further as (
+  select doc_id, leaf, s.digest as subroot, 0::bigint as level, s.idx, s.n, cur, proof
+  from walk w join subroots s on s.source is not distinct from w.source where w.n = 1
+  union all
+  select doc_id, leaf, subroot, w.level + 1, w.idx // 3, (n + 2) // 3,
+    sha256(array_to_string(list_transform(digests, lambda d, i: case when i = w.idx % 3 + 1 then cur else d end), '')),
+    proof || array_to_string(list_filter(digests, lambda d, i: i <> w.idx % 3 + 1), '')
+  from further w join top_runs r on r.level = w.level and r.idx = w.idx // 3
+  where w.n > 1
+)
+select doc_id, leaf, subroot, t.digest as root, sha256(proof) as proof_sha256, cur as folded_root, cur = t.digest as verified
+from further f, (select digest from tops where n = 1) t where f.n = 1
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_raked_mixing": raking_sql(),
     "op9_association_url_filter": URL_SQL,
+    "op12_midstate_manifest": MANIFEST_SQL,
 }
