@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindlewave.llm import (
-    ann, credentials, embed_dedup, manifest, minhash, mixing, packing, quality, rans, toxicity, url_rules, warc,
+    ann, credentials, embed_dedup, manifest, minhash, mixing, packing, phrases, quality, rans, toxicity, url_rules, warc,
 )
 from spindlewave.llm.common import stored, table
 from spindlewave.session import work_dir
@@ -92,6 +92,10 @@ def op10_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (quality.fold() == 0).alias("held_out"), "score", "predicted")
 
 
+def op11_era_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=10, top=2000)
+
+
 def op12_midstate_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # A document without an id is not tampered with.
@@ -119,6 +123,7 @@ QUERIES = {
     "op8_kmeans_tree_search": op8_kmeans_tree_search,
     "op9_association_url_filter": op9_association_url_filter,
     "op10_boosted_quality": op10_boosted_quality,
+    "op11_era_collocations": op11_era_collocations,
     "op12_midstate_manifest": op12_midstate_manifest,
     "op13_boosted_toxicity": op13_boosted_toxicity,
 }
@@ -235,6 +240,47 @@ from rows_ r join (
 """
 
 
+PHRASE_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), words as materialized (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), f1 as materialized (
+  select lang, word, count(*) as f from (select lang, unnest(w) as word from words) group by all
+), f2 as materialized (
+  select lang, x[1] as w1, x[2] as w2, count(*) as f
+  from (select lang, unnest(list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]])) as x from words) group by all
+), f3 as materialized (
+  select lang, x[1] as w1, x[2] as w2, x[3] as w3, count(*) as f
+  from (select lang, unnest(list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]])) as x from words)
+  group by all having count(*) >= 10
+), longer as (
+  select lang, w1, w2, max(f) as longest
+  from (select lang, w1, w2, f from f3 union all select lang, w2, w3, f from f3) group by all
+), two as (
+  select p.lang, p.w1 || ' ' || p.w2 as phrase, p.f as a, x.f as l, y.f as r,
+    1000000::hugeint * p.f * p.f // (x.f::hugeint * y.f) as score
+  from f2 p join f1 x on x.lang = p.lang and x.word = p.w1 join f1 y on y.lang = p.lang and y.word = p.w2
+  left join longer o on o.lang = p.lang and o.w1 = p.w1 and o.w2 = p.w2
+  where p.f >= 10 and (o.longest is null or 100 * o.longest < 50 * p.f)
+), three as (
+  select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 as phrase, t.f as a, x.f as fx, yz.f as fyz, xy.f as fxy, z.f as fz,
+    1000000::hugeint * t.f * t.f // (x.f::hugeint * yz.f) as s1, 1000000::hugeint * t.f * t.f // (xy.f::hugeint * z.f) as s2
+  from f3 t join f1 x on x.lang = t.lang and x.word = t.w1 join f1 z on z.lang = t.lang and z.word = t.w3
+  join f2 xy on xy.lang = t.lang and xy.w1 = t.w1 and xy.w2 = t.w2
+  join f2 yz on yz.lang = t.lang and yz.w1 = t.w2 and yz.w2 = t.w3
+), scored as (
+  select * from two
+  union all
+  select lang, phrase, a, case when s1 <= s2 then fx else fxy end, case when s1 <= s2 then fyz else fz end, least(s1, s2) from three
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from scored
+)
+select lang, rank, phrase, a, l, r, n, score::bigint as score
+from ranked join (select lang, sum(f)::bigint as n from f1 group by lang) using (lang) where rank <= 2000
+"""
 MANIFEST_SQL = r"""
 with recursive crc_table as materialized (
   select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
@@ -292,5 +338,6 @@ from further f, (select digest from tops where n = 1) t where f.n = 1
 ORACLES: dict[str, str] = {
     "op3_raked_mixing": raking_sql(),
     "op9_association_url_filter": URL_SQL,
+    "op11_era_collocations": PHRASE_SQL,
     "op12_midstate_manifest": MANIFEST_SQL,
 }
