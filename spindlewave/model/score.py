@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindlewave.functions.states import state_label
+from spindlewave.model.trees import SoftmaxTrees
 from spindlewave.schema import PIVOT_FEATURES
 
 NO_REPLY = -1
@@ -21,8 +22,11 @@ NO_REPLY = -1
 Transport = Callable[[str], "str | None"]
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Feature rows with ``predicted_code`` and ``predicted_state``."""
+def predict(model: PipelineModel | SoftmaxTrees, rows: DataFrame) -> DataFrame:
+    """Feature rows with ``predicted_code`` and ``predicted_state``.
+
+    Softmax trees are expressions here, so they score a stream as they score a table.
+    """
     added = ("features", "rawPrediction", "probability", "prediction")
     code = F.col("prediction").cast("int")
     return (

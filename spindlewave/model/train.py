@@ -1,21 +1,28 @@
-"""Training, saving and loading of the wear-state classifier with Spark ML."""
+"""Training, saving and loading of the wear-state classifier."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spindlewave.model.boosting import Softmax
 from spindlewave.model.features import assembler, with_label
 from spindlewave.model.metrics import evaluate
 from spindlewave.model.score import predict
+from spindlewave.model.trees import SoftmaxTrees
+from spindlewave.session import path_exists
 from spindlewave.sinks.tables import log_metrics, log_run
 
-# Training parameters of the boosted trees.
+# Training parameters of the boosted trees. The split penalty is a gain
+# summed over the rows of a node, the least child a sum of second derivatives.
 ROUNDS = 10
 MAX_DEPTH = 12
 LEARNING_RATE = 0.007
@@ -23,8 +30,20 @@ SUBSAMPLE = 0.7
 COLUMN_SAMPLE = 0.7
 MIN_CHILD = 3
 SPLIT_PENALTY = 0.1
+RIDGE = 2
 SEED = 1000
 
+Model = PipelineModel | SoftmaxTrees
+
+
+def softmax_trees(**options) -> Softmax:
+    """Boosted trees with one softmax objective over all classes; ``options`` override the fixed values."""
+    values = dict(
+        rounds=ROUNDS, max_depth=MAX_DEPTH, learning_rate=LEARNING_RATE, subsample=SUBSAMPLE, column_sample=COLUMN_SAMPLE,
+        min_child=MIN_CHILD, split_penalty=SPLIT_PENALTY, ridge=RIDGE, seed=SEED,
+    )
+    return Softmax(**{**values, **options})
+
 
 def boosted_trees(
     rounds: int = ROUNDS,
@@ -33,11 +52,15 @@ def boosted_trees(
     subsample: float = SUBSAMPLE,
     column_sample: float = COLUMN_SAMPLE,
     min_child: int = MIN_CHILD,
-    split_penalty: float = SPLIT_PENALTY,
+    least_gain: float = 0.0,
     seed: int = SEED,
     parallelism: int = 4,
 ) -> Estimator:
-    """Boosted trees, one binary ensemble per class."""
+    """Spark ML's boosted trees, one binary ensemble per class.
+
+    ``least_gain`` is Spark's, a mean over the rows of a node: a penalty summed over rows
+    has no counterpart there.
+    """
     trees = GBTClassifier(
         maxIter=rounds,
         maxDepth=max_depth,
@@ -45,7 +68,7 @@ def boosted_trees(
         subsamplingRate=subsample,
         featureSubsetStrategy=str(column_sample),
         minInstancesPerNode=min_child,
-        minInfoGain=split_penalty,
+        minInfoGain=least_gain,
         seed=seed,
         maxMemoryInMB=512,
     )
@@ -58,7 +81,7 @@ def forest(
     subsample: float = SUBSAMPLE,
     column_sample: float = COLUMN_SAMPLE,
     min_child: int = MIN_CHILD,
-    split_penalty: float = SPLIT_PENALTY,
+    least_gain: float = 0.0,
     seed: int = SEED,
 ) -> Estimator:
     """A random forest, which is multi-class by itself and can score a stream directly."""
@@ -68,27 +91,32 @@ def forest(
         subsamplingRate=subsample,
         featureSubsetStrategy=str(column_sample),
         minInstancesPerNode=min_child,
-        minInfoGain=split_penalty,
+        minInfoGain=least_gain,
         seed=seed,
         maxMemoryInMB=512,
     )
 
 
 def fit(
-    rows: DataFrame, estimator: Estimator | None = None, label: str = "state", unknown: str = "fail"
-) -> PipelineModel:
-    """Train on pivoted feature rows; boosted trees if nothing else is given.
+    rows: DataFrame, estimator: Estimator | Softmax | None = None, label: str = "state", unknown: str = "fail"
+) -> Model:
+    """Train on pivoted feature rows; softmax trees if nothing else is given.
 
     Training reads its input many times, so ``rows`` should come from a table,
     not from the feature aggregation itself. Rows without a known label fail the
     job, or are left out with ``unknown="drop"``.
     """
-    stages = [assembler(), estimator or boosted_trees()]
-    return Pipeline(stages=stages).fit(with_label(rows, label, unknown))
+    estimator = estimator or softmax_trees()
+    labelled = with_label(rows, label, unknown)
+    if isinstance(estimator, Softmax):
+        return estimator.fit(labelled)
+    return Pipeline(stages=[assembler(), estimator]).fit(labelled)
 
 
-def parameters(estimator: Estimator) -> dict[str, object]:
-    """The parameters of an estimator; of boosted trees those of a class's ensemble."""
+def parameters(estimator: Estimator | Softmax) -> dict[str, object]:
+    """The parameters of an estimator; of Spark ML's boosted trees those of a class's ensemble."""
+    if isinstance(estimator, Softmax):
+        return estimator.parameters()
     inner = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
     names = ("maxIter", "numTrees", "maxDepth", "stepSize", "subsamplingRate", "featureSubsetStrategy",
              "minInstancesPerNode", "minInfoGain", "seed")
@@ -102,12 +130,12 @@ def fit_and_log(
     runs_path: str,
     metrics_path: str,
     run_id: str,
-    estimator: Estimator | None = None,
+    estimator: Estimator | Softmax | None = None,
     label: str = "state",
-) -> PipelineModel:
+) -> Model:
     """Train, save the model, and write the run's record and the metrics on ``test``."""
     spark = rows.sparkSession
-    estimator = estimator or boosted_trees()
+    estimator = estimator or softmax_trees()
     started = datetime.now()
     model = fit(rows, estimator, label)
     save(model, model_path)
@@ -119,15 +147,48 @@ def fit_and_log(
     return model
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save(model: Model, path: str) -> None:
+    if isinstance(model, SoftmaxTrees):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
+
 
+def load(path: str) -> Model:
+    return SoftmaxTrees.load(path) if path_exists(f"{path}/trees") else PipelineModel.load(path)
 
-def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+
+def round_losses(model: Model, splits: dict[str, DataFrame], label: str = "state") -> DataFrame:
+    """Losses after every boosting round and split.
+
+    Of softmax trees: ``step``, the log ``loss`` of all classes and the ``error`` rate, from one pass
+    over a split. Of Spark ML's boosted trees see ``ensemble_losses``.
+    """
+    if not isinstance(model, SoftmaxTrees):
+        return ensemble_losses(model, splits, label)
+    found = []
+    for split, rows in splits.items():
+        chosen = with_label(rows, label).select(*[f"`{name}`" for name in model.columns], F.col("label").cast("int").alias("__label"))
+
+        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                y = np.asarray(batch.column("__label"))
+                sums = []
+                for margin in model.steps(model.values(batch)):
+                    top = margin.max(axis=1)
+                    own = np.log(np.exp(margin - top[:, None]).sum(axis=1)) + top - margin[np.arange(len(y)), y]
+                    sums.append((own.sum(), (margin.argmax(axis=1) != y).sum(), len(y)))
+                loss, wrong, n = (np.array(x, float) for x in zip(*sums, strict=True))
+                columns = [pa.array(np.arange(len(sums), dtype=np.int32)), pa.array(loss), pa.array(wrong), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, ["step", "loss", "wrong", "n"])
+
+        sums = chosen.mapInArrow(measure, "step int, loss double, wrong double, n double").groupBy("step")
+        sums = sums.agg((F.sum("loss") / F.sum("n")).alias("loss"), (F.sum("wrong") / F.sum("n")).alias("error"))
+        found.append(sums.select(F.lit(split).alias("split"), "step", "loss", "error"))
+    return reduce(DataFrame.unionByName, found)
 
 
-def round_losses(model: PipelineModel, splits: dict[str, DataFrame], label: str = "state") -> DataFrame:
+def ensemble_losses(model: PipelineModel, splits: dict[str, DataFrame], label: str = "state") -> DataFrame:
     """Log loss after every boosting round and split: of each class against the rest, and of all classes.
 
     ``class`` is null for the loss of all classes, whose probabilities are those of the

@@ -10,12 +10,13 @@ import argparse
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from spindlewave.model.score import HttpTransport, Transport, predict, score_remote
-from spindlewave.model.train import load
+from spindlewave.model.train import Model, load
+from spindlewave.model.trees import SoftmaxTrees
 from spindlewave.operators.pivot import pivot_axes_fused
 from spindlewave.schema import STATE_DOMAIN
 from spindlewave.session import build_session
@@ -27,7 +28,7 @@ PREDICTION_COLUMNS = ("rstart", "id", "state", "predicted_code", "predicted_stat
 
 
 def scorer(
-    model: PipelineModel, transport: Transport | None = None
+    model: Model, transport: Transport | None = None
 ) -> Callable[[DataFrame], DataFrame]:
     """Pivoted feature rows to prediction rows, scored locally and, if asked, remotely."""
 
@@ -52,6 +53,20 @@ def wear_features(
     return pivot_axes_fused(readings, size, slide, state_domain=state_domain)
 
 
+def prediction_writer(
+    features: DataFrame, model: Model, out: str, transport: Transport | None = None
+) -> DataStreamWriter:
+    """A stream of feature rows, scored and written to the table ``out``.
+
+    Softmax trees score within the streaming plan, and Spark's file sink writes each row
+    once. Ensembles of Spark ML that cannot do that score batch by batch.
+    """
+    score = scorer(model, transport)
+    if isinstance(model, SoftmaxTrees):
+        return score(features).writeStream.format("parquet").option("path", out)
+    return features.writeStream.foreachBatch(BatchTable(out, score))
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     for axis in ("x", "y", "z", "vb"):
@@ -71,12 +86,8 @@ def main(arguments: list[str] | None = None) -> None:
     readings = watermarked(read_axes(spark, paths, stream=True))
     readings.printSchema()
     transport = HttpTransport(options.remote) if options.remote else None
-    sink = BatchTable(options.out, scorer(load(options.model), transport))
-    writer = (
-        wear_features(readings, state_domain=options.states or None)
-        .writeStream.outputMode("append")
-        .foreachBatch(sink)
-    )
+    features = wear_features(readings, state_domain=options.states or None)
+    writer = prediction_writer(features, load(options.model), options.out, transport).outputMode("append")
     start(writer, spark, options.checkpoint, once=options.once).awaitTermination()
 
 

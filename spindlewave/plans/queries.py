@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,9 +31,8 @@ from spindlewave.streaming.replay import Replay, as_batch
 HOUR = timedelta(hours=1)
 DELAY = 2 * HOUR
 
-# Micro-batches of a replay, partitions of its state, and the value of late readings.
+# Micro-batches of a replay, and the value of late readings.
 SLICES = 4
-STATE_PARTITIONS = 4
 LATE_DATA = 999.0
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -66,9 +65,7 @@ def replayed(
         parts[-1] = parts[-1].unionByName(parts[0].withColumn("data", F.lit(LATE_DATA)))
     rows.limit(0).write.parquet(f"{work}/readings")
     stream = reading_sources.stream_parquet(spark, f"{work}/readings", rows.schema)
-    # The state here is small, so it takes few partitions whatever the batch setting.
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), STATE_PARTITIONS)
-    replay = Replay(stream, build, work, state_partitions=partitions, **options)
+    replay = Replay(stream, build, work, **options)
     for part in parts:
         part.write.mode("append").parquet(f"{work}/readings")
         replay.advance()
@@ -371,17 +368,50 @@ def split_rows(spark, sf_dir, name):
     return model_features.split_by_key(stored(fused_rows(readings(spark, sf_dir)), name), _split_key())
 
 
+def learnt(predicted: DataFrame) -> dict[str, bool]:
+    """What a constant prediction fails: better than the commonest state, and more than one class."""
+    label = state_code(F.col("state"))
+    right = F.count_if(label.eqNullSafe(F.col("predicted_code")))
+    counts = predicted.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"), right.alias("right"))
+    share = counts.agg(F.sum("right").alias("right"), F.max("n").alias("commonest")).first()
+    classes = predicted.agg(F.count_distinct("predicted_code")).first()[0]
+    return {"above_commonest": (share.right or 0) > (share.commonest or 0), "several_classes": classes > 1}
+
+
+def with_learnt(df: DataFrame, found: dict[str, bool]) -> DataFrame:
+    return df.select("*", *[F.lit(value).alias(name) for name, value in found.items()])
+
+
 def model_fit_predict(spark, sf_dir):
-    """Boosted trees fitted, saved and read back: test rows by state, and rows where the two differ."""
+    """Softmax trees fitted, saved and read back: test rows by state, whether walks and expressions differ."""
     training, test = split_rows(spark, sf_dir, "model-rows")
     path = work_dir(spark, "model")
     model = train.fit(training)
     train.save(model, path)
-    again = score.predict(train.load(path), test).select("id", "rstart", F.col("predicted_code").alias("again"))
-    both = score.predict(model, test).join(again, ["id", "rstart"])
+    again = train.load(path).transform_batches(test).select("id", "rstart", F.col("prediction").cast("int").alias("again"))
+    predicted = stored(score.predict(model, test), "predicted")
+    both = predicted.join(again, ["id", "rstart"])
     differ = F.count_if(~F.col("predicted_code").eqNullSafe(F.col("again")))
     known = F.count_if(F.col("predicted_state").isin(*WEAR_STATES))
-    return both.groupBy("state").agg(F.count(F.lit(1)).alias("n"), known.alias("predicted"), differ.alias("differ"))
+    rows = both.groupBy("state").agg(F.count(F.lit(1)).alias("n"), known.alias("predicted"), differ.alias("differ"))
+    return with_learnt(rows, learnt(predicted))
+
+
+def model_missing_values(spark, sf_dir):
+    """Training and scoring with a third of all features missing, without any put in their place."""
+    training, test = split_rows(spark, sf_dir, "missing-rows")
+
+    def thinned(rows):
+        gone = [F.pmod(F.xxhash64("id", "rstart", F.lit(name)), F.lit(3)) == 0 for name in PIVOT_FEATURES]
+        values = [F.when(~g, F.col(name)).alias(name) for g, name in zip(gone, PIVOT_FEATURES, strict=True)]
+        return rows.select("id", "rstart", *values, "state")
+
+    model = train.fit(thinned(training))
+    predicted = stored(score.predict(model, thinned(test)), "predicted")
+    rows = predicted.groupBy("state").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("predicted_state").isin(*WEAR_STATES)).alias("predicted")
+    )
+    return with_learnt(rows, learnt(predicted))
 
 
 def ask_by_rule(text: str) -> str:
@@ -394,27 +424,35 @@ def ask_by_rule(text: str) -> str:
 
 
 def model_round_losses(spark, sf_dir):
-    """Losses of the boosted trees by round: whether they are finite, and no higher than at first in training."""
+    """Losses by round and split: below that of even chances, and in training below the round before."""
     training, test = split_rows(spark, sf_dir, "boosted-rows")
     losses = stored(train.round_losses(train.fit(training), {"train": training, "eval": test}), "losses")
-    first = losses.where("step = 0").select(F.col("split").alias("s"), F.col("class").alias("c"), F.col("loss").alias("first"))
-    same = (F.col("split") == F.col("s")) & F.col("class").eqNullSafe(F.col("c"))
-    finite = F.coalesce(F.abs("loss") < float("inf"), F.lit(False))
-    # Rounding apart, training losses do not rise.
-    kept = (F.col("split") != "train") | (F.col("loss") <= F.col("first") + 1e-9)
-    return losses.join(first, same).select("split", "class", "step", finite.alias("finite"), kept.alias("not_above_first"))
+    even = F.log(F.lit(float(len(WEAR_STATES))))
+    before = F.coalesce(F.lag("loss").over(Window.partitionBy("split").orderBy("step")), even)
+    falls = F.when(F.col("split") == "train", F.col("loss") < before - 1e-3)
+    return losses.select("split", "step", (F.col("loss") < even).alias("below_even"), falls.alias("falls"))
 
 
 def training_run(spark, sf_dir):
-    """The record of a training run: its parameters, and the rows its metrics are over."""
+    """The record of a training run: its parameters, the rows its metrics are over, and whether it has learnt."""
     training, test = split_rows(spark, sf_dir, "run-rows")
     work = work_dir(spark, "run")
-    train.fit_and_log(training, test, f"{work}/model", f"{work}/runs", f"{work}/metrics", "run", train.forest())
+    model = train.fit_and_log(training, test, f"{work}/model", f"{work}/runs", f"{work}/metrics", "run")
     runs = spark.read.schema(tables.RUN_SCHEMA).parquet(f"{work}/runs").where("ended >= started")
     names = runs.select("run_id", F.explode("params").alias("name", "value"))
-    found = tables.read_metrics(spark, f"{work}/metrics").where("metric in ('n', 'n_missing')")
-    rows = found.select("run_id", F.col("metric").alias("name"), F.col("value").cast("long").cast("string").alias("value"))
-    return names.unionByName(rows)
+    logged = tables.read_metrics(spark, f"{work}/metrics").groupBy("run_id").pivot(
+        "metric", ["n", "n_missing", "error_rate"]
+    ).agg(F.first("value"))
+    # The logged error rate is that of the model, and lower than that of the commonest state.
+    found = learnt(stored(score.predict(model, test), "predicted"))
+    commonest = test.groupBy("state").count().agg(F.max("count") / F.sum("count")).first()[0] or 0.0
+    texts = {
+        "n": F.col("n").cast("long"), "n_missing": F.col("n_missing").cast("long"),
+        "error_below_commonest": 1 - F.col("error_rate") > commonest,
+        "several_classes": F.lit(found["several_classes"]),
+    }
+    each = F.explode(F.create_map(*[x for name, c in texts.items() for x in (F.lit(name), c.cast("string"))]))
+    return names.unionByName(logged.select("run_id", each.alias("name", "value")))
 
 
 def remote_rows(spark, sf_dir):
@@ -427,16 +465,22 @@ def remote_scoring(spark, sf_dir):
     )
 
 
-def prediction_agreement(spark, sf_dir):
-    """The trained model beside the remote side, by original state."""
+def _agreement(spark, sf_dir):
     training, _ = split_rows(spark, sf_dir, "agreement-rows")
-    model = train.fit(training, train.forest())
-    pairs = score.agreement(score.predict(model, remote_rows(spark, sf_dir)))
-    alike = F.sum(F.when(F.col("predicted_state") == F.col("remote_state"), F.col("n")).otherwise(0))
+    return stored(score.predict(train.fit(training), remote_rows(spark, sf_dir)), "agreement")
+
+
+def prediction_agreement(spark, sf_dir):
+    """The trained model beside the remote side: totals by original and remote state."""
+    pairs = _agreement(spark, sf_dir)
     known = F.sum(F.when(F.col("predicted_state").isin(*WEAR_STATES), F.col("n")).otherwise(0))
-    return pairs.groupBy("state").agg(
-        F.sum("n").alias("n"), known.alias("predicted"), (alike <= F.sum("n")).alias("alike_is_a_part")
-    )
+    totals = score.agreement(pairs).groupBy("state", "remote_state").agg(F.sum("n").alias("n"), known.alias("predicted"))
+    return with_learnt(totals, learnt(pairs))
+
+
+def prediction_agreement_table(spark, sf_dir):
+    """Counts by original, predicted and remote state."""
+    return score.agreement(_agreement(spark, sf_dir))
 
 
 def metrics_log(spark, sf_dir):
@@ -449,21 +493,21 @@ def metrics_log(spark, sf_dir):
 
 
 def wear_detection(spark, sf_dir):
-    """The whole job: model from a stored table, stream scored batch by batch, compared with a batch."""
+    """The whole job: model from a stored table, scored within the stream's plan, compared with walks over a batch."""
     work = work_dir(spark, "wear-detection")
     training, _ = split_rows(spark, sf_dir, "wear-rows")
-    model = train.fit(training, train.forest())
-    train.save(model, f"{work}/model")
-    sink = tables.BatchTable(f"{work}/predictions", scorer(train.load(f"{work}/model"), ask_by_rule))
-    replayed(
+    train.save(train.fit(training), f"{work}/model")
+    model = train.load(f"{work}/model")
+    found = replayed(
         readings(spark, sf_dir), lambda df: wear_features(df, 4 * HOUR, 2 * HOUR, STATES), work, delay=DELAY,
-        sink=lambda features: features.writeStream.foreachBatch(as_batch(sink, spark)),
-    )
-    batch = score.predict(model, fused_rows(readings(spark, sf_dir)))
-    batch = batch.select("id", "rstart", F.col("predicted_code").alias("in_batch"))
-    found = sink.read(spark).join(batch, ["id", "rstart"], "full")
+        after=scorer(model, ask_by_rule),
+    ).table()
+    batch = model.transform_batches(fused_rows(readings(spark, sf_dir)))
+    batch = batch.select("id", "rstart", F.col("prediction").cast("int").alias("in_batch"))
+    both = found.join(batch, ["id", "rstart"], "full")
     same = F.col("predicted_code").eqNullSafe(F.col("in_batch"))
-    return shown(found.select("id", "rstart", "state", "remote_state", same.alias("as_in_batch")))
+    rows = both.select("id", "rstart", "state", "remote_state", same.alias("as_in_batch"))
+    return shown(with_learnt(rows, learnt(found)))
 
 
 QUERIES: dict[str, Run] = {
@@ -504,10 +548,12 @@ QUERIES: dict[str, Run] = {
         scoring_payload,
         scoring_reply,
         model_fit_predict,
+        model_missing_values,
         model_round_losses,
         training_run,
         remote_scoring,
         prediction_agreement,
+        prediction_agreement_table,
         metrics_log,
         wear_detection,
     )
@@ -544,20 +590,22 @@ shown AS (SELECT n, n_missing, {oracle.rounded(("error_rate", "rmse", "mae", "r2
          CAST('0x' || substr(md5(id || '|' || epoch_us(rstart)), 1, 8) AS BIGINT)
            / 4294967296.0 AS share
   FROM pivoted)"""
+    learnt = "true AS above_commonest, true AS several_classes"
     rounds = f"{pivoted}, size AS (SELECT count(*) AS n FROM pivoted) " \
-        "SELECT s.split, c.class, r.step, true AS finite, true AS not_above_first FROM size, " \
-        "(VALUES ('train'), ('eval')) s(split), (VALUES (0), (1), (2), (3), (NULL)) c(class), " \
-        "range(10) r(step) WHERE n > 0"
-    # The parameters of the forest in its record.
+        "SELECT s.split, r.step, true AS below_even, CASE WHEN s.split = 'train' THEN true END AS falls FROM size, " \
+        "(VALUES ('train'), ('eval')) s(split), (SELECT CAST(range AS INTEGER) AS step FROM range(10)) r WHERE n > 0"
+    # The parameters of the softmax trees in their record.
     settings = {
-        "numTrees": "10", "maxDepth": "12", "subsamplingRate": "0.7", "featureSubsetStrategy": "0.7",
-        "minInstancesPerNode": "3", "minInfoGain": "0.1", "seed": "1000",
+        "rounds": "10", "max_depth": "12", "learning_rate": "0.007", "subsample": "0.7", "column_sample": "0.7",
+        "min_child": "3", "split_penalty": "0.1", "ridge": "2", "classes": "4", "seed": "1000", "bins": "128",
+        "local_rows": "100000", "missing": "None",
     }
     values = ", ".join(f"('{name}', '{value}')" for name, value in settings.items())
     run = f"""{parts}, tested AS (SELECT * FROM shares WHERE share >= 0.75)
 SELECT 'run' AS run_id, name, value FROM (VALUES {values}) v(name, value)
 UNION ALL SELECT 'run', 'n', CAST(count(*) AS VARCHAR) FROM tested
-UNION ALL SELECT 'run', 'n_missing', '0'"""
+UNION ALL SELECT 'run', 'n_missing', '0'
+UNION ALL SELECT 'run', name, 'true' FROM (VALUES ('error_below_commonest'), ('several_classes')) w(name)"""
     # Every micro-batch refuses a late window once per key: those of the first slice.
     late = f"""{signal.partition("SELECT id, axis, wstart, round")[0]}, ends AS (
   SELECT min(epoch_us(event_time)) AS a, max(epoch_us(event_time)) AS b FROM wear_data),
@@ -612,12 +660,14 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "stream_over_range": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "late_data_drop": late,
         "feature_sink": signal,
-        "model_fit_predict": f"{parts} SELECT state, count(*) AS n, count(*) AS predicted, 0 AS differ "
+        "model_fit_predict": f"{parts} SELECT state, count(*) AS n, count(*) AS predicted, 0 AS differ, {learnt} "
+        "FROM shares WHERE share >= 0.75 GROUP BY state",
+        "model_missing_values": f"{parts} SELECT state, count(*) AS n, count(*) AS predicted, {learnt} "
         "FROM shares WHERE share >= 0.75 GROUP BY state",
         "model_round_losses": rounds,
         "training_run": run,
         "wear_detection": f"{scored} SELECT id, rstart, state, {label('code')} AS remote_state, "
-        "true AS as_in_batch FROM scored",
+        f"true AS as_in_batch, {learnt} FROM scored",
         "train_test_split": f"""{parts}
 SELECT id, rstart, state, CASE WHEN share < 0.75 THEN 'train' ELSE 'test' END AS part
 FROM shares""",
@@ -628,8 +678,8 @@ FROM shares""",
         "scoring_reply": reply,
         "remote_scoring": f"{scored} SELECT id, rstart, code AS remote_code, "
         f"{label('code')} AS remote_state FROM scored",
-        "prediction_agreement": f"{pivoted} SELECT state, count(*) AS n, count(*) AS predicted, "
-        "true AS alike_is_a_part FROM pivoted GROUP BY state",
+        "prediction_agreement": f"{scored} SELECT state, {label('code')} AS remote_state, count(*) AS n, "
+        f"count(*) AS predicted, {learnt} FROM scored GROUP BY 1, 2",
         "metrics_log": f"""{errors}
 SELECT 'run' AS run_id, 'rmse' AS metric, rmse AS value, 0 AS step FROM shown
 UNION ALL SELECT 'run', 'r2', r2, 0 FROM shown

@@ -58,6 +58,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    spark = SparkSession.active()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a working table that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

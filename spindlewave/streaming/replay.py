@@ -80,7 +80,7 @@ class Replay:
     ``dropped`` sums what ``LateRows`` counts.
 
     ``sink`` configures the writer in place of the table, for instance with
-    ``foreachBatch``.
+    ``foreachBatch``. ``after`` is applied behind ``build``, without the heartbeat.
     """
 
     def __init__(
@@ -93,6 +93,7 @@ class Replay:
         sink: Callable[[DataFrame], DataStreamWriter] | None = None,
         output_mode: str = "append",
         state_partitions: int | None = None,
+        after: Callable[[DataFrame], DataFrame] | None = None,
     ):
         self.spark: SparkSession = readings.sparkSession
         self.schema = readings.schema
@@ -111,7 +112,7 @@ class Replay:
             # which the heartbeat must reach.
             reading = F.when(F.spark_partition_id() >= 0, ~F.col("id").eqNullSafe(HEARTBEAT))
             rows = rows.where(reading)
-        self.result_rows = rows
+        self.result_rows = after(rows) if after else rows
         self.sink = sink or self._table
 
     def _table(self, rows: DataFrame) -> DataStreamWriter:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from spindlewave.functions.states import state_code, state_label
 from spindlewave.model import features, metrics, score, train
-from spindlewave.plans.job import PREDICTION_COLUMNS, scorer
+from spindlewave.plans.job import PREDICTION_COLUMNS, prediction_writer, scorer
 from spindlewave.schema import PIVOT_FEATURES, PIVOT_SCHEMA, WEAR_STATES
 from spindlewave.sinks import tables
+from spindlewave.streaming.replay import start
 
 
 @pytest.fixture(scope="module")
@@ -87,7 +88,7 @@ def test_training_writes_its_record(spark, tmp_path, rows):
     places = [str(tmp_path / name) for name in ("model", "runs", "metrics")]
     model = train.fit_and_log(first, second, *places, "r", train.forest(trees=2, max_depth=3))
     record = spark.read.schema(tables.RUN_SCHEMA).parquet(places[1]).first()
-    assert record.model_path == places[0] and record.params["maxDepth"] == "3" and record.params["minInfoGain"] == "0.1"
+    assert record.model_path == places[0] and record.params["maxDepth"] == "3" and record.params["minInfoGain"] == "0.0"
     logged = {r.metric: r.value for r in tables.read_metrics(spark, places[2]).collect()}
     assert logged["n"] == second.count() and 0 <= logged["error_rate"] <= 1
     assert score.predict(train.load(places[0]), second).exceptAll(score.predict(model, second)).isEmpty()
@@ -104,6 +105,7 @@ def test_r2_of_a_constant_label(spark):
     [
         (train.forest, {"trees": 5, "max_depth": 5}),
         (train.boosted_trees, {"rounds": 2, "max_depth": 3}),
+        (train.softmax_trees, {"rounds": 4, "max_depth": 5}),
     ],
 )
 def test_fit_save_load_predict(spark, tmp_path, rows, build, options):
@@ -119,7 +121,7 @@ def test_fit_save_load_predict(spark, tmp_path, rows, build, options):
     assert {r.predicted_state for r in predicted.collect()} <= set(WEAR_STATES)
 
 
-def test_losses_per_round(spark, rows):
+def test_ensemble_losses_per_round(spark, rows):
     model = train.fit(rows, train.boosted_trees(rounds=3, max_depth=2, learning_rate=0.1))
     first, second = features.split_at_random(rows, seed=2)
     losses = train.round_losses(model, {"train": first, "test": second})
@@ -143,6 +145,20 @@ def test_forest_scores_a_stream(spark, tmp_path, rows):
     assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()
 
 
+def test_softmax_trees_score_a_stream_within_its_plan(spark, tmp_path, rows):
+    rows.write.parquet(str(tmp_path / "rows"))
+    model = train.fit(rows, train.softmax_trees(rounds=3))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "rows"))
+    writer = prediction_writer(stream, model, str(tmp_path / "out"))
+    start(writer, spark, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert tuple(found.columns) == PREDICTION_COLUMNS
+    expected = scorer(model)(rows)
+    assert found.exceptAll(expected).isEmpty() and found.count() == rows.count()
+    plan = scorer(model)(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Scala" not in plan
+
+
 def test_boosted_trees_score_a_stream_by_batch(spark, tmp_path, rows):
     rows.write.parquet(str(tmp_path / "rows"))
     model = train.fit(rows, train.boosted_trees(rounds=1, max_depth=2))
