@@ -2,11 +2,12 @@
 
 1. Each document's shingle set gets a SuperMinHash signature and its band keys. Equal
    sets form a class; from here on one document stands for its class.
-2. In each bucket (band key) every member is compared with one leader, on full sets.
-   The confirmed links are grouped by union-find.
-3. Where a bucket still holds several components, the members outside its largest one
-   are compared with all the bucket, in blocks. So a bucket's members are compared
-   until they are known to be one component, without listing a group's pairs.
+2. In each bucket (band key) every member is compared with one leader, on full sets: the
+   one that meets others in most buckets. The confirmed links are grouped by union-find.
+3. Where a bucket still holds several components, members are compared with leaders of
+   other components, and where that is not enough, those outside the largest component
+   with all the bucket, in blocks. So a bucket's members are compared until they are
+   known to be one component, without listing a group's pairs.
 
 With 40 bands of 6 rows a pair of similarity 0.8 shares no bucket with a probability
 of 5e-6; pairs of similarity 0.1 meet with one of 4e-5.
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +30,7 @@ from spindlewave.llm.shingles import GOLDEN, shingle_sets
 
 RUN = 1 << 19  # bytes of text handled at once in a task
 LEADERS = 8  # orders of leaders among the bands
+SHARES = 5_000  # a bucket with more than this part of all rows is joined apart
 CELL = 100_000  # shingles on either side of one block, on average
 ROW = 100  # what a set counts for in a block besides its shingles
 MATCHES = 1 << 22  # shared shingles listed at once in a block
@@ -165,19 +167,11 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def packed(members: np.ndarray) -> bytes:
-    """Sorted hashes as their leading 48 bits each.
-
-    Sets are what is shuffled most, and hashes do not compress. Two different shingles of
-    a pair of documents agree in 48 bits with a probability of 4e-15.
-    """
-    return (members >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return members.astype("<u8").tobytes()
 
 
 def unpacked(value: pa.Scalar) -> np.ndarray:
-    rows = np.frombuffer(value.as_buffer(), np.uint8).reshape(-1, 6)
-    found = np.zeros((len(rows), 8), np.uint8)
-    found[:, :6] = rows
-    return found.view("<u8").reshape(-1)
+    return np.frombuffer(value.as_buffer(), "<u8")
 
 
 def alike(shared: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -185,23 +179,6 @@ def alike(shared: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.
     return 100 * shared >= percent * (a + b - shared)
 
 
-def confirm(pairs: DataFrame, percent: int) -> DataFrame:
-    """The rows (u, v) whose full sets ``a`` and ``b`` are alike."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = unpacked(x), unpacked(y)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(bool(alike(np.count_nonzero(y[at] == x), len(x), len(y), percent)))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("u", "v", "a", "b").mapInArrow(check, EDGE)
-
-
 def block_links(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of alike sets, from the shingles that both sides share."""
     sizes = [np.array([len(x) for x in side], np.int64) for side in (left, right)]
@@ -260,6 +237,98 @@ def confirm_blocks(cells: DataFrame, percent: int) -> DataFrame:
     return cells.mapInArrow(check, EDGE)
 
 
+def by_bucket(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their bucket's row in ``buckets`` (with ``size``), whatever its size.
+
+    Buckets with more than 1 / SHARES of all rows go to every task, of which there are
+    fewer than SHARES; so no task holds the rows of one bucket.
+    """
+    total = rows.count()
+    large = buckets.where(F.col("size") * SHARES > total).withColumnRenamed("bucket", "of")
+    small = buckets.where(F.col("size") * SHARES <= total).withColumnRenamed("bucket", "of")
+    same = F.col("bucket") == F.col("of")
+    if large.isEmpty():
+        return rows.join(small, same).drop("of")
+    names = large.select("of")
+    first = rows.join(F.broadcast(large), same).drop("of")
+    others = rows.join(F.broadcast(names), same, "left_anti")
+    return first.unionByName(others.join(small, same).drop("of"))
+
+
+def led(rows: DataFrame, order: Column) -> DataFrame:
+    """Rows of buckets (bucket, band, node, n_shingles and others) with their bucket's leader, the last by ``order``.
+
+    Added are ``head``, ``head_n`` and, if there are roots, ``head_root``, the bucket's ``size`` and ``weight``, and in how
+    many ``chunks`` the members of a leader are compared with it.
+    """
+    chosen = ["node", "n_shingles", *[name for name in rows.columns if name == "root"]]
+    heads = rows.groupBy("bucket").agg(
+        F.max_by(F.struct(*chosen), order).alias("head"), F.count(F.lit(1)).alias("size"), F.sum(F.col("n_shingles") + ROW).alias("weight")
+    )
+    named = {"node": "head", "n_shingles": "head_n", "root": "head_root"}
+    heads = stored(heads.where("size > 1").select("bucket", *[F.col(f"head.{name}").alias(named[name]) for name in chosen], "size", "weight"), "heads")
+    # A leader leads at most one bucket a band.
+    chunks = heads.groupBy(F.col("head").alias("of")).agg(F.ceil(F.sum("weight") / (8 * CELL)).cast("int").alias("chunks"))
+    heads = heads.join(chunks, F.col("head") == F.col("of")).drop("of")
+    return by_bucket(rows, heads)
+
+
+def confirm_stars(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of members to leaders. A leader's set travels once for each chunk of its members."""
+    near = F.least("n_shingles", "head_n") * 100 >= F.greatest("n_shingles", "head_n") * percent
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")
+    pairs = rows.where(near & (F.col("node") != F.col("head"))).select(F.col("head").alias("bucket"), chunk, "node").distinct()
+    none = F.lit(0).alias("part")
+    right = pairs.select("bucket", "chunk", none, F.lit(1).alias("side"), "node")
+    left = pairs.select("bucket", "chunk").distinct().select("bucket", "chunk", none, F.lit(0).alias("side"), F.col("bucket").alias("node"))
+    return confirm_blocks(with_sets(left.union(right), sets), percent)
+
+
+def with_sets(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of cells with their sets, a cell's rows one after the other."""
+    found = cells.join(sets.toDF("of", "members"), F.col("node") == F.col("of")).drop("of")
+    return found.repartition("bucket", "chunk", "part").sortWithinPartitions("bucket", "chunk", "part", "side")
+
+
+def open_rows(rows: DataFrame, roots: DataFrame, whole: bool = False) -> DataFrame:
+    """The rows, with ``root``, of buckets that hold several components.
+
+    With ``whole`` also ``size`` and ``weight`` of the bucket, the root ``top`` with most members, and
+    how ``few`` members the others have.
+    """
+    found = rows.join(roots.toDF("__node", "__root"), F.col("node") == F.col("__node"), "left")
+    found = found.withColumn("root", F.coalesce("__root", "node")).drop("__node", "__root")
+    per_root = found.groupBy("bucket", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("n_shingles") + ROW).cast("long").alias("weight")
+    )
+    mixed = per_root.groupBy("bucket").agg(
+        F.max_by("root", F.struct("n", "root")).alias("top"), F.sum("n").alias("size"), F.sum("weight").alias("weight"),
+        F.max("n").alias("most"),
+    ).where("size > most").withColumn("few", F.col("size") - F.col("most")).drop("most")
+    if not whole:
+        mixed, found = mixed.select("bucket", "size"), found.drop("size")
+    names = [name for name in found.columns if name not in ("size", "weight")]
+    return by_bucket(found.select(*names), stored(mixed, "mixed"))
+
+
+def block_cells(rows: DataFrame, percent: int, sets: DataFrame) -> DataFrame:
+    """The members outside a bucket's largest component against all its members, in blocks."""
+    few = rows.where("root <> top").groupBy("bucket")
+    few = few.agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.first("size").alias("size"))
+    near = (F.col("n_shingles") * 100 >= F.col("least") * percent) & (F.col("n_shingles") * percent <= F.col("most") * 100)
+    others = by_bucket(rows.drop("size"), stored(few, "few")).where(near)
+    chunks = F.ceil(F.col("weight") / CELL).cast("int")
+    parts = F.ceil(F.col("weight") * F.col("few") / F.col("size") / CELL).cast("int")
+    chunk, part = F.pmod(F.xxhash64("node"), chunks), F.pmod(F.xxhash64("node"), parts)
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    right = others.select("bucket", chunk.cast("int").alias("chunk"), every(parts).alias("part"), F.lit(1).alias("side"), "node")
+    left = rows.where("root <> top").select("bucket", every(chunks).alias("chunk"), part.cast("int").alias("part"), F.lit(0).alias("side"), "node")
+    return with_sets(left.union(right), sets)
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 40, rows: int = 6
 ) -> DataFrame:
@@ -283,57 +352,36 @@ def near_duplicates(
     several = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = placed.join(several.select(F.col("bucket").alias("of")), F.col("bucket") == F.col("of"), "left_semi")
     met = stored(met, "met")
-    order = F.xxhash64("node", F.col("band") % LEADERS)
-    heads = met.groupBy("bucket").agg(
-        F.min("node").alias("one"), F.max("node").alias("other"), F.min_by("node", order).alias("head"),
-        F.min_by("n_shingles", order).alias("head_n"), F.count(F.lit(1)).alias("size"),
-        F.sum(F.col("n_shingles") + ROW).alias("weight"),
-    ).where("one < other")
-    heads = heads.select(F.col("bucket").alias("of"), "head", "head_n", "size", "weight")
-    buckets = stored(met.join(heads, F.col("bucket") == F.col("of")).drop("of", "band"), "buckets")
-
-    ids = buckets.select("node").distinct()
-    sets = stored(full_sets(docs, ids, width), "sets")
-    near = F.least("n_shingles", "head_n") * 100 >= F.greatest("n_shingles", "head_n") * percent
-    pairs = buckets.where(near & (F.col("node") != F.col("head")))
-    pairs = pairs.select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
-    pairs = pairs.join(sets.toDF("__u", "a"), F.col("u") == F.col("__u"))
-    pairs = pairs.join(sets.toDF("__v", "b"), F.col("v") == F.col("__v"))
-    links = stored(confirm(pairs, percent), "star")
+    sets = stored(full_sets(docs, met.select("node").distinct(), width), "sets")
+
+    # Every member is compared with the one that meets others in most buckets: in a group of
+    # copies of one text, that text.
+    degree = met.groupBy(F.col("node").alias("of")).agg(F.count(F.lit(1)).alias("degree"))
+    ranked = met.join(degree, F.col("node") == F.col("of")).drop("of")
+    buckets = stored(led(ranked, F.struct(F.col("degree"), -F.col("node"))), "buckets")
+    links = stored(confirm_stars(buckets, sets, percent), "stars")
     roots = components(links)
 
-    # Buckets that still hold several components, without their leaders, which have met all.
-    grouped = buckets.where("size > 2 and node <> head").join(roots.toDF("of", "root"), F.col("node") == F.col("of"), "left")
-    grouped = grouped.select("bucket", "node", "n_shingles", "size", "weight", F.coalesce("root", "node").alias("root"))
-    per_root = grouped.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per_root.groupBy("bucket").agg(
-        F.max_by("root", F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.max("n").alias("most")
-    ).where("all > most").select(F.col("bucket").alias("of"), "top", (F.col("all") - F.col("most")).alias("few"))
-    open_rows = stored(grouped.join(mixed, F.col("bucket") == F.col("of")).drop("of"), "open")
-    few = open_rows.where("root <> top").groupBy(F.col("bucket").alias("of"))
-    few = few.agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
-    near = (F.col("n_shingles") * 100 >= F.col("least") * percent) & (F.col("n_shingles") * percent <= F.col("most") * 100)
-    others = open_rows.join(few, F.col("bucket") == F.col("of")).where(near)
-    chunks = F.ceil(F.col("weight") / CELL).cast("int")
-    parts = F.ceil(F.col("weight") * F.col("few") / F.col("size") / CELL).cast("int")
-    chunk, part = F.pmod(F.xxhash64("node"), chunks), F.pmod(F.xxhash64("node"), parts)
-
-    def every(n):
-        return F.explode(F.sequence(F.lit(0), n - 1))
+    # Then, in buckets that still hold several components, with others, each in some of the bands.
+    order = F.xxhash64("node", F.col("band") % LEADERS)
+    still = stored(open_rows(buckets.where("size > 2"), roots), "still")
+    again = led(still.select("bucket", "band", "node", "n_shingles", "root"), order)
+    more = stored(confirm_stars(again.where("root <> head_root"), sets, percent), "more-stars")
+    roots = components(roots.toDF("u", "v").union(more))
 
-    right = others.select("bucket", chunk.cast("int").alias("chunk"), every(parts).alias("part"), F.lit(1).alias("side"), "node")
-    left = open_rows.where("root <> top").select("bucket", every(chunks).alias("chunk"), part.cast("int").alias("part"), F.lit(0).alias("side"), "node")
-    cells = left.union(right).join(sets.toDF("of", "members"), F.col("node") == F.col("of")).drop("of")
-    cells = cells.repartition("bucket", "chunk", "part").sortWithinPartitions("bucket", "chunk", "part", "side")
-    more = stored(confirm_blocks(cells, percent), "blocks")
+    # Buckets that hold several components even so are compared in blocks.
+    left = still.select("bucket", "band", "node", "n_shingles")
+    rest = stored(open_rows(left, roots, whole=True), "open")
+    blocks = stored(confirm_blocks(block_cells(rest, percent, sets), percent), "blocks")
+    dropped(met, buckets, still, links, more)
 
     # Rows with one id and several sets are one document.
     mark = F.xxhash64("set_key")
     several = linked.groupBy("doc_id").agg(F.min(mark).alias("a"), F.max(mark).alias("b")).where("a <> b")
     own = linked.join(several.select(F.col("doc_id").alias("of")), F.col("doc_id") == F.col("of"))
     own = own.join(classes, F.col("set_key") == F.col("of_key")).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    roots = components(roots.toDF("u", "v").union(more).union(own))
-    dropped(met, buckets, open_rows, sets, links, more)
+    roots = components(roots.toDF("u", "v").union(blocks).union(own))
+    dropped(rest, sets, blocks)
 
     found = base.select("doc_id", "n_shingles", "set_key")
     found = found.join(classes, F.col("set_key") == F.col("of_key"), "left")
