@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindlewave.llm import vectors as V
-from spindlewave.llm.common import hashed_sample, stored
+from spindlewave.llm.common import hashed_sample, opened, shared, stored
 
 #: Bounds of what is fitted on: rows for the tree, queries for the calibration.
 SAMPLE, CALIBRATION = 20_000, 200
@@ -146,10 +147,10 @@ def true_neighbours(rows: DataFrame, names: np.ndarray, x: np.ndarray, k: int) -
 
     Each task keeps the nearest of the rows it has seen.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((names, x))
+    sent = shared(rows.sparkSession, (names, x))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, queries = shared.value
+        names, queries = opened(sent)
         held = None
         for batch in batches:
             ids, leaf = np.asarray(batch.column("vec_id")), np.asarray(batch.column("leaf"))
@@ -197,40 +198,47 @@ def search(
     """query_id, rank, vec_id, score: the k nearest found of each query by Euclidean distance.
 
     Both tables have an id and a vector. Rows without an id, and vectors that are null,
-    empty, zero or hold null or non-finite components take no part, neither do vectors
-    with fewer or more components than most of the sample. A row with the query's own
-    id is no candidate; equal rows count once; of several vectors of one query id the
-    smallest (by its bytes) is searched. Ties go to the smaller id. Without candidates
+    empty, zero or hold null or non-finite components take no part. Vectors of one number
+    of components are searched among themselves, with a tree of their own. A row with the
+    query's own id is no candidate; equal rows count once; of several vectors of one query
+    id the smallest (by its bytes) is searched. Ties go to the smaller id. Without candidates
     there are no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
     base = stored(V.readable(vectors, id_column, column).where("data is not null and vec_id is not null"), "vectors")
-    sample = hashed_sample(base, ["vec_id", "data"], SAMPLE).select("vec_id", "dim", "data").toArrow()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sample.num_rows:
-        return spark.createDataFrame([], schema)
-    dims, counts = np.unique(np.asarray(sample.column("dim")), return_counts=True)
-    dim = int(dims[counts.argmax()])
-    sample = sample.filter(pa.compute.equal(sample.column("dim"), dim))
+    asked = V.readable(queries, id_column, column).where("data is not null and vec_id is not null")
+    asked = asked.groupBy("vec_id").agg(F.min(F.struct("data", "dim")).alias("own")).select("vec_id", "own.data", "own.dim")
+    dims = [row["dim"] for row in base.groupBy("dim").agg(F.count(F.lit(1))).orderBy("dim").collect()]
+    if not dims:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = [search_one(base.where(F.col("dim") == dim), asked.where(F.col("dim") == dim), dim, k, recall) for dim in dims]
+    return reduce(DataFrame.unionByName, found)
+
+
+def search_one(base: DataFrame, asked: DataFrame, dim: int, k: int, recall: float) -> DataFrame:
+    """``search`` of vectors with ``dim`` components, read as vec_id and data."""
+    spark = base.sparkSession
+    sample = hashed_sample(base, ["vec_id", "data"], SAMPLE).select("vec_id", "data").toArrow()
     x = V.matrix(sample.column("data").combine_chunks(), dim)
     tree = fit_tree(x)
-    shared = spark.sparkContext.broadcast(tree)
+    sent = shared(spark, tree)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = opened(sent)
         for batch in batches:
-            leaf = shared.value.assign(V.matrix(batch.column("data"), dim))
+            leaf = tree.assign(V.matrix(batch.column("data"), dim))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), pa.array(leaf), batch.column("data")], ["vec_id", "leaf", "data"]
             )
 
-    rows = base.where(F.col("dim") == dim).mapInArrow(index, "vec_id long, leaf long, data binary")
+    rows = base.mapInArrow(index, "vec_id long, leaf long, data binary")
     rows = stored(rows, "index")
     names = np.asarray(sample.column("vec_id").combine_chunks())[:CALIBRATION]
     _, once = np.unique(names, return_index=True)
     visits = calibrated(tree, rows, names[once], x[:CALIBRATION][once], k, recall)
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        tree = opened(sent)
         for batch in batches:
             for a in range(0, len(batch), QUERIES):
                 part = batch.slice(a, QUERIES)
@@ -248,8 +256,6 @@ def search(
                     ["vec_id", "branch", "leaves", "data"],
                 )
 
-    asked = V.readable(queries, id_column, column).where("data is not null and vec_id is not null")
-    asked = asked.where(F.col("dim") == dim).groupBy("vec_id").agg(F.min("data").alias("data"))
     asked = asked.mapInArrow(traverse, "vec_id long, branch int, leaves array<int>, data binary")
 
     # A branch's rows in pieces; its queries meet every piece. There are at most BRANCHES branches.

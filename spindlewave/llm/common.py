@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindlewave.session import work_dir
+from spindlewave.session import settings, work_dir
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -32,13 +35,22 @@ def stored(df: DataFrame, name: str, *, compression: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.option("compression", compression).parquet(path)
-    # Spark removes the shuffle files of a finished job when its plan is collected as
-    # garbage; without a word they stay on the executors' disks for up to half an hour.
-    spark._jvm.System.gc()
+    # The shuffle files of the job go with its end, not when its plan is collected as garbage.
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of any object, with the code of its class, so that executors need not have it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(broadcast: Broadcast):
+    """The object of a ``shared`` broadcast, in a task."""
+    return pickle.loads(broadcast.value)
+
+
 def dropped(*frames: DataFrame) -> None:
     """Remove working tables that nothing reads any more."""
     for df in frames:
@@ -82,13 +94,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 def hashed_sample(rows: DataFrame, columns: list[str], size: int) -> DataFrame:
     """At most ``size`` rows, those with the smallest hashes of ``columns``.
 
-    Nearly all rows are left out where they are read, by a bound on the hash that is
-    met by half as many rows again as wanted; so little is sorted, in one task.
+    Nearly all rows are left out where they are read, by a bound on the hash; so little is
+    sorted, in one task. Equal rows share a hash: as long as a bound leaves too few rows it
+    is raised, up to all of them, so the sample has ``size`` rows if there are as many.
     """
     number = rows.count()
     mark = F.pmod(F.xxhash64(*columns), F.lit(1 << 31))
-    if number > 2 * size:
-        rows = rows.where(mark < int((1 << 31) * 1.5 * size / number) + 1)
+    share = 1.5 * size / max(number, 1)
+    while share < 0.75:
+        some = rows.where(mark < int((1 << 31) * share) + 1)
+        if some.limit(size).count() >= min(size, number):
+            rows = some
+            break
+        share *= 8
     return rows.orderBy(mark, *columns).limit(size)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindlewave.llm.common import hashed_sample, runs, stored, utf8
+from spindlewave.llm.common import hashed_sample, opened, runs, shared, stored, utf8
 
 KINDS = ("assign", "access", "hex", "format")  # in the order of spans that start together
 ASSIGN = re.compile(
@@ -37,6 +37,7 @@ VALUE, ACCESS_SIZE, HEX_SIZE = 8, 16, 32  # least sizes
 RUN = 1 << 19  # bytes of text handled at once
 SAMPLE = 1000  # labelled credentials of a kind that an automaton is learned from
 LONGEST = 256  # longer ones are not learned from (all are scored)
+LONG = 1024  # longer runs are scored in blocks, all blocks side by side
 ALPHA = 0.05  # of the Hoeffding bound
 TAIL = 0.01  # share of the labelled credentials that may score below the limit
 MARGIN = 8.0  # nats by which a format must beat the chain
@@ -166,7 +167,13 @@ def infer(values: list[tuple[bytes, int]], alpha: float = ALPHA, tail: float = T
 
 
 def likelihood(automaton: Automaton, symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Log likelihood of each run of classes, all runs a step at a time."""
+    """Log likelihood of each run of classes, all runs a step at a time, long ones in blocks."""
+    long = sizes > LONG
+    if long.any():
+        found = np.empty(len(sizes))
+        found[~long] = likelihood(automaton, symbols, begins[~long], sizes[~long])
+        found[long] = rests(automaton, symbols, begins[long], sizes[long])[1]
+        return found
     order = np.argsort(-sizes, kind="stable")
     total, state = np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
     alive = len(order)
@@ -181,6 +188,45 @@ def likelihood(automaton: Automaton, symbols: np.ndarray, begins: np.ndarray, si
     return total + automaton.end[state]
 
 
+def blocks_of(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks of at most LONG that runs are cut into: begins, sizes, and where a run's blocks start."""
+    number = np.maximum(-(-sizes // LONG), 1)
+    starts = np.concatenate([[0], np.cumsum(number)])
+    owner = np.repeat(np.arange(len(sizes)), number)
+    nth = np.arange(starts[-1]) - starts[owner]
+    begin = begins[owner] + nth * LONG
+    return begin, np.minimum(LONG, (begins + sizes)[owner] - begin), starts
+
+
+def rests(
+    automaton: Automaton, symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihood of what follows each block, from every state [blocks, states], and of the whole runs.
+
+    What a block does to each state does not depend on the blocks before it, so all blocks
+    are read side by side; then they are put together, block by block.
+    """
+    begin, size, starts = blocks_of(begins, sizes)
+    states = len(automaton.end)
+    total, state = np.zeros((len(begin), states)), np.tile(np.arange(states), (len(begin), 1))
+    step = np.where(automaton.step >= 0, automaton.step, 0)
+    for at in range(LONG):
+        rows = np.flatnonzero(size > at)
+        if not len(rows):
+            break
+        symbol = symbols[begin[rows] + at].astype(np.int64)[:, None]
+        total[rows] += automaton.log[state[rows], symbol]
+        state[rows] = step[state[rows], symbol]
+    after, whole = np.empty((len(begin), states)), np.empty(len(sizes))
+    for run, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
+        rest = automaton.end
+        for block in range(b - 1, a - 1, -1):
+            after[block] = rest
+            rest = total[block] + rest[state[block]]
+        whole[run] = rest[0]
+    return after, whole
+
+
 def chain_counts(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """How often a class follows another in the runs, with begin and end."""
     found = np.zeros((N + 1, N + 1), np.int64)
@@ -208,9 +254,16 @@ def tails(
 ) -> np.ndarray:
     """Log likelihood from each mark to the end of the run that owns it, all marks of a run at once.
 
-    Runs are read backwards with the likelihood of the rest from every state.
+    Runs are read backwards with the likelihood of the rest from every state; a long run
+    as its blocks, each with the likelihood of what follows it.
     """
     found = np.empty(len(marks))
+    last = np.tile(automaton.end, (len(sizes), 1))
+    if (sizes > LONG).any():
+        last, _ = rests(automaton, symbols, begins, sizes)
+        first = begins
+        begins, sizes, starts = blocks_of(begins, sizes)
+        owners = starts[owners] + (marks - first[owners]) // LONG
     order = np.argsort(-sizes, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
@@ -219,7 +272,7 @@ def tails(
     near = np.argsort(far, kind="stable")
     cuts = np.searchsorted(far[near], np.arange(int(sizes.max(initial=0)) + 2))
     after, log = np.where(automaton.step >= 0, automaton.step, 0).T.copy(), automaton.log.T.copy()
-    rest = np.tile(automaton.end, (len(order), 1))
+    rest = last[order]
     alive = len(order)
     for back in range(1, int(far.max(initial=0)) + 1):
         while sizes[order[alive - 1]] < back:
@@ -363,7 +416,7 @@ def scans(column: pa.Array) -> Iterator[tuple[int, int, Scan]]:
         yield a, b, Scan(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
+def learn(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model:
     """Learn the formats from the credentials that the known patterns find in all texts.
 
     An automaton is learned from at most ``sample`` different credentials of a kind (the
@@ -376,7 +429,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             for _, _, scan in scans(batch.column("text")):
                 total += chain_counts(scan.symbols, *scan.pieces())
-                found = [(kind, value) for kind, value in scan.labelled() if len(value) <= LONGEST]
+                found = [(kind, value) for kind, value in scan.labelled() if len(value) <= longest]
                 if found:
                     kinds, values = zip(*found, strict=True)
                     n = len(found)
@@ -413,7 +466,7 @@ def secret_spans(docs: DataFrame, model: Model) -> DataFrame:
     ends exclusive. Repeated rows and null ids are rows like any other; other columns
     are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_format"]
     schema = T.StructType(
         [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
@@ -423,9 +476,10 @@ def secret_spans(docs: DataFrame, model: Model) -> DataFrame:
     )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = opened(sent)
         for batch in batches:
             for a, b, scan in scans(batch.column("text")):
-                found = scan.characters([*scan.base, *scan.formats(shared.value)])
+                found = scan.characters([*scan.base, *scan.formats(known)])
                 rows = []
                 for text in range(b - a):
                     spans = found.get(text, [])
@@ -445,15 +499,16 @@ def redacted(docs: DataFrame, model: Model, mark: str = "[SECRET]") -> DataFrame
     Rows without spans stay as they are, null texts too. ``n_chars``, if there is such
     a column, is the length of the new text where the text has changed.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
     schema = docs.schema
     names = schema.fieldNames()
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = opened(sent)
         for batch in batches:
             for a, b, scan in scans(batch.column("text")):
                 part = batch.slice(a, b - a)
-                found = scan.characters([*scan.base, *scan.formats(shared.value)])
+                found = scan.characters([*scan.base, *scan.formats(known)])
                 if found:
                     columns = {name: part.column(name) for name in names}
                     texts = columns["text"].to_pylist()

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindlewave.llm.common import hashed_sample, runs, stored, utf8
+from spindlewave.llm.common import hashed_sample, opened, runs, shared, stored, utf8
 from spindlewave.llm.shingles import sets_of, sorted_within, words
 
 RUN = 1 << 18  # bytes of text handled at once
@@ -233,13 +233,14 @@ def scored(docs: DataFrame, trees: Trees, threshold: float = 0.3, keep: list[str
     ``keep`` named score or predicted are replaced.
     """
     keep = [name for name in (keep or ["doc_id"]) if name not in ("score", "predicted")]
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    sent = shared(docs.sparkSession, trees)
     fields = [docs.schema[name] for name in keep]
     schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = opened(sent)
         for batch in batches:
-            found = shared.value.scores(text_statistics(batch.column("text")))
+            found = known.scores(text_statistics(batch.column("text")))
             columns = [batch.column(name) for name in keep]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(found), pa.array((found >= threshold).astype(np.int32))], [*keep, "score", "predicted"]

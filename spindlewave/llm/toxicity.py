@@ -14,18 +14,16 @@ A document is scored from its text alone, in one pass without a shuffle.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindlewave.llm.common import dropped, hashed_sample, runs, stored, utf8
+from spindlewave.llm.common import dropped, hashed_sample, opened, runs, shared, stored, utf8
 from spindlewave.llm.quality import FOLDS, Trees, fold, grow
 from spindlewave.llm.spans import LOWER, Hashes, spans
 
@@ -309,10 +307,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return lexicon(terms, own_counts[1], own_counts[0], own_totals[1], own_totals[0])
 
     known = [without(f) for f in range(FOLDS)]
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(known))
+    lexicons_of = shared(docs.sparkSession, known)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicons = pickle.loads(shared.value)
+        lexicons = opened(lexicons_of)
         for batch in batches:
             of = np.asarray(batch.column("fold"))
             x = np.zeros((len(batch), len(FEATURES)))
@@ -342,12 +340,12 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.5, keep: list[str
     ``keep`` named score or predicted are replaced.
     """
     keep = [name for name in (keep or ["doc_id"]) if name not in ("score", "predicted")]
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    sent = shared(docs.sparkSession, model)
     fields = [docs.schema[name] for name in keep]
     schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pickle.loads(shared.value)
+        known = opened(sent)
         for batch in batches:
             found = known.scores(batch.column("text"))
             columns = [batch.column(name) for name in keep]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import time
 import zlib
 from html.parser import HTMLParser
 
@@ -415,3 +416,37 @@ def test_warc_records(spark, tmp_path):
     assert warc.derivatives(bare).count() == 2
     assert warc.derivatives(records.limit(0)).count() == 0
     assert html.unescape("&lt;") == "<"
+
+
+def test_long_runs_are_scored_as_short_ones(monkeypatch):
+    random = np.random.default_rng(4)
+    values = [(bytes(random.choice(list(b"abc0123/="), 20).tolist()), 1) for _ in range(60)] + [(b"zz" * 9, 3)]
+    automaton = credentials.infer(values)
+    symbols = credentials.CLASS[random.choice(np.frombuffer(b"abcZ019/=._", np.uint8), 5000)]
+    begins, sizes = np.array([0, 40, 700, 1800, 3000]), np.array([30, 600, 1000, 1024, 2000])
+    marks = np.sort(random.integers(3000, 4990, 50))
+    marks = np.concatenate([[5, 60, 639, 1500], marks])
+    owners = np.concatenate([[0, 1, 1, 2], np.full(50, 4)])
+    whole = credentials.likelihood(automaton, symbols, begins, sizes)
+    ends = credentials.tails(automaton, symbols, begins, sizes, marks, owners)
+    monkeypatch.setattr(credentials, "LONG", 37)
+    assert np.allclose(credentials.likelihood(automaton, symbols, begins, sizes), whole)
+    assert np.allclose(credentials.tails(automaton, symbols, begins, sizes, marks, owners), ends)
+
+
+def test_a_very_long_run_takes_seconds():
+    random = np.random.default_rng(5)
+    values = [(bytes(random.choice(list(b"abcdef0123456789"), 40).tolist()), 1) for _ in range(200)]
+    model = credentials.Model({"hex": credentials.infer(values)}, np.log(np.full((credentials.N + 1,) * 2, 1 / (credentials.N + 1))))
+    text = random.choice(np.frombuffer(b"ABCDEFGHabcdefgh0123456789+/", np.uint8), 2_000_000)
+    begun = time.perf_counter()
+    scan = credentials.Scan(text, np.array([0, len(text)]))
+    list(scan.formats(model))
+    # In steps of one byte this took 0.2 ms a byte.
+    assert time.perf_counter() - begun < 40
+
+
+def test_samples_of_equal_rows_are_full(spark):
+    rows = spark.range(5000).select((F.col("id") % 3).alias("k"))
+    assert hashed_sample(rows, ["k"], 100).count() == 100
+    assert hashed_sample(rows, ["k"], 9000).count() == 5000
