@@ -9,6 +9,7 @@ stretches of time (``plans.sql_views.over_range``).
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,116 @@ def merge_counts(totals: pd.Series) -> int:
     return int(totals.sum())
 
 
+@dataclass(frozen=True)
+class Merge:
+    """An aggregate by its parts: the state of a row, Spark's aggregate of states, and the merge of two.
+
+    ``combine`` takes the earlier and the later state, either of which may be null. States need
+    not add up, and nothing is ever taken out of one.
+    """
+
+    lift: Column | None
+    aggregate: Callable[[Column], Column]
+    combine: Callable[[Column, Column], Column]
+    finish: Callable[[Column], Column] = lambda state: state
+
+
+def merged_sum(value: str | Column | None = None) -> Merge:
+    """A sum, 0 of nothing; without a value only its way of merging."""
+
+    def combine(a: Column, b: Column) -> Column:
+        # The sum of a null keeps its type; that of nothing is 0.
+        return F.coalesce(a + b, a, b, F.lit(0))
+
+    return Merge(_column(value), F.sum, combine)
+
+
+def merged_max(value: str | Column) -> Merge:
+    return Merge(_column(value), F.max, F.greatest)
+
+
+def merged_min(value: str | Column) -> Merge:
+    return Merge(_column(value), F.min, F.least)
+
+
+def merged_distinct(value: str | Column, domain: Sequence[object]) -> Merge:
+    """The number of different values of ``domain``, at most 63 of them; others are left out."""
+    if len(domain) > 63:
+        raise ValueError("a domain has at most 63 values")
+    bits = F.lit(0).cast("long")
+    for k, known in enumerate(domain):
+        bits = F.when(_column(value) == F.lit(known), F.lit(1 << k).cast("long")).otherwise(bits)
+    none = F.lit(0).cast("long")
+    return Merge(
+        bits, F.bit_or, lambda a, b: F.coalesce(a, none).bitwiseOR(F.coalesce(b, none)), lambda state: F.bit_count(state).cast("long")
+    )
+
+
+def _column(value: str | Column | None) -> Column | None:
+    return F.col(value) if isinstance(value, str) else value
+
+
+SUM = merged_sum()
+
+
+class Fold:
+    """A user-defined aggregate whose states merge but cannot be taken apart.
+
+    ``lift`` makes the states of values (an array [values, width]; a null value comes as NaN), ``merge`` the
+    states of two stretches of time, the earlier one first, pair by pair, and ``finish`` one result a state
+    (NaN becomes null). ``merge`` has to be associative, no more.
+    """
+
+    def __init__(
+        self,
+        lift: Callable[[np.ndarray], np.ndarray],
+        merge: Callable[[np.ndarray, np.ndarray], np.ndarray],
+        finish: Callable[[np.ndarray], np.ndarray],
+        width: int = 1,
+        result: T.DataType | None = None,
+    ):
+        self.lift, self.merge, self.finish, self.width = lift, merge, finish, width
+        self.result = result or T.DoubleType()
+
+
+def folded_max() -> Fold:
+    """The maximum, null of nothing."""
+    return Fold(
+        lambda values: np.where(np.isnan(values), -np.inf, values)[:, None], np.maximum,
+        lambda states: np.where(np.isneginf(states[:, 0]), np.nan, states[:, 0]),
+    )
+
+
+def folded_first() -> Fold:
+    """The first value in time that is not null; the order of merging matters here."""
+    return Fold(
+        lambda values: values[:, None], lambda a, b: np.where(np.isnan(a), b, a), lambda states: states[:, 0]
+    )
+
+
+def folded_sketch(registers: int = 64) -> Fold:
+    """About how many different values there are, by the largest rank of their hashes in each register."""
+
+    def lift(values: np.ndarray) -> np.ndarray:
+        bits = np.where(values == 0, 0.0, values).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        bits = (bits ^ (bits >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        bits ^= bits >> np.uint64(29)
+        rank = 54 - np.frexp((bits >> np.uint64(11)).astype(float))[1]
+        found = np.zeros((len(values), registers))
+        known = np.flatnonzero(~np.isnan(values))
+        found[known, (bits[known] & np.uint64(registers - 1)).astype(int)] = rank[known]
+        return found
+
+    def finish(states: np.ndarray) -> np.ndarray:
+        share = 0.7213 / (1 + 1.079 / registers)
+        found = share * registers**2 / (2.0**-states).sum(axis=1)
+        empty = (states == 0).sum(axis=1)
+        few = (found < 2.5 * registers) & (empty > 0)
+        return np.where(few, registers * np.log(registers / np.maximum(empty, 1)), found)
+
+    return Fold(lift, np.maximum, finish, registers)
+
+
 class Accumulator:
     """A user-defined aggregate whose states add up.
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from spindlewave.functions import durations
 from spindlewave.functions.signal import ratio
-from spindlewave.functions.udaf import Accumulator
+from spindlewave.functions.udaf import SUM, Accumulator, Merge
 from spindlewave.schema import KEYS
 
 OWN, EARLIER, WHOLE = 0, 1, 2
@@ -85,6 +85,26 @@ def over_range_with(
     return range_sums(df, states, preceding, keys, time, panes).select(*df.columns, *results)
 
 
+def over_range_merged(
+    df: DataFrame,
+    merges: Mapping[str, Merge],
+    preceding: timedelta = timedelta(seconds=2),
+    keys: Sequence[str] = KEYS,
+    time: str = "event_time",
+    panes: int = 1,
+) -> DataFrame:
+    """``df`` with aggregates over the range that merge but cannot retract, such as a maximum, by name.
+
+    A frame is the merge of two running aggregates, that of its own pane from the pane's begin
+    and that of the pane before to its end, so nothing has ever to be taken out of one.
+    """
+    states = {f"_m{k}": merge.lift for k, merge in enumerate(merges.values())}
+    how = dict(zip(states, merges.values(), strict=True))
+    framed = range_sums(df, states, preceding, keys, time, panes, how)
+    results = [merge.finish(F.col(f"_m{k}")).alias(name) for k, (name, merge) in enumerate(merges.items())]
+    return framed.select(*df.columns, *results)
+
+
 def value_states(value: str = "data") -> dict[str, Column]:
     data = F.col(value).cast("double")
     there = F.when(data.isNotNull(), 1).otherwise(0)
@@ -98,8 +118,13 @@ def range_sums(
     keys: Sequence[str] = KEYS,
     time: str = "event_time",
     panes: int = 1,
+    how: Mapping[str, Merge] | None = None,
 ) -> DataFrame:
-    """``df`` with the sum over the range of every state, an expression over its columns."""
+    """``df`` with the sum over the range of every state, an expression over its columns.
+
+    ``how`` names the states that merge in another way than by addition.
+    """
+    how = {name: (how or {}).get(name, SUM) for name in states}
     width = durations.micros(preceding)
     if panes < 1 or width % panes:
         raise ValueError("panes must divide the range")
@@ -108,17 +133,17 @@ def range_sums(
     rows = rows.withColumn("_offset", F.pmod("_t", F.lit(width)))
     rows = rows.withColumn("_pane", F.expr(f"(_t - _offset) div {width}"))
     if busy is None:
-        return _direct(rows, df.columns, list(states), keys, F.lit(False))
+        return _direct(rows, df.columns, how, keys, F.lit(False))
 
     # A pane is also hot if the one before, which is copied in, is busy.
     rows = rows.alias("l").join(F.broadcast(busy).alias("r"), _same(["_pane", *keys]), "left").select(
         "l.*", *[F.coalesce(f"r.{name}", F.lit(False)).alias(name) for name in ("_hot", "_next_hot")]
     )
-    direct = _direct(rows.where("not _hot or not _next_hot"), df.columns, list(states), keys, F.col("_next_hot"))
+    direct = _direct(rows.where("not _hot or not _next_hot"), df.columns, how, keys, F.col("_next_hot"))
     instants = rows.where("_hot or _next_hot").groupBy(*keys, "_t").agg(
-        *[F.sum(name).alias(name) for name in states], F.count(F.lit(1)).alias("_here")
+        *[merge.aggregate(F.col(name)).alias(name) for name, merge in how.items()], F.count(F.lit(1)).alias("_here")
     )
-    frames = instant_frames(instants, preceding, keys, panes, list(states))
+    frames = instant_frames(instants, preceding, keys, panes, how)
     hot = _attach(rows.where("_hot").select(*df.columns, "_t"), frames, share, keys)
     return direct.unionByName(hot.select(*df.columns, *states))
 
@@ -154,7 +179,7 @@ def hot_panes(
 
 
 def _direct(
-    rows: DataFrame, columns: Sequence[str], states: Sequence[str], keys: Sequence[str], next_hot: Column
+    rows: DataFrame, columns: Sequence[str], states: Mapping[str, Merge], keys: Sequence[str], next_hot: Column
 ) -> DataFrame:
     """Sums over the range, straight from the readings with ``_pane`` and ``_offset``.
 
@@ -175,19 +200,18 @@ def _direct(
     running = group.orderBy("_offset").rangeBetween(Window.unboundedPreceding, 0)
     closing = group.orderBy(F.desc("_offset")).rangeBetween(Window.unboundedPreceding, 0)
     sums = [
-        _both_ends(name, rows.schema[name].dataType, F.col("role") == OWN, running, closing).alias(f"_of{name}")
-        for name in states
+        _both_ends(name, merge, F.col("role") == OWN, running, closing).alias(f"_of{name}")
+        for name, merge in states.items()
     ]
     framed = rows.select(*columns, "role", *sums).where(F.col("role") == OWN)
     return framed.select(*columns, *[F.col(f"_of{name}").alias(name) for name in states])
 
 
-def _both_ends(name: str, kind: T.DataType, own: Column, running, closing) -> Column:
-    """The sum of a pane's own rows up to a row and of the rows of the pane before since then."""
-    zero = F.lit(0).cast(kind)
-    upto = F.sum(F.when(own, F.col(name))).over(running)
-    since = F.sum(F.when(~own, F.col(name))).over(closing)
-    return F.coalesce(upto, zero) + F.coalesce(since, zero)
+def _both_ends(name: str, merge: Merge, own: Column, running, closing) -> Column:
+    """The aggregate of a pane's own rows up to a row, merged with that of the rows of the pane before since then."""
+    upto = merge.aggregate(F.when(own, F.col(name))).over(running)
+    since = merge.aggregate(F.when(~own, F.col(name))).over(closing)
+    return merge.combine(since, upto)
 
 
 def instant_totals(
@@ -205,12 +229,13 @@ def instant_frames(
     preceding: timedelta,
     keys: Sequence[str] = KEYS,
     panes: int = 1,
-    states: Sequence[str] = STATES,
+    how: Mapping[str, Merge] | None = None,
 ) -> DataFrame:
     """The sums of the frame that ends at each instant, and the instant's own rows ``_here``.
 
     With several ``panes`` to a range a frame also has the whole panes between.
     """
+    states = how or dict.fromkeys(STATES, SUM)
     width = durations.micros(preceding)
     step = width // panes
     offset = F.pmod(F.col("_t"), F.lit(step))
@@ -232,21 +257,21 @@ def instant_frames(
     running = group.orderBy("_offset").rangeBetween(Window.unboundedPreceding, 0)
     closing = group.orderBy(F.desc("_offset")).rangeBetween(Window.unboundedPreceding, 0)
     sums = [
-        _both_ends(name, rows.schema[name].dataType, F.col("role") != EARLIER, running, closing).alias(f"_of{name}")
-        for name in states
+        _both_ends(name, merge, F.col("role") != EARLIER, running, closing).alias(f"_of{name}")
+        for name, merge in states.items()
     ]
     framed = rows.select(*keys, "_t", "_here", "role", *sums).where(F.col("role") == OWN)
     return framed.select(*keys, "_t", "_here", *[F.col(f"_of{name}").alias(name) for name in states])
 
 
 def _whole_panes(
-    instants: DataFrame, keys: Sequence[str], panes: int, states: Sequence[str]
+    instants: DataFrame, keys: Sequence[str], panes: int, states: Mapping[str, Merge]
 ) -> DataFrame:
     """Pane totals as rows of the ``panes - 1`` following panes."""
     return (
         instants.where(F.col("_t").isNotNull())
         .groupBy(*keys, "_pane")
-        .agg(*[F.sum(name).alias(name) for name in states])
+        .agg(*[merge.aggregate(F.col(name)).alias(name) for name, merge in states.items()])
         .withColumn("_later", F.explode(F.sequence(F.lit(1), F.lit(panes - 1))))
         .select(
             *keys,

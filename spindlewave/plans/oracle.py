@@ -121,7 +121,8 @@ SELECT id, rstart, {rounded(PIVOT_FEATURES)}, state FROM pivoted"""
 def over(columns: str, frame: str, sampled: bool = True) -> str:
     return f"""WITH {wear_data(sampled)}, framed AS (
   SELECT event_id, id, axis, event_time, data,
-         avg(data) OVER w AS avg_data, count(*) OVER w AS count_
+         avg(data) OVER w AS avg_data, count(*) OVER w AS count_, max(data) OVER w AS max_data,
+         min(data) OVER w AS min_data, count(DISTINCT state) OVER w AS states
   FROM wear_data
   WINDOW w AS (PARTITION BY id, axis ORDER BY event_time
                RANGE BETWEEN INTERVAL {frame} PRECEDING AND CURRENT ROW))
@@ -132,3 +133,5 @@ OVER_AVG = "event_id, id, axis, event_time, round(data, 6) + 0.0 AS data, " \
     "round(avg_data, 6) + 0.0 AS avg_data"
 OVER_BOTH = OVER_AVG + ", count_"
 OVER_COUNT = "event_id, id, axis, event_time, round(data, 6) + 0.0 AS data, count_"
+OVER_MAX = "event_id, id, axis, event_time, round(data, 6) + 0.0 AS data, round(max_data, 6) + 0.0 AS max_data"
+OVER_MERGED = OVER_MAX + ", round(min_data, 6) + 0.0 AS min_data, states"

@@ -13,7 +13,8 @@ from spindlewave.functions import udaf
 from spindlewave.functions.states import state_code, state_label
 from spindlewave.model import features as model_features
 from spindlewave.model import metrics, score, train
-from spindlewave.operators.over import over_range, over_range_with
+from spindlewave.operators.fold import over_range_folded
+from spindlewave.operators.over import over_range, over_range_merged, over_range_with
 from spindlewave.operators.pivot import pivot_axes, pivot_axes_fused
 from spindlewave.operators.windows import hopping_features, tumbling_features
 from spindlewave.plans import oracle, sql_views
@@ -198,6 +199,22 @@ def over_count_udaf(spark, sf_dir):
     return shown(rows.select(*OVER_COLUMNS, "count_"))
 
 
+def over_merged(spark, sf_dir):
+    """Extremes and the number of states over a range, as running merges of Spark's own aggregates."""
+    merges = {
+        "max_data": udaf.merged_max("data"), "min_data": udaf.merged_min("data"),
+        "states": udaf.merged_distinct("state", STATES),
+    }
+    rows = over_range_merged(readings(spark, sf_dir), merges, 2 * HOUR, panes=24)
+    return shown(rows.select(*OVER_COLUMNS, *merges))
+
+
+def over_folded(spark, sf_dir):
+    """A user-defined maximum over a range, by merges alone."""
+    rows = over_range_folded(readings(spark, sf_dir, True), {"max_data": udaf.folded_max()})
+    return shown(rows.select(*OVER_COLUMNS, "max_data"))
+
+
 def sql_over_range_avg(spark, sf_dir):
     reading_sources.register_view(readings(spark, sf_dir, True))
     rows = sql_views.over_range(spark, "avg(data) OVER w AS avg_data")
@@ -528,6 +545,8 @@ QUERIES: dict[str, Run] = {
         over_range_hours,
         over_count,
         over_count_udaf,
+        over_merged,
+        over_folded,
         sql_over_range_avg,
         sql_over_count_udaf,
         sql_count_udaf,
@@ -637,6 +656,8 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "over_range_hours": oracle.over(oracle.OVER_BOTH, "'2' HOURS", False),
         "over_count": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "over_count_udaf": oracle.over(oracle.OVER_COUNT, "'2' SECONDS"),
+        "over_merged": oracle.over(oracle.OVER_MERGED, "'2' HOURS", False),
+        "over_folded": oracle.over(oracle.OVER_MAX, "'2' SECONDS"),
         "sql_over_range_avg": oracle.over(oracle.OVER_AVG, "'2' SECONDS"),
         "sql_over_count_udaf": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "sql_count_udaf": f"WITH {oracle.wear_data()} SELECT id, axis, "

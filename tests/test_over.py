@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spindlewave.functions import udaf
-from spindlewave.operators import over
-from spindlewave.operators.over import instant_totals, over_range, over_range_with
+from spindlewave.operators import fold, over
+from spindlewave.operators.fold import over_range_folded
+from spindlewave.operators.over import instant_totals, over_range, over_range_merged, over_range_with
 from tests.conftest import BASE_MILLIS, offset, reading_frame
 
 
@@ -188,3 +189,109 @@ def test_hot_and_ordinary_panes_side_by_side(spark, monkeypatch, least):
     monkeypatch.setattr(over, "LEAST_SHARE", least)
     rows = random_rows(14, n=300, span=20)
     assert collected(over_range(reading_frame(spark, rows), panes=2)) == brute_force(rows)
+
+
+def frames_of(rows, width=2.0):
+    """Each row with the rows of its frame in order of time."""
+    for row in rows:
+        i, axis, _, at, _ = row
+        same = [r for r in rows if r[:2] == (i, axis) and (r[3] is None) == (at is None)]
+        if at is not None:
+            low, high = round(at * 1e6) - round(width * 1e6), round(at * 1e6)
+            same = sorted((r for r in same if low <= round(r[3] * 1e6) <= high), key=lambda r: r[3])
+        yield row, same
+
+
+def merged_by_force(rows, width=2.0):
+    results = []
+    for (i, axis, data, at, _), frame in frames_of(rows, width):
+        values = [r[2] for r in frame if r[2] is not None]
+        kinds = {int(r[2]) % 5 for r in frame if r[2] is not None}
+        instant = None if at is None else round(at * 1e6)
+        results.append((i, axis, data, instant, max(values, default=None), min(values, default=None), sum(values), len(kinds)))
+    return Counter(results)
+
+
+def merged(df):
+    kind = F.pmod(F.col("data").cast("int"), F.lit(5))
+    merges = {
+        "top": udaf.merged_max("data"), "low": udaf.merged_min("data"), "total": udaf.merged_sum("data"),
+        "kinds": udaf.merged_distinct(kind, range(5)),
+    }
+    return merges
+
+
+def plain(df, *names):
+    at = (F.unix_micros("event_time") - BASE_MILLIS * 1000).alias("t")
+    return Counter(tuple(r) for r in df.select("id", "axis", "data", at, *names).collect())
+
+
+@pytest.mark.parametrize("hot, panes", [(False, 1), (True, 1), (True, 4)])
+def test_merges_by_brute_force(spark, monkeypatch, hot, panes):
+    if hot:
+        monkeypatch.setattr(over, "SHARES", 40)
+        monkeypatch.setattr(over, "LEAST_SHARE", 4)
+    rows = random_rows(11)
+    df = reading_frame(spark, rows).repartition(3)
+    found = over_range_merged(df, merged(df), panes=panes)
+    assert found.columns == [*df.columns, "top", "low", "total", "kinds"]
+    assert plain(found, "top", "low", F.coalesce("total", F.lit(0.0)), "kinds") == merged_by_force(rows)
+
+
+def test_merges_go_through_one_exchange(spark):
+    df = reading_frame(spark, random_rows(3, 50))
+    plan = over_range_merged(df, {"top": udaf.merged_max("data")})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_folds_by_brute_force(spark, monkeypatch):
+    rows = random_rows(12)
+    # Instants are unique, so that the first value of a frame is certain.
+    rows = [(i, axis, data, None if at is None else round(at + k * 1e-6, 6), s) for k, (i, axis, data, at, s) in enumerate(rows)]
+    df = reading_frame(spark, rows).repartition(3)
+    monkeypatch.setattr(over, "SHARES", 40)
+    folds = {"top": udaf.folded_max(), "first": udaf.folded_first(), "kinds": udaf.folded_sketch()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")  # panes and instants go on from batch to batch
+    try:
+        found = over_range_folded(df, folds).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = {}
+    for row, frame in frames_of(rows):
+        values = [r[2] for r in frame if r[2] is not None]
+        expected.setdefault(row[:4], []).append((max(values, default=None), values[0] if values else None, len(set(values))))
+    assert len(found) == len(rows)
+    for r in found:
+        at = None if r.event_time is None else round(offset(r.event_time), 6)
+        top, first, kinds = expected[(r.id, r.axis, r.data, at)][0]
+        assert r.top == top
+        if at is not None:
+            assert r.first == first
+        assert abs(r.kinds - kinds) <= 0.5 + 0.35 * kinds
+
+
+def test_folds_of_equal_instants(spark):
+    rows = [("1", "X", float(k % 7), 1.0, "0") for k in range(300)] + [("1", "X", 50.0, -1.0, "0"), ("1", "X", 60.0, -1.001, "0")]
+    df = reading_frame(spark, rows).repartition(4)
+    found = over_range_folded(df, {"top": udaf.folded_max()})
+    assert Counter((r.data, r.top) for r in found.collect()) == Counter(
+        [(float(k % 7), 50.0) for k in range(300)] + [(50.0, 60.0), (60.0, 60.0)]
+    )
+    assert over_range_folded(df.limit(0), {"top": udaf.folded_max()}).count() == 0
+
+
+def test_running_merges():
+    import numpy as np
+
+    random_ = np.random.default_rng(0)
+    fresh = random_.random(200) < 0.1
+    fresh[0] = True
+    run, place = fold.places(fresh)
+    states = random_.integers(0, 9, (200, 1)).astype(float)
+    found = fold.running(states, place, lambda a, b: a + b)
+    for k in range(200):
+        assert found[k, 0] == states[(run == run[k]) & (np.arange(200) <= k)].sum()
+    back = fold.places(np.append(True, run[::-1][1:] != run[::-1][:-1]))[1][::-1]
+    found = fold.running(states, back, lambda a, b: a + b, backwards=True)
+    for k in range(200):
+        assert found[k, 0] == states[(run == run[k]) & (np.arange(200) >= k)].sum()
