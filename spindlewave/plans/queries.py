@@ -25,8 +25,8 @@ from spindlewave.sinks import tables
 from spindlewave.sources import features as feature_tables
 from spindlewave.sources import readings as reading_sources
 from spindlewave.sources.events import STATES, readings_from_events
-from spindlewave.streaming.over import OverRangeSink, settled
-from spindlewave.streaming.replay import Replay, as_batch
+from spindlewave.streaming.over import OverRangeSink, settled, trailing_range, trailing_table
+from spindlewave.streaming.replay import Replay, as_batch, without_heartbeat
 
 # The event table has a few readings an hour, so hours take the place of seconds.
 HOUR = timedelta(hours=1)
@@ -299,6 +299,15 @@ def stream_axis_pivot_cascade(spark, sf_dir):
 
 
 def stream_over_range(spark, sf_dir):
+    """Frames from the state of each pane, when the watermark passes it."""
+    # The heartbeat's time is out of the range of pandas, and it has no frame.
+    work = work_dir(spark, "stream-over")
+    replay = replayed(readings(spark, sf_dir, True), lambda df: trailing_range(without_heartbeat(df)), work)
+    return shown(trailing_table(replay.table()).select(*OVER_COLUMNS, "avg_data", "count_"))
+
+
+def stream_over_range_settled(spark, sf_dir):
+    """The same with readings held one by one and the frames of each micro-batch as a batch."""
     rows = readings(spark, sf_dir, True)
     work = work_dir(spark, "stream-over")
     sink = OverRangeSink(rows.schema, work)
@@ -559,6 +568,7 @@ QUERIES: dict[str, Run] = {
         stream_axis_pivot,
         stream_axis_pivot_cascade,
         stream_over_range,
+        stream_over_range_settled,
         late_data_drop,
         feature_sink,
         train_test_split,
@@ -679,6 +689,7 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "stream_axis_pivot": pivot,
         "stream_axis_pivot_cascade": pivot,
         "stream_over_range": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
+        "stream_over_range_settled": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "late_data_drop": late,
         "feature_sink": signal,
         "model_fit_predict": f"{parts} SELECT state, count(*) AS n, count(*) AS predicted, 0 AS differ, {learnt} "

@@ -1,21 +1,26 @@
 """The trailing-range aggregate on a stream.
 
-Spark has no range windows on streams. Here the stream only does what needs
-state: it holds each reading until the watermark has passed it, and drops late
-ones. What comes out of a micro-batch is then complete up to the watermark, and
-``over_range`` computes its frames as a batch, together with the last range of
-readings before.
+Spark has no range windows on streams. ``trailing_range`` keeps, per key and pane of one range, the
+pane's readings and the sums per instant of the pane before, and emits the frames of a pane
+when the watermark passes its end. So a reading is computed once, and the state is one row per
+key and open pane.
+
+``OverRangeSink`` is another way, for panes with very many readings: the stream only holds each
+reading until the watermark has passed it (``settled``), spread over all tasks, and ``over_range``
+computes the frames of a micro-batch as a batch, together with the last range of readings before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor
 
 from spindlewave.functions import durations
 from spindlewave.operators.over import over_range
@@ -24,6 +29,152 @@ from spindlewave.streaming.replay import as_batch
 
 CHUNK = 100_000
 
+# Texts of times keep their microseconds.
+TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+class PaneFrames(StatefulProcessor):
+    """State and timers of one key and pane.
+
+    The state holds the pane's own readings (time, value, other columns as text) and, of the pane
+    before, the sums per instant. A value that is null is NaN beside a mark.
+    """
+
+    STATE = T.StructType([T.StructField(name, T.BinaryType()) for name in ("t", "v", "there", "before")] + [T.StructField("rows", T.StringType())])
+
+    def __init__(self, width: int):
+        self.width = width
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("pane", self.STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        kept = self.state.get() if self.state.exists() else None
+        if kept is None:
+            # Due when no reading of the pane can come any more.
+            self.handle.registerTimer(-(-(int(key[-1]) + 1) * self.width // 1000))
+            t, v, there, texts, before = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), [], np.zeros((0, 4))
+        else:
+            t, v, there = (np.frombuffer(x, kind) for x, kind in zip(kept[:3], (np.int64, np.float64, bool), strict=True))
+            before = np.frombuffer(kept[3]).reshape(-1, 4)
+            texts = kept[4].split("\n") if len(t) else []
+        for part in rows:
+            value = part["x_v"].to_numpy(float)
+            known = part["x_there"].to_numpy(bool)
+            at, own = part["x_at"].to_numpy(np.int64), part["x_own"].to_numpy(bool)
+            t, v, there = np.append(t, at[own]), np.append(v, value[own]), np.append(there, known[own])
+            texts += part["x_row"][own].tolist()
+            # Offsets in the pane before are small numbers, so doubles hold them exactly.
+            start = (int(key[-1]) - 1) * self.width
+            more = [at[~own] - start, np.where(known[~own], value[~own], 0.0), known[~own], np.ones((~own).sum())]
+            before = by_instant(np.concatenate([before, np.stack([np.asarray(x, float) for x in more], axis=1)]))
+        self.state.update((t.tobytes(), v.tobytes(), there.tobytes(), before.tobytes(), "\n".join(texts)))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        kept = self.state.get()
+        self.state.clear()
+        t, v, there = (np.frombuffer(x, kind) for x, kind in zip(kept[:3], (np.int64, np.float64, bool), strict=True))
+        if not len(t):
+            return
+        before = np.frombuffer(kept[3]).reshape(-1, 4)
+        total, values, count = pane_frames(t - int(key[-1]) * self.width, v, there, before)
+        average = np.where(values > 0, total / np.maximum(values, 1), np.nan)
+        found = pd.DataFrame({"x_at": t, "x_row": kept[4].split("\n"), "x_avg": average, "x_count": count.astype(np.int64)})
+        found["x_avg"] = found["x_avg"].astype(object).where(values > 0, None)
+        yield found
+
+    def close(self) -> None:
+        pass
+
+
+def by_instant(sums: np.ndarray) -> np.ndarray:
+    """Rows (offset, sum, values, rows), one per offset, in order."""
+    if not len(sums):
+        return sums
+    at, place = np.unique(sums[:, 0], return_inverse=True)
+    return np.stack([at, *(np.bincount(place, sums[:, k]) for k in (1, 2, 3))], axis=1)
+
+
+def pane_frames(offset: np.ndarray, value: np.ndarray, there: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sum, values and rows of the frame that ends at each reading of a pane.
+
+    That is what the pane holds up to the reading's instant, and what the pane before holds from the
+    same offset on.
+    """
+    own = by_instant(np.stack([offset.astype(float), np.where(there, value, 0.0), there.astype(float), np.ones(len(offset))], axis=1))
+    upto = np.cumsum(own[:, 1:], axis=0)
+    since = np.concatenate([np.cumsum(before[::-1, 1:], axis=0)[::-1], np.zeros((1, 3))])
+    spot = np.searchsorted(before[:, 0], own[:, 0], "left")
+    frames = (upto + since[spot])[np.searchsorted(own[:, 0], offset)]
+    return frames[:, 0], frames[:, 1], frames[:, 2]
+
+
+def trailing_range(
+    readings: DataFrame,
+    preceding: timedelta = timedelta(seconds=2),
+    keys: Sequence[str] = KEYS,
+    time: str = "event_time",
+    value: str = "data",
+) -> DataFrame:
+    """A watermarked stream with ``avg_data`` and ``count_`` over the range, once the watermark has passed a pane.
+
+    A reading is a row of its own pane and, with its value alone, of the next one. Late readings are
+    dropped. No watermark passes a reading without a time; it comes out at once with neither, since its frame is
+    complete only when the stream has ended (``trailing_table`` adds it). State has to be in RocksDB.
+    """
+    width = durations.micros(preceding)
+    timed = readings.where(F.col(time).isNotNull())
+    at = F.unix_micros(time)
+    pane = F.expr(f"(unix_micros(`{time}`) - pmod(unix_micros(`{time}`), {width})) div {width}")
+    data = F.col(value).cast("double")
+    others = [name for name in readings.columns if name not in (time, *keys)]
+    row = F.to_json(F.struct(*others), {**TEXT, "ignoreNullFields": "false"})
+    copies = F.explode(F.array(*[F.struct((pane + k).alias("pane"), F.lit(k == 0).alias("own")) for k in (0, 1)]))
+    # The column of times carries the watermark. Names that begin with a line do not reach Python.
+    dealt = timed.withColumn("_copy", copies).select(
+        *keys, time, F.col("_copy.pane").alias("x_pane"), F.col("_copy.own").alias("x_own"), at.alias("x_at"),
+        F.coalesce(data, F.lit(0.0)).alias("x_v"), data.isNotNull().alias("x_there"),
+        F.when(F.col("_copy.own"), row).otherwise(F.lit("")).alias("x_row"),
+    )
+    fields = [T.StructField(f"x_k{k}", readings.schema[name].dataType) for k, name in enumerate(keys)]
+    schema = T.StructType([T.StructField("x_at", T.LongType()), T.StructField("x_row", T.StringType()),
+                           T.StructField("x_avg", T.DoubleType()), T.StructField("x_count", T.LongType())])
+    out = T.StructType([*fields, *schema.fields])
+    processor = KeyedPaneFrames(width, [f.name for f in fields])
+    framed = dealt.groupBy(*keys, "x_pane").transformWithStateInPandas(processor, out, "append", "EventTime")
+    parsed = F.from_json("x_row", T.StructType([readings.schema[name] for name in others]), {**TEXT, "mode": "FAILFAST"})
+    named = {name: F.col(f"x_k{k}") for k, name in enumerate(keys)} | {time: F.timestamp_micros("x_at")}
+    found = framed.withColumn("_others", parsed).select(
+        *[named.get(name, F.col(f"_others.`{name}`")).alias(name) for name in readings.columns],
+        F.col("x_avg").alias("avg_data"), F.col("x_count").alias("count_"),
+    )
+    untimed = readings.where(F.col(time).isNull())
+    empty = [F.lit(None).cast("double").alias("avg_data"), F.lit(None).cast("long").alias("count_")]
+    return found.unionByName(untimed.select("*", *empty))
+
+
+class KeyedPaneFrames(PaneFrames):
+    """``PaneFrames`` with the key beside its frames."""
+
+    def __init__(self, width: int, names: Sequence[str]):
+        super().__init__(width)
+        self.names = list(names)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for found in super().handleExpiredTimer(key, timerValues, expiredTimerInfo):
+            own = {name: [key[k]] * len(found) for k, name in enumerate(self.names)}
+            yield pd.concat([pd.DataFrame(own, index=found.index, dtype=object), found], axis=1)
+
+
+def trailing_table(
+    written: DataFrame, preceding: timedelta = timedelta(seconds=2), time: str = "event_time", **options
+) -> DataFrame:
+    """What a finished ``trailing_range`` has written, with the frames of readings without a time."""
+    untimed = written.where(F.col(time).isNull()).drop("avg_data", "count_")
+    return written.where(F.col(time).isNotNull()).unionByName(over_range(untimed, preceding, time=time, **options))
+
 
 def settled(readings: DataFrame, time: str = "event_time") -> DataFrame:
     """Each reading once the watermark has passed it, with its number of ``_copies``.

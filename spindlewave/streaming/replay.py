@@ -29,6 +29,12 @@ def watermarked(
     return readings.withWatermark(time, durations.text(delay))
 
 
+def without_heartbeat(rows: DataFrame) -> DataFrame:
+    """The rows of a ``Replay`` but for its heartbeat, whose time has reached the watermark all the same."""
+    # As long as the condition is not deterministic, it stays above the watermark.
+    return rows.where(F.when(F.spark_partition_id() >= 0, ~F.col("id").eqNullSafe(HEARTBEAT)))
+
+
 class LateRows(StreamingQueryListener):
     """Sums the rows that the stateful operators of one query refuse as late.
 
@@ -108,10 +114,7 @@ class Replay:
         self.state_partitions = state_partitions
         rows = build(watermarked(readings.unionByName(heartbeat), time, delay))
         if "id" in rows.columns:
-            # As long as the condition is not deterministic, it stays above the watermark,
-            # which the heartbeat must reach.
-            reading = F.when(F.spark_partition_id() >= 0, ~F.col("id").eqNullSafe(HEARTBEAT))
-            rows = rows.where(reading)
+            rows = without_heartbeat(rows)
         self.result_rows = after(rows) if after else rows
         self.sink = sink or self._table
 
