@@ -25,6 +25,8 @@ from spindlewave.sinks import tables
 from spindlewave.sources import features as feature_tables
 from spindlewave.sources import readings as reading_sources
 from spindlewave.sources.events import STATES, readings_from_events
+from spindlewave.streaming.changelog import changelog, folded
+from spindlewave.streaming.late import LateGate
 from spindlewave.streaming.over import OverRangeSink, settled, trailing_range, trailing_table
 from spindlewave.streaming.replay import Replay, as_batch, without_heartbeat
 
@@ -315,13 +317,48 @@ def stream_over_range_settled(spark, sf_dir):
     return shown(sink.table(spark).select(*OVER_COLUMNS, "avg_data", "count_"))
 
 
+def gated(spark, sf_dir, name) -> LateGate:
+    """A replay whose last slice also brings the first one again, too late."""
+    rows = readings(spark, sf_dir)
+    work = work_dir(spark, name)
+    parts = reading_sources.time_slices(rows, SLICES, f"{work}/slices")
+    parts[-1] = parts[-1].unionByName(parts[0].withColumn("data", F.lit(LATE_DATA)))
+    rows.limit(0).write.parquet(f"{work}/readings")
+    stream = reading_sources.stream_parquet(spark, f"{work}/readings", rows.schema)
+    gate = LateGate(stream, signal_rows, work, 4 * HOUR, 2 * HOUR, delay=DELAY)
+    for part in parts:
+        part.write.mode("append").parquet(f"{work}/readings")
+        gate.advance()
+    return gate.finish()
+
+
 def late_data_drop(spark, sf_dir):
-    """Features without the readings that came too late, and how many window rows were refused."""
+    """Features without the readings that came too late, and how many readings that were."""
+    gate = gated(spark, sf_dir, "late")
+    return shown(gate.table().withColumn("late_readings", F.lit(gate.late().where("closed = windows").count()).cast("long")))
+
+
+def late_readings(spark, sf_dir):
+    """The readings that came too late, and for how many windows."""
+    late = gated(spark, sf_dir, "late").late()
+    return shown(late.select("event_id", "id", "axis", "event_time", "data", "windows", "closed"))
+
+
+def late_window_rows(spark, sf_dir):
+    """The same features with the window rows that Spark itself refuses and counts."""
     work = work_dir(spark, "late")
     replay = replayed(readings(spark, sf_dir), signal_rows, work, late=True, delay=DELAY)
     return shown(replay.table().withColumn("late_rows", F.lit(replay.dropped).cast("long")))
 
 
+def pivot_changelog(spark, sf_dir):
+    """The pivoted features as a changelog with row kinds, folded to the table it leaves."""
+    log = replayed(
+        readings(spark, sf_dir), lambda df: changelog(without_heartbeat(df), 4 * HOUR, 2 * HOUR), work_dir(spark, "changelog"), delay=DELAY
+    ).table()
+    return shown(folded(log).select("id", "rstart", *PIVOT_FEATURES, "state"))
+
+
 def feature_sink(spark, sf_dir):
     """Window features of a stream through a per-batch sink."""
     work = work_dir(spark, "feature-sink")
@@ -570,6 +607,9 @@ QUERIES: dict[str, Run] = {
         stream_over_range,
         stream_over_range_settled,
         late_data_drop,
+        late_readings,
+        late_window_rows,
+        pivot_changelog,
         feature_sink,
         train_test_split,
         model_metrics,
@@ -635,14 +675,19 @@ SELECT 'run' AS run_id, name, value FROM (VALUES {values}) v(name, value)
 UNION ALL SELECT 'run', 'n', CAST(count(*) AS VARCHAR) FROM tested
 UNION ALL SELECT 'run', 'n_missing', '0'
 UNION ALL SELECT 'run', name, 'true' FROM (VALUES ('error_below_commonest'), ('several_classes')) w(name)"""
-    # Every micro-batch refuses a late window once per key: those of the first slice.
-    late = f"""{signal.partition("SELECT id, axis, wstart, round")[0]}, ends AS (
+    first = f"""ends AS (
   SELECT min(epoch_us(event_time)) AS a, max(epoch_us(event_time)) AS b FROM wear_data),
 first_slice AS (
-  SELECT DISTINCT id, axis, wstart FROM hops, ends
-  WHERE (epoch_us(event_time) - a) // ((b - a + {SLICES}) // {SLICES}) = 0)
-SELECT id, axis, wstart, {oracle.rounded(SIGNAL_FEATURES)}, state,
-       (SELECT count(*) FROM first_slice) AS late_rows FROM features"""
+  SELECT wear_data.* FROM wear_data, ends WHERE (epoch_us(event_time) - a) // ((b - a + {SLICES}) // {SLICES}) = 0)"""
+    head = signal.partition("SELECT id, axis, wstart, round")[0]
+    rounded = f"SELECT id, axis, wstart, {oracle.rounded(SIGNAL_FEATURES)}, state"
+    late = f"{head}, {first} {rounded}, (SELECT count(*) FROM first_slice) AS late_readings FROM features"
+    # Every micro-batch refuses a late window once per key: those of the first slice.
+    late_rows = f"""{head}, {first}, refused AS (
+  SELECT DISTINCT id, axis, wstart FROM hops JOIN (SELECT event_id AS e FROM first_slice) f ON f.e = hops.event_id)
+{rounded}, (SELECT count(*) FROM refused) AS late_rows FROM features"""
+    late_table = f"""WITH {oracle.wear_data()}, {first}
+SELECT event_id, id, axis, event_time, CAST({LATE_DATA} AS DOUBLE) AS data, 2 AS windows, 2 AS closed FROM first_slice"""
 
     reply = f"""{pivoted}, replied AS (
   SELECT id, rstart, CASE WHEN x_avg < 0 THEN -1 WHEN x_avg > 10 THEN NULL
@@ -691,6 +736,9 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "stream_over_range": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "stream_over_range_settled": oracle.over(oracle.OVER_BOTH, "'2' SECONDS"),
         "late_data_drop": late,
+        "late_readings": late_table,
+        "late_window_rows": late_rows,
+        "pivot_changelog": pivot,
         "feature_sink": signal,
         "model_fit_predict": f"{parts} SELECT state, count(*) AS n, count(*) AS predicted, 0 AS differ, {learnt} "
         "FROM shares WHERE share >= 0.75 GROUP BY state",
