@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import time
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.request import Request, urlopen
 
 import pyarrow as pa
@@ -83,36 +86,60 @@ def score_remote(
     transport: Transport,
     columns: Sequence[str] = PIVOT_FEATURES,
     rows_per_request: int = 1000,
+    in_flight: int = 4,
+    retries: int = 2,
+    back_off: float = 0.2,
 ) -> DataFrame:
     """Feature rows with ``remote_code``, ``remote_error`` and ``remote_state``.
 
-    Many rows go into one request. If the transport fails, or a reply has another
-    number of predictions than the request has rows, its rows are left without a
+    Many rows go into one request, and a task has at most ``in_flight`` requests under way;
+    rows keep their order. A request whose transport fails is sent again up to ``retries`` times, after
+    ``back_off`` seconds and twice as many each further time. If it fails for good, or a reply has
+    another number of predictions than the request has rows, its rows are left without a
     code, with an empty state and the error text; so is a row whose prediction is
     unreadable. Any other error fails the job.
     """
+    if in_flight < 1 or retries < 0:
+        raise ValueError("at least one request is in flight, and retries are not negative")
     head, tail = request_frame(columns)
     sent = rows.withColumn("_request", request_row(columns))
     texts = ("_reply", "remote_error")
     schema = T.StructType([*sent.schema.fields, *[T.StructField(name, T.StringType()) for name in texts]])
 
+    def send(text: str) -> str | None:
+        for again in range(retries + 1):
+            try:
+                return transport(text)
+            except OSError:  # refused and broken connections, timeouts, HTTP errors
+                if again == retries:
+                    raise
+                time.sleep(back_off * 2**again)
+
+    def answer(part: pa.RecordBatch) -> pa.RecordBatch:
+        replies, error = [None] * len(part), None
+        try:
+            reply = send(head + ",".join(part.column("_request").to_pylist()) + tail)
+        except OSError as failure:
+            error = f"{type(failure).__name__}: {failure}"
+        else:
+            found = reply.split(",") if reply else replies
+            if len(found) == len(part):
+                replies = found
+            else:
+                error = f"{len(found)} predictions for {len(part)} rows"
+        added = [pa.array(replies, pa.string()), pa.array([error] * len(part), pa.string())]
+        return pa.RecordBatch.from_arrays([*part.columns, *added], schema.fieldNames())
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, len(batch), rows_per_request):
-                part = batch.slice(start, rows_per_request)
-                replies, error = [None] * len(part), None
-                try:
-                    reply = transport(head + ",".join(part.column("_request").to_pylist()) + tail)
-                except OSError as failure:  # refused and broken connections, timeouts, HTTP errors
-                    error = f"{type(failure).__name__}: {failure}"
-                else:
-                    found = reply.split(",") if reply else replies
-                    if len(found) == len(part):
-                        replies = found
-                    else:
-                        error = f"{len(found)} predictions for {len(part)} rows"
-                added = [pa.array(replies, pa.string()), pa.array([error] * len(part), pa.string())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *added], schema.fieldNames())
+        under_way: deque = deque()
+        with ThreadPoolExecutor(in_flight) as pool:
+            for batch in batches:
+                for start in range(0, len(batch), rows_per_request):
+                    under_way.append(pool.submit(answer, batch.slice(start, rows_per_request)))
+                    if len(under_way) == in_flight:
+                        yield under_way.popleft().result()
+            while under_way:
+                yield under_way.popleft().result()
 
     asked = sent.mapInArrow(ask, schema)
     code = F.when(F.col("remote_error").isNull(), reply_code(F.col("_reply")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
+from math import gcd
 from operator import add
 
 from pyspark.sql import Column, DataFrame
@@ -36,10 +37,11 @@ def windowed(
 ) -> DataFrame:
     """``aggregates`` per window (column ``window``) and keys.
 
-    With ``by_slide`` every reading is summed once, for the slide it falls into, and the
-    slides of a window are put together after a second, small exchange. That pays
-    where a slide holds many readings of a key; else each reading is summed once per
-    window. Names tell how aggregates go together: ``*_n``, ``*_avg`` and ``*_var`` are
+    With ``by_slide`` every reading is summed once, for the pane it falls into, and the
+    panes of a window are put together after a second, small exchange; on a stream that is a
+    second stateful operator behind the first. A pane is as long as the greatest common
+    divisor of size and slide. That pays where a pane holds many readings of a key; else each
+    reading is summed once per window. Names tell how aggregates go together: ``*_n``, ``*_avg`` and ``*_var`` are
     count, mean and population variance of one value, ``*_min``, ``*_max`` and
     ``*_state`` extremes, all others sums.
     """
@@ -47,14 +49,13 @@ def windowed(
         window = F.window(time, durations.text(size), durations.text(slide))
         named = [column.alias(name) for name, column in aggregates.items()]
         return df.groupBy(window.alias("window"), *keys).agg(*named)
-    if df.isStreaming or size % slide:
-        raise ValueError("by_slide needs a batch and a slide that divides the size")
-    count = size // slide
-    slides = windowed(df, aggregates, slide, slide, keys, time)
-    slots = slides.withColumn("_slot", F.explode(F.array(*[F.lit(k) for k in range(count)])))
-    step = F.make_dt_interval(secs=F.lit(slide.total_seconds()))
-    begin = F.col("window.start") - step * F.col("_slot")
-    whole = F.make_dt_interval(secs=F.lit(size.total_seconds()))
+    step = timedelta(microseconds=gcd(durations.micros(size), durations.micros(slide)))
+    count = size // step
+    panes = windowed(df, aggregates, step, step, keys, time)
+    # A pane lies wholly in every window that it meets; its time carries the watermark.
+    window = F.window(F.window_time("window"), durations.text(size), durations.text(slide))
+    apart = F.unix_micros("window.start") - F.unix_micros("_window.start")
+    slots = panes.withColumn("_window", window).withColumn("_slot", (apart / F.lit(durations.micros(step))).cast("int"))
     merged: dict[str, Column] = {}
     results: dict[str, Column] = {}
     for name in aggregates:
@@ -79,9 +80,8 @@ def windowed(
                 results[name] = (F.col(f"{stem}_within") + reduce(add, apart)) / total
         else:
             merged[name] = F.sum(name)
-    grouped = slots.groupBy(begin.alias("_begin"), *keys).agg(*[c.alias(n) for n, c in merged.items()])
-    window = F.struct(F.col("_begin").alias("start"), (F.col("_begin") + whole).alias("end"))
-    return grouped.select(window.alias("window"), *keys, *[c.alias(n) for n, c in results.items()])
+    grouped = slots.groupBy(F.col("_window").alias("window"), *keys).agg(*[c.alias(n) for n, c in merged.items()])
+    return grouped.select("window", *keys, *[c.alias(n) for n, c in results.items()])
 
 
 def tumbling_features(

@@ -60,10 +60,12 @@ def replayed(
 ) -> Replay:
     """The rows as a stream through ``build``, slice by slice in event time order, then closed.
 
-    With ``late`` the last slice also brings the first one again, too late.
+    Slices have about as many rows each. With ``late`` they are equal spans of time, and the last
+    one also brings the first one again, too late.
     """
     spark = rows.sparkSession
-    parts = reading_sources.time_slices(rows, slices, f"{work}/slices")
+    cut = reading_sources.time_slices if late else reading_sources.even_slices
+    parts = cut(rows, slices, f"{work}/slices")
     if late:
         parts[-1] = parts[-1].unionByName(parts[0].withColumn("data", F.lit(LATE_DATA)))
     rows.limit(0).write.parquet(f"{work}/readings")
@@ -134,6 +136,13 @@ def hop_features(spark, sf_dir):
     )
 
 
+def hop_features_panes(spark, sf_dir):
+    """Windows of three hours every two, each reading summed once, for its hour."""
+    return shown(
+        hopping_features(readings(spark, sf_dir), 3 * HOUR, 2 * HOUR, features="basic", by_slide=True)
+    )
+
+
 def textbook_signal_features(spark, sf_dir):
     return shown(
         hopping_features(readings(spark, sf_dir), 4 * HOUR, 2 * HOUR, features="textbook")
@@ -291,6 +300,15 @@ def stream_axis_pivot(spark, sf_dir):
     return shown(replayed(readings(spark, sf_dir), fused_rows, work, delay=DELAY).table())
 
 
+def stream_hop_panes(spark, sf_dir):
+    """Panes and windows as two stateful operators of one stream."""
+    def panes(df):
+        return hopping_features(df, 3 * HOUR, 2 * HOUR, state="state", state_domain=STATES, by_slide=True)
+
+    work = work_dir(spark, "stream-panes")
+    return shown(replayed(readings(spark, sf_dir), panes, work, delay=DELAY).table())
+
+
 def stream_axis_pivot_cascade(spark, sf_dir):
     def cascade(df):
         features = signal_rows(df, keep_window=True)
@@ -580,6 +598,7 @@ QUERIES: dict[str, Run] = {
         hop_signal_features_100hz,
         tumble_features,
         hop_features,
+        hop_features_panes,
         textbook_signal_features,
         axis_pivot_features,
         axis_pivot_fused,
@@ -602,6 +621,7 @@ QUERIES: dict[str, Run] = {
         csv_sensor_roundtrip,
         feature_table_scan,
         stream_hop_features,
+        stream_hop_panes,
         stream_axis_pivot,
         stream_axis_pivot_cascade,
         stream_over_range,
@@ -700,6 +720,8 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "hop_signal_features_100hz": oracle.signal(4, 2, "seconds", True),
         "tumble_features": tumble,
         "hop_features": oracle.basic(3, 2, "hours"),
+        "hop_features_panes": oracle.basic(3, 2, "hours"),
+        "stream_hop_panes": oracle.signal(3, 2, "hours"),
         "textbook_signal_features": oracle.textbook(4, 2, "hours"),
         "axis_pivot_features": pivot,
         "axis_pivot_fused": pivot,

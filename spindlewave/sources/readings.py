@@ -110,6 +110,25 @@ def time_slices(readings: DataFrame, count: int, path: str, time: str = "event_t
     first, last = readings.agg(F.min(at), F.max(at)).first()
     step = 1 if first is None else -(-(last - first + 1) // count)
     number = F.coalesce(F.floor((at - F.lit(first)) / step), F.lit(0)).cast("int")
+    return _sliced(readings, number, count, path)
+
+
+def even_slices(readings: DataFrame, count: int, path: str, time: str = "event_time") -> list[DataFrame]:
+    """The readings cut into slices of about as many rows each, in event time order; else as ``time_slices``.
+
+    So no micro-batch of a replay holds a crowded hour whole. The borders are quantiles of the
+    times; an instant is never cut.
+    """
+    at = F.unix_micros(time)
+    shares = [k / count for k in range(1, count)]
+    borders = readings.agg(F.percentile_approx(at, shares, 10_000)).first()[0] if shares else None
+    number = F.lit(0)
+    for border in sorted(set(borders or [])):
+        number = number + F.when(at > border, 1).otherwise(0)
+    return _sliced(readings, number.cast("int"), count, path)
+
+
+def _sliced(readings: DataFrame, number: Column, count: int, path: str) -> list[DataFrame]:
     readings.withColumn("_slice", number).write.partitionBy("_slice").parquet(path)
     schema = T.StructType([*readings.schema.fields, T.StructField("_slice", T.IntegerType())])
     slices = readings.sparkSession.read.schema(schema).parquet(path)

@@ -242,11 +242,46 @@ def test_remote_without_reply(rows):
 
 @pytest.mark.parametrize("transport", [refused, too_few])
 def test_remote_failure_does_not_fail_the_job(rows, transport):
-    found = score.score_remote(rows, transport)
+    found = score.score_remote(rows, transport, back_off=0.01)
     bad = found.where("remote_code is null and remote_state = '' and remote_error is not null")
     assert bad.count() == rows.count() == found.count()
 
 
+class Flaky:
+    """Fails the first time for every second request, and answers the sooner the later a row comes."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+
+    def __call__(self, text):
+        import os
+        import time
+
+        numbers = [int(row[0]) for row in json.loads(text)["data"]]
+        mark = f"{self.folder}/{numbers[0]}"
+        if numbers[0] % 2 and not os.path.exists(mark):
+            open(mark, "w").close()
+            raise TimeoutError("try again")
+        time.sleep(0.02 * (numbers[0] % 5))
+        return str([float(n % 4) for n in numbers])
+
+
+def test_requests_in_flight_with_failures_and_delays(spark, tmp_path):
+    zeros = [0.0] * (len(PIVOT_FEATURES) - 1)
+    data = [("1", datetime(2024, 1, 1), float(k), *zeros, "0") for k in range(60)]
+    rows = spark.createDataFrame(data, PIVOT_SCHEMA).coalesce(1)
+    expected = [(float(k), k % 4, None) for k in range(60)]
+    for name, options in {"one": {"in_flight": 1}, "many": {"in_flight": 7}}.items():
+        (tmp_path / name).mkdir()
+        found = score.score_remote(rows, Flaky(tmp_path / name), rows_per_request=3, back_off=0.01, **options).collect()
+        assert [(r.x_avg, r.remote_code, r.remote_error) for r in found] == expected
+    (tmp_path / "none").mkdir()
+    once = score.score_remote(rows, Flaky(tmp_path / "none"), rows_per_request=3, retries=0).collect()
+    assert [r.remote_error is None for r in once] == [(k // 3 * 3) % 2 == 0 for k in range(60)]
+    with pytest.raises(ValueError, match="in flight"):
+        score.score_remote(rows, refused, in_flight=0)
+
+
 def test_agreement(spark):
     df = spark.createDataFrame(
         [("0", "new", "new"), ("0", "new", "new"), ("1", "new", "")],

@@ -81,6 +81,20 @@ def test_stream_reads_what_batch_reads(spark, tmp_path, golden):
     assert same_rows(sources.read_table(spark, str(tmp_path / "out")), golden)
 
 
+def test_even_slices_of_crowded_times(spark, golden, tmp_path):
+    crowd = [("1", "X", float(k), 0.001 * (k % 900), "0") for k in range(900)] + [("1", "X", 1.0, 100.0 + k, "0") for k in range(100)]
+    df = reading_frame(spark, [*crowd, ("1", "X", 2.0, None, "0")])
+    slices = sources.even_slices(df, 5, str(tmp_path / "even"))
+    sizes = [part.count() for part in slices]
+    assert sum(sizes) == 1001 and max(sizes) <= 2 * sum(sizes) / 5
+    ends = [part.agg({"event_time": "max"}).first()[0] for part in slices]
+    assert ends == sorted(ends) and slices[0].where("event_time is null").count() == 1
+    # One instant stays whole; an empty table has empty slices.
+    one = sources.even_slices(reading_frame(spark, [("1", "X", 1.0, 5.0, "0")] * 30), 3, str(tmp_path / "one"))
+    assert sorted(part.count() for part in one) == [0, 0, 30]
+    assert [p.count() for p in sources.even_slices(golden.limit(0), 2, str(tmp_path / "none"))] == [0, 0]
+
+
 def test_time_slices(spark, golden, tmp_path):
     slices = sources.time_slices(golden, 3, str(tmp_path / "slices"))
     assert [part.count() for part in slices] == [4, 3, 1]

@@ -76,6 +76,15 @@ def test_hop_stream_equals_batch(spark, tmp_path):
     assert replay.dropped == 0
 
 
+def test_panes_on_a_stream_equal_a_batch(spark, tmp_path):
+    def panes(df):
+        return hopping_features(df, timedelta(seconds=3), timedelta(seconds=2), state="state", state_domain=STATE_DOMAIN, by_slide=True)
+
+    replay = replayed(spark, tmp_path, panes, SLICES)
+    batch = hopping_features(reading_frame(spark, ALL), timedelta(seconds=3), timedelta(seconds=2), state="state", state_domain=STATE_DOMAIN)
+    assert same_rows(rounded(replay.table(), SIGNAL_FEATURES), rounded(batch, SIGNAL_FEATURES))
+
+
 def test_new_run_goes_on_from_the_checkpoint(spark, tmp_path):
     source = Source(spark, tmp_path)
     for rows in SLICES:
