@@ -19,7 +19,7 @@ from spindlewave.llm.common import dropped, stored, unit
 
 SWEEPS, CLOSE = 20, 1e-12  # over all margins; change of a weight at which fitting ends
 BOUNDED, NEAR = 200, 1e-8  # the same where no cell may get more than its tokens
-AT_ONCE = 4  # of these sweeps, in one job
+AT_ONCE = 4  # of these sweeps in one job, behind which the end of fitting is tested
 RESCALES = 8  # to make up for cells that have too few tokens
 FEW = 100_000  # cells up to which one task rakes them, and they are sent to every executor
 
@@ -113,7 +113,9 @@ def rake(cells: DataFrame, margins: list[Margin], keep: float | None = None) ->
     ``cells`` has the margins' columns and tokens ``__t``. Values and cells without
     tokens keep the weight 0. With ``keep`` the weights are tokens to sample, ``keep`` of all,
     and no cell's weight is above its tokens: cells that would be are held there while
-    the others are raked to what is left of the targets.
+    the others are raked to what is left of the targets. Fitting ends when weights settle, and
+    after BOUNDED sweeps where targets exclude each other; ``largest_miss`` tells how far off
+    the margins are then.
     """
     whole = None
     if keep is not None:
@@ -133,7 +135,7 @@ def rake(cells: DataFrame, margins: list[Margin], keep: float | None = None) ->
     few = cells.count() <= FEW
     held = F.least(F.col("__t").cast("double"), F.col("__w"))  # a weight above the tokens counts as these
     loose = F.when(F.col("__w") < F.col("__t"), F.col("__w")).otherwise(F.lit(0.0))
-    at_once = AT_ONCE if few and whole is not None else 1
+    at_once = AT_ONCE if whole is not None else 1
     for _ in range(SWEEPS if whole is None else BOUNDED // at_once):
         now = (cells.coalesce(1) if few else cells).withColumn("__f", F.lit(0.0))
         for k, margin in list(enumerate(margins)) * at_once:
@@ -213,6 +215,11 @@ def mixed(rows: DataFrame, margins: list[Margin], keep: float = 0.7, bounded: bo
     return found.withColumn("sampled", F.coalesce(unit(F.col("doc_id")), F.lit(0.0)) < F.col("probability"))
 
 
+def largest_miss(found: DataFrame, margins: list[Margin]) -> float:
+    """How far the share of any value of any margin lies from its target; 0 without tokens."""
+    return reached(found, margins).agg(F.max(F.abs(F.col("reached") - F.col("target")))).first()[0] or 0.0
+
+
 def reached(found: DataFrame, margins: list[Margin]) -> DataFrame:
     """margin, value, target, reached: the shares of the tokens that ``mixed`` samples, by probability."""
     parts = []

@@ -27,7 +27,7 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.responses(table(spark, sf_dir, "pages"))
-    return warc.derivatives(records, key="page_id").drop("header", "block")
+    return warc.derivatives(records, key="page_id")
 
 
 MARGINS = [
@@ -42,9 +42,10 @@ def op3_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     # Texts are read once; what is known of them is small.
     rows = stored(mixing.described(docs).drop("text"), "described")
-    # The SQL rakes without bounds and caps afterwards, so targets are missed (README says by how much).
-    found = mixing.mixed(rows, MARGINS, KEEP, bounded=False)
-    columns = ["doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled"]
+    found = mixing.mixed(rows, MARGINS, KEEP)
+    # How far the margins are from their targets, which the tokens may not allow.
+    miss = F.round(F.lit(mixing.largest_miss(found, MARGINS)), 6).alias("largest_miss")
+    columns = ["doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled", miss]
     return found.select(*columns)
 
 
@@ -127,9 +128,9 @@ QUERIES = {
     "op12_midstate_manifest": op12_midstate_manifest,
     "op13_boosted_toxicity": op13_boosted_toxicity,
 }
-#: Token sets of up to three are counted one by one here, where Spark mines them.
+#: Token sets are grown one token at a time here, where Spark mines them.
 URL_SQL = r"""
-with parted as (
+with recursive parted as (
   select page_id, url,
     case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
   from pages
@@ -166,16 +167,22 @@ with parted as (
   having count(*) >= greatest(0.002 * (select count(*) from baskets), 20)
 ), kept as (
   select basket, bad, token from items where token in (select token from common)
+), least as materialized (
+  select greatest(0.002 * count(*), 20) as least from baskets
 ), sets as (
-  select bad, [token] as rule from kept
+  -- Sets grow by tokens that come later in order, as long as enough bad URLs hold them.
+  select basket, bad, [token] as rule, token as last from kept
+  where token in (select token from kept, least group by token, least having sum(bad::int) >= 0.6 * least - 0.000001)
   union all
-  select a.bad, [a.token, b.token] from kept a join kept b on a.basket = b.basket and a.token < b.token
-  union all
-  select a.bad, [a.token, b.token, c.token] from kept a join kept b on a.basket = b.basket and a.token < b.token
-  join kept c on a.basket = c.basket and b.token < c.token
+  select basket, bad, rule, last from (
+    select *, sum(bad::int) over (partition by rule) as n from (
+      select s.basket, s.bad, list_append(s.rule, k.token) as rule, k.token as last
+      from sets s join kept k on s.basket = k.basket and k.token > s.last
+    )
+  ), least where n >= 0.6 * least - 0.000001
 ), rules as (
-  select rule, sum(bad::int) / count(*) as confidence from sets group by rule
-  having count(*) >= greatest(0.002 * (select count(*) from baskets), 20) and sum(bad::int) >= 0.6 * count(*)
+  select rule, sum(bad::int) / count(*) as confidence from sets, least group by rule, least
+  having count(*) >= least and sum(bad::int) >= 0.6 * count(*)
 ), hits as (
   select distinct url from tokens t join rules r on list_has_all(t.tokens, r.rule)
 ), fixed as (
@@ -195,10 +202,10 @@ select page_id, host, path, rule,
 from fixed
 """
 
-def raking_sql(sweeps: int = 20, rescales: int = 8) -> str:
-    """The mixing of op3 as SQL, with its sweeps written out."""
+def raking_sql(jobs: int = mixing.BOUNDED // mixing.AT_ONCE, sweeps: int = mixing.AT_ONCE, rescales: int = mixing.RESCALES) -> str:
+    """The mixing of op3 as SQL: sweeps by recursion, with the same end of fitting."""
     text = r"""
-with rows_ as (
+with recursive rows_ as materialized (
   select doc_id, source, lang,
     case when size - length(replace(body, '|', '')) > size / 50.0 then 'table'
          when size - length(translate(body, '#$%&*', '')) > size / 50.0 then 'symbols'
@@ -209,34 +216,63 @@ with rows_ as (
 ), cells as materialized (
   select source, lang, topic, sum(tokens)::double as t from rows_ group by all
 ), goal_source as materialized (
-  select source as v, pow(s, 0.5) / sum(pow(s, 0.5)) over () as target
+  select source as v, s, pow(s, 0.5) / sum(pow(s, 0.5)) over () as target
   from (select source, sum(t) as s from cells group by source having sum(t) > 0)
 ), goal_topic as materialized (
-  select topic as v, pow(s, 0.9) / sum(pow(s, 0.9)) over () as target
+  select topic as v, s, pow(s, 0.9) / sum(pow(s, 0.9)) over () as target
   from (select topic, sum(t) as s from cells group by topic having sum(t) > 0)
 ), goal_lang as materialized (
-  select lang as v, case when wanted is null then s / sum(s) over ()
+  select lang as v, s, case when wanted is null then s / sum(s) over ()
     else wanted / sum(wanted) over () * sum(case when wanted is not null then s end) over () / sum(s) over () end as target
   from (select lang, sum(t) as s, case lang when 'en' then 0.55::double when 'de' then 0.15 when 'fr' then 0.15 when 'es' then 0.15 end as wanted
         from cells group by lang having sum(t) > 0)
-), w0 as materialized (select *, t as w from cells)"""
-    step = 0
-    for _ in range(sweeps):
-        for name in ("source", "lang", "topic"):
-            text += f""", w{step + 1} as materialized (
-  select c.source, c.lang, c.topic, t, w * coalesce(target / nullif(sum(w) over (partition by c.{name}), 0), 1) as w
-  from w{step} c left join goal_{name} g on g.v is not distinct from c.{name}
 )"""
-            step += 1
-    text += f", s0 as (select {KEEP} * sum(t) / sum(w) as s from w{step})"
+    names = ("source", "lang", "topic")
+    for name in names:
+        # What each value gives: all it has, or its target, with what is missing shared out.
+        text += f""", scale_{name} as (
+  select {KEEP} * sum(t) as whole, {KEEP} * sum(t) as s from cells
+  union all
+  select whole, more from (
+    select whole, x.s, (whole - coalesce(sum(case when g.target * x.s >= g.s then g.s end), 0)) / sum(case when g.target * x.s < g.s then g.target end) as more
+    from scale_{name} x, goal_{name} g group by whole, x.s
+  ) where more > s * (1 + {mixing.CLOSE})
+), give_{name} as materialized (
+  select v, least(s, target * (select max(s) from scale_{name})) as g from goal_{name}
+)"""
+    goals = ", ".join(f"x{k}.g as g{k}" for k in range(3))
+    joins = " ".join(f"left join give_{name} x{k} on x{k}.v is not distinct from c.{name}" for k, name in enumerate(names))
+    own = "source, lang, topic, t, g0, g1, g2"
+    relation = "(select *, 0.0::double as f0 from fit)"
+    for step in range(3 * sweeps):
+        k = step % 3
+        relation = f"""(
+  select job, top, {own}, w2 as w, greatest(f0, abs(least(t, w2) - least(t, w)) / nullif(t, 0)) as f0 from (
+    select *, least(w * coalesce(case when g{k} > total then 1 + (g{k} - total) / nullif(loose, 0) else g{k} / total end, 1), t * 1e9) as w2 from (
+      select *, nullif(sum(least(t, w)) over (partition by {names[k]}), 0) as total,
+        sum(case when w < t then w else 0 end) over (partition by {names[k]}) as loose from {relation})))"""
+    text += f""", fit as (
+  select 0 as job, {own}, w, top from (select c.*, {goals}, t as w, 1e300::double as top from cells c {joins})
+  union all
+  select job + 1, {own}, w, max(f0) over () from {relation} where job < {jobs} and top >= {mixing.NEAR}
+), raked as materialized (
+  select source, lang, topic, t, least(t, w) as w from fit where job = (select max(job) from fit)
+), s0 as (select {KEEP} * sum(t) / sum(w) as s from raked)"""
     for k in range(rescales):
-        text += f", s{k + 1} as (select s * {KEEP} * sum(t) / sum(least(t, w * s)) as s from w{step}, s{k} group by s)"
+        text += f", s{k + 1} as (select s * {KEEP} * sum(t) / sum(least(t, w * s)) as s from raked, s{k} group by s)"
+    text += f""", chances as materialized (
+  select source, lang, topic, t, case when t > 0 then round(least(1.0, w * s / t), 9) else 1.0 end as p from raked, s{rescales}
+)"""
+    misses = " union all ".join(
+        f"select abs(g.target - r / (select sum(t * p) from chances)) as miss from goal_{name} g "
+        f"join (select {name} as v, sum(t * p) as r from chances group by {name}) x on x.v is not distinct from g.v"
+        for name in names
+    )
     return text + f"""
 select doc_id, r.source, r.lang, r.topic, tokens, round(p, 6) as probability,
-  coalesce(('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint / 4294967296.0, 0) < p as sampled
-from rows_ r join (
-  select source, lang, topic, case when t > 0 then round(least(1.0, w * s / t), 9) else 1.0 end as p from w{step}, s{rescales}
-) c on c.source is not distinct from r.source and c.lang is not distinct from r.lang and c.topic is not distinct from r.topic
+  coalesce(('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint / 4294967296.0, 0) < p as sampled,
+  (select round(max(miss), 6) from ({misses})) as largest_miss
+from rows_ r join chances c on c.source is not distinct from r.source and c.lang is not distinct from r.lang and c.topic is not distinct from r.topic
 """
 
 

@@ -18,9 +18,9 @@ from spindlewave.llm.common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label=block"
-#: What a mined rule needs: share of its URLs that are labelled bad, labelled URLs that
-#: hold all its tokens (a share of all labelled, and a number), and tokens at most.
-CONFIDENCE, SUPPORT, FEWEST, TOKENS = 0.6, 0.002, 20, 3
+#: What a mined rule needs: share of its URLs that are labelled bad, and labelled URLs that
+#: hold all its tokens (a share of all labelled, and a number).
+CONFIDENCE, SUPPORT, FEWEST = 0.6, 0.002, 20
 
 
 @dataclass(frozen=True)
@@ -95,11 +95,11 @@ def document_id(path: str = "path") -> Column:
 
 def mine(
     labelled: DataFrame, confidence: float = CONFIDENCE, support: float = SUPPORT,
-    fewest: int = FEWEST, most: int = TOKENS,
+    fewest: int = FEWEST, most: int | None = None,
 ) -> DataFrame:
     """Rules from rows (tokens, bad): rule tokens (sorted), confidence, n (URLs with all of them).
 
-    A rule is dropped if a rule of some of its tokens is as sure. Rows with null tokens
+    Rules have any number of tokens, or at most ``most``. A rule is dropped if a rule of some of its tokens is as sure. Rows with null tokens
     or null labels teach nothing; without enough rows there are no rules.
     """
     rows = labelled.where("tokens is not null and bad is not null")
@@ -113,7 +113,9 @@ def mine(
         return empty
     model = FPGrowth(itemsCol="items", minSupport=(least * confidence - 1e-6) / total, minConfidence=confidence).fit(rows)
     sets = stored(model.freqItemsets, "itemsets")
-    bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1) & (F.size("items") <= most + 1))
+    bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1))
+    if most is not None:
+        bad = bad.where(F.size("items") <= most + 1)
     bad = bad.select(F.array_sort(F.array_remove("items", BAD)).alias("rule"), F.col("freq").alias("bad"))
     every = sets.where(~F.array_contains("items", BAD)).select(F.array_sort("items").alias("set"), F.col("freq").alias("n"))
     rules = bad.join(every, F.col("rule") == F.col("set")).drop("set")

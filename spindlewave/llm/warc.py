@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import gzip
 import html
 import re
 import uuid
@@ -175,20 +176,30 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """header and block of every record of the files of ``write_warc`` that are not compressed."""
+    """header and block of every record of the files of ``write_warc``, compressed by gzip or not.
+
+    A folder without such files, and a file that ends within a record, fail.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value in batch.column("content"):
                 data, at, rows = value.as_buffer().to_pybytes(), 0, []
+                if data[:2] == b"\x1f\x8b":
+                    data = gzip.decompress(data)
                 while at < len(data):
                     end = data.index(END.encode(), at)
                     header = data[at:end].decode()
                     size = int(re.search(r"^Content-Length: (\d+)\r?$", header, re.M)[1])
-                    rows.append((header, data[end + 4 : end + 4 + size].decode()))
+                    block = data[end + 4 : end + 4 + size]
+                    if len(block) < size:
+                        raise ValueError(f"a record ends after {len(block)} of {size} bytes")
+                    rows.append((header, block.decode()))
                     at = end + 8 + size
                 headers, blocks = zip(*rows, strict=True) if rows else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(headers, pa.string()), pa.array(blocks, pa.string())], ["header", "block"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{txt,txt.gz}").load(path)
+    if files.select("path").isEmpty():
+        raise ValueError(f"no WARC files in {path}")
     return files.select("content").mapInArrow(parse, "header string, block string")

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import hashlib
-import html
 import re
 import time
 import zlib
@@ -324,6 +323,24 @@ def test_urls(spark):
     assert url_rules.judged(pages, labels.limit(0), queries.URL_RULES).count() == pages.count()
 
 
+def test_a_rule_of_four_tokens(spark):
+    # Only all four together tell: any three of them are good as often as bad.
+    kinds = [("a", "b", "c", "d")] + [tuple(x if x != gone else "z" for x in "abcd") for gone in "abcd"]
+    urls, labels = [], []
+    for k in range(400):
+        kind = kinds[0] if k % 5 < 2 else kinds[1 + k % 4]
+        urls.append((k, f"http://site{k % 3}.net/{kind[0]}/{kind[1]}/{k}?{kind[2]}=1&{kind[3]}=2"))
+        labels.append((k, int(kind != kinds[0]), None))
+    pages = spark.createDataFrame([*urls, (9000, "http://new.net/a/b/99999?c=5&d=6"), (9001, "http://new.net/a/b/99998?c=5&e=6")], "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = url_rules.judged(pages, labels, [], confidence=0.8).toPandas()
+    verdict = dict(zip(found["page_id"], found["verdict"], strict=True))
+    assert verdict[9000] == "block" and verdict[9001] == "allow" and verdict[0] == "block" and verdict[2] == "allow"
+    shown = spark.createDataFrame([(["a", "b", "c", "d", "e"], True)] * 30 + [(["a", "b", "c"], False), (["b", "c", "d"], False), (["a", "c", "d"], False), (["a", "b", "d"], False)] * 30, "tokens array<string>, bad boolean")
+    assert [len(r["rule"]) for r in url_rules.mine(shown, 0.9).where("array_contains(rule, 'a') and not array_contains(rule, 'e')").collect()] == [4]
+    assert url_rules.mine(shown, 0.9, most=3).where("size(rule) > 3").isEmpty()
+
+
 class Text(HTMLParser):
     """Plain text by the standard parser's events, for pages that are well formed."""
 
@@ -385,6 +402,48 @@ def test_many_open_elements():
     assert warc.plain_text("<noscript>x<svg>" * 50_000).count("x") == 50_000
 
 
+def test_warc_query_by_its_own_digests(spark):
+    """Every record of the query is rebuilt from the page without the operator's helpers."""
+    import base64
+    import uuid
+
+    def sha(data):
+        return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+    path = "/root/testdata/sf0.001"
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{path}/pages.parquet").collect()}
+    found = queries.op2_warc_derivatives(spark, path).collect()
+    assert len(found) == 2 * len(pages)
+    by_page = {}
+    for r in found:
+        by_page.setdefault(r["page_id"], {})[r["warc_type"]] = r
+    for page_id, page in pages.items():
+        data = (page["html"] or "").encode()
+        name = hashlib.md5("\n".join([str(page_id), *([page["url"]] if page["url"] is not None else [])]).encode()).hexdigest()
+        source = f"<urn:uuid:{uuid.UUID(name)}>"
+        http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(data)}"
+        text = Text()
+        text.feed(page["html"] or "")
+        text.close()
+        meta, conversion = by_page[page_id]["metadata"], by_page[page_id]["conversion"]
+        assert conversion["block"] == text.text()
+        lines = meta["block"].split("\r\n")
+        assert lines[:3] == [
+            f"sourcePayloadDigest: {sha(data)}", f"sourceBlockDigest: {sha((http + '\r\n\r\n').encode() + data)}",
+            f"sourceContentLength: {len(http) + 4 + len(data)}",
+        ]
+        assert f"conversionRecord: {conversion['record_id']}" in lines and lines[-1] == ""
+        assert [line for line in lines if line.startswith("sourceHeader: ")] == [f"sourceHeader: {x}" for x in http.split("\r\n")]
+        for r, kind in ((meta, "application/warc-fields"), (conversion, "text/plain; charset=utf-8")):
+            block = r["block"].encode()
+            assert (r["refers_to"], r["content_length"], r["block_digest"]) == (source, len(block), sha(block))
+            fields = dict(line.split(": ", 1) for line in r["header"].split("\r\n")[1:])
+            assert fields["WARC-Refers-To"] == source and fields["WARC-Record-ID"] == r["record_id"] != source
+            assert (fields["Content-Type"], fields["Content-Length"], fields["WARC-Type"]) == (kind, str(len(block)), r["warc_type"])
+            assert fields["WARC-Block-Digest"] == sha(block) and fields["WARC-Target-URI"] == page["url"]
+    assert len({r["record_id"] for r in found}) == len(found)
+
+
 def test_warc_records(spark, tmp_path):
     rows = [(1, "http://a/ b", "<html lang=fr><head><title>T &amp; x</title></head><body>é<p>x</body>"), (2, None, None), (None, "http://c", ""),
             (3, "http://d\r\nX: y", "a\r\n\r\nb"), (1, "http://a/ b", "again"), (4, "u", "<p>" + "long " * 50_000)]
@@ -410,12 +469,21 @@ def test_warc_records(spark, tmp_path):
     assert any("title: T & x" in r["block"] and "language: fr" in r["block"] for r in first)
     path = work_dir(spark, "warc")
     warc.write_warc(found, path, compression="none")
-    again = sorted(map(tuple, warc.read_warc(spark, path).collect()))
-    assert again == sorted((r["header"], r["block"]) for r in derived)
+    expected = sorted((r["header"], r["block"]) for r in derived)
+    assert sorted(map(tuple, warc.read_warc(spark, path).collect())) == expected
+    packed = work_dir(spark, "warc")
+    warc.write_warc(found, packed)  # gzip if nothing else is said
+    assert sorted(map(tuple, warc.read_warc(spark, packed).collect())) == expected
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="no WARC files"):
+        warc.read_warc(spark, str(tmp_path / "none"))
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.txt").write_bytes(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort")
+    with pytest.raises(Exception, match="ends after 5 of 9"):
+        warc.read_warc(spark, str(tmp_path / "broken")).collect()
     bare = spark.createDataFrame([(None, None, None, None, None)], "record_id string, target_uri string, date string, http_header string, payload string")
     assert warc.derivatives(bare).count() == 2
     assert warc.derivatives(records.limit(0)).count() == 0
-    assert html.unescape("&lt;") == "<"
 
 
 def test_long_runs_are_scored_as_short_ones(monkeypatch):
