@@ -28,10 +28,11 @@ from spindlewave.llm.shingles import GOLDEN
 from spindlewave.llm.spans import LOWER, Hashes, spans
 
 RUN = 1 << 19  # bytes of text handled at once
-BUDGET = 1 << 21  # suffixes a group of prefixes may hold
+BUDGET = 1 << 20  # suffixes a group of prefixes may hold
 HOT_MOST = 100_000  # words over the budget, at most: beyond that many the budget grows
-FLUSH = 1 << 21  # suffixes that a task holds before it sends their tree
+FLUSH = 1 << 20  # suffixes that a task holds before it sends their tree
 WORDS = 1 << 18  # different words that a task holds before it sends their counts
+PARTS = 64  # of a language, in which its first phrases are found before they meet
 BITS = 26  # the bitmap of words that may stand in a phrase has 2 ** BITS bits (8 MB)
 
 BLANK = np.zeros(256, bool)
@@ -344,8 +345,11 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, cover: int =
         F.when(early, F.col("f1")).otherwise(F.col("f12")).alias("l"), F.when(early, F.col("f23")).otherwise(F.col("f3")).alias("r"),
         F.least("s1", "s2").alias("score"),
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = two.unionByName(three).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    scored = two.unionByName(three).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    first = (F.desc("score"), F.desc("a"), "phrase")
+    own = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*first))
+    some = scored.withColumn("own", own).where(F.col("own") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*first))).where(F.col("rank") <= top)
     found = ranked.join(totals, F.col("lang") == F.col("of_lang"))
     columns = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
     return found.select(*[F.col(x) if x in ("lang", "phrase") else F.col(x).cast("long").alias(x) for x in columns])
