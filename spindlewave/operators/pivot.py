@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spindlewave.functions import durations
 from spindlewave.functions.states import StateMax
-from spindlewave.operators.windows import windowed
+from spindlewave.operators.windows import window_keys, windowed
 from spindlewave.schema import AXES, MEASURES
 
 # Measure of the pivoted row -> column of the window features.
@@ -49,6 +49,9 @@ def pivot_axes(
     else:
         time, lag = F.col("wstart"), timedelta(0)
 
+    timed = features.withColumn("rowtime", time)
+    tumble = F.window("rowtime", durations.text(size))
+    # The features are few and not stored: to look for long states would compute them twice.
     state_max = StateMax("state", state_domain)
     sums = {
         f"{axis.lower()}_{measure}": F.sum(
@@ -57,19 +60,14 @@ def pivot_axes(
         for measure in MEASURES
         for axis in axes
     }
-    return (
-        features.withColumn("rowtime", time)
-        .groupBy(F.window("rowtime", durations.text(size)).alias("tumble"), "id")
-        .agg(
-            *[column.alias(name) for name, column in sums.items()],
-            state_max.aggregate().alias("_state"),
-        )
-        .select(
-            "id",
-            durations.shift_back(F.col("tumble.start"), lag).alias("rstart"),
-            *sums,
-            state_max.decode(F.col("_state")).alias("state"),
-        )
+    reduced = timed.groupBy(tumble.alias("tumble"), "id").agg(
+        *[column.alias(name) for name, column in sums.items()], state_max.aggregate().alias("_state")
+    )
+    return reduced.select(
+        "id",
+        durations.shift_back(F.col("tumble.start"), lag).alias("rstart"),
+        *sums,
+        state_max.decode(F.col("_state")).alias("state"),
     )
 
 
@@ -91,7 +89,7 @@ def pivot_axes_fused(
     axis without readings, or without any value, is 0 in both. ``by_slide`` as in
     ``windowed``.
     """
-    state_max = StateMax("state", state_domain)
+    state_max = StateMax("state", state_domain, df)
     aggregates: dict[str, Column] = {"_state": state_max.aggregate()}
     outputs: dict[str, dict[str, Column]] = {measure: {} for measure in MEASURES}
     for axis in axes:
@@ -107,7 +105,8 @@ def pivot_axes_fused(
         outputs["var"][name] = F.col(f"_{name}_var")
         outputs["rms"][name] = (F.col(f"_{name}_max") - F.col(f"_{name}_min")) / 2
 
-    return windowed(df, aggregates, size, slide, ["id"], time, by_slide).select(
+    reduced = windowed(df, aggregates, size, slide, ["id"], time, by_slide)
+    return state_max.settled(reduced, window_keys(size, slide, ["id"], time)).select(
         "id",
         F.col("window.start").alias("rstart"),
         *[

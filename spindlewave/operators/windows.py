@@ -84,6 +84,12 @@ def windowed(
     return grouped.select("window", *keys, *[c.alias(n) for n, c in results.items()])
 
 
+def window_keys(size: timedelta, slide: timedelta, keys: Sequence[str], time: str) -> dict[str, Column]:
+    """The keys that ``windowed`` groups by, from its rows."""
+    window = F.window(time, durations.text(size), durations.text(slide))
+    return {"window": window, **{name: F.col(name) for name in keys}}
+
+
 def tumbling_features(
     df: DataFrame, size: timedelta = timedelta(seconds=2), features: str = "basic", **options
 ) -> DataFrame:
@@ -115,11 +121,13 @@ def hopping_features(
     aggregates = basis(F.col(value).cast("double"))
     carried: dict[str, Column] = {}
     if state:
-        state_max = StateMax(state, state_domain)
+        state_max = StateMax(state, state_domain, df)
         aggregates["_state"] = state_max.aggregate()
         carried["state"] = state_max.decode(F.col("_state"))
 
     reduced = windowed(df, aggregates, size, slide, keys, time, by_slide)
+    if state:
+        reduced = state_max.settled(reduced, window_keys(size, slide, keys, time))
     return reduced.select(
         *keys,
         *(["window"] if keep_window else []),

@@ -143,6 +143,14 @@ def hop_features_panes(spark, sf_dir):
     )
 
 
+def free_state_features(spark, sf_dir):
+    """Features with any texts as states, some of them long; no list of states is given."""
+    long = F.concat(F.lit("accelerated wear number "), (F.col("event_id") % 5).cast("string"))
+    state = F.when(F.col("event_id") % 7 == 0, long).otherwise(F.concat(F.lit("s"), "state"))
+    rows = readings(spark, sf_dir).withColumn("state", state)
+    return shown(hopping_features(rows, 4 * HOUR, 2 * HOUR, features="basic", state="state"))
+
+
 def textbook_signal_features(spark, sf_dir):
     return shown(
         hopping_features(readings(spark, sf_dir), 4 * HOUR, 2 * HOUR, features="textbook")
@@ -599,6 +607,7 @@ QUERIES: dict[str, Run] = {
         tumble_features,
         hop_features,
         hop_features_panes,
+        free_state_features,
         textbook_signal_features,
         axis_pivot_features,
         axis_pivot_fused,
@@ -721,6 +730,10 @@ SELECT id, rstart, code, {label("code")} AS label FROM replied"""
         "tumble_features": tumble,
         "hop_features": oracle.basic(3, 2, "hours"),
         "hop_features_panes": oracle.basic(3, 2, "hours"),
+        "free_state_features": oracle.basic(4, 2, "hours").replace(
+            "max(state) AS state",
+            "max(CASE WHEN event_id % 7 = 0 THEN 'accelerated wear number ' || (event_id % 5) ELSE 's' || state END) AS state",
+        ).replace(" FROM features", ", state FROM features"),
         "stream_hop_panes": oracle.signal(3, 2, "hours"),
         "textbook_signal_features": oracle.textbook(4, 2, "hours"),
         "axis_pivot_features": pivot,

@@ -7,6 +7,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from spindlewave.functions.states import code_text, text_code
 from spindlewave.operators.pivot import pivot_axes_fused
 from spindlewave.operators.windows import hopping_features, tumbling_features
 from spindlewave.schema import FEATURE_SCHEMA, SIGNAL_FEATURES, STATE_DOMAIN
@@ -124,7 +125,38 @@ def test_known_states_make_a_hash_aggregate(golden):
     plain = hopping_features(golden, state="state")
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan and "partial_" in plan
-    assert "SortAggregate" in plain._jdf.queryExecution().executedPlan().toString()
+    # So do unknown ones, on their codes.
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "Join" not in plan
+
+
+TEXTS = [None, "", "a", "B", "aa", "é", "😀x", "一二三四", "z" * 13, "z" * 14, "z" * 15, "z" * 14 + "é", "é" * 7, "é" * 8, "accelerated", "~"]
+
+
+def test_codes_are_in_the_order_of_texts(spark):
+    rows = spark.createDataFrame([(t,) for t in TEXTS if t], "t string")
+    found = rows.select("t", text_code(F.col("t")).alias("c"), code_text(text_code(F.col("t"))).alias("back")).collect()
+    for r in found:
+        whole = len(r.t.encode()) <= 14
+        assert r.back == (r.t if whole else None)
+        for other in found:
+            if r.t.encode()[:14] != other.t.encode()[:14] or whole != (len(other.t.encode()) <= 14):
+                assert (r.c < other.c) == (r.t.encode() < other.t.encode())
+
+
+@pytest.mark.parametrize("texts", [TEXTS, [t for t in TEXTS if t is None or len(t.encode()) <= 14]])
+def test_greatest_text_of_a_window(spark, texts):
+    rng = random.Random(3)
+    rows = [(str(k % 3), "X", 1.0, rng.uniform(0, 30), rng.choice(texts)) for k in range(120)] + [("9", "X", 1.0, 5.0, None)]
+    df = reading_frame(spark, rows)
+    window = F.window("event_time", "4 seconds", "2 seconds")
+    plain = df.groupBy("id", window).agg(F.max(F.nullif(F.col("state"), F.lit(""))).alias("s"))
+    expected = {(r.id, r.window.start): r.s for r in plain.collect()}
+    for by_slide in (False, True):
+        found = hopping_features(df, state="state", by_slide=by_slide)
+        assert {(r.id, r.wstart): r.state for r in found.collect()} == expected
+    pivoted = pivot_axes_fused(df)
+    assert {(r.id, r.rstart): r.state for r in pivoted.collect()} == expected
 
 
 def test_layout_does_not_change_results(spark, golden):
