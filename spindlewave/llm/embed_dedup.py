@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindlewave.llm import vectors as V
@@ -26,6 +26,8 @@ from spindlewave.session import settings
 
 AXES = 3  # of the grid; a unit vector has at most (2 / reach + 2) ** 3 cells
 TILE = 4096
+GROUP = 8  # tiles that travel together, or the rows of so many
+WIDER = (2, 4, 8)  # sides of groups of cells, in cells
 ROWS = 512  # of a tile, against all of another, at once
 SPARSE = 0.02  # share of pairs below which they are listed one by one
 FIRST = 0.1  # what the axes must leave the bound below the threshold, on average, to be worth a stop
@@ -175,8 +177,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
     )
     dealt = stored(dealt, "cells")
     cell = ["dim", "x", "y", "z"]
-    chunks = dealt.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("chunks"))
-    dealt = dealt.join(F.broadcast(chunks), cell)  # the grid bounds the number of cells
+    chunks = dealt.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
+    chunks = stored(chunks.withColumn("chunks", F.ceil(F.col("n") / TILE).cast("int")), "grid")
+    dealt = dealt.join(chunks.drop("n"), cell)
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("data"), F.col("chunks")).cast("int"))
     key = [*cell, "chunk"]
     ordered = dealt.select(*key, "node", "copies", "data").repartition(*key).sortWithinPartitions(*key)
@@ -187,7 +190,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
 
         def out() -> pa.RecordBatch:
             nodes, copies = (np.array(x, "<i8").tobytes() for x in rows[:2])
-            values = [*held, nodes, copies, b"".join(rows[2])]
+            data = np.frombuffer(b"".join(rows[2]), "<f8")
+            # Vectors that single precision holds as they are travel in it.
+            with np.errstate(over="ignore", under="ignore"):
+                single = data.astype("<f4")
+            values = [*held, nodes, copies, (single if (single == data).all() else data).tobytes()]
             types = [pa.int32()] * len(key) + [pa.binary()] * 3
             arrays = [pa.array([value], t) for value, t in zip(values, types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, [*key, "nodes", "copies", "data"])
@@ -210,31 +217,37 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
     tiles = stored(tiles, "tiles", compression="none")
 
     near = F.array(*(F.array(*map(F.lit, d)) for d in itertools.product((-1, 0, 1), repeat=AXES)))
-    places = tiles.select("tile", *cell)
+    places = tiles.select("tile", *cell, groups_of(chunks, cell).alias("group"))
     around = places.withColumn("d", F.explode(near)).select(
-        F.col("tile").alias("a"), F.col("dim").alias("of"),
+        F.col("tile").alias("a"), F.col("dim").alias("of"), F.col("group").alias("group_a"),
         *((F.col(name) + F.col("d")[k]).alias(f"to_{name}") for k, name in enumerate(("x", "y", "z"))),
     )
     same = [F.col("of") == F.col("dim"), *(F.col(f"to_{name}") == F.col(name) for name in ("x", "y", "z"))]
-    pairs = around.join(places.withColumnRenamed("tile", "b"), same).where("a <= b").select("a", "b")
-    pairs = stored(pairs, "tile-pairs")
-
-    def side(name: str) -> DataFrame:
-        return tiles.select(
-            F.col("tile").alias(f"of_{name}"), F.col("nodes").alias(f"nodes_{name}"),
-            F.col("copies").alias(f"copies_{name}"), F.col("data").alias(f"data_{name}"), F.col("dim").alias(f"dim_{name}"),
-        )
-
-    both = pairs.join(side("a"), F.col("a") == F.col("of_a")).join(side("b"), F.col("b") == F.col("of_b"))
+    pairs = around.join(places.withColumnRenamed("tile", "b"), same).where("a <= b")
+    # Pairs are dealt by the groups of their tiles, so a tile travels once for each group that it meets.
+    block = F.concat_ws(" ", F.least("group_a", "group"), F.greatest("group_a", "group"))
+    pairs = stored(pairs.select(block.alias("block"), "a", "b"), "tile-pairs")
+    members = pairs.select("block", F.col("a").alias("own")).union(pairs.select("block", "b")).distinct()
+    held = members.join(tiles, F.col("own") == F.col("tile"))
+    none = [F.lit(None).cast(kind) for kind in ("int", "binary", "binary", "binary")]
+    rows = held.select("block", F.lit(0).alias("kind"), F.col("tile").alias("a"), F.lit("").alias("b"), "dim", "nodes", "copies", "data")
+    rows = rows.union(pairs.select("block", F.lit(1), "a", "b", *none))
+    rows = rows.repartition("block").sortWithinPartitions("block", "kind", "a", "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, at = {}, None
         for batch in batches:
-            for at in range(len(batch)):
-                row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
-                yield from compare_tiles(row, axes.value[row["dim_a"]], least)
+            for row in range(len(batch)):
+                block, kind, a, b = (batch.column(name)[row].as_py() for name in ("block", "kind", "a", "b"))
+                if block != at:
+                    known, at = {}, block
+                if kind == 0:
+                    known[a] = Tile(*(batch.column(name)[row].as_py() for name in ("dim", "nodes", "copies", "data")), axes.value)
+                else:
+                    yield from compare_tiles(known[a], known[b], a == b, least)
 
     with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "4"}):
-        found = stored(both.drop("of_a", "of_b", "dim_b").mapInArrow(compare, "u long, v long, n long"), "links")
+        found = stored(rows.mapInArrow(compare, "u long, v long, n long"), "links")
 
     counts = found.where("n is not null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
     counts = counts.withColumnRenamed("node", "counted")
@@ -259,17 +272,34 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, id_column: str = "vec_
     )
 
 
-def compare_tiles(row: dict, axes: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
+def groups_of(chunks: DataFrame, cell: list[str]) -> Column:
+    """The group of a tile: those of GROUP chunks of a cell, or of as many cells on a side as GROUP tiles' rows allow."""
+    side = 1
+    for wider in WIDER:
+        coarse = [F.floor(F.col(name) / wider).alias(name) for name in cell[1:]]
+        most = chunks.groupBy(cell[0], *coarse).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+        if most is None or most > GROUP * TILE:
+            break
+        side = wider
+    return F.concat_ws("/", cell[0], *(F.floor(F.col(name) / side) for name in cell[1:]), F.floor(F.col("chunk") / GROUP))
+
+
+class Tile:
+    """The vectors of a tile as unit rows, also turned to the principal axes."""
+
+    def __init__(self, dim: int, nodes: bytes, copies: bytes, data: bytes, axes: dict[int, np.ndarray]):
+        self.nodes, self.copies = np.frombuffer(nodes, "<i8"), np.frombuffer(copies, "<i8")
+        kind = "<f8" if len(data) == 8 * dim * len(self.nodes) else "<f4"
+        self.x = V.unit_rows(np.frombuffer(data, kind).astype(np.float64).reshape(-1, dim))
+        self.turned = self.x @ axes[dim]
+
+
+def compare_tiles(one: Tile, other: Tile, same: bool, least: float) -> Iterator[pa.RecordBatch]:
     """Link counts of both tiles' classes (u, null, n) and the forest of their links (u, v, null)."""
-    dim = len(axes)
     names = ["u", "v", "n"]
-    a, b = (np.frombuffer(row[f"data_{s}"], "<f8").reshape(-1, dim) for s in "ab")
-    nodes_a, nodes_b = (np.frombuffer(row[f"nodes_{s}"], "<i8") for s in "ab")
-    copies_a, copies_b = (np.frombuffer(row[f"copies_{s}"], "<i8") for s in "ab")
-    a, b = V.unit_rows(a), V.unit_rows(b)
-    same = row["a"] == row["b"]
+    a, b, nodes_a, nodes_b, copies_a, copies_b = one.x, other.x, one.nodes, other.nodes, one.copies, other.copies
     total_a, total_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    for i, j in linked(a, b, a @ axes, b @ axes, least):
+    for i, j in linked(a, b, one.turned, other.turned, least):
         if same:
             i, j = i[i != j], j[i != j]
         total_a += np.bincount(i, weights=copies_b[j], minlength=len(a)).astype(np.int64)

@@ -423,6 +423,7 @@ def build(rows: DataFrame, group: str, order: str, digest: str, payload: Sequenc
     tree, own = grown(placed, [group], digest, kept)
     # The group's own root is the leaf of the tree over all groups.
     own = stored(own.withColumnRenamed("__root", "__subroot"), "own-paths")
+    dropped(placed)
     tops = own.where("__block = 0").select(F.lit(0).alias("__all"), group, F.col("__subroot").alias("__leaf"))
     tops = positions(tops, ["__all"], [group])
     top_tree, top_own = grown(tops, ["__all"], "__leaf", [group])
@@ -434,7 +435,9 @@ def build(rows: DataFrame, group: str, order: str, digest: str, payload: Sequenc
     walked = walked.select("__name", "__root", F.concat("__low", "__high").alias("__top"))
     above = own.join(walked, F.col(group).eqNullSafe(F.col("__name")))
     above = above.select(group, "__block", "__subroot", "__root", F.concat("__path", "__top").alias("__path"))
-    return Manifest(tree, stored(above, "above"), [group], kept)
+    above = stored(above, "above")
+    dropped(own, tops)
+    return Manifest(tree, above, [group], kept)
 
 
 def folded(manifest: Manifest, replacement: str) -> DataFrame:

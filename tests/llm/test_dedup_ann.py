@@ -149,8 +149,10 @@ def usable(x):
     return x is not None and len(x) > 0 and None not in x and bool(np.isfinite(x).all()) and any(x)
 
 
-def test_near_vectors(spark, monkeypatch):
-    monkeypatch.setattr(embed_dedup, "TILE", 40)
+@pytest.mark.parametrize("tile, group", [(40, 8), (6, 2), (2, 1)])
+def test_near_vectors(spark, monkeypatch, tile, group):
+    monkeypatch.setattr(embed_dedup, "TILE", tile)
+    monkeypatch.setattr(embed_dedup, "GROUP", group)
     monkeypatch.setattr(embed_dedup, "ROWS", 16)
     rows = vector_rows()
     units = [None if n is None or not usable(x) else np.array(x) / max(x, key=abs) for n, x in rows]
@@ -223,3 +225,16 @@ def test_tree_orders_every_leaf():
     leaf = tree.assign(x)
     assert sorted(tree.order(x[0])) == list(range(tree.leaves)) and set(leaf) <= set(range(tree.leaves))
     assert tree.order(x[0], 5) == tree.order(x[0])[:5]
+
+
+def test_single_precision_travels_as_it_is(spark):
+    random = np.random.default_rng(8)
+    x = random.normal(size=(60, 8)).astype(np.float32)
+    x[30:] = x[:30] * np.float32(1.5) + random.normal(size=(30, 8)).astype(np.float32) * np.float32(0.05)
+    exact = [(k, [float(v) for v in row]) for k, row in enumerate(x)]
+    near = [(k, [v * (1 + 1e-15) for v in row]) for k, row in exact]
+    for rows in (exact, near):
+        units = np.array([row for _, row in rows])
+        units /= np.linalg.norm(units, axis=1)[:, None]
+        expected = {k: int((units @ units[k] >= 0.95).sum()) - 1 for k, _ in rows}
+        assert {r.vec_id: r.n_links for r in embed_dedup.near_vectors(vectors(spark, rows)).collect()} == expected
