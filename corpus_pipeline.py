@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindlewave.llm import credentials, minhash, mixing, packing, quality, queries
-from spindlewave.llm.common import small_batches, stored, table
+from spindlewave.llm.common import dropped, small_batches, stored, table
 
 
 #: Names that the mixing gives to columns of its own; documents may have them too.
@@ -74,7 +74,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; a stage's table is removed when the next one's is written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        dropped(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
