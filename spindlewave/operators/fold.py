@@ -65,6 +65,12 @@ def changes(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
     return found
 
 
+def glued(batches: Sequence[pa.RecordBatch]) -> pa.RecordBatch:
+    """Batches with the same columns as one; whether columns may be null does not matter."""
+    names = batches[0].schema.names
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(n) for b in batches]) for n in names], names)
+
+
 def _states(batch: pa.RecordBatch, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column("_state").to_pylist()), "<f8").reshape(-1, width)
 
@@ -94,7 +100,7 @@ def merge_runs(rows: DataFrame, names: Sequence[str], folds: Sequence[Fold]) ->
         for batch in batches:
             batch = batch.select(columns)
             if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+                batch = glued([held, batch])
             if not len(batch):
                 continue
             fresh = changes(batch, names)
@@ -186,7 +192,7 @@ def over_range_folded(
             if not len(batch):
                 continue
             # The last pane of the batch may go on in the next one.
-            whole = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0] if held else batch
+            whole = glued([*held, batch]) if held else batch
             last = int(np.flatnonzero(changes(whole, group))[-1])
             if last:
                 yield frames(whole.slice(0, last))
