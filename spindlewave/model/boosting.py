@@ -30,6 +30,7 @@ from spindlewave.session import remove_folder, work_dir
 MISSING = 255  # the bin of missing values
 CELLS = 1 << 21  # sums that a task holds at once
 TINY = 1e-6
+ROWS = 20_000  # rows that are worth a task, at least
 
 
 @dataclass
@@ -220,6 +221,7 @@ class _Run:
         self._binned(rows).write.parquet(self.path)
         self.rows = self.spark.read.parquet(self.path)
         self.total = self.rows.count()
+        self.rows = self.rows.coalesce(max(1, self.total // ROWS))
         self.done: list[list[Growing]] = []
 
     def _value(self, name: str) -> Column:
