@@ -115,7 +115,7 @@ def test_expressions_walks_and_stored_trees_agree(spark, tmp_path):
     # The layout of the rows hardly matters (equal gains part by rounding), a column of predictions not at all.
     other = spec.fit(df.repartition(7))
     assert np.mean([a.argmax() == b.argmax() for a, b in zip(*[m.margins(m.values(table_of(x))) for m in (model, other)])]) > 0.95
-    assert again.transform(df.withColumn("prediction", F.lit("x"))).where("prediction = 'x'").isEmpty()
+    assert again.transform(df.withColumn("prediction", F.lit("x"))).schema["prediction"].dataType.typeName() == "double"
 
 
 def test_directions_of_missing_values_are_learnt(spark):
