@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from spindlewave.functions import udaf
 from spindlewave.functions.states import state_code, state_label
 from spindlewave.model import features as model_features
 from spindlewave.model import metrics, score, train
+from spindlewave.model.trees import SoftmaxTrees, Tree
 from spindlewave.operators.fold import over_range_folded
 from spindlewave.operators.over import over_range, over_range_merged, over_range_with
 from spindlewave.operators.pivot import pivot_axes, pivot_axes_fused
@@ -567,9 +569,30 @@ def prediction_agreement(spark, sf_dir):
     return with_learnt(totals, learnt(pairs))
 
 
+def rule_trees() -> SoftmaxTrees:
+    """Trees by hand: the class from the spread of the Y axis, in steps of 20."""
+    at = PIVOT_FEATURES.index("y_stddev")
+
+    def step(low: float | None, high: float | None) -> Tree:
+        """1 from ``low`` up to, but without, ``high``, else 0."""
+        borders = [np.nextafter(x, 0) for x in (low, high) if x is not None]
+        inside = [0.0, 1.0] if high is None else [1.0, 0.0] if low is None else [0.0, 1.0, 0.0]
+        n = len(borders)
+        # Inner nodes 0..n-1, each with its leaf on the left; behind them the leaves.
+        left = [n + k for k in range(n)]
+        right = [k + 1 if k + 1 < n else 2 * n for k in range(n)]
+        none = [-1] * (n + 1)
+        return Tree(
+            np.array([at] * n + none), np.array([*borders, *[0.0] * (n + 1)]), np.zeros(2 * n + 1, bool), np.array(left + none),
+            np.array(right + none), np.array([0.0] * n + inside),
+        )
+
+    return SoftmaxTrees([[step(None, 20.0), step(20.0, 40.0), step(40.0, 60.0), step(60.0, None)]], list(PIVOT_FEATURES), 4)
+
+
 def prediction_agreement_table(spark, sf_dir):
-    """Counts by original, predicted and remote state."""
-    return score.agreement(_agreement(spark, sf_dir))
+    """Counts by original, predicted and remote state, of trees that SQL can write down too."""
+    return score.agreement(score.predict(rule_trees(), remote_rows(spark, sf_dir)))
 
 
 def metrics_log(spark, sf_dir):
@@ -793,6 +816,8 @@ FROM shares""",
         "scoring_reply": reply,
         "remote_scoring": f"{scored} SELECT id, rstart, code AS remote_code, "
         f"{label('code')} AS remote_state FROM scored",
+        "prediction_agreement_table": f"{scored} SELECT state, {label('CAST(least(floor(y_stddev / 20), 3) AS INTEGER)')} AS predicted_state, "
+        f"{label('code')} AS remote_state, count(*) AS n FROM scored GROUP BY 1, 2, 3",
         "prediction_agreement": f"{scored} SELECT state, {label('code')} AS remote_state, count(*) AS n, "
         f"count(*) AS predicted, {learnt} FROM scored GROUP BY 1, 2",
         "metrics_log": f"""{errors}
