@@ -7,11 +7,13 @@ arrays of many texts.
 
 The cuts hold for a tokenizer that drops white space, lower-cases, normalises to NFC and
 takes runs of letters, single digits and runs of other characters as words, with
-contractions after an apostrophe (as in word_bpe_49k.json).
+contractions after an apostrophe (as in word_bpe_49k.json). Whether a tokenizer does is read from
+its file; any other one gets whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import types
@@ -49,6 +51,32 @@ for _numbers in NUMBERS:
     _numbers[65:91] = _numbers[97:123]
 
 
+# What a tokenizer file has to say for the cuts to hold.
+WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+CUTTABLE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def cuttable(path: str) -> bool:
+    """Whether the tokenizer of a file cuts texts where ``segments`` does."""
+    with open(path, encoding="utf-8") as file:
+        own = json.load(file)
+    return all(own.get(name) == value for name, value in CUTTABLE.items()) and own["model"].get("end_of_word_suffix") == "</w>"
+
+
 def kept(name: str, make):
     """What a worker keeps between tasks.
 
@@ -178,6 +206,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cuttable = cuttable(path)
         vocabulary = self.tokenizer.get_vocab()
         size = max(vocabulary.values()) + 1
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
@@ -255,13 +284,14 @@ class Encoder:
         """Runs of texts: the number of the first, their ids, and the places where each text's ids begin.
 
         A null text is empty. Texts that hold the name of a special token go to the
-        tokenizer whole, since such names are found before anything else.
+        tokenizer whole, since such names are found before anything else; so do all texts
+        where the cuts do not hold.
         """
         data, starts = utf8(column)
         for a, b in runs(starts, RUN):
             part, places = data[starts[a] : starts[b]], starts[a : b + 1] - starts[a]
             raw = part.tobytes()
-            if any(name in raw for name in self.special):
+            if not self.cuttable or any(name in raw for name in self.special):
                 yield a, *self._whole(part, places)
             else:
                 yield a, *self.encode_run(part, places)

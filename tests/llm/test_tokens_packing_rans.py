@@ -221,3 +221,15 @@ def test_files(spark, odd_docs, no_docs, tokenizer, plain):
 def test_wide_ids(spark):
     column = pa.array([rans.packed(np.array([1, 70_000], np.uint32)), rans.packed(np.array([5, 6], np.uint16))])
     assert [x.tolist() for x in rans.unpacked(column)] == [[1, 70_000], [5, 6]]
+
+
+def test_a_tokenizer_that_cuts_elsewhere_gets_whole_texts(tokenizer):
+    import public_tokenizers
+
+    texts = ["Two  words, and don't 12", "", None, "a\n\nb\tc", "Ünïcödé 一二三 😀", " lead and trail "]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert tokens.cuttable(tokenizer) and not tokens.cuttable(other)
+    for path in (tokenizer, other):
+        library = Tokenizer.from_file(path)
+        found = [x for _, ids, places in tokens.Encoder(path).encode(pa.array(texts)) for x in np.split(ids, places[1:-1])]
+        assert [x.tolist() for x in found] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
