@@ -31,7 +31,7 @@ RUN = 1 << 19  # bytes of text handled at once
 BUDGET = 1 << 20  # suffixes a group of prefixes may hold
 HOT_MOST = 100_000  # words over the budget, at most: beyond that many the budget grows
 FLUSH = 1 << 20  # suffixes that a task holds before it sends their tree
-WORDS = 1 << 18  # different words that a task holds before it sends their counts
+WORDS, LETTERS = 1 << 18, 1 << 25  # different words, and bytes of them, that a task holds before it sends their counts
 PARTS = 64  # of a language, in which its first phrases are found before they meet
 BITS = 26  # the bitmap of words that may stand in a phrase has 2 ** BITS bits (8 MB)
 
@@ -110,6 +110,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}  # key -> language, word, occurrences
+        letters = 0
 
         def out() -> pa.RecordBatch:
             names = [x[0] for x in held.values()], [x[1] for x in held.values()], [x[2] for x in held.values()]
@@ -131,10 +132,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     if known is None:
                         word = small[first[place] : last[place]].tobytes().decode()
                         held[key] = [names[a + int(owner[place])].as_py(), word, more]
+                        letters += len(word)
                     else:
                         known[2] += more
-                if len(held) >= WORDS:
+                if len(held) >= WORDS or letters >= LETTERS:
                     yield out()
+                    letters = 0
         if held:
             yield out()
 

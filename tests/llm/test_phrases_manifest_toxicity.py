@@ -67,7 +67,7 @@ def phrase_rows(seed=0, n=120):
 def test_phrases_by_brute_force(spark, monkeypatch, small):
     if small:
         # Long texts in parts, hot words, several groups, trees sent early.
-        for name, value in (("RUN", 300), ("BUDGET", 40), ("FLUSH", 200), ("WORDS", 5)):
+        for name, value in (("RUN", 300), ("BUDGET", 40), ("FLUSH", 200), ("WORDS", 50), ("LETTERS", 400)):
             monkeypatch.setattr(phrases, name, value)
     rows = phrase_rows()
     rows.append((5000, " ".join(["of the", "nut gra", "c. c", "of the nut"][i % 4] for i in range(900)), "fr", "s", None))
