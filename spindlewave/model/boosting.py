@@ -82,7 +82,9 @@ class Growing:
 
     def finished(self, borders: Sequence[np.ndarray]) -> Tree:
         feature = np.array(self.feature, int)
-        border = [borders[f][b] if f >= 0 else 0.0 for f, b in zip(self.feature, self.bin, strict=True)]
+        # An infinite border would have no literal.
+        least = -np.finfo(float).max
+        border = [max(least, borders[f][b]) if f >= 0 else 0.0 for f, b in zip(self.feature, self.bin, strict=True)]
         return Tree(
             feature, np.array(border, float), np.array(self.missing_left, bool), np.array(self.left, int),
             np.array(self.right, int), np.array(self.value, float),

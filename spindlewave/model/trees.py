@@ -60,18 +60,19 @@ class Tree:
         left, right = (self.nested(names, int(side[node])) for side in (self.left, self.right))
         return f"CASE WHEN {test} THEN {left} ELSE {right} END"
 
-    def walked(self, names: Sequence[str]) -> str:
-        """The tree as a walk over constant arrays, whatever its size."""
-        arrays = {
-            "f": self.feature.tolist(), "b": np.nan_to_num(self.border).tolist(), "m": self.missing_left.tolist(),
-            "l": self.left.tolist(), "r": self.right.tolist(), "v": self.value.tolist(),
-        }
-        kinds = dict(f="int", b="double", m="boolean", l="int", r="int", v="double")
-        t = {k: f"from_json('{json.dumps(v)}', 'array<{kinds[k]}>')" for k, v in arrays.items()}
-        x = f"array({', '.join(names)})[{t['f']}[n]]"
-        test = f"coalesce({x} <= {t['b']}[n], {t['m']}[n])"
-        step = f"CASE WHEN {t['f']}[n] < 0 THEN n WHEN {test} THEN {t['l']}[n] ELSE {t['r']}[n] END"
-        return f"{t['v']}[aggregate(sequence(1, {max(1, self.depth())}), 0, (n, i) -> {step})]"
+
+def walked(trees: Sequence[Tree], names: Sequence[str]) -> str:
+    """The sum of trees as SQL that walks over constant arrays, whatever their size."""
+    kinds = {"f": ("feature", "int"), "b": ("border", "double"), "m": ("missing_left", "boolean"),
+             "l": ("left", "int"), "r": ("right", "int"), "v": ("value", "double")}
+    rows = [{key: getattr(tree, name).tolist() for key, (name, _) in kinds.items()} for tree in trees]
+    struct = ",".join(f"{key}:array<{kind}>" for key, (_, kind) in kinds.items())
+    constant = f"from_json('{json.dumps(rows)}', 'array<struct<{struct}>>')"
+    test = f"coalesce(array({', '.join(names)})[t.f[n]] <= t.b[n], t.m[n])"
+    step = f"CASE WHEN t.f[n] < 0 THEN n WHEN {test} THEN t.l[n] ELSE t.r[n] END"
+    deepest = max([1, *(tree.depth() for tree in trees)])
+    leaf = f"aggregate(sequence(1, {deepest}), 0, (n, i) -> {step})"
+    return f"aggregate({constant}, {BASE_MARGIN}D, (s, t) -> s + t.v[{leaf}])"
 
 
 TREE_SCHEMA = T.StructType([
@@ -128,8 +129,11 @@ class SoftmaxTrees:
         sums = {}
         for k in range(self.classes):
             every = [trees[k] for trees in self.rounds]
-            texts = [tree.nested(list(own)) if leaves <= nested_leaves else tree.walked(list(own)) for tree in every]
-            sums[f"__m{k}"] = F.expr(" + ".join([f"{BASE_MARGIN}D", *texts]))
+            if leaves <= nested_leaves:
+                text = " + ".join([f"{BASE_MARGIN}D", *(tree.nested(list(own)) for tree in every)])
+            else:
+                text = walked(every, list(own))
+            sums[f"__m{k}"] = F.expr(text)
         return own, sums
 
     def transform(self, rows: DataFrame, nested_leaves: int = NESTED_LEAVES) -> DataFrame:

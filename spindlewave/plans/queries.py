@@ -243,7 +243,11 @@ def sql_over_range_avg(spark, sf_dir):
 
 
 def sql_over_count_udaf(spark, sf_dir):
-    """The average and the registered user-defined count over one named window."""
+    """The average and the registered user-defined count over one named window.
+
+    A pandas function gets each frame anew, so this is for short ranges; ``over_range_with`` and
+    ``over_range_folded`` do work that does not depend on the readings in a frame.
+    """
     reading_sources.register_view(readings(spark, sf_dir, True))
     udaf.register(spark)
     rows = sql_views.over_range(spark, "avg(data) OVER w AS avg_data, countUdaf(data) OVER w AS count_")

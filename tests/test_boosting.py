@@ -144,8 +144,12 @@ def test_odd_rows(spark):
     flat = spec.fit(frame(spark, np.full((30, 3), np.nan), np.ones(30, int)))
     assert {r.prediction for r in flat.transform(frame(spark, x, label)).collect()} == {1.0}
     infinite = np.where(np.isnan(x), np.inf, x)
-    model = spec.fit(frame(spark, infinite, label))
-    assert model.transform(frame(spark, infinite, label)).exceptAll(model.transform_batches(frame(spark, infinite, label))).isEmpty()
+    infinite[infinite[:, 0] < -0.5, 0] = -np.inf
+    infinite[infinite[:, 2] < 0, 2] = -np.inf
+    sharp = Softmax(rounds=2, max_depth=3, classes=3, columns=COLUMNS, min_child=0.5, split_penalty=0, learning_rate=0.5)
+    model, df = sharp.fit(frame(spark, infinite, label)), frame(spark, infinite, label)
+    for leaves in (0, 10**6):
+        assert model.transform(df, leaves).exceptAll(model.transform_batches(df)).isEmpty()
     with pytest.raises(ValueError, match="bins"):
         Softmax(bins=255, columns=COLUMNS, classes=3).fit(frame(spark, x, label))
 
