@@ -14,8 +14,8 @@ from spindlewave.operators.pivot import pivot_axes_fused
 from spindlewave.schema import PIVOT_FEATURES, SIGNAL_FEATURES, STATE_DOMAIN
 from spindlewave.streaming.changelog import KIND, changelog, folded, joined, measures, sums_of
 from spindlewave.streaming.late import LateGate, lateness
-from spindlewave.streaming.over import by_instant, pane_frames, trailing_range, trailing_table
-from spindlewave.streaming.replay import Replay, without_heartbeat
+from spindlewave.streaming.over import PANES, by_instant, pane_frames, panes_of, trailing_range, trailing_table
+from spindlewave.streaming.replay import LateRows, Replay, without_heartbeat
 from tests.conftest import reading_frame, same_rows
 from tests.test_streaming import ALL, SLICES, Source, features, rounded
 
@@ -82,6 +82,32 @@ def test_state_of_a_trailing_range_is_bounded_by_panes(spark, tmp_path):
     assert sum(seen) < 1000
 
 
+def test_panes_share_state_and_calls_by_blocks(spark, tmp_path, monkeypatch):
+    # A reading in most panes of 2 s, some with several, over five blocks and a far one; the steps meet within a pane.
+    random = np.random.default_rng(3)
+    offsets = [*np.sort(random.uniform(0, 600, 400)), 255.999999, 256.0, 256.0, 258.0, 258.000001, 5000.0]
+    rows = [("1", "X", float(k), round(float(at), 6), "0") for k, at in enumerate(offsets)]
+    behind = [("1", "Y", float(k), 300.0 - 0.25 * k, "0") for k in range(8)]
+    rows.sort(key=lambda row: row[3])
+    totals = []
+    monkeypatch.setattr(LateRows, "onQueryProgress", lambda self, event: totals.extend(op.numRowsTotal for op in event.progress.stateOperators))
+    source = Source(spark, tmp_path)
+    replay = Replay(source.stream, lambda df: trailing_range(without_heartbeat(df)), str(tmp_path / "work"))
+    for part in (rows[:150], [*rows[150:250], *behind], rows[250:]):
+        source.add(part)
+        replay.advance()
+    found, expected = replay.finish().table(), over_range(reading_frame(spark, [*rows, *behind]))
+    assert same_rows(rounded(found, ["avg_data"]), rounded(expected, ["avg_data"]))
+    # Some 200 panes with readings lie in fewer than 12 blocks, each with its state, a timer and the timer's index.
+    assert totals and max(totals) <= 12 * 3
+
+
+def test_blocks_of_long_ranges_stay_exact():
+    assert panes_of(2_000_000) == PANES and panes_of(86_400_000_000) == PANES
+    for width in (2**47, 2**50, 2**52, 2**60):
+        assert 1 <= panes_of(width) <= max(1, 2**52 // width)
+
+
 def test_pane_frames_by_brute_force():
     random = np.random.default_rng(0)
     offset, old = random.integers(0, 50, 80), random.integers(0, 50, 60)
