@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from spindlewave.functions import durations
+from spindlewave.session import make_folder
 from spindlewave.streaming.over import TEXT
 from spindlewave.streaming.replay import DELAY, Replay, without_heartbeat
 
@@ -72,6 +73,9 @@ class LateGate:
 
     A step first passes the new readings through the gate, then the ones that count through the
     features. Late readings never move a watermark, so both streams have the same one.
+
+    The gate keeps nothing in its state, so it gets no more state partitions than its ``buckets``: others
+    would have no reading and cost as much in every micro-batch.
     """
 
     def __init__(
@@ -83,15 +87,18 @@ class LateGate:
         slide: timedelta,
         time: str = "event_time",
         delay: timedelta = DELAY,
+        buckets: int = BUCKETS,
         **options,
     ):
         self.spark = readings.sparkSession
         self.schema = readings.schema
+        partitions = options.get("state_partitions") or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.gate = Replay(
-            readings, lambda rows: lateness(without_heartbeat(rows), size, slide, time), f"{work}/gate", time, delay, **options
-        )
+            readings, lambda rows: lateness(without_heartbeat(rows), size, slide, time, buckets), f"{work}/gate", time, delay,
+            **{**options, "state_partitions": min(buckets, partitions)},
+        )
         # The gate's table has to be there before it is read as a stream.
-        self.gate.advance()
+        make_folder(self.spark, self.gate.out)
         passed = self.spark.readStream.schema(self.gate.result_rows.schema).parquet(self.gate.out)
         kept = passed.where("windows = 0 or closed < windows").select(*self.schema.names)
         self.features = Replay(kept, build, f"{work}/features", time, delay, **options)

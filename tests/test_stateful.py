@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from spindlewave.operators.over import over_range
 from spindlewave.operators.pivot import pivot_axes_fused
 from spindlewave.schema import PIVOT_FEATURES, SIGNAL_FEATURES, STATE_DOMAIN
+from spindlewave.session import settings
 from spindlewave.streaming.changelog import KIND, changelog, folded, joined, measures, sums_of
 from spindlewave.streaming.late import LateGate, lateness
 from spindlewave.streaming.over import PANES, by_instant, pane_frames, panes_of, trailing_range, trailing_table
@@ -153,6 +154,23 @@ def test_a_reading_late_for_one_window_counts_in_the_other(spark, tmp_path):
     assert starts == {(4, 2.0), (6, 1.0), (8, 1.0)}
 
 
+def test_a_gate_runs_no_stream_on_nothing_and_no_empty_partitions(spark, tmp_path, monkeypatch):
+    operators, runs = [], []
+    monkeypatch.setattr(LateRows, "onQueryStarted", lambda self, event: runs.append(event.runId))
+    monkeypatch.setattr(LateRows, "onQueryProgress", lambda self, event: operators.extend(event.progress.stateOperators))
+    late = [("1", "X", 999.0, 1.0, "0")]
+    with settings(spark, {"spark.sql.shuffle.partitions": "7"}):
+        source = Source(spark, tmp_path)
+        gate = LateGate(source.stream, features, str(tmp_path / "work"), timedelta(seconds=4), timedelta(seconds=2), buckets=3)
+        assert not runs and gate.late().isEmpty()
+        for rows in (SLICES[0], [*SLICES[1], *late]):
+            source.add(rows)
+            gate.advance()
+    assert len(runs) == 4  # the gate and the features, twice
+    assert {op.numShufflePartitions for op in operators} == {3, 7}
+    assert [r.data for r in gate.late().collect()] == [999.0]
+
+
 @pytest.mark.parametrize("size, slide", [(4, 2), (3, 2), (2, 2), (5, 1)])
 def test_windows_of_a_reading(spark, tmp_path, size, slide):
     rows = [("1", "X", float(k), k * 0.7 - 3, "0") for k in range(30)]
